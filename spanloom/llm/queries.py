@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import toxicity
 from .minhash import near_duplicates
 
 
@@ -11,10 +13,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; fitted on the labelled rows that aren't held out."""
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs.where(~toxicity.held_out(F.col("doc_id"))), _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "n_passages",
+    )
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-word shingles at similarity 0.8 over all documents."""
     return near_duplicates(_table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
-QUERIES = {"op2_minhash_near_dedup": op2_minhash_near_dedup}
+QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
+}
 ORACLES: dict[str, str] = {}
