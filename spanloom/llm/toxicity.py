@@ -30,7 +30,7 @@ from .storage import materialize
 from .text import words
 
 SAMPLE, TERMS = 4000, 20_000
-PRIOR, Z_MIN, DRIFT = 1000.0, 2.5, 0.1
+PRIOR, Z_MIN, DRIFT = 10_000.0, 3.0, 0.1
 
 
 @dataclass
@@ -42,6 +42,16 @@ class ToxicityModel:
     best: float = 1.0
     total: float = 0.0
 
+    def __post_init__(self):
+        self.cache = TokenScores(self.scores)
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "cache"}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.cache = TokenScores(self.scores)
+
 
 def maximal_segments(values: list[tuple[int, float]], drift: float) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (start, end, score) in linear time; end is exclusive.
@@ -71,11 +81,32 @@ def maximal_segments(values: list[tuple[int, float]], drift: float) -> list[tupl
     return [(int(a), int(e), y - x) for a, e, x, y, _ in found]
 
 
+def beginnings(token: bytes) -> list[bytes]:
+    """The proper beginnings of a token that are units of their own, longest first."""
+    return [token[:n] + b"*" for n in range(min(8, len(token) - 1), 2, -1)]
+
+
+class TokenScores(dict):
+    """Token -> score or None, filled from the model as tokens are met; emptied when it grows large."""
+
+    def __init__(self, scores: dict[bytes, float]):
+        super().__init__()
+        self.scores = scores
+
+    def __missing__(self, token: bytes) -> float | None:
+        if len(self) > 200_000:
+            self.clear()
+        got = self.scores.get(token)
+        if got is None:
+            got = next((s for u in beginnings(token) if (s := self.scores.get(u)) is not None), None)
+        self[token] = got
+        return got
+
+
 def passages(text: str | None, m: ToxicityModel) -> tuple[int, list[tuple[int, int, float]]]:
     """(number of tokens, segments) of one whole text."""
     toks = words(text)
-    scores = m.scores
-    return len(toks), maximal_segments([(i, scores[t]) for i, t in enumerate(toks) if t in scores], DRIFT)
+    return len(toks), maximal_segments([(i, s) for i, s in enumerate(map(m.cache.__getitem__, toks)) if s is not None], DRIFT)
 
 
 def evidence(n: int, found: list[tuple[int, int, float]], m: ToxicityModel) -> tuple[float, float, int]:
@@ -90,7 +121,16 @@ def _contexts(batches):
         seen = set()
         for text, y in zip(batch.column(0), batch.column(1), strict=True):
             toks, y = words(text.as_py()), y.as_py()
-            seen.update(zip([b"", *toks], toks, [y] * len(toks)))
+            one: dict[bytes, bytes] = {}
+            for a, b in zip([b"", *toks], toks, strict=False):
+                if b not in one or a < one[b]:
+                    one[b] = a
+            stems: dict[bytes, bytes] = {}
+            for b, a in one.items():
+                for u in beginnings(b):
+                    if u not in stems or a < stems[u]:
+                        stems[u] = a
+            seen.update((a, b, y) for d in (one, stems) for b, a in d.items())
         prev, tok, label = zip(*seen, strict=True) if seen else ((), (), ())
         yield pa.RecordBatch.from_arrays(
             [pa.array(prev, pa.binary()), pa.array(tok, pa.binary()), pa.array(label, pa.int32())], ["prev", "token", "y"]
@@ -114,7 +154,8 @@ def _log_odds(sample: DataFrame) -> tuple[dict[bytes, float], float]:
         .where(F.abs("z") >= Z_MIN).orderBy(F.desc(F.abs("z")), "token").limit(TERMS).collect()
     )
     scores = {bytes(r.token): float(r.s) for r in kept}
-    p, s = np.array([r.p for r in kept]), np.array([r.s for r in kept])
+    whole = [r for r in kept if not bytes(r.token).endswith(b"*")] or kept  # a token has one score, so stems stay out of the sum
+    p, s = np.array([r.p for r in whole]), np.array([r.s for r in whole])
     lo, hi = 0.0, 20.0
     for _ in range(60 if len(kept) and s.max() > 0 else 0):  # the sum is convex, 1 at 0, and falls at first
         lam = (lo + hi) / 2
