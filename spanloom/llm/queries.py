@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import toxicity
+from . import decontam, mixing, sharding, toxicity
 from .minhash import near_duplicates
+from .storage import materialize
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,8 +32,33 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
+def op4_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document, at most 16 MiB of text each."""
+    docs = _table(spark, sf_dir, "documents")
+    sized = docs.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
+    return sharding.assign_shards(sized).select("doc_id", "n_bytes", "shard_depth", "shard_prefix", "shard_id")
+
+
+def op9_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    sizes = materialize(docs.select("doc_id", "source", mixing.n_words(F.col("text")).alias("n_words")), "sizes")
+    return mixing.mix(sizes, size="n_words").select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that every document leaks."""
+    found = decontam.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", (F.size("items") > 0).alias("leaked"), F.size("items").cast("long").alias("n_items"), F.array_join(F.transform("items", lambda i: i.cast("string")), ",").alias("items"), "best"
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op4_extendible_sharding": op4_extendible_sharding,
+    "op9_pivotal_mixing": op9_pivotal_mixing,
+    "op10_spaced_seeds": op10_spaced_seeds,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_extendible_sharding": sharding.shard_sizes_sql()}
