@@ -7,11 +7,16 @@ keys of ``2 * rows`` minhashes from only ``2 * bands * rows`` hash functions. A
 is missed when it agrees in no band of one collection: 2 * (1 - s**rows)**bands, 6e-5 at s = 0.8.
 
 Hot groups. Documents with equal sets are one class before anything else happens. A short band value
-that only one class has can't make a key that two have, so it is left out before keys are formed.
-In a table's bucket every member is first confirmed against one hub, not against all others; only
-members that then still lie in different components are compared with each other, either all such
-pairs (while these are in proportion to the rows) or hub by hub until none is left. So no bucket is
-collected in one place, and no candidate is dropped.
+that only one class has can't make a key that two have, so it is left out before keys are formed. In
+a table's bucket every class is confirmed against one hub, the class whose values are the most
+common, instead of against all others; a group of variants of one text has that text as its hub.
+Then only classes of a hub that ended in different components can have a link left to find. Seen
+from their hub h they are short: x is the set dx of shingles in which x and h differ, and x and y
+are linked exactly if |dx & dy| >= t = (|dx| + |dy| - r * (|x| + |y|)) / 2, r = (100 - percent) /
+(100 + percent). (t <= 0 is possible only if both are linked with h already.) Two such differences
+must meet in the |dx| - t + 1 shingles of dx that are rarest in the hub's group, so joining on
+those finds every pair that is left, and these are confirmed on the full sets. No bucket is
+collected in one place, no group is expanded into all its pairs, and no candidate is dropped.
 """
 
 from __future__ import annotations
@@ -28,8 +33,6 @@ from .storage import materialize
 from .text import SpanHasher, encode, mix64
 
 ROWS, BANDS = 5, 26
-#: Remaining pairs are all expanded while there are at most this many for each bucket entry.
-PAIRS_PER_ENTRY = 4
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -97,16 +100,48 @@ def _sets(k: int):
     return run
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union on the full sets."""
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs(a, b) with the sets sa and sb, and na, nb, common."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b")
-    na, nb = F.size("sa"), F.size("sb")
-    common = F.size(F.array_intersect("sa", "sb"))
-    # equal counts bound the similarity, so hopeless pairs skip the intersection
-    fits = 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
-    return both.where(fits).where(100 * common >= percent * (na + nb - common)).select("a", "b").distinct()
+    return (
+        pairs.join(left, "a").join(right, "b")
+        .withColumns({"na": F.size("sa"), "nb": F.size("sb"), "common": F.size(F.array_intersect("sa", "sb"))})
+    )
+
+
+def _linked(percent: int):
+    return F.expr(f"100 * common >= {percent} * (na + nb - common)")
+
+
+def _left_over(star: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes of one hub that may be linked though their components differ.
+
+    star: hub a, class b, the class's shingle count nb, and the difference ``delta`` of both sets.
+    """
+    r = (100 - percent) / (100 + percent)
+    placed = star.join(comps.withColumnRenamed("id", "b"), "b", "left").select(
+        "a", "b", "nb", F.coalesce("component", "b").alias("comp"), F.size("delta").alias("d"), "delta"
+    ).withColumn("f", F.col("d") - r * F.col("nb"))
+    # per hub, the least f of any component and of any other one: what a partner has at least
+    per = placed.groupBy("a", "comp").agg(F.min("f").alias("f"))
+    first = per.groupBy("a").agg(F.min(F.struct("f", "comp")).alias("lo"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1")
+    second = per.join(first, "a").where("comp <> lo.comp").groupBy("a").agg(F.min("f").alias("f2"))
+    bound = first.select("a", F.col("lo.f").alias("f1"), F.col("lo.comp").alias("comp1")).join(second, "a")
+    least = F.when(F.col("comp") == F.col("comp1"), F.col("f2")).otherwise(F.col("f1"))
+    overlap = F.greatest(F.lit(1), F.ceil((F.col("f") + least) / 2 - 1e-6))
+    mixed = placed.join(bound, "a").withColumn("reach", F.col("d") - overlap + 1).where("reach > 0")
+    parts = materialize(mixed.select("a", "b", "comp", "nb", "reach", F.explode("delta").alias("e")), "parts")
+    often = parts.groupBy("a", "e").agg(F.count("*").alias("n")).where("n > 1")
+    # shingles that one class alone has come first and find no partner
+    alone = parts.select("a", "b", "reach").groupBy("a", "b").agg(F.first("reach").alias("reach"), F.count("*").alias("d"))
+    shared = parts.join(often, ["a", "e"]).groupBy("a", "b", "comp", "nb").agg(F.sort_array(F.collect_list(F.struct("n", "e"))).alias("es"))
+    rare = shared.join(alone, ["a", "b"]).withColumn("take", F.greatest(F.lit(0), F.col("reach") - (F.col("d") - F.size("es"))).cast("int"))
+    rare = rare.where("take > 0").select("a", "b", "comp", "nb", F.explode(F.slice("es", 1, F.col("take"))).alias("x")).select("a", "b", "comp", "nb", "x.e")
+    rare = materialize(rare, "rare")
+    other = rare.select("a", "e", F.col("b").alias("y"), F.col("comp").alias("cy"), F.col("nb").alias("ny"))
+    near = F.expr(f"b < y and comp <> cy and 100 * least(nb, ny) >= {percent} * greatest(nb, ny)")
+    return rare.join(other, ["a", "e"]).where(near).select(F.col("b").alias("a"), F.col("y").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -133,19 +168,25 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     # band values that at least two classes have
     values = classes.select("id", F.posexplode("bands").alias("band", "v")).withColumn("band", F.col("band").cast("short"))
-    shared = values.groupBy("v").agg(F.count("*").alias("n")).where("n > 1").select("v")
-    kept = values.join(shared, "v", "left_semi").groupBy("id").agg(
+    shared = values.groupBy("v").agg(F.count("*").alias("n")).where("n > 1")
+    kept = values.join(shared, "v").groupBy("id").agg(
+        F.sum("n").alias("common"),
         F.collect_list(F.when(F.col("band") < BANDS, F.col("v"))).alias("first"),
         F.collect_list(F.when(F.col("band") >= BANDS, F.col("v"))).alias("second"),
     )
+    # a class goes by a number that sorts by how common its values are (equal numbers only add candidates)
+    code = F.shiftleft(F.least("common", F.lit(2**31 - 1)), 32).bitwiseOR(F.xxhash64("id").bitwiseAND(F.lit(2**32 - 1)))
+    kept = materialize(kept.where((F.size("first") > 0) & (F.size("second") > 0)).withColumn("code", code), "kept")
     # the tables: one key for every pair of a band of either collection
-    entries = kept.select("id", F.explode("first").alias("u"), "second").select(
-        "id", F.explode(F.transform("second", lambda v: F.xxhash64("u", v))).alias("key")
+    entries = kept.select("code", F.explode("first").alias("u"), "second").select(
+        "code", F.explode(F.transform("second", lambda v: F.xxhash64("u", v))).alias("key")
     )
-    entries = materialize(entries, "entries")
-    buckets = entries.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last")
+    hubs = entries.groupBy("key").agg(F.max("code").alias("hub"), F.min("code").alias("last")).where("last < hub").select("key", "hub")
+    pairs = entries.join(hubs, "key").where("code < hub").select("hub", "code").distinct()
+    names = kept.select("code", "id")
     pairs = materialize(
-        entries.join(buckets.select("key", "hub"), "key").where("id > hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(),
+        pairs.join(names.select(F.col("code").alias("hub"), F.col("id").alias("a")), "hub")
+        .join(names.select("code", F.col("id").alias("b")), "code").where("a <> b").select("a", "b"),
         "pairs",
     )
 
@@ -154,40 +195,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     texts = rows.join(wanted, rows.doc_id == wanted.id, "left_semi").select(F.col("doc_id").alias("id"), "text")
     sets = materialize(texts.mapInArrow(_sets(k), "id long, shingles array<long>"), "sets")
 
-    edges = materialize(_confirmed(pairs, sets, percent), "edges")
-    tested = pairs
-    in_buckets = entries.join(buckets.select("key"), "key", "left_semi")
-    for turn in range(1, 1_000_000):
-        comps = connected_components(edges)
-        placed = in_buckets.join(comps, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-        mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-        left = materialize(placed.join(mixed, "key", "left_semi"), f"mixed{turn}")
-        per = left.groupBy("key", "component").agg(F.count("*").alias("c"), F.min("id").alias("least"))
-        size = (
-            per.groupBy("key")
-            .agg(F.sum("c").cast("double").alias("n"), F.sum(F.col("c").cast("double") * F.col("c")).alias("sq"))
-            .agg(F.sum("n").alias("n"), F.sum((F.col("n") * F.col("n") - F.col("sq")) / 2).alias("pairs"))
-            .first()
-        )
-        if not size.n:
-            break
-        other = left.select("key", F.col("id").alias("y"), F.col("component").alias("cy"))
-        all_at_once = size.pairs <= PAIRS_PER_ENTRY * size.n
-        if all_at_once:
-            more = left.join(other, "key").where("id < y and component <> cy").select(F.col("id").alias("a"), F.col("y").alias("b"))
-        else:  # one hub of the smallest component of each bucket against the rest; the hub is then done there
-            hubs = per.groupBy("key").agg(F.min_by("least", F.struct("c", "component")).alias("hub"), F.min_by("component", F.struct("c", "component")).alias("ch"))
-            more = left.join(hubs, "key").where("component <> ch").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
-            in_buckets = materialize(
-                left.join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti").select("id", "key"), f"rest{turn}"
-            )
-        fresh = materialize(more.distinct().join(tested, ["a", "b"], "left_anti"), f"pairs{turn}")
-        need = fresh.select(F.col("a").alias("id")).union(fresh.select(F.col("b").alias("id"))).distinct()
-        found = _confirmed(fresh, sets.join(need, "id", "left_semi"), percent)
-        edges, tested = materialize(edges.union(found), f"edges{turn}"), tested.union(fresh)
-        if all_at_once:
-            comps = connected_components(edges)
-            break
+    star = _with_sets(pairs, sets).withColumn("delta", F.concat(F.array_except("sa", "sb"), F.array_except("sb", "sa")))
+    crowded = pairs.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a", F.lit(True).alias("crowded"))
+    star = star.join(crowded, "a", "left").select("a", "b", "nb", _linked(percent).alias("linked"), F.when(F.col("crowded"), F.col("delta")).alias("delta"))
+    star = materialize(star, "star")
+    edges = star.where("linked").select("a", "b")
+    comps = connected_components(edges)
+    more = materialize(_left_over(star.where("delta is not null"), comps, percent), "left_over")
+    if more.take(1):
+        found = _with_sets(more, sets).where(_linked(percent)).select("a", "b")
+        comps = connected_components(edges.union(found))
 
     member = classes.select("set_key", "id").join(comps, "id", "left").select("set_key", F.coalesce("component", "id").alias("root"))
     return (
