@@ -86,7 +86,7 @@ def pivot(rows: list[tuple[int, int, float]]) -> tuple[dict[int, int], tuple[int
 
 def _round(last: bool):
     def run(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values("row", kind="stable")
+        df = df.sort_values(["size", "row"], ascending=False, kind="stable")
         done, held = pivot(list(zip(df["row"], df["size"], df["p"], strict=True)))
         if held is not None and last:
             done[held[0]] = int(_draw(held[0]) < held[2])
