@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, sharding, toxicity
+from . import decontam, gif, html, mixing, sharding, toxicity
 from .minhash import near_duplicates
 from .storage import materialize
 
@@ -39,6 +39,16 @@ def op4_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(sized).select("doc_id", "n_bytes", "shard_depth", "shard_prefix", "shard_id")
 
 
+def op5_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document stored as an animated GIF, read back, with digests and colour histogram."""
+    return gif.digests(gif.text_media(_table(spark, sf_dir, "documents")))
+
+
+def op6_host_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by the container path that its host's pages agree on."""
+    return html.extract_pages(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars", "container")
+
+
 def op9_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -58,6 +68,8 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op4_extendible_sharding": op4_extendible_sharding,
+    "op5_gif_media": op5_gif_media,
+    "op6_host_consensus": op6_host_consensus,
     "op9_pivotal_mixing": op9_pivotal_mixing,
     "op10_spaced_seeds": op10_spaced_seeds,
 }
