@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, gif, html, mixing, sharding, toxicity
+from . import decontam, gif, html, langid, mixing, sharding, toxicity
 from .minhash import near_duplicates
 from .storage import materialize
 
@@ -49,6 +49,15 @@ def op6_host_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_pages(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars", "container")
 
 
+def op7_subword_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; fitted on the rows that aren't held out."""
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
+    return langid.predict(docs, model).select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted"
+    )
+
+
 def op9_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -70,6 +79,7 @@ QUERIES = {
     "op4_extendible_sharding": op4_extendible_sharding,
     "op5_gif_media": op5_gif_media,
     "op6_host_consensus": op6_host_consensus,
+    "op7_subword_langid": op7_subword_langid,
     "op9_pivotal_mixing": op9_pivotal_mixing,
     "op10_spaced_seeds": op10_spaced_seeds,
 }
