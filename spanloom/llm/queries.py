@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, gif, html, langid, mixing, sharding, toxicity
+from . import decontam, gif, html, langid, mixing, pii, sharding, toxicity
 from .minhash import near_duplicates
 from .storage import materialize
 
@@ -58,6 +58,11 @@ def op7_subword_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_chain_field_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: the patterns' spans and those that the field adds."""
+    return pii.span_digests(pii.find_personal_data(_table(spark, sf_dir, "documents")))
+
+
 def op9_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -80,6 +85,7 @@ QUERIES = {
     "op5_gif_media": op5_gif_media,
     "op6_host_consensus": op6_host_consensus,
     "op7_subword_langid": op7_subword_langid,
+    "op8_chain_field_pii": op8_chain_field_pii,
     "op9_pivotal_mixing": op9_pivotal_mixing,
     "op10_spaced_seeds": op10_spaced_seeds,
 }
