@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, gif, html, langid, mixing, pii, sharding, toxicity
+from . import decontam, gif, html, langid, mixing, pii, repeats, sharding, toxicity
 from .minhash import near_duplicates
 from .storage import materialize
 
@@ -32,6 +32,11 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
+def op3_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document left when repeated strings of 400 bytes are removed."""
+    return repeats.repeated_spans(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op4_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of every document, at most 16 MiB of text each."""
     docs = _table(spark, sf_dir, "documents")
@@ -81,6 +86,7 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_prefix_free_parsing": op3_prefix_free_parsing,
     "op4_extendible_sharding": op4_extendible_sharding,
     "op5_gif_media": op5_gif_media,
     "op6_host_consensus": op6_host_consensus,
