@@ -105,7 +105,7 @@ def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     return (
-        pairs.join(left, "a").join(right, "b")
+        pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
         .withColumns({"na": F.size("sa"), "nb": F.size("sb"), "common": F.size(F.array_intersect("sa", "sb"))})
     )
 
@@ -137,11 +137,17 @@ def _left_over(star: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     alone = parts.select("a", "b", "reach").groupBy("a", "b").agg(F.first("reach").alias("reach"), F.count("*").alias("d"))
     shared = parts.join(often, ["a", "e"]).groupBy("a", "b", "comp", "nb").agg(F.sort_array(F.collect_list(F.struct("n", "e"))).alias("es"))
     rare = shared.join(alone, ["a", "b"]).withColumn("take", F.greatest(F.lit(0), F.col("reach") - (F.col("d") - F.size("es"))).cast("int"))
-    rare = rare.where("take > 0").select("a", "b", "comp", "nb", F.explode(F.slice("es", 1, F.col("take"))).alias("x")).select("a", "b", "comp", "nb", "x.e")
+    rare = rare.where("take > 0").select("a", "b", "comp", "nb", "d", F.posexplode(F.slice("es", 1, F.col("take"))).alias("i", "x"), F.size("es").alias("shared"))
+    # pos: the shingle's place among all of the class's difference
+    rare = rare.select("a", "b", "comp", "nb", "d", (F.col("d") - F.col("shared") + F.col("i") + 1).alias("pos"), "x.e", (F.col("d") - r * F.col("nb")).alias("f"))
     rare = materialize(rare, "rare")
-    other = rare.select("a", "e", F.col("b").alias("y"), F.col("comp").alias("cy"), F.col("nb").alias("ny"))
-    near = F.expr(f"b < y and comp <> cy and 100 * least(nb, ny) >= {percent} * greatest(nb, ny)")
-    return rare.join(other, ["a", "e"]).where(near).select(F.col("b").alias("a"), F.col("y").alias("b")).distinct()
+    other = rare.select("a", "e", *[F.col(c).alias(f"{c}_y") for c in ("b", "comp", "nb", "d", "pos", "f")])
+    least_t = "greatest(1, ceil((f + f_y) / 2 - 1e-6))"
+    near = F.expr(
+        f"b < b_y and comp <> comp_y and 100 * least(nb, nb_y) >= {percent} * greatest(nb, nb_y) "
+        f"and pos + {least_t} <= d + 1 and pos_y + {least_t} <= d_y + 1"
+    )
+    return rare.join(other, ["a", "e"]).where(near).select(F.col("b").alias("a"), F.col("b_y").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -169,7 +175,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     # band values that at least two classes have
     values = classes.select("id", F.posexplode("bands").alias("band", "v")).withColumn("band", F.col("band").cast("short"))
     shared = values.groupBy("v").agg(F.count("*").alias("n")).where("n > 1")
-    kept = values.join(shared, "v").groupBy("id").agg(
+    kept = values.join(shared.hint("merge"), "v").groupBy("id").agg(
         F.sum("n").alias("common"),
         F.collect_list(F.when(F.col("band") < BANDS, F.col("v"))).alias("first"),
         F.collect_list(F.when(F.col("band") >= BANDS, F.col("v"))).alias("second"),
@@ -182,7 +188,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         "code", F.explode(F.transform("second", lambda v: F.xxhash64("u", v))).alias("key")
     )
     hubs = entries.groupBy("key").agg(F.max("code").alias("hub"), F.min("code").alias("last")).where("last < hub").select("key", "hub")
-    pairs = entries.join(hubs, "key").where("code < hub").select("hub", "code").distinct()
+    pairs = entries.join(hubs.hint("merge"), "key").where("code < hub").select("hub", "code").distinct()
     names = kept.select("code", "id")
     pairs = materialize(
         pairs.join(names.select(F.col("code").alias("hub"), F.col("id").alias("a")), "hub")
@@ -190,9 +196,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         "pairs",
     )
 
+    # (both sides of these joins grow with the input, so they are shuffled at any size)
     # full sets of the classes that stand in a bucket with another one
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = rows.join(wanted, rows.doc_id == wanted.id, "left_semi").select(F.col("doc_id").alias("id"), "text")
+    texts = rows.join(wanted.hint("merge"), rows.doc_id == wanted.id, "left_semi").select(F.col("doc_id").alias("id"), "text")
     sets = materialize(texts.mapInArrow(_sets(k), "id long, shingles array<long>"), "sets")
 
     star = _with_sets(pairs, sets).withColumn("delta", F.concat(F.array_except("sa", "sb"), F.array_except("sb", "sa")))
