@@ -38,10 +38,12 @@ _HASHER = SpanHasher(seed=23)
 _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
-def parse(data: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def parse(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Ends of the triggers of a text, and hashes of the phrases between each two of them."""
+    data = np.frombuffer(raw, np.uint8)
     if len(data) < TRIGGER:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    sums = _HASHER.prefix(data)
     roll = mix64((sums[TRIGGER:] - sums[:-TRIGGER]) * _HASHER.up[: len(data) - TRIGGER + 1])
     cuts = np.flatnonzero(roll >> np.uint64(32) < np.uint64(2**32 // MEAN_PHRASE)) + TRIGGER
     if len(cuts) < 2:
@@ -58,8 +60,7 @@ def _parsed(length: int):
                 n.append(len(raw))
                 sha.append(hashlib.sha256(raw).hexdigest())
                 if len(raw) >= length:
-                    data = np.frombuffer(raw, np.uint8)
-                    c, p = parse(data, _HASHER.prefix(data))
+                    c, p = parse(raw)
                     cuts.append(c.astype(np.int64).tobytes())
                     phrases.append(p.tobytes())
                 else:
