@@ -11,30 +11,39 @@ from .storage import materialize
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(id, component) for every id in edges(a, b); component = smallest id reachable.
 
-    Each round takes the smallest label among the neighbours and then follows labels once more
-    (pointer jumping), so the rounds grow with the logarithm of a group's width, not with its size.
-    Labels stay in tables; the driver sees one count a round. Null ids are ignored; an empty table
-    gives an empty table.
+    The graph is contracted first: every b goes to its smallest a, and what is left are the edges
+    between such ends. So a star of any size is one end, and the rounds run over few rows if the a's
+    are few. Each round takes the smallest label among the neighbours and then follows labels once
+    more (pointer jumping), so rounds grow with the logarithm of a group's width. Labels stay in
+    tables; the driver sees whether any changed. Null ids are ignored; an empty table gives an empty
+    table.
     """
-    edges = edges.where("a is not null and b is not null and a <> b").select("a", "b")
-    both = materialize(edges.union(edges.select("b", "a")).distinct(), "edges")
+    links = materialize(edges.where("a is not null and b is not null and a <> b").select("a", "b").distinct(), "links")
+    heads = links.groupBy("b").agg(F.min("a").alias("head"))
+    between = links.join(heads, "b").select(F.col("a").alias("u"), F.col("head").alias("v"))
+    own = heads.join(links.select(F.col("a").alias("b")).distinct(), "b", "left_semi").select(F.col("b").alias("u"), F.col("head").alias("v"))
+    labels = _labels(between.union(own).where("u <> v").distinct(), max_rounds)
+
+    members = heads.select(F.col("b").alias("id"), "head")
+    tops = links.select(F.col("a").alias("id")).distinct().join(members.select("id"), "id", "left_anti").select("id", F.col("id").alias("head"))
+    placed = members.union(tops).join(labels.select(F.col("node").alias("head"), "label"), "head", "left").select("id", F.coalesce("label", "head").alias("part"))
+    least = placed.groupBy("part").agg(F.min("id").alias("component"))
+    return materialize(placed.join(least, "part").select("id", "component"), "components")
+
+
+def _labels(edges: DataFrame, max_rounds: int) -> DataFrame:
+    """(node, label): the smallest node reachable, for the nodes of edges(u, v)."""
+    both = materialize(edges.union(edges.select("v", "u")).distinct(), "edges")
     labels = materialize(
-        both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("component")), "labels0"
+        both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m")).select("node", F.least("node", "m").alias("label")), "labels0"
     )
     for n in range(1, max_rounds + 1):
-        old = labels.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-        near = both.join(old, "b").groupBy(F.col("a").alias("id")).agg(F.min("cb").alias("m"))
-        least = labels.join(near, "id", "left").select(
-            "id", F.col("component").alias("was"), F.least("component", "m").alias("component")
-        )
-        jump = labels.select(F.col("id").alias("component"), F.col("component").alias("next"))
-        labels = materialize(
-            least.join(jump, "component", "left").select(
-                "id", F.least("component", "next").alias("component"), F.col("was")
-            ),
-            f"labels{n}",
-        )
-        if not labels.where("component <> was").take(1):
-            return labels.select("id", "component")
-        labels = labels.select("id", "component")
+        of = labels.select(F.col("node").alias("v"), F.col("label").alias("of_v"))
+        near = both.join(of, "v").groupBy(F.col("u").alias("node")).agg(F.min("of_v").alias("m"))
+        least = labels.join(near, "node", "left").select("node", F.col("label").alias("was"), F.least("label", "m").alias("label"))
+        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
+        labels = materialize(least.join(jump, "label", "left").select("node", F.least("label", "next").alias("label"), "was"), f"labels{n}")
+        if not labels.where("label <> was").take(1):
+            return labels.select("node", "label")
+        labels = labels.select("node", "label")
     raise RuntimeError("connected_components did not settle")
