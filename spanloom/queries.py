@@ -47,7 +47,7 @@ def _ms(c) -> F.Column:
 
 
 _KEY = "trace_id_low, span_id, start_time_us"
-_NESTED = [F.col("traceIdLow").alias("trace_id_low"), F.col("spanId").alias("span_id"), F.col("startTime").alias("start_time_us")]
+_NESTED = ("traceIdLow AS trace_id_low", "spanId AS span_id", "startTime AS start_time_us")
 _LOWER_PEER = "lower(peer_service) AS peer_service"
 
 
@@ -68,41 +68,41 @@ def flatten_spans_quality(spark, sf_dir):
 
 @query(o.select(o.FLAT, f"SELECT {_KEY}, parent_span_id AS exact, parent_span_id AS any_case FROM f"))
 def resolve_parent(spark, sf_dir):
-    return nested_spans(spark, sf_dir).select(*_NESTED, fs.resolve_parent(False).alias("exact"), fs.resolve_parent(True).alias("any_case"))
+    return nested_spans(spark, sf_dir).select(*map(F.expr, _NESTED), fs.resolve_parent(False).alias("exact"), fs.resolve_parent(True).alias("any_case"))
 
 
 @query(o.select(o.FLAT, f"SELECT {_KEY}, is_server, is_client FROM f"))
 def span_kind_flags(spark, sf_dir):
-    return nested_spans(spark, sf_dir).select(*_NESTED, fs.has_kind("server", True).alias("is_server"), fs.has_kind("client", False).alias("is_client"))
+    return nested_spans(spark, sf_dir).select(*map(F.expr, _NESTED), fs.has_kind("server", True).alias("is_server"), fs.has_kind("client", False).alias("is_client"))
 
 
 @query(o.select(o.FLAT, f"SELECT {_KEY}, span_kind FROM f"))
 def span_kind_enum(spark, sf_dir):
-    return nested_spans(spark, sf_dir).select(*_NESTED, fs.span_kind().alias("span_kind"))
+    return nested_spans(spark, sf_dir).select(*map(F.expr, _NESTED), fs.span_kind().alias("span_kind"))
 
 
 @query(o.select(o.FLAT, f"SELECT {_KEY}, {_LOWER_PEER} FROM f"))
 def peer_service(spark, sf_dir):
-    return nested_spans(spark, sf_dir).select(*_NESTED, fs.peer_service().alias("peer_service"))
+    return nested_spans(spark, sf_dir).select(*map(F.expr, _NESTED), fs.peer_service().alias("peer_service"))
 
 
 @query(o.select(o.FLAT, f"SELECT {_KEY}, client_version FROM f"))
 def client_version(spark, sf_dir):
-    return nested_spans(spark, sf_dir).select(*_NESTED, fs.client_version().alias("client_version"))
+    return nested_spans(spark, sf_dir).select(*map(F.expr, _NESTED), fs.client_version().alias("client_version"))
 
 
 @query(o.select(o.FLAT, f"SELECT {_KEY}, ms, trace_id_high || ':' || trace_id_low AS trace_key, lower(to_hex(trace_id_low)) AS trace_id FROM f"))
 def trace_key_and_event_time(spark, sf_dir):
     n = nested_spans(spark, sf_dir)
     high = F.coalesce("traceIdHigh", F.lit(0).cast("long"))
-    return n.select(*_NESTED, _ms(fs.event_time("startTime")).alias("ms"), F.concat_ws(":", high, "traceIdLow").alias("trace_key"), fs.trace_id_hex("traceIdLow").alias("trace_id"))
+    return n.select(*map(F.expr, _NESTED), _ms(fs.event_time("startTime")).alias("ms"), F.concat_ws(":", high, "traceIdLow").alias("trace_key"), fs.trace_id_hex("traceIdLow").alias("trace_id"))
 
 
 @query(o.select(o.FLAT, f"SELECT {_KEY}, service FROM f"))
 def decode_span_envelope(spark, sf_dir):
     """Messages of the envelope schema, here as JSON (the Avro reader needs a package)."""
     messages = nested_spans(spark, sf_dir).select(F.to_json(F.struct(F.lit(1).alias("schema_id"), F.struct("*").alias("msg"))).alias("value"))
-    return decode_json_envelope(messages).select(*_NESTED, F.col("process.serviceName").alias("service"))
+    return decode_json_envelope(messages).select(*map(F.expr, _NESTED), F.col("process.serviceName").alias("service"))
 
 
 def _shared(spark: SparkSession, name: str) -> str:
@@ -115,7 +115,7 @@ def read_spans(spark, sf_dir):
     """Span records written to files and read with the fixed schema."""
     path = _shared(spark, "spans")
     nested_spans(spark, sf_dir).write.parquet(path)
-    return read_spans_batch(spark, path).select(*_NESTED, F.col("process.serviceName").alias("service"))
+    return read_spans_batch(spark, path).select(*map(F.expr, _NESTED), F.col("process.serviceName").alias("service"))
 
 
 @query(o.select(o.FLAT, f"SELECT {_KEY}, is_server, is_client FROM f WHERE is_client OR is_server"))
