@@ -52,11 +52,9 @@ def lzw_encode(data: bytes, min_size: int = 8) -> bytes:
     runs: list[tuple[int, int]] = []  # first and end position of the codes of one table
     table: dict[int, int] = {}
     find, put, free, start = table.get, out.append, clear + 2, 1
-    cur = -1
-    for c in data:
-        if cur < 0:
-            cur = c
-            continue
+    rest = iter(data)
+    cur = next(rest, -1)
+    for c in rest:
         key = cur << 8 | c
         nxt = find(key)
         if nxt is not None:
@@ -85,7 +83,7 @@ def lzw_encode(data: bytes, min_size: int = 8) -> bytes:
 
 
 def _codes(stream: bytes, min_size: int):
-    """Tables of codes: lists of the codes between two clear codes, read in bulk.
+    """The codes between two clear codes, read in bulk, and whether they go on with the last table.
 
     Code widths depend only on how many codes were read since the last clear, so all codes up to a
     full table are cut out of the bits at once; the first clear or end code among them ends the table.
@@ -108,7 +106,7 @@ def _codes(stream: bytes, min_size: int):
         codes = cut(ends - w, w)
         stop = np.flatnonzero((codes == clear) | (codes == clear + 1))
         end = int(stop[0]) if len(stop) else n
-        yield codes[:end].tolist(), False
+        yield codes[:end], False
         if len(stop):
             if codes[end] == clear + 1:
                 return
@@ -121,35 +119,52 @@ def _codes(stream: bytes, min_size: int):
         more = cut(pos + 12 * np.arange(m), 12)  # a full table that goes on: 12-bit codes until a clear
         stop = np.flatnonzero((more == clear) | (more == clear + 1))
         end = int(stop[0]) if len(stop) else m
-        yield more[:end].tolist(), True
+        yield more[:end], True
         if not len(stop) or more[end] == clear + 1:
             return
         pos += 12 * (end + 1)
 
 
+def _expand(codes: np.ndarray, clear: int) -> tuple[np.ndarray, bool]:
+    """The indices that one table's codes stand for, and whether all codes were valid.
+
+    The n-th entry of a table is what the n-th code wrote and the byte after it, so a code above the
+    clear code repeats an earlier stretch of the output. Lengths, then the output itself, follow by
+    going from stretch to stretch back to literals, twice as far each round, for all codes at once.
+    """
+    i = np.arange(len(codes))
+    back = codes - (clear + 2)
+    literal = codes < clear
+    bad = np.flatnonzero(~literal & ((back < 0) | (back >= i) | (back >= MAX_CODES - clear - 2)))
+    if len(bad):
+        codes, back, literal, i = (x[: bad[0]] for x in (codes, back, literal, i))
+    jump, steps = np.where(literal, i, back), (~literal).astype(np.int64)
+    while not literal[jump].all():
+        jump, steps = jump[jump], steps + steps[jump]
+    start = np.cumsum(steps + 1) - steps - 1
+    owner = np.repeat(i, steps + 1)
+    source = np.arange(len(owner))
+    far = ~literal[owner]
+    source[far] += (start[np.where(literal, i, back)] - start)[owner[far]]
+    while True:
+        further = source[source]
+        if (further == source).all():
+            return codes[owner[source]].astype(np.uint8), not len(bad)
+        source = further
+
+
 def lzw_decode(stream: bytes, min_size: int, limit: int) -> bytes:
     """Palette indices of a code stream, at most ``limit`` of them; a code that has no entry yet ends it."""
-    clear = 1 << min_size
-    first = [bytes([i]) for i in range(clear)] + [b"", b""]
-    out: list[bytes] = []
-    table, prev = list(first), b""
-    for codes, goes_on in _codes(stream, min_size):
-        if not goes_on:
-            table, prev = list(first), b""
-        add, emit, size = table.append, out.append, len(table)
-        for code in codes:
-            if code < size:
-                cur = table[code]
-            elif code == size and prev and size < MAX_CODES:
-                cur = prev + prev[:1]
-            else:
-                return b"".join(out)[:limit]
-            if prev and size < MAX_CODES:
-                add(prev + cur[:1])
-                size += 1
-            emit(cur)
-            prev = cur
-    return b"".join(out)[:limit]
+    out: list[np.ndarray] = []
+    table: list[np.ndarray] = []
+    ok = True
+    for codes, goes_on in [*_codes(stream, min_size), (None, False)]:
+        if not goes_on and table and ok:
+            indices, ok = _expand(np.concatenate(table), 1 << min_size)
+            out.append(indices)
+        if codes is not None:
+            table = [*table, codes] if goes_on else [codes]
+    return b"".join(x.tobytes() for x in out)[:limit]
 
 
 def _blocks(data: bytes) -> bytes:
@@ -189,6 +204,14 @@ def colour_histogram(canvas: np.ndarray, drawn: np.ndarray) -> dict[int, int]:
     return {int(i): int(counts[i]) for i in np.flatnonzero(counts)}
 
 
+def palette_histogram(pixels: np.ndarray, colours: np.ndarray) -> dict[int, int]:
+    """colour_histogram of pixels that are palette indices."""
+    n = np.bincount(np.minimum(pixels.ravel(), len(colours) - 1), minlength=len(colours))
+    c = colours >> 6
+    counts = np.bincount(c[:, 0].astype(np.int64) * 16 + c[:, 1] * 4 + c[:, 2], n, 64)
+    return {int(i): int(counts[i]) for i in np.flatnonzero(counts)}
+
+
 def read_gif(data: bytes) -> list[Frame]:
     """The frames of a GIF in order, each with start time and the histogram of the composed canvas.
 
@@ -239,11 +262,18 @@ def read_gif(data: bytes) -> list[Frame]:
             before = (canvas.copy(), drawn.copy()) if disposal == 3 else None
             box = (slice(top, min(top + h, height)), slice(left, min(left + w, width)))
             seen = pixels[: max(0, height - top), : max(0, width - left)]
-            show = np.ones(seen.shape, bool) if transparent is None else seen != transparent
-            if colours is not None and len(colours):
-                canvas[box][show] = colours[np.minimum(seen[show], len(colours) - 1)]
-            drawn[box] |= show
-            f.histogram = colour_histogram(canvas, drawn)
+            known = colours if colours is not None and len(colours) else np.zeros((1, 3), np.uint8)
+            if transparent is None:
+                canvas[box] = known[np.minimum(seen, len(known) - 1)]
+                drawn[box] = True
+            else:
+                show = seen != transparent
+                canvas[box][show] = known[np.minimum(seen[show], len(known) - 1)]
+                drawn[box] |= show
+            if transparent is None and seen.shape == drawn.shape and (left, top) == (0, 0):
+                f.histogram = palette_histogram(seen, known)  # the frame is all there is to see
+            else:
+                f.histogram = colour_histogram(canvas, drawn)
             frames.append(f)
             clock += delay
             if disposal == 2:
