@@ -12,16 +12,17 @@ order is the one of 64-bit hashes of the windows rather than the lexicographic o
 of dictionary and parse would give: only which windows are equal is asked for, and hash order can be
 cut into ranges of equal size whatever the text.
 
-Both orders are made alike. Texts are dealt into chunks of about CHUNK_BYTES by their digest. A chunk
-sends each of its distinct values once, cut by value range; a range sees at most one copy per chunk
-and answers with one bit per value. So a phrase or passage that a third of all texts share costs one
-value per chunk, and no task holds more than a chunk or a range.
+Both orders are made alike. Distinct texts are packed into units of about UNIT_BYTES, which are
+written. A unit sends each of its distinct values once, cut by value range; a range sees at most one
+copy per unit and answers with one bit per value. So a phrase or passage that a third of all texts
+share costs one value per unit, and no task holds more than a unit or a range.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,7 @@ from .storage import materialize
 from .text import SpanHasher, encode, mix64
 
 LENGTH, TRIGGER, MEAN_PHRASE = 400, 16, 64
-CHUNK_BYTES, LEAST_CHUNKS = 4 << 20, 32
+UNIT_BYTES, LEAST_RANGES = 4 << 20, 32
 _HASHER = SpanHasher(seed=23)
 _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
@@ -61,7 +62,7 @@ def _parsed(length: int):
                 sha.append(hashlib.sha256(raw).hexdigest())
                 if len(raw) >= length:
                     c, p = parse(raw)
-                    cuts.append(c.astype(np.int64).tobytes())
+                    cuts.append(c.astype(np.int32).tobytes())
                     phrases.append(p.tobytes())
                 else:
                     cuts.append(None)
@@ -74,22 +75,69 @@ def _parsed(length: int):
     return run
 
 
-_SENT = "range long, chunk long, vals binary, multi binary"
-_ANSWER = "range long, chunk long, bits binary"
+_SENT = "range long, unit binary, vals binary, multi binary"
+_ANSWER = "range long, unit binary, bits binary"
 
 
-def _send(values: np.ndarray, chunk: int, ranges: int) -> pd.DataFrame:
-    """The distinct values of a chunk, cut by value range, and whether the chunk has them twice."""
-    distinct, counts = np.unique(values, return_counts=True)
-    # the top 32 bits scaled to the number of ranges: monotone in the value, so ranges are slices
+def _pack(limit: int):
+    """Rows (key, n_bytes, ...) as units: one row of lists for about ``limit`` bytes, named by its first key."""
+
+    def unit(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(parts).combine_chunks()
+        ends = pa.array([0, table.num_rows], pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, c.chunk(0)) for c in table.columns]
+        return pa.RecordBatch.from_arrays([table.column("key").chunk(0).slice(0, 1), *lists], ["unit", *table.column_names])
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            start = 0
+            for i, n in enumerate(batch.column(batch.schema.get_field_index("n_bytes")).to_pylist()):
+                size += n
+                if size >= limit:
+                    held.append(batch.slice(start, i + 1 - start))
+                    yield unit(held)
+                    held, size, start = [], 0, i + 1
+            if start < batch.num_rows:
+                held.append(batch.slice(start))
+        if held:
+            yield unit(held)
+
+    return run
+
+
+def _packed(rows: DataFrame, limit: int, name: str) -> DataFrame:
+    schema = ", ".join(f"{f.name} array<{f.dataType.simpleString()}>" for f in rows.schema)
+    return materialize(rows.mapInArrow(_pack(limit), f"unit binary, {schema}"), name)
+
+
+def _sender(values, columns: tuple[str, ...], ranges: int):
+    """Sends the distinct values of each unit, cut by value range, with whether the unit has them twice."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                unit = batch.column(batch.schema.get_field_index("unit"))[i].as_py()
+                lists = [batch.column(batch.schema.get_field_index(c))[i].as_py() for c in columns]
+                distinct, counts = np.unique(values(*lists), return_counts=True)
+                edges = _edges(distinct, ranges)
+                rows = [(r, distinct[a:b].tobytes(), np.packbits(counts[a:b] > 1).tobytes()) for r, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if a < b]
+                r, vals, multi = zip(*rows, strict=True) if rows else ((), (), ())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(r, pa.int64()), pa.array([unit] * len(r), pa.binary()), pa.array(vals, pa.binary()), pa.array(multi, pa.binary())], ["range", "unit", "vals", "multi"]
+                )
+
+    return run
+
+
+def _edges(distinct: np.ndarray, ranges: int) -> np.ndarray:
+    """Where each value range starts in sorted values: the top 32 bits scaled to the number of ranges."""
     at = ((distinct >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
-    edges = np.searchsorted(at, np.arange(ranges + 1))
-    rows = [(r, chunk, distinct[a:b].tobytes(), np.packbits(counts[a:b] > 1).tobytes()) for r, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if a < b]
-    return pd.DataFrame(rows, columns=["range", "chunk", "vals", "multi"])
+    return np.searchsorted(at, np.arange(ranges + 1))
 
 
 def _answer(df: pd.DataFrame) -> pd.DataFrame:
-    """For every chunk's values in a range: one bit each, set where the value occurs twice in all."""
+    """For every unit's values in a range: one bit each, set where the value occurs twice in all."""
     vals = [np.frombuffer(v, np.uint64) for v in df["vals"]]
     multi = [np.unpackbits(np.frombuffer(m, np.uint8), count=len(v)) for m, v in zip(df["multi"], vals, strict=True)]
     every = np.concatenate(vals)
@@ -105,14 +153,13 @@ def _answer(df: pd.DataFrame) -> pd.DataFrame:
     out[order] = np.repeat(held, np.diff(np.concatenate((first, [len(order)]))))
     ends = np.cumsum([len(v) for v in vals])
     bits = [np.packbits(out[e - len(v) : e]).tobytes() for e, v in zip(ends, vals, strict=True)]
-    return pd.DataFrame({"range": df["range"], "chunk": df["chunk"], "bits": bits})
+    return pd.DataFrame({"range": df["range"], "unit": df["unit"], "bits": bits})
 
 
 def _flags(values: np.ndarray, answers: pd.DataFrame, ranges: int) -> np.ndarray:
-    """One flag for each value of a chunk, from the answers of all ranges."""
+    """One flag for each value of a unit, from the answers of all ranges."""
     distinct, inverse = np.unique(values, return_inverse=True)
-    at = ((distinct >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
-    edges = np.searchsorted(at, np.arange(ranges + 1))
+    edges = _edges(distinct, ranges)
     flag = np.zeros(len(distinct), bool)
     for r, bits in zip(answers["range"], answers["bits"], strict=True):
         a, b = edges[r], edges[r + 1]
@@ -120,15 +167,8 @@ def _flags(values: np.ndarray, answers: pd.DataFrame, ranges: int) -> np.ndarray
     return flag[inverse]
 
 
-def _all_phrases(df: pd.DataFrame) -> np.ndarray:
-    return np.concatenate([np.frombuffer(p, np.uint64) for p in df["phrases"]] or [np.zeros(0, np.uint64)])
-
-
-def _send_phrases(ranges: int):
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        return _send(_all_phrases(df), int(df["chunk"].iloc[0]), ranges)
-
-    return run
+def _all_phrases(phrases: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(phrases), np.uint64)
 
 
 def open_windows(n: int, cuts: np.ndarray, repeated: np.ndarray, length: int) -> np.ndarray:
@@ -148,60 +188,52 @@ def open_windows(n: int, cuts: np.ndarray, repeated: np.ndarray, length: int) ->
 
 
 def _candidates(ranges: int, length: int):
-    def run(df: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    def run(units: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out = []
-        if len(df):
-            df = df.sort_values("key", kind="stable")
-            flags, at = _flags(_all_phrases(df), answers, ranges), 0
-            for key, rep, n, cuts, phrases in zip(df["key"], df["rep"], df["n_bytes"], df["cuts"], df["phrases"], strict=True):
+        for u in units.itertuples():
+            flags, at = _flags(_all_phrases(list(u.phrases)), answers, ranges), 0
+            for key, rep, n, cuts, phrases in zip(u.key, u.rep, u.n_bytes, u.cuts, u.phrases, strict=True):
                 k = len(phrases) // 8
-                spans = open_windows(int(n), np.frombuffer(cuts, np.int64), flags[at : at + k], length)
+                spans = open_windows(int(n), np.frombuffer(cuts, np.int32).astype(np.int64), flags[at : at + k], length)
                 at += k
                 if len(spans):
-                    out.append((key, rep, df["chunk"].iloc[0], spans.astype(np.int64).tobytes()))
-        return pd.DataFrame(out, columns=["key", "rep", "chunk", "spans"])
+                    out.append((key, rep, spans.astype(np.int64).tobytes()))
+        return pd.DataFrame({"key": [x[0] for x in out], "rep": pd.array([x[1] for x in out], "Int64"), "spans": [x[2] for x in out]})
 
     return run
 
 
-def _windows(df: pd.DataFrame, length: int) -> tuple[list[tuple[bytes, np.ndarray]], np.ndarray]:
-    """Per text its bytes and open window starts, and the hashes of all those windows."""
-    texts, values = [], []
-    for text, spans in zip(df["text"], df["spans"], strict=True):
-        raw = encode(text)
-        data = np.frombuffer(raw, np.uint8)
-        sums = _HASHER.prefix(data)
-        at = np.concatenate([np.arange(a, b) for a, b in np.frombuffer(spans, np.int64).reshape(-1, 2)])
-        texts.append((raw, at))
-        values.append(mix64(_HASHER.spans(sums, at, at + length)))
-    return texts, np.concatenate(values or [np.zeros(0, np.uint64)])
+def _starts(spans: bytes) -> np.ndarray:
+    return np.concatenate([np.arange(a, b) for a, b in np.frombuffer(spans, np.int64).reshape(-1, 2)])
 
 
-def _send_windows(ranges: int, length: int):
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        return _send(_windows(df, length)[1], int(df["chunk"].iloc[0]), ranges)
-
-    return run
+def window_hashes(texts, spans, length: int) -> np.ndarray:
+    """Hashes of all open windows of some texts, in order."""
+    values = []
+    for text, sp in zip(texts, spans, strict=True):
+        at = _starts(sp)
+        values.append(mix64(_HASHER.spans(_HASHER.prefix(np.frombuffer(encode(text), np.uint8)), at, at + length)))
+    return np.concatenate(values or [np.zeros(0, np.uint64)])
 
 
 def _cut(ranges: int, length: int):
-    def run(df: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    def run(units: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out = []
-        if len(df):
-            df = df.sort_values("key", kind="stable")
-            texts, values = _windows(df, length)
-            flags, at = _flags(values, answers, ranges), 0
-            for key, (raw, starts) in zip(df["key"], texts, strict=True):
+        for u in units.itertuples():
+            flags, at = _flags(window_hashes(u.text, u.spans, length), answers, ranges), 0
+            for key, text, spans in zip(u.key, u.text, u.spans, strict=True):
+                starts = _starts(spans)
                 hit = starts[flags[at : at + len(starts)]]
                 at += len(starts)
                 if not len(hit):
                     continue
+                raw = encode(text)
                 breaks = np.flatnonzero(np.diff(hit) > length)
                 a = hit[np.concatenate(([0], breaks + 1))]
                 b = hit[np.concatenate((breaks, [len(hit) - 1]))] + length
                 edges = [0, *np.stack([a, b], axis=1).ravel().tolist(), len(raw)]
                 kept = b"".join(raw[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))
-                out.append((key, len(raw) - len(kept), len(a), hashlib.sha256(kept).hexdigest(), np.stack([a, b], axis=1).ravel().tolist()))
+                out.append((key, len(raw) - len(kept), len(a), hashlib.sha256(kept).hexdigest(), edges[1:-1]))
         return pd.DataFrame(out, columns=["key", "n_removed", "n_spans", "kept_sha256", "spans"])
 
     return run
@@ -223,24 +255,27 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         source.mapInArrow(_parsed(length), "doc_id long, key binary, n_bytes long, sha string, cuts binary, phrases binary"), "parse"
     )
     size = rows.agg(F.sum("n_bytes")).first()[0] or 0
-    chunks = max(LEAST_CHUNKS, math.ceil(size / CHUNK_BYTES))
-    ranges = max(LEAST_CHUNKS, chunks // 2)
+    ranges = max(LEAST_RANGES, math.ceil(size / UNIT_BYTES / 2))
+    limit = max(1 << 16, min(UNIT_BYTES, size // LEAST_RANGES))
     long_rows = rows.where(F.col("n_bytes") >= length)
     copies = long_rows.groupBy("key").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"))
     # one row stands for all copies of a text; rows alike in id and text are the same to what follows
-    one = long_rows.select("doc_id", "key", "n_bytes", "cuts", "phrases").join(copies, "key").where(F.col("doc_id").eqNullSafe(F.col("rep"))).dropDuplicates(["key"])
-    texts = materialize(one.withColumn("chunk", F.pmod(F.xxhash64("key"), F.lit(chunks).cast("long"))).select("key", "rep", "chunk", "n_bytes", "cuts", "phrases"), "texts")
+    one = long_rows.select("doc_id", "key", "n_bytes", "cuts", "phrases").join(copies.hint("merge"), "key").where(F.col("doc_id").eqNullSafe(F.col("rep"))).dropDuplicates(["key"])
 
-    def asked(sent: DataFrame, name: str) -> DataFrame:
+    def answers(units: DataFrame, values, columns: tuple[str, ...], name: str) -> DataFrame:
+        sent = units.select("unit", *columns).mapInArrow(_sender(values, columns, ranges), _SENT)
         return materialize(sent.groupBy("range").applyInPandas(_answer, _ANSWER), name)
 
-    dictionary = asked(texts.select("chunk", "phrases").groupBy("chunk").applyInPandas(_send_phrases(ranges), _SENT), "dictionary")
-    found = texts.groupBy("chunk").cogroup(dictionary.groupBy("chunk")).applyInPandas(_candidates(ranges, length), "key binary, rep long, chunk long, spans binary")
-    found = materialize(found, "candidates")
-    whole = source.join(found.select(F.col("key").alias("k"), "rep", "chunk", "spans"), (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("rep")))
-    whole = materialize(whole.dropDuplicates(["key"]).select("key", "chunk", "spans", "text"), "whole")
-    order = asked(whole.groupBy("chunk").applyInPandas(_send_windows(ranges, length), _SENT), "order")
-    cut = whole.groupBy("chunk").cogroup(order.groupBy("chunk")).applyInPandas(
+    parsed = _packed(one.select("key", "rep", "n_bytes", "cuts", "phrases"), limit, "parsed")
+    dictionary = answers(parsed, _all_phrases, ("phrases",), "dictionary")
+    found = materialize(
+        parsed.groupBy("unit").cogroup(dictionary.groupBy("unit")).applyInPandas(_candidates(ranges, length), "key binary, rep long, spans binary"), "candidates"
+    )
+    found = found.select(F.col("key").alias("k"), "rep", "spans").hint("merge")
+    whole = source.join(found, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("rep"))).dropDuplicates(["key"])
+    whole = _packed(whole.select("key", F.octet_length("text").cast("long").alias("n_bytes"), "spans", "text"), limit, "whole")
+    order = answers(whole, partial(window_hashes, length=length), ("text", "spans"), "order")
+    cut = whole.groupBy("unit").cogroup(order.groupBy("unit")).applyInPandas(
         _cut(ranges, length), "key binary, n_removed long, n_spans long, kept_sha256 string, spans array<long>"
     )
     many = copies.where("copies > 1").select("key", F.lit(True).alias("all_gone"))
