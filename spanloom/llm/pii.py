@@ -315,15 +315,24 @@ def find_personal_data(docs: DataFrame, labelled: DataFrame | None = None) -> Da
     return rows.mapInArrow(_find(field), "doc_id long, spans array<struct<kind: string, start: long, end: long, added: boolean>>")
 
 
+def _text_of(spans) -> F.Column:
+    """Spans as kind:start:end, by kind in the order of KINDS, then start."""
+    kinds = F.array(*[F.lit(k) for k in KINDS])
+    keyed = F.transform(spans, lambda s: F.struct(F.array_position(kinds, s["kind"]).alias("r"), s["start"].alias("a"), s["end"].alias("b"), s["kind"].alias("k")))
+    return F.array_join(F.transform(F.array_sort(keyed), lambda s: F.concat_ws(":", s["k"], s["a"].cast("string"), s["b"].cast("string"))), ",")
+
+
+def _count_of(spans, kind: str) -> F.Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def span_digests(found: DataFrame) -> DataFrame:
     """Counts of the patterns' spans, their hash, and all spans as text; ordered by kind, then start."""
-    order = lambda spans: F.array_sort(F.transform(spans, lambda s: F.struct(F.array_position(F.array(*[F.lit(k) for k in KINDS]), s["kind"]).alias("r"), s["start"].alias("a"), s["end"].alias("b"), s["kind"].alias("k"))))
-    text = lambda spans: F.array_join(F.transform(order(spans), lambda s: F.concat_ws(":", s["k"], s["a"].cast("string"), s["b"].cast("string"))), ",")
     base = F.filter("spans", lambda s: ~s["added"])
     return found.select(
         "doc_id",
-        *[F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS],
-        F.sha2(text(base).cast("binary"), 256).alias("base_sha256"),
-        text(F.col("spans")).alias("spans"),
+        *[_count_of(base, k).alias(f"n_{k}") for k in KINDS],
+        F.sha2(_text_of(base).cast("binary"), 256).alias("base_sha256"),
+        _text_of(F.col("spans")).alias("spans"),
         F.size(F.filter("spans", lambda s: s["added"])).cast("long").alias("n_added"),
     )
