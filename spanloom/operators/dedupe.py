@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from .sessions import ORDER
 
 
+def mark_shared(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """spans with ``renamed`` (a server whose id a client of its trace session has as well) and ``nth``, the
+    number of a renamed span among those of its session, in order."""
+    trace = [*keys, "sid"]
+    shared = F.max(F.col("is_client").cast("int")).over(Window.partitionBy(*trace, "span_id")) == 1
+    marked = spans.withColumn("renamed", F.coalesce(shared & F.col("is_server"), F.lit(False)))
+    so_far = Window.partitionBy(*trace).orderBy(*ORDER, "parent_span_id", "service").rowsBetween(Window.unboundedPreceding, 0)
+    return marked.withColumn("nth", F.when(F.col("renamed"), F.sum(F.col("renamed").cast("int")).over(so_far).cast("int")))
+
+
 def dedupe_span_ids(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """spans with the ids of shared servers renamed and parents led to them.
 
@@ -17,10 +27,7 @@ def dedupe_span_ids(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     id of it as parent, but for that renamed span itself. Adds ``renamed`` (boolean).
     """
     trace = [*keys, "sid"]
-    shared = F.max(F.col("is_client").cast("int")).over(Window.partitionBy(*trace, "span_id")) == 1
-    marked = spans.withColumn("renamed", F.coalesce(shared & F.col("is_server"), F.lit(False)))
-    nth = F.sum(F.col("renamed").cast("int")).over(Window.partitionBy(*trace).orderBy(*ORDER, "parent_span_id", "service").rowsBetween(Window.unboundedPreceding, 0))
-    marked = marked.withColumn("__k", F.when(F.col("renamed"), nth.cast("int")))
+    marked = mark_shared(spans, keys).withColumnRenamed("nth", "__k")
 
     # the free numbers of the traces that need some, one row each
     used = marked.groupBy(*trace).agg(

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sessions import ORDER, tumble
+from .dedupe import mark_shared
+from .sessions import ORDER, ask_by_id, told, tumble
 
 #: Fixed value of the result table.
 SOURCE = "jaeger"
@@ -17,10 +18,27 @@ def trace_edges(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     The last span of an id names its service; spans without a known parent, or whose parent has no
     service, give no edge; self-calls stay.
     """
-    trace = [*keys, "sid"]
-    last = spans.groupBy(*trace, F.col("span_id").alias("parent_span_id")).agg(F.max_by("service", F.struct(*ORDER, "service")).alias("parent"))
-    edges = spans.join(last, [*trace, "parent_span_id"]).where("parent is not null")
-    return edges.select(*trace, "session_end", "parent", F.col("service").alias("child"))
+    last = F.max(told(F.struct(*ORDER, "service")))
+    linked = ask_by_id(spans, keys, [F.col("span_id")], [F.col("parent_span_id")], {"last": last})
+    return _edges(linked, keys)
+
+
+def deduped_edges(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """trace_edges of dedupe_span_ids, without making up fresh ids: a renamed span is known by the pair
+    (true, its number), any other by (false, its id), so all look-ups stay on the trace key's
+    partitioning."""
+    m = mark_shared(spans, keys).withColumn("p", F.when(F.col("renamed"), F.col("span_id")).otherwise(F.col("parent_span_id")))
+    m = ask_by_id(m, keys, [F.col("span_id")], [F.col("p")], {"heir": F.max(told(F.col("nth")))})
+    led = F.col("heir").isNotNull() & ~F.coalesce(F.col("nth") == F.col("heir"), F.lit(False))
+    own = [F.col("renamed"), F.coalesce(F.col("nth").cast("long"), F.col("span_id"))]
+    asked = [led, F.when(led, F.col("heir").cast("long")).otherwise(F.col("p"))]
+    # the order of spans by their new ids equals dedupe_span_ids' order where times differ
+    return _edges(ask_by_id(m, keys, own, asked, {"last": F.max(told(F.struct(*ORDER, "service")))}), keys)
+
+
+def _edges(linked: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    known = linked.where("last.service is not null")
+    return known.select(*keys, "sid", "session_end", F.col("last.service").alias("parent"), F.col("service").alias("child"))
 
 
 def call_counts(edges: DataFrame, window_minutes: int = 30) -> DataFrame:

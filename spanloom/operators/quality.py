@@ -1,7 +1,7 @@
 """Instrumentation quality: rules that score spans and traces, and their counters.
 
 A span rule is a Column of array<struct<service, metric, submetric>> over annotated spans; a trace
-rule is a function from annotated spans to rows (keys, sid, service, metric, submetric). Both kinds
+rule is a function from annotated spans to rows (keys, sid, session_end, service, metric, submetric). Both kinds
 are plain lists, so a job takes more of either.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.versions import meets_minimum
-from .sessions import ORDER
+from .sessions import ORDER, ask_by_id, told
 
 PASS, FAIL = "PASS", "FAIL"
 HAS_CLIENT, HAS_SERVER = "HasClientSpans", "HasServerSpans"
@@ -45,26 +45,24 @@ def score_unique_span_id(keys) -> Column:
 
 
 def parent_child_pairs(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """(keys, sid, child, parent) for every span: the first span of its own id, and the first one of its
+    """(keys, sid, session_end, child, parent) for every span: the first span of its own id, and the first one of its
     parent's id or null (orphans and roots)."""
-    trace = [*keys, "sid"]
     fields = F.struct("service", "peer_service", "is_client", "is_server")
-    first = spans.groupBy(*trace, "span_id").agg(F.min_by(F.struct(fields.alias("s"), F.col("parent_span_id")), F.struct(*ORDER, "parent_span_id", "service")).alias("rep"))
-    child = first.select(*trace, "span_id", F.col("rep.s").alias("child"))
-    parent = first.select(*trace, F.col("span_id").alias("parent_span_id"), F.col("rep.s").alias("parent"))
-    return spans.select(*trace, "span_id", "parent_span_id").join(child, [*trace, "span_id"]).join(parent, [*trace, "parent_span_id"], "left").select(*trace, "child", "parent")
+    ranked = F.struct(*ORDER, "parent_span_id", "service", fields.alias("s"))
+    first = spans.withColumn("own", F.min(ranked).over(Window.partitionBy(*keys, "sid", "span_id")))
+    linked = ask_by_id(first, keys, [F.col("span_id")], [F.col("parent_span_id")], {"above": F.min(told(ranked))})
+    return linked.select(*keys, "sid", "session_end", F.col("own.s").alias("child"), F.col("above.s").alias("parent"))
 
 
 def orphan_spans(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Spans whose parent id no span of their trace session has."""
-    trace = [*keys, "sid"]
-    ids = spans.select(*trace, F.col("span_id").alias("parent_span_id")).distinct()
-    return spans.join(ids, [*trace, "parent_span_id"], "left_anti")
+    linked = ask_by_id(spans, keys, [F.col("span_id")], [F.col("parent_span_id")], {"known": F.max(told(F.lit(True)))})
+    return linked.where("known is null").drop("known")
 
 
 def score_has_client_server(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Whether calls have both their client and their server span."""
-    return client_server_scores(parent_child_pairs(spans, keys)).select(*keys, "sid", "service", "metric", "submetric")
+    return client_server_scores(parent_child_pairs(spans, keys)).select(*keys, "sid", "session_end", "service", "metric", "submetric")
 
 
 def client_server_scores(pairs: DataFrame) -> DataFrame:
@@ -94,9 +92,8 @@ def score_all(spans: DataFrame, keys: tuple[str, ...] = ("trace_id_low",), span_
     """(time_bucket, service, metric, submetric, trace_id, session_end): every score of every rule."""
     scored = spans.select(*keys, "sid", "session_end", F.concat(*[r(keys) for r in span_rules]).alias("scores"))
     base = scored.select(*keys, "sid", "session_end", F.explode("scores").alias("s")).select(*keys, "sid", "session_end", "s.*")
-    ends = spans.groupBy(*keys, "sid").agg(F.max("session_end").alias("session_end"))
     for rule in trace_rules:
-        base = base.unionByName(rule(spans, keys).join(ends, [*keys, "sid"]).select(*base.columns))
+        base = base.unionByName(rule(spans, keys).select(*base.columns))
     bucket = F.date_trunc("HOUR", F.timestamp_millis("sid"))
     return score_guard(base).select(bucket.alias("time_bucket"), "service", "metric", "submetric", F.lower(F.hex(keys[-1])).alias("trace_id"), "session_end")
 

@@ -51,3 +51,23 @@ def large_traces(spans: DataFrame, keys: tuple[str, ...] = ("trace_id_high", "tr
 def trace_size_histogram(spans: DataFrame, keys: tuple[str, ...] = ("trace_id_high", "trace_id_low")) -> DataFrame:
     """(size, traces): how many trace sessions have each number of spans."""
     return trace_sizes(spans, keys).groupBy(F.col("n").alias("size")).agg(F.count("*").alias("traces"))
+
+
+def ask_by_id(spans: DataFrame, keys: tuple[str, ...], own: list, asked: list, answers: dict) -> DataFrame:
+    """A look-up of other spans of the same trace session by id, without a join.
+
+    Each span stands twice: under its own id, where it tells, and under the id it asks for (``own``
+    and ``asked`` are lists of Columns of equal length). ``answers`` maps new column names to
+    aggregates (Columns) over the tellers of an id; every span gets those of the id it asks for. As
+    windows over the trace key's partitioning need no exchange, neither does this.
+    """
+    place = lambda cols, tells: F.struct(*[c.alias(f"i{n}") for n, c in enumerate(cols)], F.lit(tells).alias("tells"))
+    twice = spans.withColumn("__at", F.explode(F.array(place(own, True), place(asked, False))))
+    by_id = Window.partitionBy(*keys, "sid", *[F.col(f"__at.i{n}") for n in range(len(own))])
+    told = twice.withColumns({name: agg.over(by_id) for name, agg in answers.items()})
+    return told.where(~F.col("__at.tells")).drop("__at")
+
+
+def told(value):
+    """A value of the tellers in ask_by_id; null for those who ask."""
+    return F.when(F.col("__at.tells"), value)

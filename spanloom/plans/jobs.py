@@ -25,9 +25,8 @@ def dependency_sessions(spans: DataFrame, gap: int = 3) -> DataFrame:
 def dependency_counts(spans: DataFrame, dedupe: bool = True, gap: int = 3, window: int = 30) -> DataFrame:
     """(window_start, window_end, parent, child, call_count)."""
     traces = dependency_sessions(spans, gap)
-    if dedupe:
-        traces = dedupe_span_ids(traces, HIGH_LOW)
-    return dependencies.call_counts(dependencies.trace_edges(traces, HIGH_LOW), window)
+    edges = dependencies.deduped_edges if dedupe else dependencies.trace_edges
+    return dependencies.call_counts(edges(traces, HIGH_LOW), window)
 
 
 def dependencies_job(spans: DataFrame, run_ts: str | None = None) -> DataFrame:
