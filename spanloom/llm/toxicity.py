@@ -1,11 +1,12 @@
 """Toxic passages: maximum-scoring segments of token log-odds, with extreme-value calibration.
 
 Fitting. Token counts of toxic and clean labelled texts give log-odds with an informative Dirichlet
-prior (the pooled counts, scaled to PRIOR tokens); tokens whose log-odds exceed Z_MIN standard
-errors keep their score, all others score -DRIFT. A token is counted once for each distinct token
+prior (the pooled counts, scaled to PRIOR tokens); tokens whose log-odds exceed Z_MIN standard errors
+and EFFECT keep their score, all others score -DRIFT. A token is counted once for each distinct token
 before it, so that copies of one text count as one.
 
-Scoring. One linear scan finds all maximal scoring segments of a text (each is a passage that can't
+Scoring. A token that was met within the last REPEAT tokens scores -DRIFT, as repetition is no further
+evidence. One linear scan finds all maximal scoring segments of a text (each is a passage that can't
 be made better by growing or shrinking). Under the clean token distribution the number of segments
 that reach S in n tokens is about E = K * n * exp(-lambda * S); lambda solves
 sum(p * exp(lambda * s)) = 1 and K is matched to the clean training texts. A text's evidence is
@@ -30,7 +31,7 @@ from .storage import materialize
 from .text import words
 
 SAMPLE, TERMS = 4000, 20_000
-PRIOR, Z_MIN, DRIFT = 10_000.0, 3.0, 0.1
+PRIOR, Z_MIN, EFFECT, DRIFT, REPEAT = 10_000.0, 3.0, 1.0, 0.1, 200
 
 
 @dataclass
@@ -83,7 +84,7 @@ def maximal_segments(values: list[tuple[int, float]], drift: float) -> list[tupl
 
 def beginnings(token: bytes) -> list[bytes]:
     """The proper beginnings of a token that are units of their own, longest first."""
-    return [token[:n] + b"*" for n in range(min(8, len(token) - 1), 2, -1)]
+    return [token[:n] + b"*" for n in range(min(8, len(token) - 1), 3, -1)]
 
 
 class TokenScores(dict):
@@ -106,7 +107,15 @@ class TokenScores(dict):
 def passages(text: str | None, m: ToxicityModel) -> tuple[int, list[tuple[int, int, float]]]:
     """(number of tokens, segments) of one whole text."""
     toks = words(text)
-    return len(toks), maximal_segments([(i, s) for i, s in enumerate(map(m.cache.__getitem__, toks)) if s is not None], DRIFT)
+    last: dict[bytes, int] = {}
+    values = []
+    for i, s in enumerate(map(m.cache.__getitem__, toks)):
+        if s is not None:
+            t = toks[i]
+            if i - last.get(t, -REPEAT - 1) > REPEAT:
+                values.append((i, s))
+            last[t] = i
+    return len(toks), maximal_segments(values, DRIFT)
 
 
 def evidence(n: int, found: list[tuple[int, int, float]], m: ToxicityModel) -> tuple[float, float, int]:
@@ -151,7 +160,7 @@ def _log_odds(sample: DataFrame) -> tuple[dict[bytes, float], float]:
     odds = F.log((F.col("t") + a) / (n.t + PRIOR - F.col("t") - a)) - F.log((F.col("c") + a) / (n.c + PRIOR - F.col("c") - a))
     kept = (
         counts.select("token", odds.alias("s"), (odds / F.sqrt(1 / (F.col("t") + a) + 1 / (F.col("c") + a))).alias("z"), ((F.col("c") + a) / (n.c + PRIOR)).alias("p"))
-        .where(F.abs("z") >= Z_MIN).orderBy(F.desc(F.abs("z")), "token").limit(TERMS).collect()
+        .where((F.abs("z") >= Z_MIN) & (F.abs("s") >= EFFECT)).orderBy(F.desc(F.abs("z")), "token").limit(TERMS).collect()
     )
     scores = {bytes(r.token): float(r.s) for r in kept}
     whole = [r for r in kept if not bytes(r.token).endswith(b"*")] or kept  # a token has one score, so stems stay out of the sum

@@ -68,7 +68,7 @@ def test_toxicity_scores(spark):
     table = docs(spark, [*rows, *ODD])
     lab = spark.createDataFrame([*labels, (None, 1), (5, None)], "doc_id long, toxic int")
     model = toxicity.fit(table, lab)
-    got = toxicity.score(docs(spark, [*rows, (1000, "so grubbled and " * 2 + words(random.Random(5), 3000)), *ODD]), model).collect()
+    got = toxicity.score(docs(spark, [*rows, (1000, "so grubbled and snarkishly grubblers " * 2 + words(random.Random(5), 3000)), *ODD]), model).collect()
     by_id = {r.doc_id: r for r in got}
     truth = dict(labels)
     assert len(got) == 301 + len(ODD) and all(0 <= r.score <= 1 for r in got)
