@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .storage import materialize
 from .text import encode
 
-PER_LANGUAGE, EPOCHS, RATE, DIM = 1000, 6, 0.5, 16
+PER_LANGUAGE, EPOCHS, RATE, DIM = 300, 8, 0.5, 16
 PRECISION = 0.99
 BITS3, BITS4 = 14, 16
 ROWS = (1 << BITS3) + (1 << BITS4)
@@ -75,10 +75,10 @@ def _features(batches):
                     ids.append(i)
                     langs.append(lang)
                     keys.append(key)
-                    rows.append(r.astype(np.int32))
-                    counts.append((c / c.sum()).astype(np.float32))
+                    rows.append(r.astype(np.int32).tobytes())
+                    counts.append((c / c.sum()).astype(np.float32).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.int64()), pa.array(ids, pa.int32()), pa.array(langs, pa.string()), pa.array(rows, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.float32()))],
+            [pa.array(keys, pa.int64()), pa.array(ids, pa.int32()), pa.array(langs, pa.string()), pa.array(rows, pa.binary()), pa.array(counts, pa.binary())],
             ["key", "piece", "lang", "rows", "share"],
         )
 
@@ -95,11 +95,12 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 3) -> Lan
         return LanguageModel([UNDETERMINED], np.zeros((ROWS, 1), np.float32), np.zeros(1, np.float32))
     share = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, min(1.0, per_language / n))])
     chosen = known.where(F.pmod(F.col("key"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
-    sample = materialize(chosen.mapInArrow(_features, "key long, piece int, lang string, rows array<int>, share array<float>"), "features").toPandas()
+    sample = materialize(chosen.mapInArrow(_features, "key long, piece int, lang string, rows binary, share binary"), "features").toPandas()
     sample = sample.sort_values(["key", "piece", "lang"], kind="stable")
     languages = sorted(counts)
     y = sample["lang"].map({v: i for i, v in enumerate(languages)}).to_numpy()
-    rows, share = sample["rows"].to_list(), sample["share"].to_list()
+    rows = [np.frombuffer(r, np.int32) for r in sample["rows"]]
+    share = [np.frombuffer(c, np.float32) for c in sample["share"]]
     keep_back = (sample["key"].to_numpy() >> 21) % 5 == 0
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.1, (ROWS, DIM)).astype(np.float32)
