@@ -12,7 +12,11 @@ order is the one of 64-bit hashes of the windows rather than the lexicographic o
 of dictionary and parse would give: only which windows are equal is asked for, and hash order can be
 cut into ranges of equal size whatever the text.
 
-Both orders are made alike. Distinct texts are packed into units of about UNIT_BYTES, which are
+Most windows of repetitive text need not be sent: each lies in a cover, the run of phrases from the
+last cut before it to the first one after it. Covers are ordered first; where one occurs twice, all
+its windows are repeated, and one of its places is enough to stand for them in the windows' order.
+
+All orders are made alike. Distinct texts are packed into units of about UNIT_BYTES, which are
 written. A unit sends each of its distinct values once, cut by value range; a range sees at most one
 copy per unit and answers with one bit per value. So a phrase or passage that a third of all texts
 share costs one value per unit, and no task holds more than a unit or a range.
@@ -27,6 +31,7 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,22 +45,24 @@ _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
 def parse(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Ends of the triggers of a text, and hashes of the phrases between each two of them."""
+    """Cuts of a text (where triggers end), and hashes of its pieces: what stands before the first cut,
+    the phrases between each two cuts, and what stands after the last."""
     data = np.frombuffer(raw, np.uint8)
-    if len(data) < TRIGGER:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     sums = _HASHER.prefix(data)
-    roll = mix64((sums[TRIGGER:] - sums[:-TRIGGER]) * _HASHER.up[: len(data) - TRIGGER + 1])
-    cuts = np.flatnonzero(roll >> np.uint64(32) < np.uint64(2**32 // MEAN_PHRASE)) + TRIGGER
-    if len(cuts) < 2:
-        return cuts, np.zeros(0, np.uint64)
-    return cuts, mix64(_HASHER.spans(sums, cuts[:-1] - TRIGGER, cuts[1:]))
+    cuts = np.zeros(0, np.int64)
+    if len(data) >= TRIGGER:
+        roll = mix64((sums[TRIGGER:] - sums[:-TRIGGER]) * _HASHER.up[: len(data) - TRIGGER + 1])
+        cuts = np.flatnonzero(roll >> np.uint64(32) < np.uint64(2**32 // MEAN_PHRASE)) + TRIGGER
+    starts = np.concatenate(([0], cuts - TRIGGER))
+    if len(cuts):
+        starts[-1] += TRIGGER
+    return cuts, mix64(_HASHER.spans(sums, starts, np.concatenate((cuts, [len(data)]))))
 
 
 def _parsed(length: int):
     def run(batches):
         for batch in batches:
-            n, sha, cuts, phrases = [], [], [], []
+            n, sha, cuts, pieces = [], [], [], []
             for text in batch.column(2):
                 raw = encode(text.as_py())
                 n.append(len(raw))
@@ -63,20 +70,20 @@ def _parsed(length: int):
                 if len(raw) >= length:
                     c, p = parse(raw)
                     cuts.append(c.astype(np.int32).tobytes())
-                    phrases.append(p.tobytes())
+                    pieces.append(p.tobytes())
                 else:
                     cuts.append(None)
-                    phrases.append(None)
+                    pieces.append(None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(cuts, pa.binary()), pa.array(phrases, pa.binary())],
-                ["doc_id", "key", "n_bytes", "sha", "cuts", "phrases"],
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(cuts, pa.binary()), pa.array(pieces, pa.binary())],
+                ["doc_id", "key", "n_bytes", "sha", "cuts", "pieces"],
             )
 
     return run
 
 
 _SENT = "range long, unit binary, vals binary, multi binary"
-_ANSWER = "range long, unit binary, bits binary"
+_ANSWER = "range long, unit binary, bits binary, lead binary"
 
 
 def _pack(limit: int):
@@ -137,38 +144,41 @@ def _edges(distinct: np.ndarray, ranges: int) -> np.ndarray:
 
 
 def _answer(df: pd.DataFrame) -> pd.DataFrame:
-    """For every unit's values in a range: one bit each, set where the value occurs twice in all."""
+    """For every unit's values in a range one bit each, set where the value occurs twice in all, and one
+    that names the unit whose value stands for the others."""
     vals = [np.frombuffer(v, np.uint64) for v in df["vals"]]
     multi = [np.unpackbits(np.frombuffer(m, np.uint8), count=len(v)) for m, v in zip(df["multi"], vals, strict=True)]
     every = np.concatenate(vals)
     order = np.argsort(every, kind="stable")
-    same = every[order[1:]] == every[order[:-1]]
-    twice = np.concatenate(multi).astype(bool)
-    twice[order[1:][same]] = True
-    # runs of equal values: what holds for one holds for all
-    first = np.concatenate(([0], np.flatnonzero(~same) + 1))
-    held = np.logical_or.reduceat(twice[order], first)
-    held |= np.diff(np.concatenate((first, [len(order)]))) > 1
-    out = np.empty(len(order), bool)
-    out[order] = np.repeat(held, np.diff(np.concatenate((first, [len(order)]))))
+    first = np.concatenate(([0], np.flatnonzero(every[order[1:]] != every[order[:-1]]) + 1))
+    size = np.diff(np.concatenate((first, [len(order)])))
+    held = np.logical_or.reduceat(np.concatenate(multi).astype(bool)[order], first) | (size > 1)
+    twice, lead = np.empty(len(order), bool), np.zeros(len(order), bool)
+    twice[order], lead[order[first]] = np.repeat(held, size), True
     ends = np.cumsum([len(v) for v in vals])
-    bits = [np.packbits(out[e - len(v) : e]).tobytes() for e, v in zip(ends, vals, strict=True)]
-    return pd.DataFrame({"range": df["range"], "unit": df["unit"], "bits": bits})
+    cut = lambda flags: [np.packbits(flags[e - len(v) : e]).tobytes() for e, v in zip(ends, vals, strict=True)]
+    return pd.DataFrame({"range": df["range"], "unit": df["unit"], "bits": cut(twice), "lead": cut(lead)})
 
 
-def _flags(values: np.ndarray, answers: pd.DataFrame, ranges: int) -> np.ndarray:
-    """One flag for each value of a unit, from the answers of all ranges."""
-    distinct, inverse = np.unique(values, return_inverse=True)
+def _flags(values: np.ndarray, answers: pd.DataFrame, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each value of a unit: whether it occurs twice, and whether it is the one that stands for all."""
+    distinct, index, inverse = np.unique(values, return_index=True, return_inverse=True)
     edges = _edges(distinct, ranges)
-    flag = np.zeros(len(distinct), bool)
-    for r, bits in zip(answers["range"], answers["bits"], strict=True):
+    flag, leads, lead = np.zeros(len(distinct), bool), np.zeros(len(distinct), bool), np.zeros(len(values), bool)
+    for r, bits, first in zip(answers["range"], answers["bits"], answers["lead"], strict=True):
         a, b = edges[r], edges[r + 1]
         flag[a:b] = np.unpackbits(np.frombuffer(bits, np.uint8), count=int(b - a))
-    return flag[inverse]
+        leads[a:b] = np.unpackbits(np.frombuffer(first, np.uint8), count=int(b - a))
+    lead[index[leads]] = True
+    return flag[inverse], lead
+
+
+def _joined(blobs: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(blobs), np.uint64)
 
 
-def _all_phrases(phrases: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(phrases), np.uint64)
+def _all_phrases(pieces: list[bytes]) -> np.ndarray:
+    return _joined([p[8:-8] for p in pieces])
 
 
 def open_windows(n: int, cuts: np.ndarray, repeated: np.ndarray, length: int) -> np.ndarray:
@@ -187,47 +197,102 @@ def open_windows(n: int, cuts: np.ndarray, repeated: np.ndarray, length: int) ->
     return turns.reshape(-1, 2)
 
 
+def covers(n: int, cuts: np.ndarray, pieces: np.ndarray, open_: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs (first, end) of open windows that share a cover, and the covers' hashes."""
+    bounds = np.concatenate(([0], cuts, [n]))
+    # the cover changes where a window starts at a cut, and where its end passes one
+    turns = np.unique(np.concatenate((open_.ravel(), cuts, cuts - length + 1)))
+    turns = turns[(turns >= 0) & (turns <= n - length + 1)]
+    first, end = turns[:-1], turns[1:]
+    k = np.searchsorted(open_[:, 0], first, "right") - 1
+    inside = (k >= 0) & (first < open_[np.maximum(k, 0), 1])
+    first, end = first[inside], end[inside]
+    a = np.searchsorted(bounds, first, "right") - 1
+    b = np.searchsorted(bounds, first + length, "left")
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(pieces * _HASHER.down[: len(pieces)], dtype=np.uint64)))
+    return np.stack([first, end], axis=1), mix64(_HASHER.spans(sums, a, b))
+
+
 def _candidates(ranges: int, length: int):
     def run(units: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out = []
         for u in units.itertuples():
-            flags, at = _flags(_all_phrases(list(u.phrases)), answers, ranges), 0
-            for key, rep, n, cuts, phrases in zip(u.key, u.rep, u.n_bytes, u.cuts, u.phrases, strict=True):
-                k = len(phrases) // 8
-                spans = open_windows(int(n), np.frombuffer(cuts, np.int32).astype(np.int64), flags[at : at + k], length)
+            twice, at, rows = _flags(_all_phrases(list(u.pieces)), answers, ranges)[0], 0, []
+            for key, rep, n, c, pieces in zip(u.key, u.rep, u.n_bytes, u.cuts, u.pieces, strict=True):
+                cuts, pieces = np.frombuffer(c, np.int32).astype(np.int64), np.frombuffer(pieces, np.uint64)
+                k = max(0, len(pieces) - 2)
+                open_ = open_windows(int(n), cuts, twice[at : at + k], length)
                 at += k
-                if len(spans):
-                    out.append((key, rep, spans.astype(np.int64).tobytes()))
-        return pd.DataFrame({"key": [x[0] for x in out], "rep": pd.array([x[1] for x in out], "Int64"), "spans": [x[2] for x in out]})
+                if len(open_):
+                    runs, hashes = covers(int(n), cuts, pieces, open_, length)
+                    rows.append((key, rep, runs.tobytes(), hashes.tobytes()))
+            if rows:
+                key, rep, runs, hashes = map(list, zip(*rows, strict=True))
+                out.append((u.unit, key, rep, runs, hashes))
+        return pd.DataFrame(out, columns=["unit", "key", "rep", "runs", "covers"])
 
     return run
 
 
-def _starts(spans: bytes) -> np.ndarray:
-    return np.concatenate([np.arange(a, b) for a, b in np.frombuffer(spans, np.int64).reshape(-1, 2)])
+#: What is known of a run of windows: nothing yet; repeated, and sent for others; repeated, and not sent.
+_OPEN, _STANDS, _FOLLOWS = 0, 1, 2
+
+
+def _settled(ranges: int):
+    def run(units: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for u in units.itertuples():
+            (twice, lead), at = _flags(_joined(list(u.covers)), answers, ranges), 0
+            for key, rep, runs, hashes in zip(u.key, u.rep, u.runs, u.covers, strict=True):
+                k = len(hashes) // 8
+                state = np.where(twice[at : at + k], np.where(lead[at : at + k], _STANDS, _FOLLOWS), _OPEN)
+                at += k
+                runs = np.frombuffer(runs, np.int64).reshape(-1, 2)
+                new = np.flatnonzero(np.concatenate(([True], (runs[1:, 0] != runs[:-1, 1]) | (state[1:] != state[:-1]))))
+                last = np.concatenate((new[1:], [k])) - 1
+                out.append((key, rep, np.stack([runs[new, 0], runs[last, 1], state[new]], axis=1).tobytes()))
+        return pd.DataFrame(out, columns=["key", "rep", "spans"])
+
+    return run
+
+
+def _starts(spans: bytes, *states: int) -> np.ndarray:
+    runs = np.frombuffer(spans, np.int64).reshape(-1, 3)
+    return np.concatenate([np.zeros(0, np.int64), *(np.arange(a, b) for a, b, s in runs if s in states)])
 
 
 def window_hashes(texts, spans, length: int) -> np.ndarray:
-    """Hashes of all open windows of some texts, in order."""
-    values = []
+    """Hashes of all windows to be sent of some (compressed) texts, in order."""
+    values, unpack = [np.zeros(0, np.uint64)], zstandard.ZstdDecompressor()
     for text, sp in zip(texts, spans, strict=True):
-        at = _starts(sp)
-        values.append(mix64(_HASHER.spans(_HASHER.prefix(np.frombuffer(encode(text), np.uint8)), at, at + length)))
-    return np.concatenate(values or [np.zeros(0, np.uint64)])
+        at = _starts(sp, _OPEN, _STANDS)
+        if len(at):
+            values.append(mix64(_HASHER.spans(_HASHER.prefix(np.frombuffer(unpack.decompress(text), np.uint8)), at, at + length)))
+    return np.concatenate(values)
+
+
+def _compressed(batches):
+    pack = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        texts = [encode(t.as_py()) for t in batch.column(2)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array([len(t) for t in texts], pa.int64()), pa.array([pack.compress(t) for t in texts], pa.binary())],
+            ["doc_id", "key", "n_bytes", "text"],
+        )
 
 
 def _cut(ranges: int, length: int):
     def run(units: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out, unpack = [], zstandard.ZstdDecompressor()
         for u in units.itertuples():
-            flags, at = _flags(window_hashes(u.text, u.spans, length), answers, ranges), 0
+            twice, at = _flags(window_hashes(u.text, u.spans, length), answers, ranges)[0], 0
             for key, text, spans in zip(u.key, u.text, u.spans, strict=True):
-                starts = _starts(spans)
-                hit = starts[flags[at : at + len(starts)]]
-                at += len(starts)
+                sent = _starts(spans, _OPEN, _STANDS)
+                hit = np.union1d(sent[twice[at : at + len(sent)]], _starts(spans, _STANDS, _FOLLOWS))
+                at += len(sent)
                 if not len(hit):
                     continue
-                raw = encode(text)
+                raw = unpack.decompress(text)
                 breaks = np.flatnonzero(np.diff(hit) > length)
                 a = hit[np.concatenate(([0], breaks + 1))]
                 b = hit[np.concatenate((breaks, [len(hit) - 1]))] + length
@@ -252,7 +317,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))).alias("key"), F.col("text").cast("string").alias("text")
     )
     rows = materialize(
-        source.mapInArrow(_parsed(length), "doc_id long, key binary, n_bytes long, sha string, cuts binary, phrases binary"), "parse"
+        source.mapInArrow(_parsed(length), "doc_id long, key binary, n_bytes long, sha string, cuts binary, pieces binary"), "parse"
     )
     size = rows.agg(F.sum("n_bytes")).first()[0] or 0
     ranges = max(LEAST_RANGES, math.ceil(size / UNIT_BYTES / 2))
@@ -260,20 +325,29 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     long_rows = rows.where(F.col("n_bytes") >= length)
     copies = long_rows.groupBy("key").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"))
     # one row stands for all copies of a text; rows alike in id and text are the same to what follows
-    one = long_rows.select("doc_id", "key", "n_bytes", "cuts", "phrases").join(copies.hint("merge"), "key").where(F.col("doc_id").eqNullSafe(F.col("rep"))).dropDuplicates(["key"])
+    one = long_rows.select("doc_id", "key", "n_bytes", "cuts", "pieces").join(copies.hint("merge"), "key").where(F.col("doc_id").eqNullSafe(F.col("rep"))).dropDuplicates(["key"])
 
     def answers(units: DataFrame, values, columns: tuple[str, ...], name: str) -> DataFrame:
         sent = units.select("unit", *columns).mapInArrow(_sender(values, columns, ranges), _SENT)
         return materialize(sent.groupBy("range").applyInPandas(_answer, _ANSWER), name)
 
-    parsed = _packed(one.select("key", "rep", "n_bytes", "cuts", "phrases"), limit, "parsed")
-    dictionary = answers(parsed, _all_phrases, ("phrases",), "dictionary")
+    # (as text, since lists of numbers with nulls would reach pandas as floats)
+    parsed = _packed(one.select("key", F.col("rep").cast("string").alias("rep"), "n_bytes", "cuts", "pieces"), limit, "parsed")
+    dictionary = answers(parsed, _all_phrases, ("pieces",), "dictionary")
     found = materialize(
-        parsed.groupBy("unit").cogroup(dictionary.groupBy("unit")).applyInPandas(_candidates(ranges, length), "key binary, rep long, spans binary"), "candidates"
+        parsed.groupBy("unit").cogroup(dictionary.groupBy("unit")).applyInPandas(
+            _candidates(ranges, length), "unit binary, key array<binary>, rep array<string>, runs array<binary>, covers array<binary>"
+        ),
+        "candidates",
+    )
+    cover_order = answers(found, _joined, ("covers",), "covers")
+    settled = materialize(
+        found.groupBy("unit").cogroup(cover_order.groupBy("unit")).applyInPandas(_settled(ranges), "key binary, rep string, spans binary"), "settled"
     )
-    found = found.select(F.col("key").alias("k"), "rep", "spans").hint("merge")
-    whole = source.join(found, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("rep"))).dropDuplicates(["key"])
-    whole = _packed(whole.select("key", F.octet_length("text").cast("long").alias("n_bytes"), "spans", "text"), limit, "whole")
+    wanted = settled.select(F.col("key").alias("k"), "rep", "spans").hint("merge")
+    small = source.mapInArrow(_compressed, "doc_id long, key binary, n_bytes long, text binary")  # the one pass that moves texts
+    whole = small.join(wanted, (F.col("key") == F.col("k")) & F.col("doc_id").cast("string").eqNullSafe(F.col("rep"))).dropDuplicates(["key"])
+    whole = _packed(whole.select("key", "n_bytes", "spans", "text"), limit, "whole")
     order = answers(whole, partial(window_hashes, length=length), ("text", "spans"), "order")
     cut = whole.groupBy("unit").cogroup(order.groupBy("unit")).applyInPandas(
         _cut(ranges, length), "key binary, n_removed long, n_spans long, kept_sha256 string, spans array<long>"
