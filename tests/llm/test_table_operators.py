@@ -2,13 +2,15 @@
 
 import collections
 import random
+import re
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spanloom.llm import html, mixing, sharding
+from brute import groups_by_brute_force, leaked_by_brute_force
+from spanloom.llm import html, mixing, sharding, toxicity
 from spanloom.llm.queries import ORACLES, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -115,17 +117,39 @@ def test_unclosed_and_hostile_markup():
     assert html.extract("<article><p>" + "long " * 100_000)[0].count("long") == 100_000
 
 
-def test_pipeline_stages(spark):
+def test_pipeline_stages_equal_brute_force(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "decontamination", "mixing", "sharding"]
-    documents = spark.read.parquet(f"{SMALL}/documents.parquet")
+    documents, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    model = toxicity.fit(documents.where(~toxicity.held_out(F.col("doc_id"))), labels)
+    scores = {r.doc_id: r.score for r in toxicity.score(documents, model).collect()}
     out = documents
     for name, stage in corpus_pipeline.STAGES:
-        before, out = out, stage(spark, out, SMALL)
+        before = [r.asDict() for r in out.collect()]
+        out = stage(spark, out, SMALL).cache()
+        after = [r.asDict() for r in out.collect()]
+        ids = sorted(r["doc_id"] for r in after)
         if name != "sharding":
             assert out.columns == documents.columns
-        if name in ("toxicity", "near_dedup", "decontamination"):
-            assert 0.5 * before.count() < out.count() <= before.count()
-        out = out.cache()
+        if name == "toxicity":
+            assert ids == sorted(r["doc_id"] for r in before if scores[r["doc_id"]] < 0.5)
+        elif name == "near_dedup":
+            groups = groups_by_brute_force([(r["doc_id"], r["text"]) for r in before], 5, 80)
+            assert ids == sorted(i for i, g in groups.items() if i == g) and len(ids) < len(before)
+        elif name == "decontamination":
+            assert ids == sorted(r["doc_id"] for r in before if not leaked_by_brute_force(r["text"], bench)) and len(ids) < len(before)
+        elif name == "mixing":
+            size = {r["doc_id"]: len([w for w in re.split(r"[\x20\x09-\x0D]+", r["text"]) if w]) for r in before}
+            by_source, taken = collections.Counter(), collections.Counter()
+            for r in before:
+                by_source[r["source"]] += size[r["doc_id"]]
+            for r in after:
+                taken[r["source"]] += size[r["doc_id"]]
+            want = targets_by_brute_force(dict(by_source), (3, 1, 2), 1.5, 2.0)
+            largest = max(size.values())
+            assert all(abs(taken[s] - want[s]) <= largest for s in want) and max(collections.Counter(ids).values()) <= 2
+        else:
+            assert ids == sorted(r["doc_id"] for r in before)
     rows = corpus_pipeline.run(spark, SMALL)
     assert sorted(map(repr, rows.select("doc_id", "shard_id").collect())) == sorted(map(repr, out.select("doc_id", "shard_id").collect()))
     assert corpus_pipeline.ORACLE_SQL is None

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from brute import groups_by_brute_force, leaked_by_brute_force, sets_by_brute_force
 from spanloom.llm import decontam, gif, langid, minhash, pii, repeats, toxicity
 from spanloom.llm.components import connected_components
 
@@ -84,33 +85,6 @@ def test_toxicity_scores(spark):
 
 
 # near duplicates
-def sets_by_brute_force(text, k):
-    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
-    w = re.findall(r"[^\x20\x09-\x0D]+", low)
-    return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
-
-
-def groups_by_brute_force(rows, k, percent):
-    sets = {}
-    for i, t in rows:
-        if i is not None:
-            sets.setdefault(i, []).append(sets_by_brute_force(t, k))
-    root = {i: i for i in sets}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    ids = sorted(sets)
-    for n, i in enumerate(ids):
-        for j in ids[n + 1 :]:
-            if any(a and b and 100 * len(a & b) >= percent * len(a | b) for a in sets[i] for b in sets[j]):
-                a, b = find(i), find(j)
-                root[max(a, b)] = min(a, b)
-    return {i: find(i) for i in ids}
-
-
 def variants(seed=3):
     """Groups of variants that differ more and more from a common text, with links near the limit."""
     rng = random.Random(seed)
@@ -288,18 +262,7 @@ def test_leaks_equal_brute_force(spark):
             text[5:5] = "only four words here".split()
         rows.append((i, " ".join(text)))
 
-    def leaks(text):
-        d, out = (text or "").split(), []
-        for item_id, t in items:
-            w = (t or "").split()
-            n = min(20, len(w))
-            if item_id is None or not w:
-                continue
-            if any(sum(a == b for a, b in zip(w[j : j + n], d[x : x + n], strict=False)) >= 0.8 * n - 1e-9 for j in range(len(w) - n + 1) for x in range(len(d) - n + 1)):
-                if n > 11 or any(d[x : x + n] == w for x in range(len(d))):
-                    out.append(item_id)
-        return sorted(set(out))
-
+    leaks = lambda text: leaked_by_brute_force(text, items)
     table, bench = docs(spark, [*rows, *ODD]), spark.createDataFrame(items, "item_id long, text string")
     got = {r.doc_id: list(r["items"]) for r in decontam.find_leaks(table, bench).collect()}
     assert {i: got[i] for i, _ in rows} == {i: leaks(t) for i, t in rows} and got[900] == []
