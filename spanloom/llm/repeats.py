@@ -8,7 +8,7 @@ A window is a string of ``length`` bytes. If it holds a whole phrase that occurs
 it occurs once: all such windows are settled by the dictionary's counts. What remains are windows in
 repetitive text (and in long stretches without a trigger). Those are brought into one corpus-wide
 order, in which equal windows are neighbours, and a window with an equal neighbour is repeated. The
-order is the one of 64-bit hashes of the windows rather than the lexicographic one that suffix arrays
+order is the one of 96-bit hashes of the windows rather than the lexicographic one that suffix arrays
 of dictionary and parse would give: only which windows are equal is asked for, and hash order can be
 cut into ranges of equal size whatever the text.
 
@@ -40,7 +40,7 @@ from .text import SpanHasher, encode, mix64
 
 LENGTH, TRIGGER, MEAN_PHRASE = 400, 16, 64
 UNIT_BYTES, LEAST_RANGES = 4 << 20, 32
-_HASHER = SpanHasher(seed=23)
+_HASHER, _SECOND = SpanHasher(seed=23), SpanHasher(seed=29)
 _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
@@ -82,7 +82,7 @@ def _parsed(length: int):
     return run
 
 
-_SENT = "range long, unit binary, vals binary, multi binary"
+_SENT = "range long, unit binary, vals binary, checks binary, multi binary"
 _ANSWER = "range long, unit binary, bits binary, lead binary"
 
 
@@ -126,12 +126,14 @@ def _sender(values, columns: tuple[str, ...], ranges: int):
             for i in range(batch.num_rows):
                 unit = batch.column(batch.schema.get_field_index("unit"))[i].as_py()
                 lists = [batch.column(batch.schema.get_field_index(c))[i].as_py() for c in columns]
-                distinct, counts = np.unique(values(*lists), return_counts=True)
+                every, checks = values(*lists)
+                distinct, index, counts = np.unique(every, return_index=True, return_counts=True)
+                checks = checks[index] if len(checks) else checks
                 edges = _edges(distinct, ranges)
-                rows = [(r, distinct[a:b].tobytes(), np.packbits(counts[a:b] > 1).tobytes()) for r, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if a < b]
-                r, vals, multi = zip(*rows, strict=True) if rows else ((), (), ())
+                rows = [(r, distinct[a:b].tobytes(), checks[a:b].tobytes(), np.packbits(counts[a:b] > 1).tobytes()) for r, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if a < b]
+                r, *blobs = zip(*rows, strict=True) if rows else ((), (), (), ())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(r, pa.int64()), pa.array([unit] * len(r), pa.binary()), pa.array(vals, pa.binary()), pa.array(multi, pa.binary())], ["range", "unit", "vals", "multi"]
+                    [pa.array(r, pa.int64()), pa.array([unit] * len(r), pa.binary()), *(pa.array(b, pa.binary()) for b in blobs)], ["range", "unit", "vals", "checks", "multi"]
                 )
 
     return run
@@ -148,9 +150,12 @@ def _answer(df: pd.DataFrame) -> pd.DataFrame:
     that names the unit whose value stands for the others."""
     vals = [np.frombuffer(v, np.uint64) for v in df["vals"]]
     multi = [np.unpackbits(np.frombuffer(m, np.uint8), count=len(v)) for m, v in zip(df["multi"], vals, strict=True)]
-    every = np.concatenate(vals)
-    order = np.argsort(every, kind="stable")
-    first = np.concatenate(([0], np.flatnonzero(every[order[1:]] != every[order[:-1]]) + 1))
+    every, checks = np.concatenate(vals), np.frombuffer(b"".join(df["checks"]), np.uint32)
+    order = np.lexsort((checks, every)) if len(checks) else np.argsort(every, kind="stable")
+    new = every[order[1:]] != every[order[:-1]]
+    if len(checks):
+        new |= checks[order[1:]] != checks[order[:-1]]
+    first = np.concatenate(([0], np.flatnonzero(new) + 1))
     size = np.diff(np.concatenate((first, [len(order)])))
     held = np.logical_or.reduceat(np.concatenate(multi).astype(bool)[order], first) | (size > 1)
     twice, lead = np.empty(len(order), bool), np.zeros(len(order), bool)
@@ -181,6 +186,20 @@ def _all_phrases(pieces: list[bytes]) -> np.ndarray:
     return _joined([p[8:-8] for p in pieces])
 
 
+def _checked(values: np.ndarray) -> np.ndarray:
+    """32 further bits, from hashes of a second kind."""
+    return (mix64(values) >> np.uint64(32)).astype(np.uint32)
+
+
+def _ask_phrases(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases without check values: a chance match only leaves more windows open."""
+    return _all_phrases(pieces), np.zeros(0, np.uint32)
+
+
+def _ask_covers(hashes: list[bytes], checks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return _joined(hashes), np.frombuffer(b"".join(checks), np.uint32)
+
+
 def open_windows(n: int, cuts: np.ndarray, repeated: np.ndarray, length: int) -> np.ndarray:
     """Starts (first, end) of the windows of a text that hold no phrase which occurs once."""
     starts = n - length + 1
@@ -197,8 +216,8 @@ def open_windows(n: int, cuts: np.ndarray, repeated: np.ndarray, length: int) ->
     return turns.reshape(-1, 2)
 
 
-def covers(n: int, cuts: np.ndarray, pieces: np.ndarray, open_: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Runs (first, end) of open windows that share a cover, and the covers' hashes."""
+def covers(n: int, cuts: np.ndarray, pieces: np.ndarray, open_: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs (first, end) of open windows that share a cover, and the covers' hashes and check values."""
     bounds = np.concatenate(([0], cuts, [n]))
     # the cover changes where a window starts at a cut, and where its end passes one
     turns = np.unique(np.concatenate((open_.ravel(), cuts, cuts - length + 1)))
@@ -209,8 +228,12 @@ def covers(n: int, cuts: np.ndarray, pieces: np.ndarray, open_: np.ndarray, leng
     first, end = first[inside], end[inside]
     a = np.searchsorted(bounds, first, "right") - 1
     b = np.searchsorted(bounds, first + length, "left")
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(pieces * _HASHER.down[: len(pieces)], dtype=np.uint64)))
-    return np.stack([first, end], axis=1), mix64(_HASHER.spans(sums, a, b))
+
+    def sequence(h: SpanHasher) -> np.ndarray:
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(pieces * h.powers(len(pieces)), dtype=np.uint64)))
+        return h.spans(sums, a, b)
+
+    return np.stack([first, end], axis=1), mix64(sequence(_HASHER)), _checked(sequence(_SECOND))
 
 
 def _candidates(ranges: int, length: int):
@@ -224,12 +247,10 @@ def _candidates(ranges: int, length: int):
                 open_ = open_windows(int(n), cuts, twice[at : at + k], length)
                 at += k
                 if len(open_):
-                    runs, hashes = covers(int(n), cuts, pieces, open_, length)
-                    rows.append((key, rep, runs.tobytes(), hashes.tobytes()))
+                    rows.append((key, rep, *(x.tobytes() for x in covers(int(n), cuts, pieces, open_, length))))
             if rows:
-                key, rep, runs, hashes = map(list, zip(*rows, strict=True))
-                out.append((u.unit, key, rep, runs, hashes))
-        return pd.DataFrame(out, columns=["unit", "key", "rep", "runs", "covers"])
+                out.append((u.unit, *map(list, zip(*rows, strict=True))))
+        return pd.DataFrame(out, columns=["unit", "key", "rep", "runs", "covers", "checks"])
 
     return run
 
@@ -261,14 +282,16 @@ def _starts(spans: bytes, *states: int) -> np.ndarray:
     return np.concatenate([np.zeros(0, np.int64), *(np.arange(a, b) for a, b, s in runs if s in states)])
 
 
-def window_hashes(texts, spans, length: int) -> np.ndarray:
-    """Hashes of all windows to be sent of some (compressed) texts, in order."""
-    values, unpack = [np.zeros(0, np.uint64)], zstandard.ZstdDecompressor()
+def window_hashes(texts, spans, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and check values of all windows to be sent of some (compressed) texts, in order."""
+    values, checks, unpack = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)], zstandard.ZstdDecompressor()
     for text, sp in zip(texts, spans, strict=True):
         at = _starts(sp, _OPEN, _STANDS)
         if len(at):
-            values.append(mix64(_HASHER.spans(_HASHER.prefix(np.frombuffer(unpack.decompress(text), np.uint8)), at, at + length)))
-    return np.concatenate(values)
+            data = np.frombuffer(unpack.decompress(text), np.uint8)
+            values.append(mix64(_HASHER.spans(_HASHER.prefix(data), at, at + length)))
+            checks.append(_checked(_SECOND.spans(_SECOND.prefix(data), at, at + length)))
+    return np.concatenate(values), np.concatenate(checks)
 
 
 def _compressed(batches):
@@ -285,7 +308,7 @@ def _cut(ranges: int, length: int):
     def run(units: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out, unpack = [], zstandard.ZstdDecompressor()
         for u in units.itertuples():
-            twice, at = _flags(window_hashes(u.text, u.spans, length), answers, ranges)[0], 0
+            twice, at = _flags(window_hashes(u.text, u.spans, length)[0], answers, ranges)[0], 0
             for key, text, spans in zip(u.key, u.text, u.spans, strict=True):
                 sent = _starts(spans, _OPEN, _STANDS)
                 hit = np.union1d(sent[twice[at : at + len(sent)]], _starts(spans, _STANDS, _FOLLOWS))
@@ -333,14 +356,14 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     # (as text, since lists of numbers with nulls would reach pandas as floats)
     parsed = _packed(one.select("key", F.col("rep").cast("string").alias("rep"), "n_bytes", "cuts", "pieces"), limit, "parsed")
-    dictionary = answers(parsed, _all_phrases, ("pieces",), "dictionary")
+    dictionary = answers(parsed, _ask_phrases, ("pieces",), "dictionary")
     found = materialize(
         parsed.groupBy("unit").cogroup(dictionary.groupBy("unit")).applyInPandas(
-            _candidates(ranges, length), "unit binary, key array<binary>, rep array<string>, runs array<binary>, covers array<binary>"
+            _candidates(ranges, length), "unit binary, key array<binary>, rep array<string>, runs array<binary>, covers array<binary>, checks array<binary>"
         ),
         "candidates",
     )
-    cover_order = answers(found, _joined, ("covers",), "covers")
+    cover_order = answers(found, _ask_covers, ("covers", "checks"), "covers")
     settled = materialize(
         found.groupBy("unit").cogroup(cover_order.groupBy("unit")).applyInPandas(_settled(ranges), "key binary, rep string, spans binary"), "settled"
     )

@@ -51,10 +51,15 @@ class SpanHasher:
 
         self.up, self.down = powers(self.base), powers(self.inverse)
 
-    def prefix(self, data: np.ndarray) -> np.ndarray:
-        n = len(data)
+    def powers(self, n: int) -> np.ndarray:
+        """The first n powers of the base's inverse."""
         if n + 1 > len(self.up):
             self._grow(2 * n + 2)
+        return self.down[:n]
+
+    def prefix(self, data: np.ndarray) -> np.ndarray:
+        n = len(data)
+        self.powers(n)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(self.byte_values[data] * self.down[:n], out=sums[1:])
         return sums
