@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, gif, html, langid, mixing, pii, repeats, sharding, toxicity
+from . import decontam, gif, html, langid, mixing, oracles, pii, repeats, sharding, toxicity
 from .minhash import near_duplicates
 from .storage import materialize
 
@@ -95,4 +95,8 @@ QUERIES = {
     "op9_pivotal_mixing": op9_pivotal_mixing,
     "op10_spaced_seeds": op10_spaced_seeds,
 }
-ORACLES: dict[str, str] = {"op4_extendible_sharding": sharding.shard_sizes_sql()}
+ORACLES: dict[str, str] = {
+    "op2_minhash_near_dedup": oracles.NEAR_DUPLICATES,
+    "op3_prefix_free_parsing": oracles.REPEATS,
+    "op4_extendible_sharding": sharding.shard_sizes_sql(),
+}
