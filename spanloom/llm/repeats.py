@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialize
+from .storage import free_finished_shuffles, materialize
 from .text import SpanHasher, encode, mix64
 
 LENGTH, TRIGGER, MEAN_PHRASE = 400, 16, 64
@@ -352,9 +352,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def answers(units: DataFrame, values, columns: tuple[str, ...], name: str) -> DataFrame:
         sent = units.select("unit", *columns).mapInArrow(_sender(values, columns, ranges), _SENT)
-        return materialize(sent.groupBy("range").applyInPandas(_answer, _ANSWER), name)
+        found = materialize(sent.groupBy("range").applyInPandas(_answer, _ANSWER), name)
+        free_finished_shuffles(units.sparkSession)
+        return found
 
     # (as text, since lists of numbers with nulls would reach pandas as floats)
+    spark = docs.sparkSession
     parsed = _packed(one.select("key", F.col("rep").cast("string").alias("rep"), "n_bytes", "cuts", "pieces"), limit, "parsed")
     dictionary = answers(parsed, _ask_phrases, ("pieces",), "dictionary")
     found = materialize(
@@ -367,10 +370,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     settled = materialize(
         found.groupBy("unit").cogroup(cover_order.groupBy("unit")).applyInPandas(_settled(ranges), "key binary, rep string, spans binary"), "settled"
     )
+    free_finished_shuffles(spark)
     wanted = settled.select(F.col("key").alias("k"), "rep", "spans").hint("merge")
     small = source.mapInArrow(_compressed, "doc_id long, key binary, n_bytes long, text binary")  # the one pass that moves texts
     whole = small.join(wanted, (F.col("key") == F.col("k")) & F.col("doc_id").cast("string").eqNullSafe(F.col("rep"))).dropDuplicates(["key"])
     whole = _packed(whole.select("key", "n_bytes", "spans", "text"), limit, "whole")
+    free_finished_shuffles(spark)
     order = answers(whole, partial(window_hashes, length=length), ("text", "spans"), "order")
     cut = whole.groupBy("unit").cogroup(order.groupBy("unit")).applyInPandas(
         _cut(ranges, length), "key binary, n_removed long, n_spans long, kept_sha256 string, spans array<long>"
