@@ -356,8 +356,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         free_finished_shuffles(units.sparkSession)
         return found
 
-    # (as text, since lists of numbers with nulls would reach pandas as floats)
     spark = docs.sparkSession
+    # (the id as text, since lists of numbers with nulls would reach pandas as floats)
     parsed = _packed(one.select("key", F.col("rep").cast("string").alias("rep"), "n_bytes", "cuts", "pieces"), limit, "parsed")
     dictionary = answers(parsed, _ask_phrases, ("pieces",), "dictionary")
     found = materialize(
