@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
@@ -27,10 +26,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/spanloom-{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def free_finished_shuffles(spark: SparkSession) -> None:
-    """Have the driver collect its garbage now. Spark deletes the shuffle files of a finished step once
-    the driver has let go of its plan; without this they can pile up until memory happens to run low."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
