@@ -4,8 +4,13 @@
    for a block's parent, half for the grandparent), and the best one votes for its generalised
    path: tags with classes, digits taken out.
 2. Spark counts the votes by host; the path with the most wins (ties: the smaller string).
-3. Every page is extracted again from the best container on its host's winning path, or from its own
-   best one where that path is missing or holds little of the page's text.
+3. Every page is extracted again. Where its own best container is on the winning path, inside it or
+   around it, nothing of either is lost; where it is elsewhere, all nodes on the winning path replace
+   it, with the boxes that pages of the host keep beside that path. A page whose nodes on that path
+   hold under half of its own best container's text keeps its own.
+
+A page's own text is that of all articles (or main elements) on the best one's path; without such an
+element it is all that is wanted in the page, but for boxes of links beside the best container.
 
 Menus, adverts, forms, scripts, comments of readers and the like are left out by tag, role and the
 words of class and id.
@@ -35,6 +40,8 @@ _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em f
 _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 _SKIP_TAGS = frozenset("nav aside footer form button head title menu dialog audio video canvas map datalist".split())
 _SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td".split())
+_PAGE = frozenset(("#", "html", "body"))
 _BARRIER = frozenset("table ul ol dl body html article main section div".split())
 # Words of class, id and role that mark what isn't the article.
 _SKIP_WORDS = frozenset(
@@ -49,11 +56,12 @@ _DIGITS = re.compile(r"\d+")
 
 
 class _Node:
-    __slots__ = ("kids", "linked", "parent", "path", "role", "score", "skip", "tag", "text")
+    __slots__ = ("chars", "links", "parent", "path", "role", "score", "skip", "tag", "text")
 
     def __init__(self, tag, parent, path, skip):
         self.tag, self.parent, self.path, self.skip = tag, parent, path, skip
-        self.score, self.text, self.role = 0.0, 0, False
+        self.score, self.text, self.chars, self.role = 0.0, 0, 0, False
+        self.links = False  # a box of links beside the best container
 
 
 def _attrs(s: str) -> dict[str, str]:
@@ -87,12 +95,13 @@ def parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
                 blocks.append((node, text))
                 if not node.skip:
                     worth = max(0, len(text) - min(len(text), linked[0]))
-                    up = node if node.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote", "pre", "td") else node.parent
+                    up = node if node.tag not in _BLOCKS else node.parent
                     up.score += worth
                     if up.parent is not None:
                         up.parent.score += worth / 2
                     while node is not None:
                         node.text += worth
+                        node.chars += len(text)
                         node = node.parent
         linked[0] = 0
 
@@ -148,67 +157,107 @@ def parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
 
 
 def best_container(nodes: list[_Node]) -> _Node | None:
-    """The container with the highest score, or the article or main element around it."""
+    """The container with the highest score, or the article or main element around it, or else the
+    highest one around it that adds a wanted sibling; marks the boxes of links beside it."""
     able = [n for n in nodes if n.score > 0 and not n.skip]
     if not able:
         return None
     top = max(able, key=lambda n: n.score)
-    node, role = top, None
+    node, role, around = top, None, {}
     while node is not None:
         if node.role and (role is None or node.text > 1.5 * role.text):
             role = node
         node = node.parent
+        around[node] = []
     if role is not None:
         return role
-    while top.parent is not None and top.parent.tag not in ("#", "html", "body") and top.parent.text > 1.25 * top.text:
-        top = top.parent
+    for n in nodes:
+        if n.parent in around and not n.skip:
+            around[n.parent].append(n)
+    node = top
+    while node.parent is not None:
+        beside, up = [n for n in around[node.parent] if n is not node], node.parent
+        for n in beside:
+            n.links = n.tag not in _BLOCKS and _mostly_links(n)
+        bare = up.text - node.text - sum(n.text for n in beside)
+        if up.tag not in _PAGE and (bare or any(n.text and not _mostly_links(n) for n in beside)):
+            top = up
+        node = up
     return top
 
 
-def text_of(node: _Node | None, blocks: list[tuple[_Node, str]]) -> str:
-    """The blocks inside a node that aren't in unwanted parts, one a line."""
+def _mostly_links(node: _Node) -> bool:
+    return 2 * node.text < node.chars
+
+
+def _beside(nodes: list[_Node], best: _Node) -> set[str]:
+    """Paths of the boxes that a page without an article keeps beside the part that holds its best container."""
+    if best.role or best.tag in _PAGE:
+        return set()
+    part = best
+    while part.parent.tag not in _PAGE:
+        part = part.parent
+    return {n.path for n in nodes if n.parent is part.parent and n is not part and not n.skip and n.text and not _mostly_links(n)}
+
+
+def text_of(roots: set[_Node], blocks: list[tuple[_Node, str]]) -> str:
+    """The blocks inside some nodes that aren't in unwanted parts, one a line."""
     out, inside = [], {}
     for holder, text in blocks:
         if holder.skip:
             continue
         if holder not in inside:
             n = holder
-            while n is not None and n is not node:
-                n = n.parent
-            inside[holder] = n is node
+            while n is not None and n not in roots:
+                n = None if n.links else n.parent
+            inside[holder] = n is not None
         if inside[holder]:
             out.append(text)
     return "\n".join(out)
 
 
-def extract(html: str | None, path: str | None = None) -> tuple[str, str | None]:
-    """(main text, path of its container) of a whole page, from ``path`` where the page has it."""
+def _within(node: _Node, other: _Node) -> bool:
+    while node is not None and node is not other:
+        node = node.parent
+    return node is other
+
+
+def extract(html: str | None, path: str | None = None, beside: list[str] | None = None) -> tuple[str, str | None]:
+    """(main text, path of its container) of a whole page, from ``path`` where the page has it, with
+    the boxes whose paths are ``beside`` it on other pages."""
     nodes, blocks = parse(html or "")
     best = best_container(nodes)
-    if path and best is not None and best.path != path:
-        voted = max((n for n in nodes if n.path == path and not n.skip), key=lambda n: n.text, default=None)
-        if voted is not None and voted.text >= 0.5 * best.text:
-            best = voted
     if best is None:  # no container: all wanted blocks
         return "\n".join(t for n, t in blocks if not n.skip), None
-    return text_of(best, blocks), best.path
+    own = {n for n in nodes if n.path == best.path and not n.skip} if best.role else {nodes[0].parent}
+    voted = {n for n in nodes if n.path == path and not n.skip} if path else set()
+    if any(_within(best, n) for n in voted):
+        return text_of(own | voted, blocks), path
+    if any(_within(n, best) for n in voted):
+        return text_of(own | voted, blocks), best.path
+    if voted and sum(n.text for n in voted) >= 0.5 * best.text:
+        return text_of(voted | {n for n in nodes if n.path in (beside or ()) and not n.skip}, blocks), path
+    return text_of(own, blocks), best.path
 
 
 def _votes(batches):
     for batch in batches:
         votes: dict[tuple, int] = defaultdict(int)
         for host, html in zip(batch.column(0), batch.column(1), strict=True):
-            best = best_container(parse(html.as_py() or "")[0])
+            nodes = parse(html.as_py() or "")[0]
+            best = best_container(nodes)
             if best is not None:
-                votes[host.as_py(), best.path] += 1
+                for beside in (None, *_beside(nodes, best)):
+                    votes[host.as_py(), best.path, beside] += 1
+        hosts, paths, near = ([k[i] for k in votes] for i in range(3))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([h for h, _ in votes], pa.string()), pa.array([p for _, p in votes], pa.string()), pa.array(list(votes.values()), pa.int64())], ["host", "path", "votes"]
+            [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(near, pa.string()), pa.array(list(votes.values()), pa.int64())], ["host", "path", "near", "votes"]
         )
 
 
 def _texts(batches):
     for batch in batches:
-        got = [extract(h.as_py(), p.as_py()) for h, p in zip(batch.column(2), batch.column(3), strict=True)]
+        got = [extract(h.as_py(), p.as_py(), b.as_py()) for h, p, b in zip(batch.column(2), batch.column(3), batch.column(4), strict=True)]
         text = [t for t, _ in got]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64()), pa.array([p for _, p in got], pa.string())],
@@ -217,10 +266,15 @@ def _texts(batches):
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, path, votes): the winning container path of each host of pages(url, html)."""
+    """(host, path, votes, beside) of each host of pages(url, html): the winning container path, and
+    the paths of boxes kept beside it on a tenth of the pages that vote for it (so their number is
+    bounded by ten times that on a page)."""
     hosted = pages.select(_host().alias("host"), F.col("html").cast("string").alias("html"))
-    votes = hosted.mapInArrow(_votes, "host string, path string, votes long").groupBy("host", "path").agg(F.sum("votes").alias("votes"))
-    return votes.groupBy("host").agg(F.max(F.struct("votes", "path")).alias("top")).select("host", F.col("top.path").alias("path"), F.col("top.votes").alias("votes"))
+    counted = hosted.mapInArrow(_votes, "host string, path string, near string, votes long").groupBy("host", "path", "near").agg(F.sum("votes").alias("votes"))
+    votes = materialize(counted, "host_votes")
+    top = votes.where("near is null").groupBy("host").agg(F.max(F.struct("votes", "path")).alias("top")).select("host", "top.path", "top.votes")
+    near = votes.where("near is not null").withColumnRenamed("votes", "n").join(top, ["host", "path"]).where("10 * n >= votes").groupBy("host").agg(F.collect_set("near").alias("beside"))
+    return top.join(near, "host", "left")
 
 
 def _host():
@@ -234,7 +288,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     be null or repeat, each row is extracted; an empty table gives an empty result; other columns are
     not read.
     """
-    paths = materialize(host_paths(pages), "host_paths").select("host", "path")
+    paths = materialize(host_paths(pages), "host_paths").select("host", "path", "beside")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), _host().alias("host"))
-    joined = rows.join(paths, "host", "left").select("page_id", "url", "html", "path")
+    joined = rows.join(paths, "host", "left").select("page_id", "url", "html", "path", "beside")
     return joined.mapInArrow(_texts, "page_id long, url string, text string, n_chars long, container string")

@@ -110,6 +110,28 @@ def test_consensus_overrules_one_page():
     assert html.extract(odd, "/html/body/section.gone")[1] == path
 
 
+def test_sections_and_leads_are_kept(spark):
+    def body(word, n=9):
+        return "<div class='body'>" + f"<p>{word} word word, word.</p>" * n + "</div>"
+
+    links = "<div class='more'><ul>" + "<li><a href='/'>linked linked</a></li>" * 3 + "</ul></div>"
+    lead, tail = "<div class='lead'><p>The lead.</p></div>", "<div class='tail'><p>The last section.</p></div>"
+    ones = [(i, "http://a/", page(f"<div class='wrap'>{body(f'one{i}')}</div>")) for i in range(5)]
+    sides = [(20 + i, "http://b/", page(f"{lead}{body('first')}{tail}{links}")) for i in range(5)]
+    rows = [*ones, (10, "http://a/", page(f"<div class='wrap'>{body('first')}{body('second', 8)}</div>")), (11, "http://a/", page(f"<div class='wrap'>{lead}{body('first')}{tail}{links}</div>")), *sides]
+    rows += [(30, "http://b/", page(f"{lead.replace('The lead.', 'The longest lead. ' * 20)}{body('first')}")), (31, "http://b/", page(f"<div class='odd'>{'<p>noise noise noise.</p>' * 12}</div>{body('first')}"))]
+    got = {r.page_id: r.text for r in html.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    first = "\n".join(["first word word, word."] * 9)
+    assert got[0] == first.replace("first", "one0")
+    assert got[10] == first + "\nsecond word word, word." * 8
+    assert got[11] == got[20] == f"The lead.\n{first}\nThe last section."
+    assert got[30] == " ".join(["The longest lead."] * 20) + "\n" + first and got[31] == first
+    inner = f"<main>{body('first', 4)}<article>{body('first', 5)}</article></main>"
+    assert html.extract(inner, "/main/article") == (first, "/main")
+    twice = f"<article>{body('first')}</article><article>{body('second', 2)}</article>"
+    assert html.extract(twice)[0] == first + "\nsecond word word, word." * 2
+
+
 def test_unclosed_and_hostile_markup():
     assert html.extract("<p>" * 3000 + "deep" + "<div>" * 3000 + "deeper")[0].split("\n")[-1] in ("deep", "deeper")
     assert html.extract("<article><p>a < b and c > d<!-- open <p>lost")[0].startswith("a < b")
