@@ -13,7 +13,10 @@ A page's own text is that of all articles (or main elements) on the best one's p
 element it is all that is wanted in the page, but for boxes of links beside the best container.
 
 Menus, adverts, forms, scripts, comments of readers and the like are left out by tag, role and the
-words of class and id.
+words of class and id. A word says nothing with has, with, no, without, enabled, disabled, open or
+closed at it, nor at an element around a main element or the page's least enclosed article or around
+most of the page's unlinked text; words for comments of readers give way to a main element only.
+Where words would leave nothing of a page, they aren't heeded.
 """
 
 from __future__ import annotations
@@ -51,15 +54,18 @@ _SKIP_WORDS = frozenset(
     "recommendations related replies reply respond responses search share sharing sidebar signup skip social sponsor sponsored subscribe "
     "subscription tagcloud teaser toolbar tooltip topbar widget complementary contentinfo alert".split()
 )
+# Those for comments of readers, and words that tell of a part instead of naming it.
+_READERS = frozenset("comment comments commentlist disqus discussion feedback replies reply respond responses".split())
+_BEFORE, _AFTER = frozenset("has with no without".split()), frozenset("enabled disabled open closed".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _DIGITS = re.compile(r"\d+")
 
 
 class _Node:
-    __slots__ = ("chars", "links", "parent", "path", "role", "score", "skip", "tag", "text")
+    __slots__ = ("chars", "links", "main", "named", "parent", "path", "role", "score", "skip", "tag", "text")
 
-    def __init__(self, tag, parent, path, skip):
-        self.tag, self.parent, self.path, self.skip = tag, parent, path, skip
+    def __init__(self, tag, parent, path, skip, named=frozenset()):
+        self.tag, self.parent, self.path, self.skip, self.named, self.main = tag, parent, path, skip, named, False
         self.score, self.text, self.chars, self.role = 0.0, 0, 0, False
         self.links = False  # a box of links beside the best container
 
@@ -69,20 +75,65 @@ def _attrs(s: str) -> dict[str, str]:
 
 
 def _unwanted(tag: str, a: dict[str, str]) -> bool:
-    if tag in _SKIP_TAGS or "hidden" in a or a.get("aria-hidden") == "true":
-        return True
-    if not a:
-        return False
-    if "style" in a and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a["style"], re.I):
-        return True
-    named = f"{a.get('class', '')} {a.get('id', '')} {a.get('role', '')}"
-    return tag not in ("html", "body", "article", "main") and any(w.lower() in _SKIP_WORDS for w in _WORDS.findall(named))
+    return (
+        tag in _SKIP_TAGS or "hidden" in a or a.get("aria-hidden") == "true"
+        or ("style" in a and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", a["style"], re.I) is not None)
+    )
+
+
+def _named(a: dict[str, str]) -> frozenset[str]:
+    """The words of class, id and role that mark what isn't the article."""
+    out = set()
+    for name in f"{a.get('class', '')} {a.get('id', '')} {a.get('role', '')}".split():
+        w = [x.lower() for x in _WORDS.findall(name)]
+        if not _SKIP_WORDS.isdisjoint(w):
+            out.update(x for i, x in enumerate(w) if x in _SKIP_WORDS and not (i and w[i - 1] in _BEFORE) and not (i + 1 < len(w) and w[i + 1] in _AFTER))
+    return frozenset(out)
+
+
+def _heed_names(nodes: list[_Node], worths: list[tuple[_Node, int, int]]) -> None:
+    """Skips what words of class, id and role mark, with all inside."""
+    suspects = {n for n in nodes if n.named and not n.skip and n.tag not in ("html", "body", "article", "main")}
+    if not suspects:
+        return
+    held = dict.fromkeys(suspects, 0)
+    for holder, worth, _ in worths:
+        while holder is not None:
+            if holder in held:
+                held[holder] += worth
+            holder = holder.parent
+    total = sum(worth for _, worth, _ in worths)
+    spared = {n for n in suspects if 2 * held[n] > total and not n.named <= _READERS}
+    articles = []
+    for n in nodes:
+        if n.role and not n.skip and (n.main or not n.named):
+            around, up = [], n if n.main else n.parent
+            while up is not None:
+                if up in suspects:
+                    around.append(up)
+                up = up.parent
+            if n.main:
+                spared.update(around)
+            else:
+                articles.append([u for u in around if u not in spared])
+    least = min(map(len, articles), default=0)
+    for around in articles:
+        if len(around) == least and not any(n.named <= _READERS for n in around):
+            spared.update(around)
+    marked = suspects - spared
+    out = set()
+    for n in nodes:
+        if n in marked or n.parent in out:
+            out.add(n)
+    if any(worth and holder not in out for holder, worth, _ in worths):
+        for n in out:
+            n.skip = True
 
 
 def parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
     """All nodes but inline ones, and the text blocks in page order with the node that holds each."""
     root = _Node("#", None, "", False)
-    stack, nodes, blocks = [root], [], []
+    stack, nodes, blocks, worths = [root], [], [], []
     buf: list[str] = []
     linked = [0, 0]  # characters inside links of the block at hand, depth of links
 
@@ -94,15 +145,7 @@ def parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
                 node = stack[-1]
                 blocks.append((node, text))
                 if not node.skip:
-                    worth = max(0, len(text) - min(len(text), linked[0]))
-                    up = node if node.tag not in _BLOCKS else node.parent
-                    up.score += worth
-                    if up.parent is not None:
-                        up.parent.score += worth / 2
-                    while node is not None:
-                        node.text += worth
-                        node.chars += len(text)
-                        node = node.parent
+                    worths.append((node, max(0, len(text) - min(len(text), linked[0])), len(text)))
         linked[0] = 0
 
     def close(names, barrier=frozenset()):
@@ -145,14 +188,27 @@ def parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
         a = _attrs(m["attrs"])
         parent = stack[-1]
         label = ".".join([tag, *sorted(_DIGITS.sub("", a.get("class", "")).split())])
-        node = _Node(tag, parent, f"{parent.path}/{label}", parent.skip or _unwanted(tag, a))
-        node.role = tag in ("article", "main") or a.get("role") in ("main", "article") or a.get("itemprop") == "articleBody"
+        node = _Node(tag, parent, f"{parent.path}/{label}", parent.skip or _unwanted(tag, a), _named(a) if a else frozenset())
+        node.main = tag == "main" or a.get("role") == "main" or a.get("itemprop") == "articleBody"
+        node.role = node.main or tag == "article" or a.get("role") == "article"
         nodes.append(node)
         if not m["attrs"].endswith("/"):
             stack.append(node)
     if at < len(html):
         buf.append(html[at:])
     flush()
+    _heed_names(nodes, worths)
+    for node, worth, chars in worths:
+        if node.skip:
+            continue
+        up = node if node.tag not in _BLOCKS else node.parent
+        up.score += worth
+        if up.parent is not None:
+            up.parent.score += worth / 2
+        while node is not None:
+            node.text += worth
+            node.chars += chars
+            node = node.parent
     return nodes, blocks
 
 

@@ -132,6 +132,30 @@ def test_sections_and_leads_are_kept(spark):
     assert html.extract(twice)[0] == first + "\nsecond word word, word." * 2
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    ["div class='page has-sidebar'", "div class='content with-nav'", "section class='post share-enabled comments-open'", "div id='noSidebar'", "div class='widget layout'", "div class='sidebar-right'", "div class='wrap' id='search'"],
+)
+def test_words_of_wrappers(wrapper):
+    story = "<h1>Title</h1>" + "<p>word word word, word.</p>" * 9
+    aside = "<div class='sidebar'><p>Side text.</p></div><div class='related'><article><p>Another story.</p></article></div><div class='comments'><article class='comment'><p>I see.</p></article></div>"
+    want, end = "Title" + "\nword word word, word." * 9, wrapper.split()[0]
+    for inner in (story, f"<article>{story}</article>", f"<main>{story}</main>", f"<div role='main'>{story}</div>"):
+        for text in (f"<{wrapper}>{inner}{aside}</{end}>", f"<{wrapper}>{inner}</{end}>{aside}"):
+            if inner is story:  # no other article
+                text = text.replace("<article>", "").replace("</article>", "")
+            assert html.extract(page(text))[0] == want
+    few = f"<div class='with-teaser'>{'<p>Much of another kind.</p>' * 30}</div>"
+    assert html.extract(page(f"<{wrapper}><article>{story}</article></{end}>{few}"))[0].startswith(want)  # around less than most of the text
+
+
+def test_words_that_hold():
+    story, thread = "<p>word word word, word.</p>" * 4, "<p>I disagree with all of this, at length.</p>" * 9
+    for text in (f"<div class='post'>{story}</div><div id='comments'><article>{thread}</article></div>", f"<article>{story}</article><div class='related'><article>{thread[:60]}</article></div>"):
+        assert html.extract(page(text))[0] == "\n".join(["word word word, word."] * 4)
+    assert html.extract(f"<div class='comments'>{thread}</div>")[0].count("disagree") == 9  # nothing else
+
+
 def test_unclosed_and_hostile_markup():
     assert html.extract("<p>" * 3000 + "deep" + "<div>" * 3000 + "deeper")[0].split("\n")[-1] in ("deep", "deeper")
     assert html.extract("<article><p>a < b and c > d<!-- open <p>lost")[0].startswith("a < b")
