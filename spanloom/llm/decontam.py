@@ -4,7 +4,8 @@ A spaced seed is a mask over consecutive tokens: positions marked 1 must agree,
 differ. The masked windows of the benchmark items are hashed; a document window with the same hash
 is a hit, which fixes how item and document lie against each other. On that alignment every window
 of WINDOW tokens (or the whole item, if shorter) is compared: the document leaks the item when some
-window agrees in at least AGREE of its tokens. Items too short for a mask are sought whole.
+window agrees in at least AGREE of its tokens. The masks meet every such window: MASKS those of 12
+to 20 tokens, SHORT (by number of tokens) those of shorter items; tests/llm enumerate all cases.
 
 The benchmark is handled in blocks of at most BLOCK_BYTES of text, each broadcast and set against
 all documents; so what is broadcast is bounded whatever the benchmark's size.
@@ -22,17 +23,23 @@ from pyspark.sql import functions as F
 
 from .text import mix64, words
 
-MASKS = ("1111011", "1101010101", "11001010011", "101100110001")
+MASKS = ("1111011", "1101010101", "11001010011", "101100110001", "110001111")
+SHORT = {
+    1: ("1",), 2: ("11",), 3: ("111",), 4: ("1111",), 5: ("111", "11011"), 6: ("111",), 7: ("111",), 8: ("1111",), 9: ("1111",), 10: ("111",), 11: ("111",)
+}
 WINDOW, AGREE = 20, 0.8
 BLOCK_BYTES = 4 << 20
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-_OFFSETS = [np.flatnonzero([c == "1" for c in m]) for m in MASKS]
-_SPANS = [len(m) for m in MASKS]
-SHORTEST = max(_SPANS)
+# All masks; the place in this list tells their hashes apart.
+_SEEDS = [*MASKS, *sorted({m for ms in SHORT.values() for m in ms})]
+_OFFSETS = [np.flatnonzero([c == "1" for c in m]) for m in _SEEDS]
+SHORTEST = max(map(len, MASKS))
+# Hits that are looked at in one go.
+_HITS = 1 << 20
 
 
-def _keys(ids: np.ndarray, offsets: np.ndarray, tag: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions whose masked tokens are all known (id > 0), and their hashes."""
+def _keys(ids: np.ndarray, mixed: np.ndarray, offsets: np.ndarray, tag: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions whose masked tokens are all known (id > 0), and their hashes; ``mixed`` is mix64 of the ids."""
     n = len(ids) - int(offsets[-1])
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -41,8 +48,8 @@ def _keys(ids: np.ndarray, offsets: np.ndarray, tag: int) -> tuple[np.ndarray, n
         at = at[ids[at + o] > 0]
     acc = np.full(len(at), tag, np.uint64)
     for o in offsets:
-        acc = mix64(acc * _STEP + ids[at + o].astype(np.uint64))
-    return at, acc
+        acc = acc * _STEP + mixed[at + o]
+    return at, mix64(acc)
 
 
 class SeedIndex:
@@ -51,23 +58,27 @@ class SeedIndex:
     def __init__(self, items: list[tuple[int, str | None]]):
         self.vocabulary: dict[bytes, int] = {}
         self.items: list[tuple[int, np.ndarray]] = []
-        found, self.seeds = [], list(zip(_OFFSETS, range(1, len(MASKS) + 1), strict=True))
-        short = set()
+        found, used = [], set()
+        tables: dict[int, list[np.ndarray]] = {}
+        row = []  # place of each short item in the table of its length
         for item_id, text in items:
             toks = words(text)
             if not toks or item_id is None:
                 continue
             ids = np.array([self.vocabulary.setdefault(t, len(self.vocabulary) + 1) for t in toks], np.int64)
-            if len(ids) < SHORTEST:
-                seeds = [(np.arange(len(ids)), 100 + len(ids))]
-                short.add(len(ids))
-            else:
-                seeds = self.seeds[: len(MASKS)]
-            for offsets, tag in seeds:
-                at, keys = _keys(ids, offsets, tag)
+            short = len(ids) < SHORTEST
+            for mask in SHORT[len(ids)] if short else MASKS:
+                tag = _SEEDS.index(mask)
+                used.add(tag)
+                at, keys = _keys(ids, mix64(ids.astype(np.uint64)), _OFFSETS[tag], tag + 1)
                 found += zip(keys.tolist(), repeat(len(self.items)), at.tolist())
+            row.append(len(tables.setdefault(len(ids), [])) if short else -1)
+            if short:
+                tables[len(ids)].append(ids)
             self.items.append((item_id, ids))
-        self.seeds += [(np.arange(n), 100 + n) for n in sorted(short)]
+        self.seeds = sorted(used)
+        self.tables = {n: np.array(t) for n, t in tables.items()}
+        self.row, self.size = np.array(row, np.int64), np.array([len(ids) for _, ids in self.items], np.int64)
         found.sort()
         self.keys = np.array([k for k, _, _ in found], np.uint64)
         self.where = np.array([(i, j) for _, i, j in found], np.int64).reshape(-1, 2)
@@ -79,15 +90,25 @@ class SeedIndex:
         """item id -> most agreeing tokens in a window, of the items that this whole text leaks."""
         toks = words(text)
         ids = np.fromiter(map(self.vocabulary.get, toks, repeat(0)), np.int64, len(toks))
+        mixed = mix64(ids.astype(np.uint64))
         spots = set()
-        for offsets, tag in self.seeds if len(self.keys) else ():
-            at, keys = _keys(ids, offsets, tag)
+        out: dict[int, int] = {}
+        for tag in self.seeds:
+            at, keys = _keys(ids, mixed, _OFFSETS[tag], tag + 1)
             near = self.maybe[(keys >> np.uint64(64 - self.bits)).astype(np.int64)]
             at, keys = at[near], keys[near]
-            lo, hi = np.searchsorted(self.keys, keys, "left"), np.searchsorted(self.keys, keys, "right")
-            for p, a, b in zip(at[lo < hi].tolist(), lo[lo < hi].tolist(), hi[lo < hi].tolist(), strict=True):
-                spots.update((int(i), p - int(j)) for i, j in self.where[a:b])
-        out: dict[int, int] = {}
+            lo = np.searchsorted(self.keys, keys, "left")
+            n = np.searchsorted(self.keys, keys, "right") - lo
+            at, lo, n = at[n > 0], lo[n > 0], n[n > 0]
+            step = max(1, _HITS // int(n.max(initial=1)))
+            for s in range(0, len(at), step):
+                c = n[s : s + step]
+                item, start = self.where[np.repeat(lo[s : s + step] - np.cumsum(c) + c, c) + np.arange(c.sum())].T
+                shift = np.repeat(at[s : s + step], c) - start
+                if tag < len(MASKS):
+                    spots.update(zip(item.tolist(), shift.tolist(), strict=True))
+                else:
+                    self._whole(ids, item, shift, out)
         for i, shift in spots:
             item_id, item = self.items[i]
             a, b = max(0, -shift), min(len(item), len(ids) - shift)
@@ -100,6 +121,17 @@ class SeedIndex:
                 out[item_id] = max(best, out.get(item_id, 0))
         return out
 
+    def _whole(self, ids: np.ndarray, item: np.ndarray, shift: np.ndarray, out: dict[int, int]) -> None:
+        """Adds the short items that lie whole in a text at these shifts and agree with it."""
+        sizes = self.size[item]
+        for size in np.unique(sizes).tolist():
+            on = (sizes == size) & (shift >= 0) & (shift <= len(ids) - size)
+            here, at = item[on], shift[on]
+            agree = (ids[at[:, None] + np.arange(size)] == self.tables[size][self.row[here]]).sum(1)
+            ok = agree >= math.ceil(AGREE * size - 1e-9)
+            for i, best in zip(here[ok].tolist(), agree[ok].tolist(), strict=True):
+                out[self.items[i][0]] = max(best, out.get(self.items[i][0], 0))
+
 
 def _scan(index):
     def run(batches):

@@ -33,8 +33,7 @@ def groups_by_brute_force(rows, k, percent):
 
 
 def leaked_by_brute_force(text, items):
-    """Ids of the items that agree with the text in 80 % of some 20 words (or of a shorter item); items
-    too short for a mask only whole."""
+    """Ids of the items that agree with the text in 80 % of some 20 words (or of a shorter item)."""
     d = re.findall(r"[a-z0-9\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     out = set()
     for item_id, t in items:
@@ -42,11 +41,7 @@ def leaked_by_brute_force(text, items):
         n = min(20, len(w))
         if item_id is None or not w:
             continue
-        if len(w) < 12:
-            hit = any(d[x : x + n] == w for x in range(len(d)))
-        else:
-            same = np.array(w)[:, None] == np.array(d or [""])[None]  # every alignment is a diagonal
-            hit = any(np.convolve(same.diagonal(k), np.ones(n), "valid").max(initial=0) >= 0.8 * n - 1e-9 for k in range(-len(w), len(d)) if len(same.diagonal(k)) >= n)
-        if hit:
+        same = np.array(w)[:, None] == np.array(d or [""])[None]  # every alignment is a diagonal
+        if any(np.convolve(same.diagonal(k), np.ones(n), "valid").max(initial=0) >= 0.8 * n - 1e-9 for k in range(-len(w), len(d)) if len(same.diagonal(k)) >= n):
             out.add(item_id)
     return sorted(out)

@@ -271,6 +271,31 @@ def test_leaks_equal_brute_force(spark):
     assert decontam.find_leaks(table, bench.limit(0)).where("best > 0").count() == 0 and decontam.find_leaks(table.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("n", range(1, 21))
+def test_every_allowed_substitution_is_found(n):
+    import itertools
+
+    allowed = n - -(-8 * n // 10)
+    item = [f"t{i}" for i in range(n)]
+    index = decontam.SeedIndex([(7, " ".join(item))])
+    for gone in itertools.combinations(range(n), allowed):
+        text = " ".join("other" if i in gone else t for i, t in enumerate(item))
+        assert index.leaks(f"before {text} after") == {7: n - allowed}
+    for gone in itertools.combinations(range(n), allowed + 1) if n < 12 else ():
+        assert index.leaks("before " + " ".join("other" if i in gone else t for i, t in enumerate(item))) == {}
+
+
+def test_short_items_equal_brute_force(monkeypatch):
+    rng = random.Random(11)
+    items = [(i, words(rng, 1 + i % 24, 9)) for i in range(90)]
+    texts = [words(rng, rng.randrange(60), 9) for _ in range(60)]
+    index = decontam.SeedIndex(items)
+    got = [sorted(index.leaks(t)) for t in texts]
+    assert got == [leaked_by_brute_force(t, items) for t in texts]
+    monkeypatch.setattr(decontam, "_HITS", 5)
+    assert got == [sorted(index.leaks(t)) for t in texts]
+
+
 def test_leaks_in_blocks(spark, monkeypatch):
     rng = random.Random(10)
     items = [(i, words(rng, 30, 900)) for i in range(20)]
