@@ -133,29 +133,33 @@ class SeedIndex:
                 out[self.items[i][0]] = max(best, out.get(self.items[i][0], 0))
 
 
-def _scan(index):
+def _scan(index, first, last):
+    """Rows (row_key, text, items, best) with a block's leaks added to the blocks' before; no items
+    and best come in with the first block, and no text goes out with the last."""
+
     def run(batches):
         seeds = index.value
         for batch in batches:
             items, best = [], []
-            for text in batch.column(1):
+            for i, text in enumerate(batch.column(1)):
                 found = seeds.leaks(text.as_py())
-                items.append(sorted(found))
-                best.append(max(found.values(), default=0))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(items, pa.list_(pa.int64())), pa.array(best, pa.int64())], ["row_key", "items", "best"]
-            )
+                items.append(sorted(found) if first else sorted({*batch.column(2)[i].as_py(), *found}))
+                best.append(max([*found.values(), 0 if first else batch.column(3)[i].as_py()]))
+            out = {"row_key": batch.column(0), "text": batch.column(1), "items": pa.array(items, pa.list_(pa.int64())), "best": pa.array(best, pa.int64())}
+            if last:
+                del out["text"]
+            yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
 
     return run
 
 
 def _blocks(benchmark: DataFrame):
-    """Benchmark items as lists of (item_id, text) of bounded size, copies of a text once."""
+    """(is it the last, list of (item_id, text) of bounded size) of the benchmark's items."""
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(1.5 * size / BLOCK_BYTES) if size > BLOCK_BYTES else 1)
     for b in range(n):
-        yield [(r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).collect()]
+        yield b == n - 1, [(r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).collect()]
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -165,28 +169,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> Da
     Null and empty texts leak nothing; items with null id or text or no word are passed over; an
     empty benchmark leaks nothing; repeated rows are each reported; other columns are not read.
     """
-    rows = docs.select(F.col(key).cast("long").alias("row_key"), F.col("text").cast("string").alias("text"))
-    parts = [
-        rows.mapInArrow(_scan(docs.sparkSession.sparkContext.broadcast(SeedIndex(block))), "row_key long, items array<long>, best long")
-        for block in _blocks(benchmark)
-    ]
-    if len(parts) == 1:
-        return parts[0].withColumnRenamed("row_key", key)
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.union(p)
-    found = every.where("best > 0").groupBy("row_key").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.max("best").alias("best")
-    )
-    return rows.select("row_key").join(found, "row_key", "left").select(
-        F.col("row_key").alias(key), F.coalesce("items", F.array().cast("array<long>")).alias("items"), F.coalesce("best", F.lit(0).cast("long")).alias("best")
-    )
+    out = docs.select(F.col(key).cast("long").alias("row_key"), F.col("text").cast("string").alias("text"))
+    for last, block in _blocks(benchmark):
+        index = docs.sparkSession.sparkContext.broadcast(SeedIndex(block))
+        out = out.mapInArrow(_scan(index, len(out.columns) == 2, last), "row_key long, " + ("" if last else "text string, ") + "items array<long>, best long")
+    return out.withColumnRenamed("row_key", key)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the rows that leak a benchmark item; same columns, all other rows kept."""
     spark, out = docs.sparkSession, docs
-    for block in _blocks(benchmark):
+    for _, block in _blocks(benchmark):
         index = spark.sparkContext.broadcast(SeedIndex(block))
         out = out.mapInArrow(_clean(index), docs.schema)
     return out

@@ -304,3 +304,14 @@ def test_leaks_in_blocks(spark, monkeypatch):
     whole = sorted((r.doc_id, list(r["items"])) for r in decontam.find_leaks(table, bench).collect())
     monkeypatch.setattr(decontam, "BLOCK_BYTES", 500)
     assert sorted((r.doc_id, list(r["items"])) for r in decontam.find_leaks(table, bench).collect()) == whole == [(i, [i]) for i in range(20)]
+
+
+def test_odd_rows_in_blocks(spark, monkeypatch):
+    rng = random.Random(12)
+    items = [(i, words(rng, 30, 900)) for i in range(20)]
+    rows = [(None, items[0][1]), (None, items[1][1] + " " + items[2][1]), (None, None), (3, items[3][1]), (3, items[4][1]), (3, items[3][1]), (3, "x"), (4, items[5][1] + " and " + items[19][1][: items[19][1].rindex(" ")])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = lambda: sorted((repr(r.doc_id), list(r["items"]), r.best) for r in decontam.find_leaks(docs(spark, rows), bench).collect())
+    whole = found()
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 500)
+    assert found() == whole == sorted([("None", [0], 20), ("None", [1, 2], 20), ("None", [], 0), ("3", [3], 20), ("3", [4], 20), ("3", [3], 20), ("3", [], 0), ("4", [5, 19], 20)])
