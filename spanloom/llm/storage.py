@@ -11,9 +11,13 @@ _DIR_KEY = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a new one only where that is unset (local mode)."""
+    """The folder named by spark.checkpoint.dir. Where that is unset a local master gets a new
+    temporary folder; on a cluster this is an error, since executors wouldn't see each other's files."""
     found = spark.conf.get(_DIR_KEY, None) or spark.sparkContext.getConf().get(_DIR_KEY)
     if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set {_DIR_KEY} to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="spanloom-")
         spark.conf.set(_DIR_KEY, found)
     return found.rstrip("/")
@@ -23,6 +27,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage ends here, and a lost
     executor costs a re-read instead of a recomputation."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/spanloom-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder = f"{shared_dir(spark)}/spanloom-{uuid.uuid4().hex}"
+    df.write.parquet(f"{folder}/{name}")
+    out = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+    out._spanloom_folder = folder
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that materialize returned and that nothing still to be run reads."""
+    for table in tables:
+        sc = table.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(table._spanloom_folder)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

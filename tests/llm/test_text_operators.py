@@ -156,6 +156,26 @@ def test_repeats_equal_brute_force(spark):
     assert repeats.repeated_spans(docs(spark, rows).limit(0)).count() == 0
 
 
+def test_equal_rolling_hashes_are_not_equal_strings(spark):
+    # the Thue-Morse word and its complement have one polynomial hash modulo 2**64
+    turns = [bin(i).count("1") & 1 for i in range(1024)]
+    one, other = ("".join(letters[t] for t in turns) for letters in ("ac", "ca"))
+    values = [repeats.window_hashes([repeats.zstandard.compress(t.encode())], [np.array([[0, 1, 0]]).tobytes()], 1024)[0, 0] for t in (one, other)]
+    assert values[0] == values[1] and one != other
+    got = repeats.repeated_spans(docs(spark, [(1, one), (2, other), (3, one + "x")]), 1024).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in got) == [(1, 1024), (2, 0), (3, 1024)]
+
+
+def test_longest_shared_run(spark):
+    rng = random.Random(14)
+    passage = words(rng, 60, 5000)  # below 400 bytes: it stays, but is told of
+    rows = [(i, words(rng, 100, 5000) + " " + (passage if i < 3 else "") + " " + words(rng, 100, 5000)) for i in range(9)] + [(20, "short copy of some words"), (21, "short copy of some words")]
+    got = {r.doc_id: (r.n_removed, r.longest_shared) for r in repeats.repeated_spans(docs(spark, rows)).collect()}
+    assert all(got[i][0] == 0 for i in got)
+    assert all(0 < got[i][1] <= len(passage) + 2 for i in range(3)) and all(got[i][1] == 0 for i in range(3, 9))
+    assert got[20][1] == got[21][1] == 24
+
+
 # media
 def test_gif_round_trip(spark):
     rows = [(1, "hello"), (2, "hello"), (3, "é" * 5000), (4, words(random.Random(6), 30_000)), *ODD]
