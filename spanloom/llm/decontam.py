@@ -1,194 +1,234 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 A spaced seed is a mask over consecutive tokens: positions marked 1 must agree, the others may
-differ. The masked windows of the benchmark items are hashed; a document window with the same hash
-is a hit, which fixes how item and document lie against each other. On that alignment every window
-of WINDOW tokens (or the whole item, if shorter) is compared: the document leaks the item when some
-window agrees in at least AGREE of its tokens. The masks meet every such window: MASKS those of 12
-to 20 tokens, SHORT (by number of tokens) those of shorter items; tests/llm enumerate all cases.
-
-The benchmark is handled in blocks of at most BLOCK_BYTES of text, each broadcast and set against
-all documents; so what is broadcast is bounded whatever the benchmark's size.
+differ. The masked windows of the benchmark items are hashed into a table of seeds; document windows
+with the same hash join it. Such a hit fixes how item and document lie against each other, and both
+sides bring the tokens around the seed: the document leaks the item when some window of WINDOW
+tokens there (or the whole item, if shorter) agrees in at least AGREE of its tokens. The masks meet
+every such window: MASKS those of 12 to 20 tokens, SHORT (by number of tokens) those of shorter
+items; tests/llm enumerate all cases.
+
+The documents are read in one pass whatever the benchmark's size. A Bloom filter of the seeds' hashes,
+of at most 2**FILTER_BITS bits, keeps windows from the join that meet no seed; where a benchmark is so
+large that the filter fills, more windows reach the join, which settles them. Leaks depend on the text
+alone, so they are found per distinct text and copies of a text share them.
 """
 
 from __future__ import annotations
 
 import math
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import mix64, words
+from .storage import materialize, release
+from .text import WORD_BYTES, SpanHasher, chunks, mix64
 
 MASKS = ("1111011", "1101010101", "11001010011", "101100110001", "110001111")
 SHORT = {
     1: ("1",), 2: ("11",), 3: ("111",), 4: ("1111",), 5: ("111", "11011"), 6: ("111",), 7: ("111",), 8: ("1111",), 9: ("1111",), 10: ("111",), 11: ("111",)
 }
 WINDOW, AGREE = 20, 0.8
-BLOCK_BYTES = 4 << 20
+LEAST_BITS, FILTER_BITS = 24, 29
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 # All masks; the place in this list tells their hashes apart.
 _SEEDS = [*MASKS, *sorted({m for ms in SHORT.values() for m in ms})]
 _OFFSETS = [np.flatnonzero([c == "1" for c in m]) for m in _SEEDS]
+#: Masks that only items of their own length have: the seed is the whole item, what is around it doesn't matter.
+_WHOLE = frozenset(_SEEDS.index(m) for m in ("1", "11"))
 SHORTEST = max(map(len, MASKS))
-# Hits that are looked at in one go.
-_HITS = 1 << 20
-
-
-def _keys(ids: np.ndarray, mixed: np.ndarray, offsets: np.ndarray, tag: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions whose masked tokens are all known (id > 0), and their hashes; ``mixed`` is mix64 of the ids."""
-    n = len(ids) - int(offsets[-1])
+_HASHER = SpanHasher(seed=31)
+#: Tokens kept with a hit: WINDOW - 1 before the seed's start, and as many after the longest seed.
+_BEFORE, _AROUND = WINDOW - 1, 2 * (WINDOW - 1) + SHORTEST
+_BLOCKS, _CHUNK = 4096, 1 << 19
+
+
+def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit values (never 0) of the words of some texts that lie one behind the other in ``data``, and
+    the text of each. Words are lower-cased runs of ASCII letters, digits and bytes above 127."""
+    low = np.frombuffer(data.tobytes().translate(WORD_BYTES), np.uint8)
+    inside = low != 32
+    starts, ends = inside.copy(), inside.copy()
+    starts[1:] &= ~inside[:-1]
+    ends[:-1] &= ~inside[1:]
+    edge = offsets[:-1][offsets[:-1] < offsets[1:]]  # texts that aren't empty
+    starts[edge] = inside[edge]
+    ends[edge[1:] - 1] = inside[edge[1:] - 1]
+    a, b = np.flatnonzero(starts), np.flatnonzero(ends) + 1
+    values = mix64(_HASHER.spans(_HASHER.prefix(low), a, b) + (b - a).astype(np.uint64) * _STEP)
+    return np.maximum(values, np.uint64(1)), np.searchsorted(offsets, a, "right") - 1
+
+
+def seeds_of(values: np.ndarray, text: np.ndarray, tag: int, maybe=None) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of a mask's windows that lie in one text each, and their hashes; only those that
+    ``maybe`` lets through."""
+    n = len(values) - int(_OFFSETS[tag][-1])
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    at = np.arange(n)
-    for o in offsets:
-        at = at[ids[at + o] > 0]
-    acc = np.full(len(at), tag, np.uint64)
-    for o in offsets:
-        acc = acc * _STEP + mixed[at + o]
-    return at, mix64(acc)
-
-
-class SeedIndex:
-    """The masked windows of some benchmark items, sorted by hash."""
-
-    def __init__(self, items: list[tuple[int, str | None]]):
-        self.vocabulary: dict[bytes, int] = {}
-        self.items: list[tuple[int, np.ndarray]] = []
-        found, used = [], set()
-        tables: dict[int, list[np.ndarray]] = {}
-        row = []  # place of each short item in the table of its length
-        for item_id, text in items:
-            toks = words(text)
-            if not toks or item_id is None:
-                continue
-            ids = np.array([self.vocabulary.setdefault(t, len(self.vocabulary) + 1) for t in toks], np.int64)
-            short = len(ids) < SHORTEST
-            for mask in SHORT[len(ids)] if short else MASKS:
-                tag = _SEEDS.index(mask)
-                used.add(tag)
-                at, keys = _keys(ids, mix64(ids.astype(np.uint64)), _OFFSETS[tag], tag + 1)
-                found += zip(keys.tolist(), repeat(len(self.items)), at.tolist())
-            row.append(len(tables.setdefault(len(ids), [])) if short else -1)
-            if short:
-                tables[len(ids)].append(ids)
-            self.items.append((item_id, ids))
-        self.seeds = sorted(used)
-        self.tables = {n: np.array(t) for n, t in tables.items()}
-        self.row, self.size = np.array(row, np.int64), np.array([len(ids) for _, ids in self.items], np.int64)
-        found.sort()
-        self.keys = np.array([k for k, _, _ in found], np.uint64)
-        self.where = np.array([(i, j) for _, i, j in found], np.int64).reshape(-1, 2)
-        self.bits = max(16, int(math.log2(len(found) + 1)) + 4)
-        self.maybe = np.zeros(1 << self.bits, bool)
-        self.maybe[(self.keys >> np.uint64(64 - self.bits)).astype(np.int64)] = True
-
-    def leaks(self, text: str | None) -> dict[int, int]:
-        """item id -> most agreeing tokens in a window, of the items that this whole text leaks."""
-        toks = words(text)
-        ids = np.fromiter(map(self.vocabulary.get, toks, repeat(0)), np.int64, len(toks))
-        mixed = mix64(ids.astype(np.uint64))
-        spots = set()
-        out: dict[int, int] = {}
-        for tag in self.seeds:
-            at, keys = _keys(ids, mixed, _OFFSETS[tag], tag + 1)
-            near = self.maybe[(keys >> np.uint64(64 - self.bits)).astype(np.int64)]
-            at, keys = at[near], keys[near]
-            lo = np.searchsorted(self.keys, keys, "left")
-            n = np.searchsorted(self.keys, keys, "right") - lo
-            at, lo, n = at[n > 0], lo[n > 0], n[n > 0]
-            step = max(1, _HITS // int(n.max(initial=1)))
-            for s in range(0, len(at), step):
-                c = n[s : s + step]
-                item, start = self.where[np.repeat(lo[s : s + step] - np.cumsum(c) + c, c) + np.arange(c.sum())].T
-                shift = np.repeat(at[s : s + step], c) - start
-                if tag < len(MASKS):
-                    spots.update(zip(item.tolist(), shift.tolist(), strict=True))
-                else:
-                    self._whole(ids, item, shift, out)
-        for i, shift in spots:
-            item_id, item = self.items[i]
-            a, b = max(0, -shift), min(len(item), len(ids) - shift)
-            window = min(WINDOW, len(item))
-            if b - a < window:
-                continue
-            agree = np.concatenate(([0], np.cumsum(item[a:b] == ids[a + shift : b + shift])))
-            best = int((agree[window:] - agree[:-window]).max())
-            if best >= math.ceil(AGREE * window - 1e-9):
-                out[item_id] = max(best, out.get(item_id, 0))
-        return out
-
-    def _whole(self, ids: np.ndarray, item: np.ndarray, shift: np.ndarray, out: dict[int, int]) -> None:
-        """Adds the short items that lie whole in a text at these shifts and agree with it."""
-        sizes = self.size[item]
-        for size in np.unique(sizes).tolist():
-            on = (sizes == size) & (shift >= 0) & (shift <= len(ids) - size)
-            here, at = item[on], shift[on]
-            agree = (ids[at[:, None] + np.arange(size)] == self.tables[size][self.row[here]]).sum(1)
-            ok = agree >= math.ceil(AGREE * size - 1e-9)
-            for i, best in zip(here[ok].tolist(), agree[ok].tolist(), strict=True):
-                out[self.items[i][0]] = max(best, out.get(self.items[i][0], 0))
-
-
-def _scan(index, first, last):
-    """Rows (row_key, text, items, best) with a block's leaks added to the blocks' before; no items
-    and best come in with the first block, and no text goes out with the last."""
+    acc = np.full(n, tag + 1, np.uint64)
+    for o in _OFFSETS[tag]:
+        acc *= _STEP
+        acc += values[o : o + n]
+    acc = mix64(acc)
+    at = np.arange(n) if maybe is None else maybe(acc)
+    at = at[text[at] == text[at + int(_OFFSETS[tag][-1])]]
+    return at, acc[at]
+
+
+def around(values: np.ndarray, text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The tokens around some positions, one row each; 0 where the text has none."""
+    where = at[:, None] + np.arange(-_BEFORE, _AROUND - _BEFORE)
+    held = np.clip(where, 0, len(values) - 1)
+    return np.where((where == held) & (text[held] == text[at][:, None]), values[held], np.uint64(0))
+
+
+def agreement(doc: np.ndarray, item: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """For each pair of surroundings: the most tokens in which a window agrees that lies in both texts,
+    or 0 where no window agrees enough; ``size`` is the item's number of tokens."""
+    both = (doc != 0) & (item != 0)
+    same, best = both & (doc == item), np.zeros(len(size), np.int64)
+    for n in np.unique(np.minimum(size, WINDOW)).tolist():
+        on = np.flatnonzero(np.minimum(size, WINDOW) == n)
+        run = lambda x: np.cumsum(np.pad(x[on].astype(np.int16), ((0, 0), (1, 0))), axis=1)
+        here, good = run(both), run(same)
+        whole = here[:, n:] - here[:, :-n] == n
+        most = np.where(whole, good[:, n:] - good[:, :-n], 0).max(axis=1)
+        best[on] = np.where(most >= math.ceil(AGREE * n - 1e-9), most, 0)
+    return best
+
+
+class SeedFilter:
+    """A Bloom filter in _BLOCKS blocks of equal size: the top bits of a hash name its block, three
+    other parts of it a bit each in there."""
+
+    def __init__(self, blocks: dict[int, bytes], bits: int):
+        self.block = (1 << bits) // _BLOCKS
+        empty = bytes(self.block // 8)
+        self.data = np.frombuffer(b"".join(blocks.get(i, empty) for i in range(_BLOCKS)), np.uint8)
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        """Positions of the hashes that may be in."""
+        at = None
+        for shift in (0, 17, 34):
+            h = hashes if at is None else hashes[at]
+            i = (h >> np.uint64(52)) * np.uint64(self.block) + (h >> np.uint64(shift) & np.uint64(self.block - 1))
+            hit = np.flatnonzero(self.data[(i >> np.uint64(3)).astype(np.int64)] >> (i & np.uint64(7)).astype(np.uint8) & 1)
+            at = hit if at is None else at[hit]
+        return at
+
+
+def _bits_of(block: int):
+    def run(df):
+        h, bits = df["h"].to_numpy().view(np.uint64), np.zeros(block, np.uint8)
+        for shift in (0, 17, 34):
+            bits[(h >> np.uint64(shift) & np.uint64(block - 1)).astype(np.int64)] = 1
+        return df.iloc[:1][["b"]].assign(bits=[np.packbits(bits, bitorder="little").tobytes()])
+
+    return run
 
+
+def _item_seeds(batches):
+    for batch in batches:
+        out = {k: [] for k in ("h", "tag", "size", "item_tokens")}
+        rows = []
+        for first, data, offsets in chunks(batch.column(1), _CHUNK):
+            values, text = tokens(data, offsets)
+            size = np.bincount(text, minlength=len(offsets) - 1)
+            for tag, mask in enumerate(_SEEDS):
+                at, h = seeds_of(values, text, tag)
+                n = size[text[at]]
+                fits = n >= SHORTEST if tag < len(MASKS) else np.isin(n, [k for k, ms in SHORT.items() if mask in ms])
+                fits = fits if tag < len(MASKS) else fits & (n < SHORTEST)
+                at, h, n = at[fits], h[fits], n[fits]
+                rows.append(first + text[at])
+                out["h"].append(h.view(np.int64))
+                out["tag"].append(np.full(len(at), tag, np.int32))
+                out["size"].append(n.astype(np.int64))
+                out["item_tokens"] += [r.tobytes() for r in around(values, text, at)]
+        ids = batch.column(0).take(pa.array(np.concatenate(rows))) if rows else batch.column(0).slice(0, 0)
+        joined = [np.concatenate(out[k]) if rows else np.zeros(0, t) for k, t in (("h", np.int64), ("tag", np.int32), ("size", np.int64))]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, joined), ids, pa.array(out["item_tokens"], pa.binary())], ["h", "tag", "size", "item_id", "item_tokens"])
+
+
+def _hits(maybe, tags):
     def run(batches):
-        seeds = index.value
+        seen: set[bytes] = set()  # texts with hits that this task has sent
         for batch in batches:
-            items, best = [], []
-            for i, text in enumerate(batch.column(1)):
-                found = seeds.leaks(text.as_py())
-                items.append(sorted(found) if first else sorted({*batch.column(2)[i].as_py(), *found}))
-                best.append(max([*found.values(), 0 if first else batch.column(3)[i].as_py()]))
-            out = {"row_key": batch.column(0), "text": batch.column(1), "items": pa.array(items, pa.list_(pa.int64())), "best": pa.array(best, pa.int64())}
-            if last:
-                del out["text"]
-            yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
+            for first, data, offsets in chunks(batch.column(1), _CHUNK):
+                values, text = tokens(data, offsets)
+                rows, hashes, near = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+                for tag in tags:
+                    at, h = seeds_of(values, text, tag, maybe.value)
+                    if tag in _WHOLE:  # one hit a text and seed tells as much as all
+                        once = np.unique(np.stack([text[at].astype(np.uint64), h]), axis=1, return_index=True)[1]
+                        at, h = at[once], h[once]
+                    rows.append(text[at])
+                    hashes.append(h.view(np.int64))
+                    near += [r.tobytes() for r in around(values, text, at)]
+                keys = batch.column(0).take(pa.array(first + np.concatenate(rows)))
+                new = {k: k not in seen for k in set(keys.to_pylist())}
+                seen.update(new)
+                out = pa.RecordBatch.from_arrays([keys, pa.array(np.concatenate(hashes)), pa.array(near, pa.binary())], ["text_key", "h", "tokens"])
+                yield out.filter(pa.array([new[k] for k in keys.to_pylist()], pa.bool_()))
 
     return run
 
 
-def _blocks(benchmark: DataFrame):
-    """(is it the last, list of (item_id, text) of bounded size) of the benchmark's items."""
+def _verified(batches):
+    for batch in batches:
+        get = lambda n: batch.column(batch.schema.get_field_index(n))
+        table = lambda n: np.frombuffer(b"".join(get(n).to_pylist()), np.uint64).reshape(-1, _AROUND)
+        best = agreement(table("tokens"), table("item_tokens"), get("size").to_numpy())
+        good = pa.array(best > 0)
+        yield pa.RecordBatch.from_arrays([get("text_key").filter(good), get("item_id").filter(good), pa.array(best[best > 0])], ["text_key", "item_id", "best"])
+
+
+def _text_key():
+    return F.unhex(F.substring(F.sha2(F.col("text").cast("string"), 256), 1, 32))
+
+
+def leaking_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(text_key, items, best) of the distinct texts of docs that leak an item; text_key is the first
+    half of the text's SHA-256. The table is written."""
+    spark = docs.sparkSession
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, math.ceil(1.5 * size / BLOCK_BYTES) if size > BLOCK_BYTES else 1)
-    for b in range(n):
-        yield b == n - 1, [(r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).collect()]
+    seeds = materialize(items.mapInArrow(_item_seeds, "h long, tag int, size long, item_id long, item_tokens binary").distinct(), "seeds")
+    n = seeds.count()
+    bits = min(FILTER_BITS, max(LEAST_BITS, math.ceil(math.log2(64 * n + 1))))
+    named = seeds.select("h", F.shiftrightunsigned("h", 52).alias("b")).distinct()
+    blocks = named.groupBy("b").applyInPandas(_bits_of((1 << bits) // _BLOCKS), "b long, bits binary").collect()  # at most 2**FILTER_BITS bits
+    maybe = spark.sparkContext.broadcast(SeedFilter({r.b: bytes(r.bits) for r in blocks}, bits))
+    tags = sorted(r.tag for r in seeds.select("tag").distinct().collect())
+    texts = docs.where("text is not null").select(_text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
+    hits = texts.mapInArrow(_hits(maybe, tags), "text_key binary, h long, tokens binary")
+    # (both sides grow with their tables, so Spark picks the join by their sizes)
+    pairs = hits.join(seeds, "h").mapInArrow(_verified, "text_key binary, item_id long, best long")
+    found = pairs.groupBy("text_key", "item_id").agg(F.max("best").alias("best"))
+    leaks = materialize(found.groupBy("text_key").agg(F.sort_array(F.collect_list("item_id")).alias("items"), F.max("best").alias("best")), "leaks")
+    release(seeds)
+    return leaks
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, items, best) of every row of docs: the sorted ids of leaked items, and the most
     agreeing tokens in one window.
 
-    Null and empty texts leak nothing; items with null id or text or no word are passed over; an
-    empty benchmark leaks nothing; repeated rows are each reported; other columns are not read.
+    Null and empty texts leak nothing; items with null id or text or no word are passed over; rows of
+    the benchmark that share an id count as one item; an empty benchmark leaks nothing; repeated rows
+    of docs are each reported; other columns are not read.
     """
-    out = docs.select(F.col(key).cast("long").alias("row_key"), F.col("text").cast("string").alias("text"))
-    for last, block in _blocks(benchmark):
-        index = docs.sparkSession.sparkContext.broadcast(SeedIndex(block))
-        out = out.mapInArrow(_scan(index, len(out.columns) == 2, last), "row_key long, " + ("" if last else "text string, ") + "items array<long>, best long")
-    return out.withColumnRenamed("row_key", key)
+    leaks = leaking_texts(docs, benchmark)
+    rows = docs.select(F.col(key).cast("long").alias(key), _text_key().alias("text_key"))
+    return rows.join(leaks, "text_key", "left").select(key, F.coalesce("items", F.array().cast("array<long>")).alias("items"), F.coalesce("best", F.lit(0).cast("long")).alias("best"))
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the rows that leak a benchmark item; same columns, all other rows kept."""
-    spark, out = docs.sparkSession, docs
-    for _, block in _blocks(benchmark):
-        index = spark.sparkContext.broadcast(SeedIndex(block))
-        out = out.mapInArrow(_clean(index), docs.schema)
-    return out
-
+    """docs without the rows that leak a benchmark item; same columns, all other rows kept.
 
-def _clean(index):
-    def run(batches):
-        for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text"))
-            yield batch.filter(pa.array([not index.value.leaks(t.as_py()) for t in texts], pa.bool_()))
-
-    return run
+    Rows with null or empty text stay; null ids and repeated rows make no difference; columns of any
+    name are kept; an empty table or an empty benchmark drops nothing.
+    """
+    leaks = leaking_texts(docs, benchmark).select("text_key")
+    return docs.join(leaks, _text_key() == leaks.text_key, "left_anti")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 
 #: ASCII letters and digits, lower-cased; every other ASCII byte separates words; bytes >= 128 are kept.
 WORD_BYTES = bytes(
@@ -15,6 +18,22 @@ def encode(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
+def chunks(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Runs of texts of about ``size`` bytes (a longer text alone) of a string column: the first row,
+    the texts' UTF-8 bytes one behind the other, and where in them each text starts, and the end.
+    Nulls are empty."""
+    if not len(column):
+        return
+    column = column.fill_null("") if column.null_count else column
+    ends = np.frombuffer(column.buffers()[1], np.int64 if pa.types.is_large_string(column.type) else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] is not None else np.zeros(0, np.uint8)
+    a = 0
+    while a < len(column):
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + size, "right")) - 1)
+        yield a, data[ends[a] : ends[b]], ends[a : b + 1] - ends[a]
+        a = b
+
+
 def words(text: str | None) -> list[bytes]:
     """Lower-cased runs of ASCII letters, digits and non-ASCII characters."""
     return encode(text).translate(WORD_BYTES).split()

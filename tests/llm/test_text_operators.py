@@ -2,17 +2,22 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
+import types
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from brute import groups_by_brute_force, leaked_by_brute_force, sets_by_brute_force
 from spanloom.llm import decontam, gif, langid, minhash, pii, repeats, toxicity
 from spanloom.llm.components import connected_components
+from spanloom.llm.text import chunks
+from spanloom.llm.text import words as word_list
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, score double"
 
@@ -291,47 +296,65 @@ def test_leaks_equal_brute_force(spark):
     assert decontam.find_leaks(table, bench.limit(0)).where("best > 0").count() == 0 and decontam.find_leaks(table.limit(0), bench).count() == 0
 
 
+def leaks_without_spark(items, texts):
+    """[{item id: best}] of some texts, by the operator's own steps on Arrow batches."""
+    seeds = pa.Table.from_batches(decontam._item_seeds([pa.record_batch([pa.array([i for i, _ in items]), pa.array([t for _, t in items])], ["item_id", "text"])])).to_pandas()
+    every = types.SimpleNamespace(value=lambda h: np.arange(len(h)))
+    keys = pa.array([b"%d" % i for i in range(len(texts))], pa.binary())
+    hits = pa.Table.from_batches(decontam._hits(every, sorted(set(seeds.tag)))([pa.record_batch([keys, pa.array(texts)], ["text_key", "text"])])).to_pandas()
+    pairs = pa.RecordBatch.from_pandas(hits.merge(seeds, on="h"))
+    out = [{} for _ in texts]
+    for r in pa.Table.from_batches(decontam._verified([pairs])).to_pylist():
+        found = out[int(r["text_key"])]
+        found[r["item_id"]] = max(r["best"], found.get(r["item_id"], 0))
+    return out
+
+
 @pytest.mark.parametrize("n", range(1, 21))
 def test_every_allowed_substitution_is_found(n):
-    import itertools
-
     allowed = n - -(-8 * n // 10)
     item = [f"t{i}" for i in range(n)]
-    index = decontam.SeedIndex([(7, " ".join(item))])
-    for gone in itertools.combinations(range(n), allowed):
-        text = " ".join("other" if i in gone else t for i, t in enumerate(item))
-        assert index.leaks(f"before {text} after") == {7: n - allowed}
-    for gone in itertools.combinations(range(n), allowed + 1) if n < 12 else ():
-        assert index.leaks("before " + " ".join("other" if i in gone else t for i, t in enumerate(item))) == {}
+    texts = lambda k: ["before " + " ".join("other" if i in gone else t for i, t in enumerate(item)) + " after" for gone in itertools.combinations(range(n), k)]
+    assert all(x == {7: n - allowed} for x in leaks_without_spark([(7, " ".join(item))], texts(allowed)))
+    assert n >= 12 or not any(leaks_without_spark([(7, " ".join(item))], texts(allowed + 1)))
 
 
-def test_short_items_equal_brute_force(monkeypatch):
+def test_short_items_equal_brute_force():
     rng = random.Random(11)
     items = [(i, words(rng, 1 + i % 24, 9)) for i in range(90)]
     texts = [words(rng, rng.randrange(60), 9) for _ in range(60)]
-    index = decontam.SeedIndex(items)
-    got = [sorted(index.leaks(t)) for t in texts]
-    assert got == [leaked_by_brute_force(t, items) for t in texts]
-    monkeypatch.setattr(decontam, "_HITS", 5)
-    assert got == [sorted(index.leaks(t)) for t in texts]
+    assert [sorted(x) for x in leaks_without_spark(items, texts)] == [leaked_by_brute_force(t, items) for t in texts]
 
 
-def test_leaks_in_blocks(spark, monkeypatch):
+def test_full_filter_changes_nothing(spark, monkeypatch):
     rng = random.Random(10)
     items = [(i, words(rng, 30, 900)) for i in range(20)]
     table = docs(spark, [(i, words(rng, 50, 900) + " " + t) for i, t in items])
     bench = spark.createDataFrame(items, "item_id long, text string")
-    whole = sorted((r.doc_id, list(r["items"])) for r in decontam.find_leaks(table, bench).collect())
-    monkeypatch.setattr(decontam, "BLOCK_BYTES", 500)
-    assert sorted((r.doc_id, list(r["items"])) for r in decontam.find_leaks(table, bench).collect()) == whole == [(i, [i]) for i in range(20)]
+    monkeypatch.setattr(decontam, "LEAST_BITS", 15)
+    monkeypatch.setattr(decontam, "FILTER_BITS", 15)  # one byte a block: nearly every bit is set
+    assert sorted((r.doc_id, list(r["items"])) for r in decontam.find_leaks(table, bench).collect()) == [(i, [i]) for i in range(20)]
 
 
-def test_odd_rows_in_blocks(spark, monkeypatch):
+def test_odd_rows_leak_one_by_one(spark):
     rng = random.Random(12)
     items = [(i, words(rng, 30, 900)) for i in range(20)]
     rows = [(None, items[0][1]), (None, items[1][1] + " " + items[2][1]), (None, None), (3, items[3][1]), (3, items[4][1]), (3, items[3][1]), (3, "x"), (4, items[5][1] + " and " + items[19][1][: items[19][1].rindex(" ")])]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    found = lambda: sorted((repr(r.doc_id), list(r["items"]), r.best) for r in decontam.find_leaks(docs(spark, rows), bench).collect())
-    whole = found()
-    monkeypatch.setattr(decontam, "BLOCK_BYTES", 500)
-    assert found() == whole == sorted([("None", [0], 20), ("None", [1, 2], 20), ("None", [], 0), ("3", [3], 20), ("3", [4], 20), ("3", [3], 20), ("3", [], 0), ("4", [5, 19], 20)])
+    got = sorted((repr(r.doc_id), list(r["items"]), r.best) for r in decontam.find_leaks(docs(spark, rows), bench).collect())
+    assert got == sorted([("None", [0], 20), ("None", [1, 2], 20), ("None", [], 0), ("3", [3], 20), ("3", [4], 20), ("3", [3], 20), ("3", [], 0), ("4", [5, 19], 20)])
+
+
+def test_words_of_many_texts_at_once():
+    texts = ["", "Ab c", None, "c", "ä-ö x1", "", "ab", " ", "Ab\nC"]
+    column = pa.array(["skipped", *texts])[1:]
+    one = {}
+    for size in (1, 4, 1000):
+        got = [[] for _ in texts]
+        for first, data, offsets in chunks(column, size):
+            for v, t in zip(*decontam.tokens(data, offsets), strict=True):
+                got[first + t].append(int(v))
+        for vs, t in zip(got, texts, strict=True):
+            plain = word_list(t)
+            assert len(vs) == len(plain) and all(one.setdefault(w, v) == v for w, v in zip(plain, vs, strict=True))
+    assert len(set(one.values())) == len(one) == 5
