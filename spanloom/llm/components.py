@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialize
+from .storage import materialize, release
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(id, component) for every id in edges(a, b); component = smallest id reachable.
 
     The graph is contracted first: every b goes to its smallest a, and what is left are the edges
@@ -22,7 +24,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     heads = links.groupBy("b").agg(F.min("a").alias("head"))
     between = links.join(heads, "b").select(F.col("a").alias("u"), F.col("head").alias("v"))
     own = heads.join(links.select(F.col("a").alias("b")).distinct(), "b", "left_semi").select(F.col("b").alias("u"), F.col("head").alias("v"))
-    labels = _labels(between.union(own).where("u <> v").distinct(), max_rounds)
+    labels = _labels(between.union(own).where("u <> v").distinct())
 
     members = heads.select(F.col("b").alias("id"), "head")
     tops = links.select(F.col("a").alias("id")).distinct().join(members.select("id"), "id", "left_anti").select("id", F.col("id").alias("head"))
@@ -31,19 +33,20 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return materialize(placed.join(least, "part").select("id", "component"), "components")
 
 
-def _labels(edges: DataFrame, max_rounds: int) -> DataFrame:
+def _labels(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node reachable, for the nodes of edges(u, v)."""
     both = materialize(edges.union(edges.select("v", "u")).distinct(), "edges")
-    labels = materialize(
+    before = labels = materialize(
         both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m")).select("node", F.least("node", "m").alias("label")), "labels0"
     )
-    for n in range(1, max_rounds + 1):
+    for n in count(1):
         of = labels.select(F.col("node").alias("v"), F.col("label").alias("of_v"))
         near = both.join(of, "v").groupBy(F.col("u").alias("node")).agg(F.min("of_v").alias("m"))
         least = labels.join(near, "node", "left").select("node", F.col("label").alias("was"), F.least("label", "m").alias("label"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        labels = materialize(least.join(jump, "label", "left").select("node", F.least("label", "next").alias("label"), "was"), f"labels{n}")
-        if not labels.where("label <> was").take(1):
-            return labels.select("node", "label")
-        labels = labels.select("node", "label")
-    raise RuntimeError("connected_components did not settle")
+        after = materialize(least.join(jump, "label", "left").select("node", F.least("label", "next").alias("label"), "was"), f"labels{n}")
+        release(before)
+        before, labels = after, after.select("node", "label")
+        if not after.where("label <> was").take(1):
+            release(both)
+            return labels

@@ -124,10 +124,11 @@ def _left_over(star: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
         "a", "b", "nb", F.coalesce("component", "b").alias("comp"), F.size("delta").alias("d"), "delta"
     ).withColumn("f", F.col("d") - r * F.col("nb"))
     # per hub, the least f of any component and of any other one: what a partner has at least
+    placed = materialize(placed, "placed")
     per = placed.groupBy("a", "comp").agg(F.min("f").alias("f"))
     first = per.groupBy("a").agg(F.min(F.struct("f", "comp")).alias("lo"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1")
     second = per.join(first, "a").where("comp <> lo.comp").groupBy("a").agg(F.min("f").alias("f2"))
-    bound = first.select("a", F.col("lo.f").alias("f1"), F.col("lo.comp").alias("comp1")).join(second, "a")
+    bound = materialize(first.select("a", F.col("lo.f").alias("f1"), F.col("lo.comp").alias("comp1")).join(second, "a"), "bounds")
     least = F.when(F.col("comp") == F.col("comp1"), F.col("f2")).otherwise(F.col("f1"))
     overlap = F.greatest(F.lit(1), F.ceil((F.col("f") + least) / 2 - 1e-6))
     mixed = placed.join(bound, "a").withColumn("reach", F.col("d") - overlap + 1).where("reach > 0")
@@ -180,7 +181,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
         F.collect_list(F.when(F.col("band") < BANDS, F.col("v"))).alias("first"),
         F.collect_list(F.when(F.col("band") >= BANDS, F.col("v"))).alias("second"),
     )
-    # a class goes by a number that sorts by how common its values are (equal numbers only add candidates)
+    # a class goes by a number that sorts by how common its values are; classes that happen to have one
+    # number can't be told apart in a bucket, so they are candidates of each other anyhow
     code = F.shiftleft(F.least("common", F.lit(2**31 - 1)), 32).bitwiseOR(F.xxhash64("id").bitwiseAND(F.lit(2**32 - 1)))
     kept = materialize(kept.where((F.size("first") > 0) & (F.size("second") > 0)).withColumn("code", code), "kept")
     # the tables: one key for every pair of a band of either collection
@@ -190,9 +192,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     hubs = entries.groupBy("key").agg(F.max("code").alias("hub"), F.min("code").alias("last")).where("last < hub").select("key", "hub")
     pairs = entries.join(hubs.hint("merge"), "key").where("code < hub").select("hub", "code").distinct()
     names = kept.select("code", "id")
+    alike = names.join(names.groupBy("code").agg(F.count("*").alias("n")).where("n > 1"), "code").select("code", "id")
+    alike = alike.select("code", F.col("id").alias("a")).join(alike.select("code", F.col("id").alias("b")), "code").where("a < b").select("a", "b")
     pairs = materialize(
         pairs.join(names.select(F.col("code").alias("hub"), F.col("id").alias("a")), "hub")
-        .join(names.select("code", F.col("id").alias("b")), "code").where("a <> b").select("a", "b"),
+        .join(names.select("code", F.col("id").alias("b")), "code").select("a", "b").union(alike),
         "pairs",
     )
 

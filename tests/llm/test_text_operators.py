@@ -128,6 +128,16 @@ def test_near_duplicates_of_nothing(spark):
     assert kept.columns == table.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
 
 
+def test_near_duplicates_whose_ids_share_hash_bits(spark):
+    rng = random.Random(15)
+    base = words(rng, 300, 5000).split()
+    near = [*base[:150], "changed", *base[151:]]
+    low = {r.id: r.h for r in spark.createDataFrame([(113611,), (156370,)], "id long").select("id", F.xxhash64("id").bitwiseAND(F.lit(2**32 - 1)).alias("h")).collect()}
+    assert low[113611] == low[156370]
+    got = minhash.near_duplicates(docs(spark, [(113611, " ".join(base)), (156370, " ".join(near))]), 2, 80).collect()
+    assert {r.component_id for r in got} == {113611}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7), (None, 3), (200, 201), (201, 200)]
     got = {r.id: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
