@@ -2,8 +2,8 @@
 
 1. Every page is parsed once; its containers are scored by the unlinked text of their blocks (in full
    for a block's parent, half for the grandparent), and the best one votes for its generalised
-   path: tags with classes, digits taken out.
-2. Spark counts the votes by host; the path with the most wins (ties: the smaller string).
+   path: tags with classes, digits taken out; a path goes by a digest.
+2. Spark counts the votes by host; the path with the most wins (ties: the larger digest).
 3. Every page is extracted again. Where its own best container is on the winning path, inside it or
    around it, nothing of either is lost; where it is elsewhere, all nodes on the winning path replace
    it, with the boxes that pages of the host keep beside that path. A page whose nodes on that path
@@ -14,14 +14,20 @@ element it is all that is wanted in the page, but for boxes of links beside the
 
 Menus, adverts, forms, scripts, comments of readers and the like are left out by tag, role and the
 words of class and id. A word says nothing with has, with, no, without, enabled, disabled, open or
-closed at it, nor at an element around a main element or the page's least enclosed article or around
-most of the page's unlinked text; words for comments of readers give way to a main element only.
+closed at it, nor at a heading, nor in an id that goes on with a word of its own (related-work), nor at
+an element around a main element or the page's least enclosed article or around most of the page's
+unlinked text; words for comments of readers give way to a main element only. Inside an article or main
+element, words that name sections of articles as well say nothing in ids and at text blocks.
 Where words would leave nothing of a page, they aren't heeded.
+
+Time and memory grow with a page's length alone, whatever its nesting and however broken its markup.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from html import unescape
 
@@ -31,44 +37,99 @@ from pyspark.sql import functions as F
 
 from .storage import materialize
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|iframe|svg|textarea|select|object)\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\s(?:\"[^\"]*\"|'[^']*'|[^'\">])*)?/?)>|<[!?/][^>]*>|<[a-zA-Z/][^<>]*(?:>|\Z)",
-    re.S | re.I,
-)
+_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)(?=[\s/>])")
+_MARK = re.compile(r"[\"'>]")
 _ATTR = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 # HTML element names.
+_RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in "script style noscript template iframe svg textarea select object".split()}
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 _SKIP_TAGS = frozenset("nav aside footer form button head title menu dialog audio video canvas map datalist".split())
 _SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td".split())
 _PAGE = frozenset(("#", "html", "body"))
 _BARRIER = frozenset("table ul ol dl body html article main section div".split())
-# Words of class, id and role that mark what isn't the article.
+# Words of class, id and role that mark what isn't the article.
 _SKIP_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adbox adslot banner bookmark breadcrumb breadcrumbs byline-share comment comments "
+    "ad ads adv advert adverts advertisement advertising adbox adslot banner bookmark breadcrumb breadcrumbs comment comments "
     "commentlist cookie cookies consent disqus discussion feedback footer gdpr login masthead menu modal nav navbar navigation navigationbar "
     "newsletter notice notices notification overlay pager pagination paywall popup promo promoted promotion rail recommend recommended "
     "recommendations related replies reply respond responses search share sharing sidebar signup skip social sponsor sponsored subscribe "
     "subscription tagcloud teaser toolbar tooltip topbar widget complementary contentinfo alert".split()
 )
-# Those for comments of readers, and words that tell of a part instead of naming it.
+# Those for comments of readers, those that name sections of articles as well, words that may follow in
+# an id without another meaning, and words that tell of a part instead of naming it.
 _READERS = frozenset("comment comments commentlist disqus discussion feedback replies reply respond responses".split())
+_SECTIONS = frozenset("alert discussion feedback navigation notification overlay promotion recommendations responses search social subscription teaser".split())
+_PLACES = frozenset(
+    "area article articles bar block body bottom box button buttons card col column container content feed footer form frame grid group header heading icon icons info inner "
+    "item items js left link links list main media message module more news outer page panel policy post posts region results right root row section side site slot stories "
+    "text this title top topics unit view wrap wrapper".split()
+)
 _BEFORE, _AFTER = frozenset("has with no without".split()), frozenset("enabled disabled open closed".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _DIGITS = re.compile(r"\d+")
 
 
 class _Node:
-    __slots__ = ("chars", "links", "main", "named", "parent", "path", "role", "score", "skip", "tag", "text")
+    __slots__ = ("chars", "label", "links", "main", "named", "parent", "path", "role", "score", "skip", "tag", "text", "within")
 
-    def __init__(self, tag, parent, path, skip, named=frozenset()):
-        self.tag, self.parent, self.path, self.skip, self.named, self.main = tag, parent, path, skip, named, False
+    def __init__(self, tag, parent, label, skip):
+        self.tag, self.parent, self.label, self.skip, self.named, self.main = tag, parent, label, skip, frozenset(), False
+        self.path = hashlib.blake2b(parent.path + label.encode("utf-8", "surrogatepass"), digest_size=16).digest() if parent else b""
         self.score, self.text, self.chars, self.role = 0.0, 0, 0, False
+        self.within = parent is not None and (parent.within or parent.role)  # an article or main element
         self.links = False  # a box of links beside the best container
 
+    def spelled(self) -> str:
+        """The path as text."""
+        labels, node = [], self
+        while node is not None:
+            labels.append(node.label)
+            node = node.parent
+        return "/".join(reversed(labels))
+
+
+def _tokens(html: str):
+    """(start, end, end tag or not, tag, attributes) of everything between < and >; tag is None for comments,
+    declarations, what no element can be, and elements whose content isn't text (they end where they are closed)."""
+    # from the k-th quote or > on, outside of quotes: where the tag at hand ends
+    marks = [(m.start(), m[0]) for m in _MARK.finditer(html)]
+    places, ends = [p for p, _ in marks], [-1] * (len(marks) + 1)
+    later = {'"': -1, "'": -1}
+    for k in range(len(marks) - 1, -1, -1):
+        p, c = marks[k]
+        ends[k] = p if c == ">" else ends[later[c] + 1] if later[c] >= 0 else -1
+        if c != ">":
+            later[c] = k
+    greater = [p for p, c in marks if c == ">"]
+    at = html.find("<")
+    while at >= 0:
+        end = at + 1
+        if html.startswith("<!--", at):
+            stop = html.find("-->", at + 4)
+            end = stop + 3 if stop >= 0 else len(html)
+            yield at, end, False, None, ""
+        elif (m := _TAG.match(html, at)) and (stop := ends[bisect_left(places, m.end())]) >= 0:
+            end, tag = stop + 1, m[2].lower()
+            if tag in _RAW and not m[1]:
+                closed = _RAW[tag].search(html, end)
+                end, tag = closed.end() if closed else len(html), None
+            yield at, end, bool(m[1]), tag, html[m.end() : stop]
+        elif html[at + 1 : at + 2] in tuple("!?/") or html[at + 1 : at + 2].isalpha():
+            # a declaration or a broken tag: up to the next > if no other < comes before
+            i, other = bisect_left(greater, at), html.find("<", at + 1)
+            stop = greater[i] if i < len(greater) else -1
+            if stop < 0 and other < 0:
+                end = len(html)
+            elif stop >= 0 and (other < 0 or stop < other or html[at + 1] in "!?/"):
+                end = stop + 1
+            if end > at + 1:
+                yield at, end, False, None, ""
+        at = html.find("<", end)
+
 
 def _attrs(s: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(s)} if s else {}
@@ -81,13 +142,22 @@ def _unwanted(tag: str, a: dict[str, str]) -> bool:
     )
 
 
-def _named(a: dict[str, str]) -> frozenset[str]:
-    """The words of class, id and role that mark what isn't the article."""
+def _named(tag: str, a: dict[str, str], within: bool) -> frozenset[str]:
+    """The words of class, id and role that mark what isn't the article; ``within`` an article or main element or not."""
+    if tag in _HEADINGS:
+        return frozenset()
     out = set()
-    for name in f"{a.get('class', '')} {a.get('id', '')} {a.get('role', '')}".split():
-        w = [x.lower() for x in _WORDS.findall(name)]
-        if not _SKIP_WORDS.isdisjoint(w):
-            out.update(x for i, x in enumerate(w) if x in _SKIP_WORDS and not (i and w[i - 1] in _BEFORE) and not (i + 1 < len(w) and w[i + 1] in _AFTER))
+    for key in ("class", "id", "role"):
+        for name in a.get(key, "").split():
+            w = [x.lower() for x in _WORDS.findall(name)]
+            if _SKIP_WORDS.isdisjoint(w):
+                continue
+            found = {x for i, x in enumerate(w) if x in _SKIP_WORDS and not (i and w[i - 1] in _BEFORE) and not (i + 1 < len(w) and w[i + 1] in _AFTER)}
+            if key == "id":
+                last = max(i for i, x in enumerate(w) if x in _SKIP_WORDS)
+                if not _PLACES.issuperset(w[last + 1 :]):
+                    continue
+            out |= found - _SECTIONS if within and (key == "id" or tag in _BLOCKS) else found
     return frozenset(out)
 
 
@@ -96,30 +166,38 @@ def _heed_names(nodes: list[_Node], worths: list[tuple[_Node, int, int]]) -> Non
     suspects = {n for n in nodes if n.named and not n.skip and n.tag not in ("html", "body", "article", "main")}
     if not suspects:
         return
-    held = dict.fromkeys(suspects, 0)
+    held: dict[_Node, int] = defaultdict(int)
     for holder, worth, _ in worths:
-        while holder is not None:
-            if holder in held:
-                held[holder] += worth
-            holder = holder.parent
+        held[holder] += worth
+    for n in reversed(nodes):  # parents come before what they hold
+        held[n.parent] += held[n]
     total = sum(worth for _, worth, _ in worths)
     spared = {n for n in suspects if 2 * held[n] > total and not n.named <= _READERS}
-    articles = []
+
+    def spare(n, seen):
+        """Spares the suspects around n, up to where that was done before."""
+        while n is not None and n not in seen:
+            seen.add(n)
+            if n in suspects:
+                spared.add(n)
+            n = n.parent
+
+    seen: set[_Node] = set()
     for n in nodes:
-        if n.role and not n.skip and (n.main or not n.named):
-            around, up = [], n if n.main else n.parent
-            while up is not None:
-                if up in suspects:
-                    around.append(up)
-                up = up.parent
-            if n.main:
-                spared.update(around)
-            else:
-                articles.append([u for u in around if u not in spared])
-    least = min(map(len, articles), default=0)
-    for around in articles:
-        if len(around) == least and not any(n.named <= _READERS for n in around):
-            spared.update(around)
+        if n.main and not n.skip:
+            spare(n, seen)
+    # of the articles in suspects, the least enclosed are spared, unless words for readers mark what is around
+    around, articles = {None: (0, False)}, []
+    for n in nodes:
+        enclosed, readers = around.get(n.parent, (0, False))
+        if n.role and not n.main and not n.skip and not n.named:
+            articles.append((n, enclosed, readers))
+        mine = n in suspects and n not in spared
+        around[n] = (enclosed + mine, readers or (mine and n.named <= _READERS))
+    least, seen = min((e for _, e, _ in articles), default=0), set()
+    for n, enclosed, readers in articles:
+        if enclosed == least and not readers:
+            spare(n.parent, seen)
     marked = suspects - spared
     out = set()
     for n in nodes:
@@ -134,6 +212,7 @@ def parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
     """All nodes but inline ones, and the text blocks in page order with the node that holds each."""
     root = _Node("#", None, "", False)
     stack, nodes, blocks, worths = [root], [], [], []
+    opened: dict[str, int] = defaultdict(int)
     buf: list[str] = []
     linked = [0, 0]  # characters inside links of the block at hand, depth of links
 
@@ -149,34 +228,38 @@ def parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
         linked[0] = 0
 
     def close(names, barrier=frozenset()):
+        if not any(opened[n] for n in names):
+            return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in names:
+                for n in stack[i:]:
+                    opened[n.tag] -= 1
                 del stack[i:]
                 return
             if stack[i].tag in barrier:
                 return
 
-    at = 0
-    for m in _TOKEN.finditer(html):
-        if m.start() > at:
-            piece = html[at : m.start()]
+    def say(piece):
+        if piece:
             buf.append(piece)
             if linked[1]:
                 linked[0] += len(piece)
-        at = m.end()
-        tag = m["tag"]
+
+    at = 0
+    for start, end, closing, tag, attrs in _tokens(html):
+        say(html[at:start])
+        at = end
         if tag is None:
             continue
-        tag = tag.lower()
         if tag in _INLINE:
             if tag == "br":
                 buf.append(" ")
             elif tag == "a":
-                linked[1] = 0 if m["end"] else 1
+                linked[1] = 0 if closing else 1
             continue
         flush()
         linked[1] = 0
-        if m["end"]:
+        if closing:
             close((tag,), _BARRIER - {tag} if tag in ("p", "li", "td", "th", "tr") else frozenset())
             continue
         if tag in _CLOSES_P:
@@ -185,30 +268,31 @@ def parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
             close(_SELF_CLOSING[tag], _BARRIER)
         if tag in _VOID:
             continue
-        a = _attrs(m["attrs"])
+        a = _attrs(attrs)
         parent = stack[-1]
         label = ".".join([tag, *sorted(_DIGITS.sub("", a.get("class", "")).split())])
-        node = _Node(tag, parent, f"{parent.path}/{label}", parent.skip or _unwanted(tag, a), _named(a) if a else frozenset())
+        node = _Node(tag, parent, label, parent.skip or _unwanted(tag, a))
+        node.named = _named(tag, a, node.within) if a else frozenset()
         node.main = tag == "main" or a.get("role") == "main" or a.get("itemprop") == "articleBody"
         node.role = node.main or tag == "article" or a.get("role") == "article"
         nodes.append(node)
-        if not m["attrs"].endswith("/"):
+        if not attrs.endswith("/"):
             stack.append(node)
-    if at < len(html):
-        buf.append(html[at:])
+            opened[tag] += 1
+    say(html[at:])
     flush()
     _heed_names(nodes, worths)
     for node, worth, chars in worths:
-        if node.skip:
-            continue
-        up = node if node.tag not in _BLOCKS else node.parent
-        up.score += worth
-        if up.parent is not None:
-            up.parent.score += worth / 2
-        while node is not None:
+        if not node.skip:
+            up = node if node.tag not in _BLOCKS else node.parent
+            up.score += worth
+            if up.parent is not None:
+                up.parent.score += worth / 2
             node.text += worth
             node.chars += chars
-            node = node.parent
+    for node in reversed(nodes):  # parents come before what they hold
+        node.parent.text += node.text
+        node.parent.chars += node.chars
     return nodes, blocks
 
 
@@ -246,7 +330,7 @@ def _mostly_links(node: _Node) -> bool:
     return 2 * node.text < node.chars
 
 
-def _beside(nodes: list[_Node], best: _Node) -> set[str]:
+def _beside(nodes: list[_Node], best: _Node) -> set[bytes]:
     """Paths of the boxes that a page without an article keeps beside the part that holds its best container."""
     if best.role or best.tag in _PAGE:
         return set()
@@ -256,44 +340,43 @@ def _beside(nodes: list[_Node], best: _Node) -> set[str]:
     return {n.path for n in nodes if n.parent is part.parent and n is not part and not n.skip and n.text and not _mostly_links(n)}
 
 
-def text_of(roots: set[_Node], blocks: list[tuple[_Node, str]]) -> str:
+def text_of(roots: set[_Node], nodes: list[_Node], blocks: list[tuple[_Node, str]]) -> str:
     """The blocks inside some nodes that aren't in unwanted parts, one a line."""
-    out, inside = [], {}
-    for holder, text in blocks:
-        if holder.skip:
-            continue
-        if holder not in inside:
-            n = holder
-            while n is not None and n not in roots:
-                n = None if n.links else n.parent
-            inside[holder] = n is not None
-        if inside[holder]:
-            out.append(text)
-    return "\n".join(out)
-
-
-def _within(node: _Node, other: _Node) -> bool:
-    while node is not None and node is not other:
-        node = node.parent
-    return node is other
+    inside = set(roots)
+    for n in nodes:
+        if n.parent in inside and not n.links:
+            inside.add(n)
+    return "\n".join(text for holder, text in blocks if holder in inside and not holder.skip)
 
 
-def extract(html: str | None, path: str | None = None, beside: list[str] | None = None) -> tuple[str, str | None]:
-    """(main text, path of its container) of a whole page, from ``path`` where the page has it, with
-    the boxes whose paths are ``beside`` it on other pages."""
+def extract(html: str | None, path: bytes | None = None, beside: list[bytes] | None = None) -> tuple[str, str | None]:
+    """(main text, path of its container as text) of a whole page, from the container with the digest
+    ``path`` where the page has it, with the boxes whose paths are ``beside`` it on other pages."""
     nodes, blocks = parse(html or "")
     best = best_container(nodes)
     if best is None:  # no container: all wanted blocks
         return "\n".join(t for n, t in blocks if not n.skip), None
     own = {n for n in nodes if n.path == best.path and not n.skip} if best.role else {nodes[0].parent}
     voted = {n for n in nodes if n.path == path and not n.skip} if path else set()
-    if any(_within(best, n) for n in voted):
-        return text_of(own | voted, blocks), path
-    if any(_within(n, best) for n in voted):
-        return text_of(own | voted, blocks), best.path
-    if voted and sum(n.text for n in voted) >= 0.5 * best.text:
-        return text_of(voted | {n for n in nodes if n.path in (beside or ()) and not n.skip}, blocks), path
-    return text_of(own, blocks), best.path
+    if not voted:
+        return text_of(own, nodes, blocks), best.spelled()
+    around, up = set(), best
+    while up is not None:
+        around.add(up)
+        up = up.parent
+    if around & voted:
+        return text_of(own | voted, nodes, blocks), next(iter(voted)).spelled()
+    within = {best}
+    for n in nodes:
+        if n.parent in within:
+            within.add(n)
+    if within & voted:
+        return text_of(own | voted, nodes, blocks), best.spelled()
+    if sum(n.text for n in voted) >= 0.5 * best.text:
+        kept = set(beside or ())
+        near = {n for n in nodes if n.path in kept and not n.skip}
+        return text_of(voted | near, nodes, blocks), next(iter(voted)).spelled()
+    return text_of(own, nodes, blocks), best.spelled()
 
 
 def _votes(batches):
@@ -307,7 +390,7 @@ def _votes(batches):
                     votes[host.as_py(), best.path, beside] += 1
         hosts, paths, near = ([k[i] for k in votes] for i in range(3))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(near, pa.string()), pa.array(list(votes.values()), pa.int64())], ["host", "path", "near", "votes"]
+            [pa.array(hosts, pa.string()), pa.array(paths, pa.binary()), pa.array(near, pa.binary()), pa.array(list(votes.values()), pa.int64())], ["host", "path", "near", "votes"]
         )
 
 
@@ -326,7 +409,7 @@ def host_paths(pages: DataFrame) -> DataFrame:
     the paths of boxes kept beside it on a tenth of the pages that vote for it (so their number is
     bounded by ten times that on a page)."""
     hosted = pages.select(_host().alias("host"), F.col("html").cast("string").alias("html"))
-    counted = hosted.mapInArrow(_votes, "host string, path string, near string, votes long").groupBy("host", "path", "near").agg(F.sum("votes").alias("votes"))
+    counted = hosted.mapInArrow(_votes, "host string, path binary, near binary, votes long").groupBy("host", "path", "near").agg(F.sum("votes").alias("votes"))
     votes = materialize(counted, "host_votes")
     top = votes.where("near is null").groupBy("host").agg(F.max(F.struct("votes", "path")).alias("top")).select("host", "top.path", "top.votes")
     near = votes.where("near is not null").withColumnRenamed("votes", "n").join(top, ["host", "path"]).where("10 * n >= votes").groupBy("host").agg(F.collect_set("near").alias("beside"))

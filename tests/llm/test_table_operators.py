@@ -1,6 +1,7 @@
 """Sharding, mixing, pages and the pipeline."""
 
 import collections
+import time
 import random
 import re
 
@@ -87,6 +88,13 @@ def page(body, extra=""):
     return f"<!DOCTYPE html><html><head><title>T</title><script>var a='<p>no</p>';</script></head><body><nav><a href='/'>Home</a></nav>{body}<aside class='sidebar'><p>Side text that is rather long and goes on for some time, indeed.</p></aside>{extra}<footer>&copy; me</footer></body></html>"
 
 
+def path_of(spelled):
+    node = None
+    for label in spelled.split("/"):
+        node = html._Node("", node, label, False)
+    return node.path
+
+
 def test_pages(spark):
     article = "<div class='post-1 body'><h1>Title &amp; more</h1><p>One\n <b>bold</b>&nbsp;and <a href='#'>link</a><p>Two<br>lines<ul><li>x<li>y</ul><div class='ad'>Buy</div><form><p>Sign</p></form><section class='comments'><p>I disagree with all of this, long and loud, again and again.</p></section></div>"
     want = "Title & more\nOne bold and link\nTwo lines\nx\ny"
@@ -97,7 +105,7 @@ def test_pages(spark):
     assert sorted(map(repr, texts)) == sorted(map(repr, [(1, want), (2, want), (1, want), (3, "Alone"), (4, ""), (5, ""), (None, "plain <text>")]))
     assert all(n == len(t) for _, t, n in got)
     paths = {r.host: r.path for r in html.host_paths(table).collect()}
-    assert paths["a.b"] == "/html/body/div.body.post-"
+    assert paths["a.b"] == path_of("/html/body/div.body.post-")
     assert html.extract_pages(table.limit(0)).count() == 0
 
 
@@ -105,9 +113,9 @@ def test_consensus_overrules_one_page():
     main = "<div id='x' class='main-7'>" + "<p>word word word, word.</p>" * 4 + "</div>"
     odd = "<html><body>" + main + "<div class='other'>" + "<p>noise noise noise noise.</p>" * 5 + "</div></body></html>"
     own, path = html.extract(odd)
-    voted, voted_path = html.extract(odd, "/html/body/div.main-")
+    voted, voted_path = html.extract(odd, path_of("/html/body/div.main-"))
     assert path == "/html/body/div.other" and voted_path == "/html/body/div.main-" and "word" in voted and "noise" in own
-    assert html.extract(odd, "/html/body/section.gone")[1] == path
+    assert html.extract(odd, path_of("/html/body/section.gone"))[1] == path
 
 
 def test_sections_and_leads_are_kept(spark):
@@ -127,7 +135,7 @@ def test_sections_and_leads_are_kept(spark):
     assert got[11] == got[20] == f"The lead.\n{first}\nThe last section."
     assert got[30] == " ".join(["The longest lead."] * 20) + "\n" + first and got[31] == first
     inner = f"<main>{body('first', 4)}<article>{body('first', 5)}</article></main>"
-    assert html.extract(inner, "/main/article") == (first, "/main")
+    assert html.extract(inner, path_of("/main/article")) == (first, "/main")
     twice = f"<article>{body('first')}</article><article>{body('second', 2)}</article>"
     assert html.extract(twice)[0] == first + "\nsecond word word, word." * 2
 
@@ -156,6 +164,31 @@ def test_words_that_hold():
     assert html.extract(f"<div class='comments'>{thread}</div>")[0].count("disagree") == 9  # nothing else
 
 
+def test_words_inside_an_article():
+    body = "<p>Before it.</p><h2 id='discussion'>Discussion</h2><p class='alert'>Alarming.</p><section id='related-work'><p>Others did this.</p></section><section id='responses'><p>We answer.</p></section><h3 class='share'>Sharing</h3>"
+    noise = "<div id='comments'><p>I see.</p></div><div class='alert'><p>Cookies!</p></div><div id='related-posts'><p>More</p></div><p class='advert'>Buy</p><div class='search'><p>Find</p></div>"
+    assert html.extract(page(f"<article>{body}{noise}</article>"))[0] == "Before it.\nDiscussion\nAlarming.\nOthers did this.\nWe answer.\nSharing"
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["<a " * 350_000, '<script "' * 120_000, "<a \"" * 250_000 + ">", "<!--" * 250_000, "</" * 500_000, "<div>" * 100_000 + "deep" + "</div>" * 100_000, "<div><p>word</p>" * 60_000, "<article class=comment>x" * 40_000, "<b>" * 300_000 + "</i>" * 300_000, "<td>" * 100_000 + "</p>" * 100_000, "<div id='x' class='a b c'>" + "<section>text here" * 50_000],
+    ids=range(11),
+)
+def test_time_grows_with_length(text):
+    start = time.process_time()
+    html.extract(text, b"x")
+    assert time.process_time() - start < 15
+
+
+def test_ties_of_votes(spark):
+    one, two = "<div class='a'><p>word word word</p></div>", "<div class='b'><p>word word word</p></div>"
+    rows = [(i, "http://t/", f"<html><body>{(one, two)[i % 2]}</body></html>") for i in range(6)]
+    for order in (rows, rows[::-1]):
+        got = html.host_paths(spark.createDataFrame(order, "page_id long, url string, html string")).collect()
+        assert [(r.host, r.votes, r.path) for r in got] == [("t", 3, max(path_of("/html/body/div.a"), path_of("/html/body/div.b")))]
+
+
 def test_unclosed_and_hostile_markup():
     assert html.extract("<p>" * 3000 + "deep" + "<div>" * 3000 + "deeper")[0].split("\n")[-1] in ("deep", "deeper")
     assert html.extract("<article><p>a < b and c > d<!-- open <p>lost")[0].startswith("a < b")
