@@ -1,10 +1,12 @@
 """Personal data: fixed patterns, and a linear-chain conditional random field that adds spans.
 
 The patterns find e-mail addresses, IPv4 addresses, card and phone numbers. The field labels the
-words around every digit and @ with one of the four kinds or none, from word-shape features of the
-word and its neighbours; it is trained by gradient ascent on a small labelled table and decoded by
-Viterbi over padded numpy batches. Its spans (phone numbers without +, cards in odd groups, addresses
-with spelled-out signs) are added where they overlap no span found by a pattern.
+words around every digit, at sign and word for a secret with one of six kinds or none, from
+word-shape features of the word and its neighbours; it is trained by gradient ascent on a small
+labelled table and decoded by Viterbi over padded numpy batches. A span of the field counts if each
+of its words has at least ACCEPT probability of its kind, and is added where it overlaps no span found
+by a pattern: passwords, keys and tokens, account and social security numbers, and forms of the four
+kinds that the patterns don't know (phone numbers without +, spelled-out at signs, other groupings).
 """
 
 from __future__ import annotations
@@ -20,9 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
-TAGS = ("none", *KINDS)
-CONTEXT = 3
-EXAMPLES, EPOCHS, RATE, L2 = 900, 12, 0.3, 1e-4
+#: Kinds that only the field knows.
+MORE_KINDS = ("secret", "account")
+TAGS = ("none", *KINDS, *MORE_KINDS)
+CONTEXT, ACCEPT = 3, 0.8
+EXAMPLES, EPOCHS, RATE, L2 = 2400, 8, 0.3, 1e-4
 
 # Each pattern can only start where its first run of characters starts, or where the last match
 # ended; so long runs are looked at once. Possessive runs give the same matches without backtracking.
@@ -89,19 +93,63 @@ def shape(word: str) -> str:
     return s if len(s) <= 24 else s[:12] + "~" + s[-12:]
 
 
+_EDGES = ".,;:!?\"'<>#%$&*|=()[]{}"
+
+
+def _runs(words: list[str]) -> list[str]:
+    """What the run of digit words around each word makes up: its number of digits and whether they pass Luhn."""
+    out, i = [""] * len(words), 0
+    digits = [_digits(w) if not any(c.isalpha() for c in w) else "" for w in words]
+    while i < len(words):
+        j = i
+        while j < len(words) and digits[j]:
+            j += 1
+        if j > i:
+            d = "".join(digits[i:j])
+            kind = f"{len(d)}{luhn(d)}" if 13 <= len(d) <= 19 else str(min(len(d), 20))
+            out[i:j] = [kind] * (j - i)
+        i = max(j, i + 1)
+    return out
+
+
+def _make_up(word: str) -> str:
+    """Kinds of characters in a word, and about how many it has."""
+    core = word.strip(_EDGES)
+    n = len(core)
+    kinds = "".join(k for k, p in (("d", r"[0-9]"), ("l", r"[a-z]"), ("u", r"[A-Z]"), ("x", r"[^\W\d_a-zA-Z]"), ("_", r"[_-]"), ("/", r"[/+=]"), ("@", "@"), (".", r"\.")) if re.search(p, core))
+    if kinds and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", core):
+        kinds = "hex"
+    return f"{kinds}{0 if n < 6 else 6 if n < 10 else 10 if n < 16 else 16 if n < 24 else 24 if n < 48 else 48}"
+
+
 def features(words: list[str]) -> list[list[str]]:
     """Feature names of every word of a sequence: its own shape, counts and the shapes beside it."""
-    shapes, low = [shape(w) for w in words], [w.lower().strip(".,;:()[]<>\"'") for w in words]
+    shapes, low = [shape(w) for w in words], [w.lower().strip(_EDGES) for w in words]
+    runs = _runs(words)
     out = []
     for i, w in enumerate(words):
         n = sum("0" <= c <= "9" for c in w)
         size = 0 if n == 0 else 1 if n < 3 else 3 if n < 5 else 5 if n < 7 else 7 if n < 9 else 9 if n < 13 else 13 if n < 20 else 20
         before, after = (shapes[i - 1] if i else "^"), (shapes[i + 1] if i + 1 < len(words) else "$")
-        f = ["b", "s=" + shapes[i], f"n={size}", "s<" + before, "s>" + after, f"n={size}&<{before}", f"n={size}&>{after}"]
+        kinds = _make_up(w)
+        f = ["b", "s=" + shapes[i], f"n={size}", "s<" + before, "s>" + after, f"n={size}&<{before}", f"n={size}&>{after}", "k=" + kinds, "r=" + runs[i]]
         if n == 0:
             f.append("w=" + low[i])
+        ip = re.fullmatch(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", low[i])
+        if ip:
+            f.append(f"ip={_CHECKS['ip'](low[i])}")
+        key = re.match(r"([A-Za-z_.-]{2,24})[=:]", w)
+        if key:
+            f += ["key=" + key[1].lower(), f"key=&{kinds}"]
         if i:
             f.append("w<" + low[i - 1] if not any(map(str.isdigit, low[i - 1])) else "d<")
+        # the name before a value: the last word but signs and "is"
+        name = next((x for x in low[max(0, i - 3) : i][::-1] if x not in ("", "is")), "^")
+        if n or "@" in w:
+            name = name if not any(map(str.isdigit, name)) else "9"
+            f += ["nm=" + name, f"nm={name}&{kinds}", f"nm={name}&n={size}"]
+        if "@" in w:
+            f.append(f"@={re.search(r'[^@]@[^@]+[.][^@]', low[i]) is not None}")
         if i + 1 < len(words):
             f.append("w>" + low[i + 1] if not any(map(str.isdigit, low[i + 1])) else "d>")
         out.append(f)
@@ -109,41 +157,66 @@ def features(words: list[str]) -> list[list[str]]:
 
 
 def _examples(n: int = EXAMPLES, seed: int = 5) -> list[tuple[list[str], list[str]]]:
-    """Labelled word sequences drawn from templates; {kind} marks what is personal data."""
+    """Labelled word sequences drawn from templates: words, and a tag for each of them. In a template
+    (kind, text) the words of text between braces are personal data, the others are not."""
     rng = random.Random(seed)
-    word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvwyz") for _ in range(rng.randint(2, 9)))
-    num = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
-
-    def card() -> str:
-        body = rng.choice("3456") + num(14)
-        body += next(c for c in "0123456789" if luhn(body + c))
-        cut = rng.choice([None, " ", "-", "."])
+    pick, letters = rng.choice, "abcdefghijklmnopqrstuvwxyzäéñö"
+    word = lambda: "".join(pick(letters) for _ in range(rng.randint(2, 9)))
+    num = lambda k: "".join(pick("0123456789") for _ in range(k))
+    of = lambda chars, k: "".join(pick(chars) for _ in range(k))
+    hexed = lambda k: (lambda x: x.upper() if rng.random() < 0.2 else x)(of("0123456789abcdef", k))
+    mixed = lambda k: of("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k)
+    upper = lambda k: of("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k)
+
+    def card(good=True) -> str:
+        body = num(15)
+        body += next(c for c in "0123456789" if luhn(body + c) == good)
+        cut = pick([None, " ", "-", ".", "/"])
         return body if cut is None else cut.join(body[i : i + 4] for i in range(0, 16, 4))
 
-    a, b, c = (lambda: num(3)), (lambda: num(3)), (lambda: num(4))
+    def named(names, value) -> str:
+        """A name for a value: {value} stands for itself."""
+        name, quote = pick(names), pick(['"', "'", "", ""])
+        name = pick([name, name.upper(), name.capitalize()])
+        joined = pick(["{n} = {q}{v}{q}", "{n} : {q}{v}{q}", "{n}: {q}{v}{q}", "{n} is {q}{v}{q}", "{n} {q}{v}{q}", "{n}={q}{v}{q}", "{n}:{q}{v}{q}"])
+        return joined.format(n=name, q=quote, v=value) if joined[3] in "=:" and joined[4] != " " else joined.format(n=name, q="", v="{" + quote + value + quote + "}")
+
+    secret_names = ("token", "secret", "password", "passwd", "pwd", "api_key", "apikey", "key", "access_token", "auth", "client_secret", "credential", "bearer")
+    secrets = (lambda: hexed(pick([32, 40, 64])), lambda: mixed(pick([16, 20, 24, 32, 40])), lambda: mixed(rng.randint(6, 12)) + pick("!#$%") + num(2), lambda: word() + num(3))
+    keys = (lambda: "{AKIA" + upper(16) + "}", lambda: "{ghp_" + mixed(36) + "}", lambda: "{sk-" + mixed(40) + "}", lambda: "{eyJ" + mixed(30) + "." + mixed(20) + "}")
     make = {
-        "email": [lambda: f"{word()}.{num(2)}@{word()}.{word()}.com", lambda: f"{word()}@{word()}.org", lambda: f"{word()} (at) {word()}.com", lambda: f"{word()} [at] {word()}.net", lambda: f"{word()}(at){word()}.org"],
-        "ip": [lambda: ".".join(str(rng.randint(0, 255)) for _ in range(4))],
-        "card": [card],
-        "phone": [lambda: f"+1 ({a()}) {b()}-{c()}", lambda: f"({a()}) {b()}-{c()}", lambda: f"{a()}-{b()}-{c()}", lambda: f"{a()}.{b()}.{c()}", lambda: f"+{num(2)} {num(3)} {num(6)}", lambda: f"00{num(2)} {num(3)} {num(7)}"],
+        "email": (lambda: "{" + f"{word()}.{num(2)}@{word()}{pick(['', num(1)])}.{word()}.com" + "}", lambda: "{" + f"{word()}{pick('._-+')}{word()}{pick(['', num(3)])}@{word()}{pick(['', num(2)])}.{pick(['com', 'net', 'de', 'es'])}" + "}", lambda: "{" + f"{word()}@{word()}.org" + "}", lambda: "{" + f"{word()} (at) {word()}.com" + "}", lambda: "{" + f"{word()} [at] {word()}.net" + "}", lambda: "{" + f"{word()}(at){word()}.org" + "}"),
+        "ip": (lambda: "{" + ".".join(str(rng.randint(0, 255)) for _ in range(4)) + "}",),
+        "card": (lambda: "{" + card() + "}",),
+        "phone": (lambda: "{" + f"+1 ({num(3)}) {num(3)}-{num(4)}" + "}", lambda: "{" + f"({num(3)}) {num(3)}-{num(4)}" + "}", lambda: "{" + f"{num(3)}-{num(3)}-{num(4)}" + "}", lambda: "{" + f"{num(3)}.{num(3)}.{num(4)}" + "}", lambda: "{" + f"+{num(2)} {num(3)} {num(6)}" + "}", lambda: "{" + f"00{num(2)} {num(3)} {num(7)}" + "}", lambda: pick(["phone", "tel", "call", "mobile"]) + " {" + f"{num(3)} {num(3)} {num(4)}" + "}"),
+        "secret": (*[lambda: named(secret_names, pick(secrets)())] * 4, lambda: pick(keys)()),
+        "account": (lambda: "{" + pick("ABDEFGILNPST") + pick("ABDEFGILNPST") + num(2) + num(18) + "}", lambda: "{" + pick("ABDEFGILNPST") + pick("ABDEFGILNPST") + num(2) + " " + " ".join(num(4) for _ in range(4)) + "}", lambda: pick(["ssn", "ssn:", "social security number", "SSN"]) + " {" + f"{num(3)}-{num(2)}-{num(4)}" + "}"),
     }
-    plain = [
+    plain = (
         lambda: str(rng.randint(0, 3000)), lambda: num(rng.randint(5, 12)), lambda: f"{rng.randint(1, 28)}.{rng.randint(1, 12)}.20{num(2)}", lambda: f"20{num(2)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}",
-        lambda: f"{rng.randint(0, 23)}:{num(2)}", lambda: f"${num(2)}.{num(2)}", lambda: f"v{num(1)}.{num(1)}.{num(2)}", lambda: f"{num(1)},{num(3)}", lambda: f"{num(2)}%", lambda: f"{word()}{num(2)}", lambda: "AKIA" + num(4) + word().upper(),
-        lambda: f'"{hashlib.md5(num(4).encode()).hexdigest()}"', lambda: f"({num(4)})", lambda: f"@{word()}", lambda: f"{num(4)}-{num(4)}", lambda: f"{num(1)}.{num(1)}", lambda: f"[{num(2)}]", lambda: f"{num(3)} {num(3)}", lambda: f"#{num(5)}", lambda: f"password={num(8)}{word()}",
-    ]
+        lambda: f"{rng.randint(0, 23)}:{num(2)}", lambda: f"${num(2)}.{num(2)}", lambda: f"v{num(1)}.{num(1)}.{num(2)}", lambda: f"{num(1)},{num(3)}", lambda: f"{num(2)}%", lambda: f"{word()}{num(2)}",
+        lambda: f"({num(4)})", lambda: f"@{word()}", lambda: f"{num(4)}-{num(4)}", lambda: f"{num(1)}.{num(1)}", lambda: f"[{num(2)}]", lambda: f"{num(3)} {num(3)}", lambda: f"#{num(5)}", lambda: f"{num(2)}.{num(2)}.{num(2)}.{rng.randint(256, 999)}",
+        lambda: card(good=False), lambda: pick(["commit", "sha", "md5", "checksum", "revision", "build", "id"]) + pick([" ", " = ", ": "]) + hexed(pick([7, 32, 40])), lambda: pick(secret_names) + " " + word(), lambda: pick(["order", "item", "width", "page", "count", "version", "year"]) + pick([" = ", "=", ": "]) + num(rng.randint(1, 6)),
+        lambda: f"the {pick(secret_names)} of {word()}", lambda: f"https://{word()}.com/{word()}/{num(5)}", lambda: " ".join(num(rng.randint(1, 3)) for _ in range(4)), lambda: " | ".join(num(rng.randint(1, 4)) for _ in range(3)), lambda: upper(5) + num(3), lambda: "==== ====",
+    )
+    signs = ("", "", "", "", ".", ",", "!!", "***", "###", "%%%", ";", " |")
     out = []
     for _ in range(n):
-        words, tags = [], []
+        words, tags, hold = [], [], pick(signs)
+        ends = lambda: hold if rng.random() < 0.5 else pick(signs)
         for _ in range(rng.randint(1, 3)):
-            for _ in range(rng.randint(0, CONTEXT)):
-                words.append(word() + rng.choice(["", "", "", ",", "."]))
-                tags.append("none")
-            kind = rng.choice([*KINDS, *["none"] * 4])
-            text = rng.choice(plain if kind == "none" else make[kind])() + rng.choice(["", "", "", ".", ","])
+            before = [word() + ends() for _ in range(rng.randint(0, CONTEXT))]
+            kind = pick([*TAGS[1:], "secret", *["none"] * 6])
+            text = " ".join(before) + " " + (pick(plain) if kind == "none" else pick(make[kind]))() + ends()
+            if rng.random() < 0.1:
+                text = text.upper() if "@" not in text else text
+            inside = False
             for part in text.split():
-                words.append(part)
-                tags.append(kind)
+                at = "{" in part
+                held = at or inside or (kind == "secret" and "{" not in text and re.search(r"[=:].", part) is not None)
+                inside = (inside or at) and "}" not in part
+                words.append(part.replace("{", "").replace("}", ""))
+                tags.append(kind if held else "none")
         out.append((words, tags))
     return out
 
@@ -159,6 +232,10 @@ class ChainField:
     weights: np.ndarray  # features x tags
     steps: np.ndarray  # tag x tag
 
+    def chances(self, words: list[str]) -> np.ndarray:
+        """The probability of every tag at every word of a sequence."""
+        return _marginals(self.unary(words), self.steps)[0]
+
     def unary(self, words: list[str]) -> np.ndarray:
         find = self.index.get
         return np.array([self.weights[[k for x in f if (k := find(x)) is not None]].sum(axis=0) for f in features(words)])
@@ -188,6 +265,18 @@ class ChainField:
         return out
 
 
+def _marginals(u: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Probabilities of the tags by forward and backward sums; with both sums and the log of the total."""
+    fwd, bwd = np.zeros_like(u), np.zeros_like(u)
+    fwd[0] = u[0]
+    for t in range(1, len(u)):
+        fwd[t] = u[t] + np.logaddexp.reduce(fwd[t - 1][:, None] + steps, axis=0)
+    for t in range(len(u) - 2, -1, -1):
+        bwd[t] = np.logaddexp.reduce(steps + (u[t + 1] + bwd[t + 1])[None], axis=1)
+    z = float(np.logaddexp.reduce(fwd[-1]))
+    return np.exp(fwd + bwd - z), fwd, bwd, z
+
+
 def train(rows: list[tuple[list[str], list[str]]], epochs: int = EPOCHS) -> ChainField:
     """Gradient ascent on the conditional log-likelihood, one labelled sequence at a time."""
     index: dict[str, int] = {}
@@ -203,17 +292,8 @@ def train(rows: list[tuple[list[str], list[str]]], epochs: int = EPOCHS) -> Chai
         for k in rng.permutation(len(data)):
             f, y = data[k]
             u = np.array([w[x].sum(axis=0) for x in f])
-            n = len(f)
-            fwd, bwd = np.zeros_like(u), np.zeros_like(u)
-            fwd[0] = u[0]
-            for t in range(1, n):
-                m = fwd[t - 1][:, None] + steps
-                fwd[t] = u[t] + np.logaddexp.reduce(m, axis=0)
-            for t in range(n - 2, -1, -1):
-                bwd[t] = np.logaddexp.reduce(steps + (u[t + 1] + bwd[t + 1])[None], axis=1)
-            z = np.logaddexp.reduce(fwd[-1])
-            p = np.exp(fwd + bwd - z)
-            for t in range(n):
+            p, fwd, bwd, z = _marginals(u, steps)
+            for t in range(len(f)):
                 g = -p[t]
                 g[y[t]] += 1
                 w[f[t]] += rate * g
@@ -225,7 +305,7 @@ def train(rows: list[tuple[list[str], list[str]]], epochs: int = EPOCHS) -> Chai
     return ChainField(index, w, steps)
 
 
-_HINT = re.compile(r"[0-9@]|[(\[]at[)\]]")
+_HINT = re.compile(r"[0-9@]|[(\[]at[)\]]|(?i:passw|passwd|pwd|secret|token|credential|bearer|api_?key)")
 _WORD = re.compile(r"\S+")
 
 
@@ -246,45 +326,47 @@ def _windows(text: str) -> list[list[tuple[int, int]]]:
     return [spans[a:b] for a, b in out]
 
 
-_TRIM = ".,;:!?\"'<>"
+_KEY = re.compile(r"[A-Za-z_.-]{2,24}[=:]+[\"']*")
 
 
-def _plausible(kind: str, s: str) -> bool:
-    d = _digits(s)
-    if kind == "email":
-        return re.fullmatch(r"[\w.%+-]+\s*(?:@|\(at\)|\[at\])\s*[\w-]+(?:\.[\w-]+)+", s, re.A) is not None
-    if kind == "ip":
-        return re.fullmatch(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", s) is not None and _CHECKS["ip"](s)
-    if kind == "card":
-        return re.fullmatch(r"[0-9 .\-]+", s) is not None and _card_ok(s)
-    return re.fullmatch(r"\+?[0-9(][0-9 ().\-/]*[0-9]", s) is not None and 9 <= len(d) <= 15 and not _card_ok(s)
+def _trimmed(kind: str, text: str, a: int, b: int) -> tuple[int, int]:
+    """The span without signs at its ends (but brackets of a phone number) and without the name of a secret."""
+    key = _KEY.match(text, a, b) if kind == "secret" else None
+    a = key.end() if key else a
+    while a < b and text[a] in _EDGES and not (kind == "phone" and text[a] == "("):
+        a += 1
+    while a < b and text[b - 1] in _EDGES:
+        b -= 1
+    return a, b
 
 
-def added_spans(texts: list[str], field: ChainField, base: list[list[tuple[str, int, int]]]) -> list[list[tuple[str, int, int]]]:
-    """Spans of the field in each text that overlap none of the text's base spans."""
+def field_spans(texts: list[str], field: ChainField) -> list[list[tuple[str, int, int]]]:
+    """The field's spans in each text."""
     windows = [(k, w) for k, t in enumerate(texts) for w in _windows(t)]
-    tags = field.decode([[texts[k][a:b] for a, b in w] for k, w in windows])
+    sequences = [[texts[k][a:b] for a, b in w] for k, w in windows]
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-    taken = [sorted((a, b) for _, a, b in spans) for spans in base]
-    for (k, w), path in zip(windows, tags, strict=True):
-        i = 0
+    for (k, w), words, path in zip(windows, sequences, field.decode(sequences), strict=True):
+        if not any(path):
+            continue
+        chances, i = field.chances(words), 0
         while i < len(w):
             j = i
-            while j < len(w) and path[j] == path[i]:
+            while j < len(w) and path[j] == path[i] and (j == i or not _card_ok(words[j - 1]) or TAGS[path[i]] != "card"):
                 j += 1
-            if path[i]:
-                a, b = w[i][0], w[j - 1][1]
-                while a < b and texts[k][a] in _TRIM:
-                    a += 1
-                while a < b and texts[k][b - 1] in _TRIM:
-                    b -= 1
-                kind = TAGS[path[i]]
-                if _plausible(kind, texts[k][a:b]) and all(b <= x or y <= a for x, y in taken[k]):
-                    out[k].append((kind, a, b))
+            if path[i] and chances[i:j, path[i]].min() >= ACCEPT:
+                a, b = _trimmed(TAGS[path[i]], texts[k], w[i][0], w[j - 1][1])
+                if a < b:
+                    out[k].append((TAGS[path[i]], a, b))
             i = j
     return out
 
 
+def added_spans(texts: list[str], field: ChainField, base: list[list[tuple[str, int, int]]]) -> list[list[tuple[str, int, int]]]:
+    """Spans of the field in each text that overlap none of the text's base spans."""
+    found = field_spans(texts, field)
+    return [[s for s in new if all(s[2] <= x or y <= s[1] for _, x, y in old)] for new, old in zip(found, base, strict=True)]
+
+
 def _find(field):
     def run(batches):
         for batch in batches:
@@ -316,8 +398,8 @@ def find_personal_data(docs: DataFrame, labelled: DataFrame | None = None) -> Da
 
 
 def _text_of(spans) -> F.Column:
-    """Spans as kind:start:end, by kind in the order of KINDS, then start."""
-    kinds = F.array(*[F.lit(k) for k in KINDS])
+    """Spans as kind:start:end, by kind in the order of KINDS and MORE_KINDS, then start."""
+    kinds = F.array(*[F.lit(k) for k in (*KINDS, *MORE_KINDS)])
     keyed = F.transform(spans, lambda s: F.struct(F.array_position(kinds, s["kind"]).alias("r"), s["start"].alias("a"), s["end"].alias("b"), s["kind"].alias("k")))
     return F.array_join(F.transform(F.array_sort(keyed), lambda s: F.concat_ws(":", s["k"], s["a"].cast("string"), s["b"].cast("string"))), ",")
 

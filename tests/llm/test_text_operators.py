@@ -281,6 +281,20 @@ def test_chain_field_decodes_like_brute_force():
         assert tuple(field.decode([seq, [], ["x"]])[0]) == best
 
 
+def test_field_on_sequences_kept_back():
+    field = pii.train(pii._examples())
+    kept_back = pii._examples(400, seed=77)
+    hits = collections.Counter()
+    for (words_, tags), path in zip(kept_back, field.decode([w for w, _ in kept_back]), strict=True):
+        hits.update((t, pii.TAGS[k]) for t, k in zip(tags, path, strict=True))
+    for tag in pii.TAGS:
+        assert hits[tag, tag] >= 0.9 * sum(n for (t, _), n in hits.items() if t == tag)
+        assert hits[tag, tag] >= 0.9 * sum(n for (_, k), n in hits.items() if k == tag)
+    texts = ['the token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" is bad', "password: hunter42!xK", "at checksum = 04dbebab91ab85687d33eeaaf9ac699e1188f962 we saw", "call (555) 123-4567 now", "no data in 2024 at all", ""]
+    got = [[(kind, t[a:b]) for kind, a, b in spans] for t, spans in zip(texts, pii.field_spans(texts, field), strict=True)]
+    assert got == [[("secret", "04dbebab91ab85687d33eeaaf9ac699e1188f962")], [("secret", "hunter42!xK")], [], [("phone", "(555) 123-4567")], [], []]
+
+
 # decontamination
 def test_leaks_equal_brute_force(spark):
     rng = random.Random(9)
