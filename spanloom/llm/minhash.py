@@ -207,7 +207,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     sets = materialize(texts.mapInArrow(_sets(k), "id long, shingles array<long>"), "sets")
 
     star = _with_sets(pairs, sets).withColumn("delta", F.concat(F.array_except("sa", "sb"), F.array_except("sb", "sa")))
-    crowded = pairs.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a", F.lit(True).alias("crowded"))
+    crowded = materialize(pairs.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a", F.lit(True).alias("crowded")), "crowded")
     star = star.join(crowded, "a", "left").select("a", "b", "nb", _linked(percent).alias("linked"), F.when(F.col("crowded"), F.col("delta")).alias("delta"))
     star = materialize(star, "star")
     edges = star.where("linked").select("a", "b")
