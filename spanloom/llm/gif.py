@@ -21,6 +21,8 @@ from .text import encode
 
 #: Fixed by the format: the code table holds 4096 entries.
 MAX_CODES = 4096
+#: Frames and canvases of more pixels end the reading of a file: a few bytes can claim gigabytes.
+MAX_PIXELS = 1 << 24
 WIDTH, ROWS_PER_FRAME, DELAY_CS = 192, 128, 10
 _INDEX = np.arange(256)
 #: Palette of written files: 3 bits red, 3 bits green, 2 bits blue.
@@ -212,77 +214,117 @@ def palette_histogram(pixels: np.ndarray, colours: np.ndarray) -> dict[int, int]
     return {int(i): int(counts[i]) for i in np.flatnonzero(counts)}
 
 
+class _Broken(Exception):
+    """What follows in the file can't be read."""
+
+
+def _take(data: bytes, pos: int, n: int) -> tuple[bytes, int]:
+    if pos + n > len(data):
+        raise _Broken
+    return data[pos : pos + n], pos + n
+
+
+def _palette(data: bytes, pos: int, flags: int) -> tuple[np.ndarray | None, int]:
+    if not flags & 0x80:
+        return None, pos
+    raw, pos = _take(data, pos, 3 * (2 << (flags & 7)))
+    return np.frombuffer(raw, np.uint8).reshape(-1, 3), pos
+
+
+def _sub_blocks(data: bytes, pos: int) -> tuple[bytes, int]:
+    parts = []
+    while True:
+        size, pos = _take(data, pos, 1)
+        if not size[0]:
+            return b"".join(parts), pos
+        part, pos = _take(data, pos, size[0])
+        parts.append(part)
+
+
+class _Canvas:
+    """What is to be seen, as far as frames have reached yet; the rest of the screen is empty."""
+
+    def __init__(self, width: int, height: int):
+        self.limit = (height, width)
+        self.pixels, self.drawn = np.zeros((0, 0, 3), np.uint8), np.zeros((0, 0), bool)
+
+    def reach(self, bottom: int, right: int) -> None:
+        h, w = max(self.drawn.shape[0], min(bottom, self.limit[0])), max(self.drawn.shape[1], min(right, self.limit[1]))
+        if h * w > MAX_PIXELS:
+            raise _Broken
+        more = ((0, h - self.drawn.shape[0]), (0, w - self.drawn.shape[1]))
+        if any(b for _, b in more):
+            self.pixels, self.drawn = np.pad(self.pixels, (*more, (0, 0))), np.pad(self.drawn, more)
+
+
 def read_gif(data: bytes) -> list[Frame]:
     """The frames of a GIF in order, each with start time and the histogram of the composed canvas.
 
-    What is not a GIF has no frames; a file that breaks off yields the frames that are whole.
+    What is not a GIF has no frames. A file that breaks off, or holds what no GIF can, yields the frames
+    that are whole before that; nothing in it raises. A frame or canvas above MAX_PIXELS counts as such.
     """
     frames: list[Frame] = []
     if data[:6] not in (b"GIF87a", b"GIF89a") or len(data) < 13:
         return frames
     width, height, flags, _, _ = struct.unpack("<HHBBB", data[6:13])
-    pos, palette = 13, None
-    if flags & 0x80:
-        n = 3 * (2 << (flags & 7))
-        palette, pos = np.frombuffer(data[pos : pos + n], np.uint8).reshape(-1, 3), pos + n
-    canvas, drawn = np.zeros((height, width, 3), np.uint8), np.zeros((height, width), bool)
     delay, disposal, transparent, clock = 0, 0, None, 0
     try:
-        while data[pos] != 0x3B:
-            kind = data[pos]
-            if kind == 0x21:
-                label, pos = data[pos + 1], pos + 2
-                if label == 0xF9:
-                    bits, delay, index = struct.unpack("<BHB", data[pos + 1 : pos + 5])
+        palette, pos = _palette(data, 13, flags)
+        canvas = _Canvas(width, height)
+        while True:
+            kind, pos = _take(data, pos, 1)
+            if kind == b"\x21":
+                label, pos = _take(data, pos, 1)
+                body, pos = _sub_blocks(data, pos)
+                if label == b"\xf9" and len(body) >= 4:
+                    bits, delay, index = struct.unpack("<BHB", body[:4])
                     disposal, transparent = bits >> 2 & 7, index if bits & 1 else None
-                while data[pos]:
-                    pos += data[pos] + 1
-                pos += 1
                 continue
-            if kind != 0x2C:
+            if kind != b"\x2c":
                 break
-            left, top, w, h, bits = struct.unpack("<HHHHB", data[pos + 1 : pos + 10])
-            pos, colours = pos + 10, palette
-            if bits & 0x80:
-                n = 3 * (2 << (bits & 7))
-                colours, pos = np.frombuffer(data[pos : pos + n], np.uint8).reshape(-1, 3), pos + n
-            min_size, pos, parts = data[pos], pos + 1, []
-            while data[pos]:
-                parts.append(data[pos + 1 : pos + 1 + data[pos]])
-                pos += data[pos] + 1
-            pos += 1
-            got = lzw_decode(b"".join(parts), min_size, w * h)
-            pixels = np.frombuffer(got + bytes(w * h - len(got)), np.uint8).reshape(h, w)
+            head, pos = _take(data, pos, 9)
+            left, top, w, h, bits = struct.unpack("<HHHHB", head)
+            local, pos = _palette(data, pos, bits)
+            colours = palette if local is None else local
+            size, pos = _take(data, pos, 1)
+            stream, pos = _sub_blocks(data, pos)
+            if not 1 <= size[0] <= 8 or w * h > MAX_PIXELS:
+                raise _Broken
+            got = lzw_decode(stream, size[0], w * h)
+            if len(got) < w * h:
+                raise _Broken
+            pixels = np.frombuffer(got, np.uint8).reshape(h, w)
             if bits & 0x40:
                 order = [r for s, step in ((0, 8), (4, 8), (2, 4), (1, 2)) for r in range(s, h, step)]
                 rows = np.empty_like(pixels)
                 rows[order] = pixels
                 pixels = rows
             f = Frame(left, top, w, h, delay, disposal, transparent, pixels.tobytes(), clock)
-            before = (canvas.copy(), drawn.copy()) if disposal == 3 else None
+            canvas.reach(top + h, left + w)
+            before = (canvas.pixels.copy(), canvas.drawn.copy()) if disposal == 3 else None
             box = (slice(top, min(top + h, height)), slice(left, min(left + w, width)))
             seen = pixels[: max(0, height - top), : max(0, width - left)]
-            known = colours if colours is not None and len(colours) else np.zeros((1, 3), np.uint8)
+            known = colours if colours is not None else np.zeros((1, 3), np.uint8)
             if transparent is None:
-                canvas[box] = known[np.minimum(seen, len(known) - 1)]
-                drawn[box] = True
+                canvas.pixels[box] = known[np.minimum(seen, len(known) - 1)]
+                canvas.drawn[box] = True
             else:
                 show = seen != transparent
-                canvas[box][show] = known[np.minimum(seen[show], len(known) - 1)]
-                drawn[box] |= show
-            if transparent is None and seen.shape == drawn.shape and (left, top) == (0, 0):
+                canvas.pixels[box][show] = known[np.minimum(seen[show], len(known) - 1)]
+                canvas.drawn[box] |= show
+            if transparent is None and seen.shape == canvas.drawn.shape and (left, top) == (0, 0):
                 f.histogram = palette_histogram(seen, known)  # the frame is all there is to see
             else:
-                f.histogram = colour_histogram(canvas, drawn)
+                f.histogram = colour_histogram(canvas.pixels, canvas.drawn)
             frames.append(f)
             clock += delay
             if disposal == 2:
-                drawn[box] = False
-                canvas[box] = 0
+                canvas.drawn[box] = False
+                canvas.pixels[box] = 0
             elif before is not None:
-                canvas, drawn = before
+                canvas.pixels, canvas.drawn = before
             delay, disposal, transparent = 0, 0, None
-    except (IndexError, struct.error):
+    except _Broken:
         pass
     return frames
 
