@@ -13,8 +13,9 @@ sum(p * exp(lambda * s)) = 1 and K is matched to the clean training texts. A tex
 -ln E of its best segment and the sum of -ln E over its significant ones (E < 1); a logistic curve
 fitted on the training texts turns both into a score from 0 to 1.
 
-The fit uses at most SAMPLE texts of either class (those with the smallest hash of their id) and
-keeps at most TERMS tokens; everything else covers all rows and whole texts.
+The fit uses at most SAMPLE texts of either class (those with the smallest hash of their id), and so
+the table of scores, which holds every token that passes, is bounded by these texts; everything else
+covers all rows and whole texts.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from .storage import materialize
 from .text import words
 
-SAMPLE, TERMS = 4000, 20_000
+SAMPLE = 4000
 PRIOR, Z_MIN, EFFECT, DRIFT, REPEAT = 10_000.0, 3.0, 1.0, 0.1, 200
 
 
@@ -160,7 +161,7 @@ def _log_odds(sample: DataFrame) -> tuple[dict[bytes, float], float]:
     odds = F.log((F.col("t") + a) / (n.t + PRIOR - F.col("t") - a)) - F.log((F.col("c") + a) / (n.c + PRIOR - F.col("c") - a))
     kept = (
         counts.select("token", odds.alias("s"), (odds / F.sqrt(1 / (F.col("t") + a) + 1 / (F.col("c") + a))).alias("z"), ((F.col("c") + a) / (n.c + PRIOR)).alias("p"))
-        .where((F.abs("z") >= Z_MIN) & (F.abs("s") >= EFFECT)).orderBy(F.desc(F.abs("z")), "token").limit(TERMS).collect()
+        .where((F.abs("z") >= Z_MIN) & (F.abs("s") >= EFFECT)).orderBy("token").collect()
     )
     scores = {bytes(r.token): float(r.s) for r in kept}
     whole = [r for r in kept if not bytes(r.token).endswith(b"*")] or kept  # a token has one score, so stems stay out of the sum
@@ -173,12 +174,12 @@ def _log_odds(sample: DataFrame) -> tuple[dict[bytes, float], float]:
     return scores, max(lo, 1e-3) if len(kept) else 1.0
 
 
-def _segments_of(m: ToxicityModel):
+def _segments_of(model):
     def run(batches):
         for batch in batches:
             y, n, s = [], [], []
             for text, label in zip(batch.column(0), batch.column(1), strict=True):
-                size, found = passages(text.as_py(), m)
+                size, found = passages(text.as_py(), model.value)
                 y.append(label.as_py())
                 n.append(size)
                 s.append([x for _, _, x in found])
@@ -189,6 +190,18 @@ def _segments_of(m: ToxicityModel):
     return run
 
 
+def _evidence_of(m: ToxicityModel):
+    lam, k = m.lam, m.k
+    bare = ToxicityModel({}, lam, k)
+
+    def run(batches):
+        for batch in batches:
+            found = [evidence(n, [(0, 0, x) for x in s], bare)[:2] for n, s in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([e[i] for e in found], pa.float64()) for i in (0, 1))], ["y", "best", "total"])
+
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityModel:
     """Fit on docs(doc_id, text) with labels(doc_id, toxic); at most ``sample`` texts of a class.
 
@@ -207,12 +220,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityMod
     m = ToxicityModel(scores, lam)
     if not scores:
         return m
-    rows = train.mapInArrow(_segments_of(m), "y int, n long, s array<double>").collect()
-    clean = [r for r in rows if r.y == 0]
+    segments = materialize(train.mapInArrow(_segments_of(docs.sparkSession.sparkContext.broadcast(m)), "y int, n long, s array<double>"), "segments")
     low = min((x for x in scores.values() if x > 0), default=1.0)
-    hits = sum(x >= low for r in clean for x in r.s)
-    m.k = min(1.0, (hits + 1) * math.exp(lam * low) / max(1, sum(r.n for r in clean)))
-    x = np.array([(1.0, *evidence(r.n, [(0, 0, s) for s in r.s], m)[:2]) for r in rows])
+    clean = segments.where("y = 0").agg(F.sum("n").alias("n"), F.sum(F.size(F.filter("s", lambda x: x >= low))).alias("hits")).first()
+    m.k = min(1.0, ((clean.hits or 0) + 1) * math.exp(lam * low) / max(1, clean.n or 0))
+    rows = segments.mapInArrow(_evidence_of(m), "y int, best double, total double").orderBy("y", "best", "total").collect()  # at most 2 * sample
+    x = np.array([(1.0, r.best, r.total) for r in rows])
     y = np.array([float(r.y) for r in rows])
     share = {c: max(1, int((y == c).sum())) for c in (0, 1)}
     w = np.where(y == 1, size.get(1, 1) / share[1], size.get(0, 1) / share[0])
@@ -227,10 +240,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityMod
     return m
 
 
-def _scorer(m: ToxicityModel):
+def _scorer(model):
     out = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("n_passages", pa.int64()), ("passages", pa.list_(pa.struct([("first_token", pa.int64()), ("end_token", pa.int64()), ("log_odds", pa.float64()), ("e_value", pa.float64())])))])
 
     def run(batches):
+        m = model.value
         for batch in batches:
             score, count, spans = [], [], []
             for text in batch.column(1):
@@ -255,7 +269,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(
-        _scorer(model),
+        _scorer(docs.sparkSession.sparkContext.broadcast(model)),
         "doc_id long, score double, n_passages long, passages array<struct<first_token: long, end_token: long, log_odds: double, e_value: double>>",
     )
 
@@ -266,9 +280,13 @@ def held_out(doc_id) -> F.Column:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """docs without the rows that score threshold or more; same columns, repeated rows kept."""
-    model = fit(docs.where(~held_out(F.col("doc_id"))), labels)
-    keep = lambda batches: _keep(batches, model, threshold)
+    """docs without the rows that score threshold or more; same columns, repeated rows kept.
+
+    Null and empty texts, which have no passage, get the score of no evidence and stay unless that
+    reaches the threshold; null ids are scored like others; an empty table stays empty.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs.where(~held_out(F.col("doc_id"))), labels))
+    keep = lambda batches: _keep(batches, model.value, threshold)
     return docs.mapInArrow(keep, docs.schema)
 
 
