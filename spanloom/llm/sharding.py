@@ -21,7 +21,7 @@ KEY_BITS = 60
 #: Bytes of UTF-8 text a shard may hold.
 SHARD_BYTES = 16 << 20
 #: Directory bits counted beyond the average shard, and at each further pass.
-SPARE_BITS, MORE_BITS = 5, 12
+SPARE_BITS, MORE_BITS = 3, 6
 
 
 def _prefix(depth):
@@ -47,10 +47,13 @@ def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     docs with the names of added ones are replaced.
     """
     docs = docs.drop("shard_depth", "shard_prefix", "shard_id")
+    own = "__shard"  # starts no column of docs
+    while any(c.startswith(own) for c in docs.columns):
+        own += "_"
     digest = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("\x1f"), F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    keyed = docs.withColumn("__key", F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"))
+    keyed = docs.withColumn(f"{own}_key", F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"))
     sizes = materialize(
-        keyed.groupBy(F.col("__key").alias("key")).agg(F.sum(F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0))).cast("long").alias("bytes")),
+        keyed.groupBy(F.col(f"{own}_key").alias("key")).agg(F.sum(F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0))).cast("long").alias("bytes")),
         "sizes",
     )
     total = sizes.agg(F.sum("bytes")).first()[0] or 0
@@ -72,10 +75,10 @@ def assign_shards(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     out = keyed
     depth = F.lit(None).cast("int")
     for high, leaf in found:
-        mine = leaf.select(F.col("p").alias(f"__p{high}"), F.col("depth").alias(f"__d{high}"))
-        out = out.join(mine, F.expr(f"shiftright(__key, {KEY_BITS} - {high})") == F.col(f"__p{high}"), "left")
-        depth = F.coalesce(depth, F.col(f"__d{high}"))
-    out = out.withColumn("shard_depth", depth).withColumn("shard_prefix", F.expr(f"shiftright(__key, {KEY_BITS} - shard_depth)"))
+        mine = leaf.select(F.col("p").alias(f"{own}_p{high}"), F.col("depth").alias(f"{own}_d{high}"))
+        out = out.join(mine, F.expr(f"shiftright({own}_key, {KEY_BITS} - {high})") == F.col(f"{own}_p{high}"), "left")
+        depth = F.coalesce(depth, F.col(f"{own}_d{high}"))
+    out = out.withColumn("shard_depth", depth).withColumn("shard_prefix", F.expr(f"shiftright({own}_key, {KEY_BITS} - shard_depth)"))
     return out.select(*docs.columns, "shard_depth", "shard_prefix", F.concat_ws(":", "shard_depth", "shard_prefix").alias("shard_id"))
 
 
