@@ -25,6 +25,8 @@ from .storage import materialize
 WEIGHTS = (3, 1, 2)
 SHARE, MAX_COPIES = 1.5, 2.0
 GROUP_ROWS, FAN = 500, 256
+#: Rows that repeat are numbered in so many parts each.
+SALT = 64
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -60,9 +62,9 @@ def _draw(*parts) -> float:
     return int.from_bytes(hashlib.blake2b(repr(parts).encode(), digest_size=8).digest(), "big") / 2**64
 
 
-def pivot(rows: list[tuple[int, int, float]]) -> tuple[dict[int, int], tuple[int, int, float] | None]:
+def pivot(rows: list[tuple[object, int, float]]) -> tuple[dict[object, int], tuple[object, int, float] | None]:
     """Decide all but at most one of (id, size, probability), size > 0; keeps sum(size * probability)."""
-    done: dict[int, int] = {}
+    done: dict[object, int] = {}
     held = None
     for i, size, p in rows:
         if held is None:
@@ -86,14 +88,15 @@ def pivot(rows: list[tuple[int, int, float]]) -> tuple[dict[int, int], tuple[int
 
 def _round(last: bool):
     def run(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values(["size", "row"], ascending=False, kind="stable")
-        done, held = pivot(list(zip(df["row"], df["size"], df["p"], strict=True)))
+        df = df.sort_values(["size", "k", "k2", "copy"], ascending=False, kind="stable").reset_index(drop=True)
+        ids = list(zip(df["k"].tolist(), df["k2"].tolist(), df["copy"].tolist(), strict=True))
+        done, held = pivot(list(zip(ids, df["size"].tolist(), df["p"].tolist(), strict=True)))
         if held is not None and last:
             done[held[0]] = int(_draw(held[0]) < held[2])
-        out = df[["row", "size", "p", "src", "bucket"]].copy()
-        out["extra"] = out["row"].map(done).astype("Int64")
+        out = df[["k", "k2", "copy", "size", "p", "src", "bucket"]].copy()
+        out["extra"] = pd.array([done.get(i) for i in ids], dtype="Int64")
         if held is not None and not last:
-            out.loc[out["row"] == held[0], "p"] = held[2]
+            out.loc[ids.index(held[0]), "p"] = held[2]
         return out
 
     return run
@@ -113,60 +116,78 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = MAX
     docs with the names of added ones are replaced.
     """
     words = F.coalesce(F.col(size), F.lit(0)).cast("long") if size else n_words(F.col("text"))
-    docs = docs.withColumn("__size", words).drop("size", "source_size", "target", "copies", "taken")
-    key = F.xxhash64(F.col("doc_id").cast("string"), F.col("source").cast("string"), *([F.col("__size")] if size else [F.col("text").cast("string")]))
-    docs = docs.withColumn("__k", key)
-    sized = materialize(docs.select(F.col("__k").alias("k"), F.col("source").cast("string").alias("source"), F.col("__size").alias("size")), "sized")
+    own = "__mix"  # starts no column of docs
+    while any(c.startswith(own) for c in docs.columns):
+        own += "_"
+    docs = docs.withColumn(f"{own}_size", words).drop("size", "source_size", "target", "copies", "taken")
+    plain = docs.columns[:-1]
+    source, kind = F.col("source").cast("string"), F.col("source").isNull()
+    parts = (F.col("doc_id").cast("string"), F.col("doc_id").isNull(), source, kind, *([F.col(f"{own}_size")] if size else [F.col("text").cast("string")]))
+    # 128 bits name a row; the position in the input deals rows that repeat into parts
+    docs = docs.withColumns(
+        {f"{own}_k": F.xxhash64(*parts), f"{own}_k2": F.xxhash64(F.lit("second"), *parts), f"{own}_salt": F.pmod(F.monotonically_increasing_id(), F.lit(SALT)), f"{own}_src": F.xxhash64(source, kind)}
+    )
+    k, k2 = F.col(f"{own}_k"), F.col(f"{own}_k2")
+    sized = materialize(docs.select(k.alias("k"), k2.alias("k2"), source.alias("source"), F.col(f"{own}_size").alias("size"), F.col(f"{own}_src").alias("src")), "sized")
     targets = materialize(source_targets(sized, weights, share, cap), "targets")
 
-    # rows alike in every part are numbered; one row per distinct key stands for all of them
-    same = sized.groupBy("k", "source", "size").agg(F.count("*").alias("times")).where("size > 0")
+    # rows alike in every part are counted; one row per distinct key stands for all of them
+    same = sized.groupBy("k", "k2", "src", "source", "size").agg(F.count("*").alias("times")).where("size > 0")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    ready = same.join(targets, same.source.eqNullSafe(targets.source)).select(
-        "k", "size", "times", "n", F.xxhash64(F.coalesce(same.source, F.lit("\x00"))).alias("src"), rate.alias("rate")
-    )
+    ready = same.join(targets, same.source.eqNullSafe(targets.source)).select("k", "k2", "size", "times", "n", "src", rate.alias("rate"))
     rows = (
         ready.withColumn("base", F.floor("rate"))
         .withColumn("p", F.col("rate") - F.col("base"))
         .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
-        .select(F.xxhash64("k", "copy").alias("row"), "k", "copy", "size", "base", "p", "src", F.pmod(F.xxhash64("k", "copy", F.lit(1)), F.greatest(F.lit(1).cast("long"), F.ceil(F.col("n") / GROUP_ROWS))).alias("bucket"))
+        .select("k", "k2", "copy", "times", "size", "base", "p", "src", F.pmod(F.xxhash64("k2", "copy", F.lit(1)), F.greatest(F.lit(1).cast("long"), F.ceil(F.col("n") / GROUP_ROWS))).alias("bucket"))
     )
     rows = materialize(rows, "rows")
     widest = (rows.agg(F.max("bucket")).first()[0] or 0) + 1
-    schema = "row long, size long, p double, src long, bucket long, extra long"
-    live = rows.where("p > 0").select("row", "size", "p", "src", "bucket")
+    schema = "k long, k2 long, copy long, size long, p double, src long, bucket long, extra long"
+    live = rows.where("p > 0").select("k", "k2", "copy", "size", "p", "src", "bucket")
     decided, level = [], 0
     while True:
         last = widest == 1
         live = materialize(live.groupBy("src", "bucket").applyInPandas(_round(last), schema), f"level{level}")
-        decided.append(live.where("extra is not null").select("row", "extra"))
+        decided.append(live.where("extra is not null").select("k", "k2", "extra"))
         if last:
             break
         widest, level = -(-widest // FAN), level + 1
-        live = live.where("extra is null").select("row", "size", "p", "src", F.floor(F.col("bucket") / FAN).alias("bucket"))
+        live = live.where("extra is null").select("k", "k2", "copy", "size", "p", "src", F.floor(F.col("bucket") / FAN).alias("bucket"))
     extra = decided[0]
     for d in decided[1:]:
         extra = extra.union(d)
-    taken = rows.join(extra, "row", "left").select("k", "copy", (F.col("base") + F.coalesce("extra", F.lit(0))).cast("long").alias("copies"))
-    by_key = taken.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("copy", "copies"))).alias("c"))
-    # rows that share a key differ in nothing here, so each takes one entry of the key's list
-    # (only rows that repeat are numbered)
-    repeated = by_key.where(F.size("c") > 1).select(F.col("k").alias("__k"), F.lit(True).alias("__r"))
-    copies = by_key.select(F.col("k").alias("__k"), F.col("c.copies").alias("__c"))
-    out = docs.join(copies, "__k", "left").join(repeated, "__k", "left")
-    single = out.where("__r is null").withColumn("__n", F.lit(1))
-    many = out.where("__r").withColumn("__n", F.row_number().over(Window.partitionBy("__k").orderBy(F.lit(1))))
-    chosen = F.when(F.col("__c").isNotNull(), F.element_at("__c", F.col("__n"))).otherwise(0).cast("long")
-    both = single.unionByName(many).withColumn("copies", chosen)
-    t = targets.select(F.col("source").alias("__s"), "source_size", "target")
-    plain = [c for c in docs.columns if c not in ("__k", "__size")]
-    return both.join(F.broadcast(t) if targets.count() < 10_000 else t, F.col("source").cast("string").eqNullSafe(F.col("__s")), "left").select(
-        *plain, F.col("__size").alias("size"), "source_size", "target", "copies", (F.col("copies") * F.col("__size")).alias("taken")
+    # of the rows that share a key, which differ in nothing, so many take one copy more than the others
+    more = extra.groupBy("k", "k2").agg(F.sum("extra").alias("extra"))
+    by_key = rows.select("k", "k2", "base", "times").distinct().join(more, ["k", "k2"], "left").select(
+        F.col("k").alias(f"{own}_k"), F.col("k2").alias(f"{own}_k2"), F.col("base").alias(f"{own}_base"), F.col("times").alias(f"{own}_times"), F.coalesce("extra", F.lit(0)).alias(f"{own}_extra")
+    )
+    by_key = materialize(by_key, "copies")
+    base, times, extra = F.col(f"{own}_base"), F.col(f"{own}_times"), F.col(f"{own}_extra")
+    out = docs.join(by_key, [f"{own}_k", f"{own}_k2"], "left")
+    single = out.where(times.isNull() | (times == 1)).withColumn("copies", F.coalesce(base + extra, F.lit(0)).cast("long"))
+    # repeats are numbered within their parts, and the parts' sizes give the numbers an offset
+    key, salt = [f"{own}_k", f"{own}_k2"], f"{own}_salt"
+    many = out.where(times > 1).withColumn(f"{own}_i", F.row_number().over(Window.partitionBy(*key, salt).orderBy(F.lit(1))))
+    sums = docs.join(by_key.where(times > 1).select(*key), key, "left_semi").groupBy(*key, salt).agg(F.count("*").alias(f"{own}_in"))
+    start = F.sum(f"{own}_in").over(Window.partitionBy(*key).orderBy(salt)) - F.col(f"{own}_in")
+    starts = materialize(sums.withColumn(f"{own}_start", start).drop(f"{own}_in"), "starts")
+    number = F.col(f"{own}_start") + F.col(f"{own}_i")
+    many = many.join(starts, [*key, salt]).withColumn("copies", (base + (number <= extra).cast("int")).cast("long"))
+    both = single.select(*plain, f"{own}_size", "copies")
+    both = both.unionByName(many.select(*both.columns))
+    t = targets.select(F.col("source").alias(f"{own}_s"), "source_size", "target")
+    return both.join(F.broadcast(t) if targets.count() < 10_000 else t, F.col("source").cast("string").eqNullSafe(F.col(f"{own}_s")), "left").select(
+        *plain, F.col(f"{own}_size").alias("size"), "source_size", "target", "copies", (F.col("copies") * F.col(f"{own}_size")).alias("taken")
     )
 
 
 def mixed_copies(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = MAX_COPIES) -> DataFrame:
-    """The rows of docs, each as often as the mix takes it (not at all, once or more); same columns."""
+    """The rows of docs, each as often as the mix takes it (not at all, once or more); same columns.
+
+    Null and wordless texts are taken 0 times; null sources form one source; null ids and repeated
+    rows are decided one by one; an empty table stays empty.
+    """
     clash = {c: f"__own_{c}" for c in ("size", "source_size", "target", "copies", "taken") if c in docs.columns}
     out = mix(docs.withColumnsRenamed(clash), weights, share, cap).where("copies > 0")
     out = out.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))

@@ -33,6 +33,8 @@ def test_shards_equal_sql_and_fit(spark):
         for r in out.groupBy("shard_id").agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n"), F.max("shard_depth").alias("d")).collect():
             assert (r.b or 0) <= limit or r.n == 1 and r.d == 60
     assert sharding.assign_shards(table.limit(0)).count() == 0
+    named = table.withColumns({"__key": F.lit(5), "__shard_key": F.lit(6), "key": F.lit(7), "p": F.lit(8), "depth": F.lit(9)})
+    assert {tuple(r) for r in sharding.assign_shards(named, 2000).select("__key", "__shard_key", "key", "p", "depth").collect()} == {(5, 6, 7, 8, 9)}
 
 
 def targets_by_brute_force(sizes, weights, share, cap):
@@ -72,6 +74,23 @@ def test_mix_hits_targets(spark, seed):
     assert mixing.mix(table.limit(0)).count() == 0
 
 
+def test_mix_by_a_size_column_with_many_repeats(spark):
+    rows = [(None, "a", 7)] * 700 + [(3, None, 4)] * 90 + [(3, "\x00", 4)] * 90 + [(i, "b", i % 9) for i in range(300)]
+    table = spark.createDataFrame(rows, "doc_id long, source string, words long").repartition(5)
+    out = mixing.mix(table, size="words")
+    assert out.columns == ["doc_id", "source", "words", "size", "source_size", "target", "copies", "taken"]
+    out = out.collect()
+    sizes, taken = collections.Counter(), collections.Counter()
+    for r in out:
+        sizes[r.source] += r.size
+        taken[r.source] += r.taken
+        assert 0 <= r.taken <= 2 * r.size
+    want = targets_by_brute_force(dict(sizes), (3, 1, 2), 1.5, 2.0)
+    assert len(out) == len(rows) and {r.source: r.target for r in out} == pytest.approx(want)
+    assert all(abs(taken[s] - want[s]) <= 9 for s in want)
+    assert sorted(collections.Counter((r.doc_id, r.source, r.words) for r in out).values())[-1] == 700
+
+
 def test_pivot_keeps_words_and_odds():
     hits = collections.Counter()
     for trial in range(3000):

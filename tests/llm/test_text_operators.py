@@ -231,6 +231,38 @@ def test_gif_rules():
     assert gif.read_gif(file[:-40]) and gif.read_gif(b"") == []
 
 
+#: A public sample: 10 by 10 pixels, 4 colours, code size 2, written by another encoder.
+SAMPLE_GIF = bytes.fromhex(
+    "474946383961 0a000a00910000 ffffff ff0000 0000ff 000000 21f90400000000002c00000000 0a000a0000 02 16 8c2d99872a1cdc33a00275ec95faa8de608c04914c0100 3b"
+)
+
+
+def test_gif_of_another_encoder():
+    a, b = [1] * 5 + [2] * 5, [2] * 5 + [1] * 5
+    c, d = [1] * 3 + [0] * 4 + [2] * 3, [2] * 3 + [0] * 4 + [1] * 3
+    frame = gif.read_gif(SAMPLE_GIF)[0]
+    assert list(frame.indices) == [*a * 3, *c * 2, *d * 2, *b * 3]
+    assert frame.histogram == {63: 16, 48: 42, 3: 42}
+
+
+def test_broken_gifs_yield_whole_frames():
+    for n in range(len(SAMPLE_GIF)):
+        assert len(gif.read_gif(SAMPLE_GIF[:n])) == (n >= len(SAMPLE_GIF) - 1)  # cut anywhere
+    size_at = SAMPLE_GIF.index(bytes.fromhex("0216"))
+    for size in (0, 9, 255):
+        assert gif.read_gif(SAMPLE_GIF[:size_at] + bytes([size]) + SAMPLE_GIF[size_at + 1 :]) == []
+    for at in (6, size_at - 5):  # the screen's size (a frame smaller than it is whole), and the frame's
+        huge = SAMPLE_GIF[:at] + b"\xff\xff\xff\xff" + SAMPLE_GIF[at + 4 :]
+        assert len(gif.read_gif(huge)) == (at == 6)
+    rng = random.Random(16)
+    for _ in range(3000):
+        file = bytearray(SAMPLE_GIF)
+        for _ in range(rng.randint(1, 4)):
+            file[rng.randrange(6, len(file))] = rng.randrange(256)
+        assert len(gif.read_gif(bytes(file))) <= 2
+    assert gif.read_gif(b"GIF89a") == gif.read_gif(b"no gif") == []
+
+
 # language
 def test_language(spark):
     rng = random.Random(7)
