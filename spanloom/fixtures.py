@@ -43,30 +43,46 @@ def flat_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _text(key, value) -> F.Column:
+    as_column = lambda x: F.lit(x) if isinstance(x, str) else x
+    null = lambda kind: F.lit(None).cast(kind)
+    return F.struct(as_column(key).alias("key"), F.lit("STRING").alias("vType"), as_column(value).cast("string").alias("vStr"), null("double").alias("vDouble"), null("boolean").alias("vBool"), null("long").alias("vLong"), null("binary").alias("vBinary"))
+
+
 def nested_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same spans as wire records: for even span ids the parent stands in a reference only."""
-    by_reference = F.col("span_id") % 2 == 0
-    text = lambda key, value: F.struct(F.lit(key).alias("key"), F.lit("STRING").alias("vType"), value.cast("string").alias("vStr"), F.lit(None).cast("double").alias("vDouble"), F.lit(None).cast("boolean").alias("vBool"), F.lit(None).cast("long").alias("vLong"), F.lit(None).cast("binary").alias("vBinary"))
-    reference = lambda kind, span: F.struct(F.lit(kind).alias("refType"), F.col("trace_id_low").alias("traceIdLow"), F.col("trace_id_high").alias("traceIdHigh"), span.alias("spanId"))
-    tags = F.filter(
-        F.array(
-            F.when(F.col("span_kind").isNotNull(), text("span.kind", F.col("span_kind"))),
-            F.when(F.col("peer_service").isNotNull(), text("peer.service", F.upper("peer_service"))),
-            text("http.method", F.lit("GET")),
-        ),
-        lambda t: t.isNotNull(),
+    kind = F.col("span_kind")
+    return _nested(raw_spans(spark, sf_dir), [F.when(kind.isNotNull(), _text("span.kind", kind))], F.lit("child_of"), "peer.service")
+
+
+def odd_nested_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wire records with one oddity each, by start time modulo 6: references in upper case, tag names in
+    mixed case, kinds in upper case, a second kind, negative trace ids, no service name."""
+    odd, kind = F.col("start_time_us") % 6, F.col("span_kind")
+    other = F.when(kind == "server", "client").when(kind == "client", "server")
+    own = _text(F.when(odd == 1, "Span.Kind").otherwise("span.kind"), F.when(odd == 2, F.upper(kind)).otherwise(kind))
+    rows = raw_spans(spark, sf_dir).withColumns(
+        {"trace_id_low": F.when(odd == 4, -F.col("trace_id_low")).otherwise(F.col("trace_id_low")), "service": F.when(odd != 5, F.col("service"))}
     )
-    return raw_spans(spark, sf_dir).select(
+    kinds = [F.when((odd == 3) & other.isNotNull(), _text("span.kind", other)), F.when(kind.isNotNull(), own)]
+    return _nested(rows, kinds, F.when(odd == 0, "CHILD_OF").otherwise("child_of"), "Peer.Service")
+
+
+def _nested(rows: DataFrame, kinds: list, child_of, peer: str) -> DataFrame:
+    by_reference = F.col("span_id") % 2 == 0
+    reference = lambda kind, span: F.struct(kind.alias("refType"), F.col("trace_id_low").alias("traceIdLow"), F.col("trace_id_high").alias("traceIdHigh"), span.alias("spanId"))
+    tags = F.array(*kinds, F.when(F.col("peer_service").isNotNull(), _text(peer, F.upper("peer_service"))), _text("http.method", "GET"))
+    return rows.select(
         F.col("trace_id_low").alias("traceIdLow"),
         F.col("trace_id_high").alias("traceIdHigh"),
         F.col("span_id").alias("spanId"),
         F.when(~by_reference, F.col("parent_span_id")).alias("parentSpanId"),
         F.col("operation").alias("operationName"),
-        F.when(by_reference, F.array(reference("child_of", F.lit(99).cast("long")), reference("child_of", F.col("parent_span_id")), reference("follows_from", F.lit(77).cast("long")))).alias("references"),
+        F.when(by_reference, F.array(reference(child_of, F.lit(99).cast("long")), reference(child_of, F.col("parent_span_id")), reference(F.lit("follows_from"), F.lit(77).cast("long")))).alias("references"),
         F.lit(0).alias("flags"),
         F.col("start_time_us").alias("startTime"),
         F.lit(1).cast("long").alias("duration"),
-        tags.alias("tags"),
+        F.filter(tags, lambda t: t.isNotNull()).alias("tags"),
         F.lit(None).cast("array<struct<timestamp: bigint, fields: array<struct<key: string, vType: string, vStr: string, vDouble: double, vBool: boolean, vLong: bigint, vBinary: binary>>>>").alias("logs"),
-        F.struct(F.col("service").alias("serviceName"), F.when(F.col("client_version").isNotNull(), F.array(text("jaeger.version", F.col("client_version")))).alias("tags")).alias("process"),
+        F.struct(F.col("service").alias("serviceName"), F.when(F.col("client_version").isNotNull(), F.array(_text("jaeger.version", F.col("client_version")))).alias("tags")).alias("process"),
     )

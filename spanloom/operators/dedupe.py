@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sessions import ORDER
+from .sessions import ORDER, ask_by_id, told
 
 
 def mark_shared(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -26,25 +26,30 @@ def dedupe_span_ids(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     its old id becomes its parent. Then every span whose parent is a renamed id gets the last fresh
     id of it as parent, but for that renamed span itself. Adds ``renamed`` (boolean).
     """
+    named = _with_free_numbers(mark_shared(spans, keys), keys)
+    named = named.withColumn("__p", F.when(F.col("renamed"), F.col("span_id")).otherwise(F.col("parent_span_id")))
+    led = ask_by_id(named, keys, [F.col("span_id")], [F.col("__p")], {"__heir": F.max(told(F.when(F.col("renamed"), F.struct("nth", "__fresh"))))})
+    own, heir = F.coalesce("__fresh", "span_id"), F.col("__heir.__fresh")
+    parent = F.when(heir.isNotNull() & (heir != own), heir).otherwise(F.col("__p"))
+    return led.withColumns({"span_id": own, "parent_span_id": parent}).select(*spans.columns, "renamed")
+
+
+def _with_free_numbers(marked: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """marked with __fresh: for the k-th renamed span of a trace session (nth = k) the k-th smallest
+    positive number that is no id there, else null.
+
+    If the used numbers in order are u1 < u2 < ..., there are u - i free ones below the i-th, so the
+    k-th free one is k plus the number of used ones with u - i < k. Both are running sums over the
+    session's spans and ids, sorted; no set of all ids is gathered.
+    """
     trace = [*keys, "sid"]
-    marked = mark_shared(spans, keys).withColumnRenamed("nth", "__k")
-
-    # the free numbers of the traces that need some, one row each
-    used = marked.groupBy(*trace).agg(
-        F.max("__k").alias("n"), F.array_union(F.collect_set("span_id"), F.collect_set("parent_span_id")).alias("used")
-    ).where("n > 0")
-    free = used.select(*trace, "n", F.posexplode(F.array_except(F.sequence(F.lit(1).cast("long"), F.size("used") + F.col("n").cast("long")), "used")).alias("__k", "fresh"))
-    free = free.withColumn("__k", F.col("__k") + 1).where("__k <= n").drop("n")
-
-    named = marked.join(free, [*trace, "__k"], "left")
-    last = named.where("renamed").groupBy(*trace, "span_id").agg(F.max_by("fresh", "__k").alias("heir"))
-    last = last.withColumnRenamed("span_id", "parent_span_id")
-    own = named.withColumns(
-        {
-            "parent_span_id": F.when(F.col("renamed"), F.col("span_id")).otherwise(F.col("parent_span_id")),
-            "span_id": F.coalesce("fresh", "span_id"),
-        }
-    )
-    led = own.join(last, [*trace, "parent_span_id"], "left")
-    parent = F.when(F.col("heir").isNotNull() & (F.col("heir") != F.col("span_id")), F.col("heir")).otherwise(F.col("parent_span_id"))
-    return led.withColumn("parent_span_id", parent).select(*spans.columns, "renamed")
+    event = lambda number, used: F.struct(number.cast("long").alias("number"), F.lit(used).alias("used"))
+    events = F.array(event(F.lit(None), False), event(F.col("span_id"), True), event(F.col("parent_span_id"), True))
+    rows = marked.withColumn("__e", F.explode(events)).where("not __e.used or __e.number > 0")
+    by_number = Window.partitionBy(*trace).orderBy("__e.number")
+    new = F.col("__e.used") & ~F.coalesce(F.lag("__e.number").over(by_number) == F.col("__e.number"), F.lit(False))
+    rows = rows.withColumn("__new", new.cast("int")).withColumn("__i", F.sum("__new").over(by_number.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.where("not __e.used or __new = 1").withColumn("__at", F.when(F.col("__e.used"), F.col("__e.number") - F.col("__i")).otherwise(F.col("nth").cast("long")))
+    below = F.sum(F.col("__e.used").cast("int")).over(Window.partitionBy(*trace).orderBy("__at", "__e.used").rowsBetween(Window.unboundedPreceding, 0))
+    fresh = F.when(F.col("renamed"), F.col("nth") + below).cast("long")
+    return rows.withColumn("__fresh", fresh).where("not __e.used").drop("__e", "__new", "__i", "__at")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ def _paths(groups: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def paths_of(spans):
-    """All paths of an array of spans, as a Column; the one Arrow helper of the batch jobs."""
+    """All paths of an array of spans, as a Column; for streams, where a session is one row."""
     return F.pandas_udf(_paths, f"array<array<{NODE}>>")(spans)
 
 
@@ -66,17 +67,57 @@ def path_length_cap(path, limit: int = MAX_LENGTH):
     return F.when(size > limit, F.array(F.struct(F.lit("Exceeded").alias("service"), F.lit("Length").alias("operation")))).otherwise(path)
 
 
-def collect_traces(spans: DataFrame, keys: tuple[str, ...] = ("trace_id_low",)) -> DataFrame:
-    """(keys, sid, session_end, spans): the spans of each trace session in order, as one array."""
-    fields = F.struct("start_time_us", "span_id", "parent_span_id", "service", "operation", "span_kind")
-    return spans.groupBy(*keys, "sid", "session_end").agg(F.sort_array(F.collect_list(fields)).alias("spans"))
+#: Rows of paths that are sent on together.
+_ROWS = 4096
+_SPAN = ("span_id", "parent_span_id", "service", "operation", "span_kind")
 
 
-def trace_paths(traces: DataFrame, keys: tuple[str, ...] = ("trace_id_low",), limit: int = MAX_LENGTH) -> DataFrame:
-    """(keys, sid, session_end, path, trace_id): every path of every trace, in an Arrow helper."""
-    low = keys[-1]
-    paths = traces.withColumn("path", F.explode(paths_of("spans")))
-    return paths.select(*keys, "sid", "session_end", path_length_cap(F.col("path"), limit).alias("path"), F.lower(F.hex(low)).alias("trace_id"))
+def _walked(names_of: tuple[str, ...]):
+    """Rows (keys, sid, session_end, span fields), sorted by trace, as rows (keys, sid, session_end, path)."""
+    keys, node = len(names_of), pa.struct([("service", pa.string()), ("operation", pa.string())])
+
+    def rows(found: list[tuple]) -> pa.RecordBatch:
+        heads = [pa.array([f[0][i] for f in found], pa.int64()) for i in range(keys + 2)]
+        ends = [0]
+        for _, path in found:
+            ends.append(ends[-1] + len(path))
+        names = [pa.array([n[i] for _, path in found for n in path], pa.string()) for i in (0, 1)]
+        path = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(names, fields=list(node)))
+        return pa.RecordBatch.from_arrays([*heads, path], [*names_of, "sid", "session_end", "path"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trace, held, out = None, [], []
+
+        def flush():
+            out.extend((trace, path) for path in walk(dict(zip(_SPAN, s, strict=True)) for s in held))
+
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            for head, span in zip(zip(*columns[: keys + 2], strict=True), zip(*columns[keys + 2 :], strict=True), strict=True):
+                if head != trace:
+                    flush()
+                    trace, held = head, []
+                    while len(out) >= _ROWS:
+                        yield rows(out[:_ROWS])
+                        del out[:_ROWS]
+                held.append(span)
+        flush()
+        for i in range(0, len(out), _ROWS):
+            yield rows(out[i : i + _ROWS])
+
+    return run
+
+
+def trace_paths(spans: DataFrame, keys: tuple[str, ...] = ("trace_id_low",), limit: int = MAX_LENGTH) -> DataFrame:
+    """(keys, sid, session_end, path, trace_id): every path of every trace session.
+
+    Spans go through an Arrow helper in the order of their traces, row by row: a trace is never one
+    value, and the helper holds one trace at a time. Spans dealt by other columns are dealt by keys.
+    """
+    dealt = spans.repartition(*keys).sortWithinPartitions(*keys, "sid", "start_time_us", *_SPAN)
+    heads = ", ".join(f"{k} long" for k in (*keys, "sid", "session_end"))
+    walked = dealt.select(*[F.col(k).cast("long").alias(k) for k in (*keys, "sid", "session_end")], *_SPAN).mapInArrow(_walked(keys), f"{heads}, path array<{NODE}>")
+    return walked.select(*keys, "sid", "session_end", path_length_cap(F.col("path"), limit).alias("path"), F.lower(F.hex(keys[-1])).alias("trace_id"))
 
 
 def dedupe_paths(paths: DataFrame, window_minutes: int = 10) -> DataFrame:

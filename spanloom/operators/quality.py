@@ -1,13 +1,15 @@
 """Instrumentation quality: rules that score spans and traces, and their counters.
 
-A span rule is a Column of array<struct<service, metric, submetric>> over annotated spans; a trace
-rule is a function from annotated spans to rows (keys, sid, session_end, service, metric, submetric). Both kinds
-are plain lists, so a job takes more of either.
+A span rule is a Column of array<struct<service, metric, submetric>> over annotated spans. A trace rule
+is a pair: a function that adds to annotated spans what the rule must know of other spans of the trace,
+and such a Column over the result. Both kinds are plain lists, so a job takes more of either; all
+columns are evaluated on the same rows and exploded once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,7 +22,13 @@ HAS_CLIENT, HAS_SERVER = "HasClientSpans", "HasServerSpans"
 UNIQUE_IDS, CLIENT_VERSION, MINIMUM_VERSION = "HasUniqueSpanIds", "ClientVersion", "MinimumClientVersionCheck"
 
 SpanRule = Callable[[tuple[str, ...]], Column]
-TraceRule = Callable[[DataFrame, tuple[str, ...]], DataFrame]
+
+
+class TraceRule(NamedTuple):
+    """``prepare`` keeps one row per span and its columns; ``scores`` may use those that it adds."""
+
+    prepare: Callable[[DataFrame, tuple[str, ...]], DataFrame]
+    scores: SpanRule
 
 
 def score(service, metric: str, submetric) -> Column:
@@ -44,14 +52,19 @@ def score_unique_span_id(keys) -> Column:
     return F.array(score("service", UNIQUE_IDS, F.when(n == 1, PASS).otherwise(FAIL)))
 
 
-def parent_child_pairs(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """(keys, sid, session_end, child, parent) for every span: the first span of its own id, and the first one of its
-    parent's id or null (orphans and roots)."""
+def with_relatives(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """spans with child (the first span of its own id) and parent (the first one of its parent's id, or
+    null for orphans and roots), as structs of service, peer_service, is_client, is_server."""
     fields = F.struct("service", "peer_service", "is_client", "is_server")
     ranked = F.struct(*ORDER, "parent_span_id", "service", fields.alias("s"))
-    first = spans.withColumn("own", F.min(ranked).over(Window.partitionBy(*keys, "sid", "span_id")))
-    linked = ask_by_id(first, keys, [F.col("span_id")], [F.col("parent_span_id")], {"above": F.min(told(ranked))})
-    return linked.select(*keys, "sid", "session_end", F.col("own.s").alias("child"), F.col("above.s").alias("parent"))
+    first = spans.withColumn("__own", F.min(ranked).over(Window.partitionBy(*keys, "sid", "span_id")))
+    linked = ask_by_id(first, keys, [F.col("span_id")], [F.col("parent_span_id")], {"__above": F.min(told(ranked))})
+    return linked.withColumns({"child": F.col("__own.s"), "parent": F.col("__above.s")}).drop("__own", "__above")
+
+
+def parent_child_pairs(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """(keys, sid, session_end, child, parent) for every span; see with_relatives."""
+    return with_relatives(spans, keys).select(*keys, "sid", "session_end", "child", "parent")
 
 
 def orphan_spans(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -60,13 +73,9 @@ def orphan_spans(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return linked.where("known is null").drop("known")
 
 
-def score_has_client_server(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Whether calls have both their client and their server span."""
-    return client_server_scores(parent_child_pairs(spans, keys)).select(*keys, "sid", "session_end", "service", "metric", "submetric")
-
-
-def client_server_scores(pairs: DataFrame) -> DataFrame:
-    """Scores of (child, parent) pairs; a child without a parent counts as a root."""
+def client_server_scores(keys=()) -> Column:
+    """Scores of (child, parent) pairs, whether calls have both their client and their server span; a
+    child without a parent counts as a root."""
     c, p = F.col("child"), F.col("parent")
     own = lambda metric, sub: score(c["service"], metric, sub)
     peer = lambda metric: score(c["peer_service"], metric, FAIL)
@@ -75,8 +84,10 @@ def client_server_scores(pairs: DataFrame) -> DataFrame:
     below_client = F.concat(F.when(c["is_server"], F.array(own(HAS_SERVER, PASS))).otherwise(none), F.when(c["is_client"], F.array(own(HAS_SERVER, FAIL))).otherwise(none))
     at_fault = score(F.coalesce(c["peer_service"], c["service"]), HAS_CLIENT, FAIL)
     below_server = F.concat(F.when(c["is_client"], F.array(own(HAS_CLIENT, PASS))).otherwise(none), F.when(c["is_server"], F.array(at_fault)).otherwise(none))
-    scores = F.when(p.isNull(), root).when(p["is_client"], below_client).when(p["is_server"], below_server).otherwise(none)
-    return pairs.withColumn("s", F.explode(scores)).select(*[x for x in pairs.columns if x not in ("child", "parent")], "s.*")
+    return F.when(p.isNull(), root).when(p["is_client"], below_client).when(p["is_server"], below_server).otherwise(none)
+
+
+score_has_client_server = TraceRule(with_relatives, client_server_scores)
 
 
 SPAN_RULES: tuple[SpanRule, ...] = (score_client_version, score_minimum_client_version, score_unique_span_id)
@@ -90,12 +101,15 @@ def score_guard(scores: DataFrame) -> DataFrame:
 
 def score_all(spans: DataFrame, keys: tuple[str, ...] = ("trace_id_low",), span_rules: Sequence[SpanRule] = SPAN_RULES, trace_rules: Sequence[TraceRule] = TRACE_RULES) -> DataFrame:
     """(time_bucket, service, metric, submetric, trace_id, session_end): every score of every rule."""
-    scored = spans.select(*keys, "sid", "session_end", F.concat(*[r(keys) for r in span_rules]).alias("scores"))
-    base = scored.select(*keys, "sid", "session_end", F.explode("scores").alias("s")).select(*keys, "sid", "session_end", "s.*")
+    columns = [r(keys) for r in span_rules]
+    # what span rules count over a span's id is sorted like what a trace rule asks of it
+    rows = spans.withColumns({f"__s{n}": c for n, c in enumerate(columns)})
     for rule in trace_rules:
-        base = base.unionByName(rule(spans, keys).select(*base.columns))
+        rows = rule.prepare(rows, keys)
+    scores = F.concat(*[F.col(f"__s{n}") for n in range(len(columns))], *[rule.scores(keys) for rule in trace_rules])
+    every = rows.select(*keys, "sid", "session_end", F.explode(scores).alias("s")).select(*keys, "sid", "session_end", "s.*")
     bucket = F.date_trunc("HOUR", F.timestamp_millis("sid"))
-    return score_guard(base).select(bucket.alias("time_bucket"), "service", "metric", "submetric", F.lower(F.hex(keys[-1])).alias("trace_id"), "session_end")
+    return score_guard(every).select(bucket.alias("time_bucket"), "service", "metric", "submetric", F.lower(F.hex(keys[-1])).alias("trace_id"), "session_end")
 
 
 def quality_counts(scores: DataFrame) -> DataFrame:

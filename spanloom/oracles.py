@@ -11,6 +11,13 @@ f AS (SELECT coalesce(trace_id_high, 0) AS trace_id_high, trace_id_low, span_id,
   upper(span_kind) AS span_kind, coalesce(span_kind = 'server', false) AS is_server, coalesce(span_kind = 'client', false) AS is_client,
   start_time_us, start_time_us // 1000 AS ms, peer_service, client_version FROM s)"""
 
+#: The odd wire records of fixtures.odd_nested_spans, as flat columns.
+ODD = f"""s AS ({SPANS_SQL}),
+d AS (SELECT trace_id_high, CASE WHEN start_time_us % 6 = 4 THEN -trace_id_low ELSE trace_id_low END AS trace_id_low, span_id, parent_span_id,
+  CASE WHEN start_time_us % 6 <> 5 THEN service END AS service, span_kind AS kind,
+  CASE WHEN start_time_us % 6 = 3 THEN CASE span_kind WHEN 'server' THEN 'client' WHEN 'client' THEN 'server' END END AS second,
+  start_time_us, start_time_us % 6 AS odd, peer_service FROM s)"""
+
 
 def sessions(keys: str, minutes: int, where: str = "is_client OR is_server") -> str:
     """CTEs up to t: the spans with sid and session_end in milliseconds."""

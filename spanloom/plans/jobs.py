@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import dependencies, paths, quality
+from ..operators import dependencies, paths, quality, report
 from ..operators.dedupe import dedupe_span_ids
 from ..operators.sessions import annotate_sessions
+from ..sources.tables import read_quality
 
 HIGH_LOW, LOW = ("trace_id_high", "trace_id_low"), ("trace_id_low",)
 
@@ -45,7 +46,7 @@ def unique_paths(spans: DataFrame, dedupe: bool = False, gap: int = 5, window: i
     if dedupe:
         flags = traces.selectExpr("*", "coalesce(span_kind = 'CLIENT', false) is_client", "coalesce(span_kind = 'SERVER', false) is_server")
         traces = dedupe_span_ids(flags, LOW).drop("renamed", "is_client", "is_server")
-    return paths.dedupe_paths(paths.trace_paths(paths.collect_traces(traces, LOW), LOW), window)
+    return paths.dedupe_paths(paths.trace_paths(traces, LOW), window)
 
 
 def paths_job(spans: DataFrame, dedupe: bool = False) -> DataFrame:
@@ -62,3 +63,10 @@ def quality_sessions(spans: DataFrame, gap: int = 3) -> DataFrame:
 def quality_job(spans: DataFrame, **rules) -> DataFrame:
     """quality_metrics rows: counters by hour, service, metric and submetric."""
     return quality.quality_counts(quality.score_all(quality_sessions(spans), LOW, **rules))
+
+
+def report_job(spark: SparkSession, path: str, now, hours: int, service: str | None = None) -> DataFrame:
+    """The report on the last hours before ``now`` of a written quality_metrics table, for one service
+    or all, in its order."""
+    rows = report.recent(read_quality(spark, path, service), now, hours)
+    return report.sorted_metrics(report.service_metrics_report(rows))

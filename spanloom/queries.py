@@ -5,7 +5,6 @@ Times are shown as whole milliseconds and arrays as text, so that both engines'
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracles as o
-from .fixtures import flat_spans, nested_spans
+from .fixtures import flat_spans, nested_spans, odd_nested_spans
 from .functions import spans as fs
 from .functions.versions import version_at_least
 from .operators import dependencies as dep
@@ -24,7 +23,8 @@ from .operators import sessions as ss
 from .operators.dedupe import dedupe_span_ids
 from .plans import jobs
 from .sources import tables
-from .sources.spans import decode_json_envelope, read_spans_batch, stream_span_files
+from .sources.shared import shared_dir
+from .sources import spans as sp
 from .streaming import jobs as st
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,24 +66,29 @@ def flatten_spans_quality(spark, sf_dir):
     return fs.flatten_spans_quality(nested_spans(spark, sf_dir)).withColumn("ms", _ms("ts")).drop("ts")
 
 
-@query(o.select(o.FLAT, f"SELECT {_KEY}, parent_span_id AS exact, parent_span_id AS any_case FROM f"))
+_NAMES = "trace_id_low, span_id, start_time_us"
+
+
+@query(o.select(o.ODD, f"SELECT {_NAMES}, CASE WHEN odd = 0 AND span_id % 2 = 0 THEN 0 ELSE parent_span_id END AS exact, parent_span_id AS any_case FROM d"))
 def resolve_parent(spark, sf_dir):
-    return nested_spans(spark, sf_dir).select(*map(F.expr, _NESTED), fs.resolve_parent(False).alias("exact"), fs.resolve_parent(True).alias("any_case"))
+    return odd_nested_spans(spark, sf_dir).select(*map(F.expr, _NESTED), fs.resolve_parent(False).alias("exact"), fs.resolve_parent(True).alias("any_case"))
 
 
-@query(o.select(o.FLAT, f"SELECT {_KEY}, is_server, is_client FROM f"))
+@query(o.select(o.ODD, f"""SELECT {_NAMES}, coalesce(kind = 'server' OR second = 'server', false) AS is_server, coalesce(kind = 'client' OR second = 'client', false) AS is_client,
+ odd NOT IN (1, 2) AND coalesce(kind = 'server' OR second = 'server', false) AS exact_server, odd NOT IN (1, 2) AND coalesce(kind = 'client' OR second = 'client', false) AS exact_client FROM d"""))
 def span_kind_flags(spark, sf_dir):
-    return nested_spans(spark, sf_dir).select(*map(F.expr, _NESTED), fs.has_kind("server", True).alias("is_server"), fs.has_kind("client", False).alias("is_client"))
+    flags = {f"{name}_{kind}": fs.has_kind(kind, name == "is") for name in ("is", "exact") for kind in ("server", "client")}
+    return odd_nested_spans(spark, sf_dir).select(*map(F.expr, _NESTED), *[c.alias(n) for n, c in flags.items()])
 
 
-@query(o.select(o.FLAT, f"SELECT {_KEY}, span_kind FROM f"))
+@query(o.select(o.ODD, f"SELECT {_NAMES}, CASE WHEN odd <> 1 THEN upper(kind) END AS span_kind FROM d"))
 def span_kind_enum(spark, sf_dir):
-    return nested_spans(spark, sf_dir).select(*map(F.expr, _NESTED), fs.span_kind().alias("span_kind"))
+    return odd_nested_spans(spark, sf_dir).select(*map(F.expr, _NESTED), fs.span_kind().alias("span_kind"))
 
 
-@query(o.select(o.FLAT, f"SELECT {_KEY}, {_LOWER_PEER} FROM f"))
+@query(o.select(o.ODD, f"SELECT {_NAMES}, {_LOWER_PEER} FROM d"))
 def peer_service(spark, sf_dir):
-    return nested_spans(spark, sf_dir).select(*map(F.expr, _NESTED), fs.peer_service().alias("peer_service"))
+    return odd_nested_spans(spark, sf_dir).select(*map(F.expr, _NESTED), fs.peer_service().alias("peer_service"))
 
 
 @query(o.select(o.FLAT, f"SELECT {_KEY}, client_version FROM f"))
@@ -91,23 +96,22 @@ def client_version(spark, sf_dir):
     return nested_spans(spark, sf_dir).select(*map(F.expr, _NESTED), fs.client_version().alias("client_version"))
 
 
-@query(o.select(o.FLAT, f"SELECT {_KEY}, ms, trace_id_high || ':' || trace_id_low AS trace_key, lower(to_hex(trace_id_low)) AS trace_id FROM f"))
+@query(o.select(o.ODD, f"SELECT {_NAMES}, start_time_us // 1000 AS ms, coalesce(trace_id_high, 0) || ':' || trace_id_low AS trace_key, lower(to_hex(trace_id_low)) AS trace_id, service FROM d"))
 def trace_key_and_event_time(spark, sf_dir):
-    n = nested_spans(spark, sf_dir)
+    n = odd_nested_spans(spark, sf_dir)
     high = F.coalesce("traceIdHigh", F.lit(0).cast("long"))
-    return n.select(*map(F.expr, _NESTED), _ms(fs.event_time("startTime")).alias("ms"), F.concat_ws(":", high, "traceIdLow").alias("trace_key"), fs.trace_id_hex("traceIdLow").alias("trace_id"))
+    return n.select(*map(F.expr, _NESTED), _ms(fs.event_time("startTime")).alias("ms"), F.concat_ws(":", high, "traceIdLow").alias("trace_key"), fs.trace_id_hex("traceIdLow").alias("trace_id"), F.col("process.serviceName").alias("service"))
 
 
 @query(o.select(o.FLAT, f"SELECT {_KEY}, service FROM f"))
-def decode_span_envelope(spark, sf_dir):
-    """Messages of the envelope schema, here as JSON (the Avro reader needs a package)."""
+def decode_json_envelope(spark, sf_dir):
+    """Messages of the envelope schema as JSON (the Avro reader needs a package)."""
     messages = nested_spans(spark, sf_dir).select(F.to_json(F.struct(F.lit(1).alias("schema_id"), F.struct("*").alias("msg"))).alias("value"))
-    return decode_json_envelope(messages).select(*map(F.expr, _NESTED), F.col("process.serviceName").alias("service"))
+    return sp.decode_json_envelope(messages).select(*map(F.expr, _NESTED), F.col("process.serviceName").alias("service"))
 
 
 def _shared(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spanloom-")
-    return f"{base.rstrip('/')}/spanloom-{uuid.uuid4().hex}/{name}"
+    return f"{shared_dir(spark)}/spanloom-{uuid.uuid4().hex}/{name}"
 
 
 @query(o.select(o.FLAT, f"SELECT {_KEY}, service FROM f"))
@@ -115,7 +119,7 @@ def read_spans(spark, sf_dir):
     """Span records written to files and read with the fixed schema."""
     path = _shared(spark, "spans")
     nested_spans(spark, sf_dir).write.parquet(path)
-    return read_spans_batch(spark, path).select(*map(F.expr, _NESTED), F.col("process.serviceName").alias("service"))
+    return sp.read_spans_batch(spark, path).select(*map(F.expr, _NESTED), F.col("process.serviceName").alias("service"))
 
 
 @query(o.select(o.FLAT, f"SELECT {_KEY}, is_server, is_client FROM f WHERE is_client OR is_server"))
@@ -200,7 +204,7 @@ def write_dependencies(spark, sf_dir):
     """The job's rows as a table, read again."""
     path = _shared(spark, "dependencies_v2")
     tables.write_dependencies(jobs.dependencies_job(flat_spans(spark, sf_dir)), path)
-    return _rollup_rows(spark.read.parquet(path))
+    return _rollup_rows(tables.read_dependencies(spark, path))
 
 
 @query(o.select(o.PAIRS, "SELECT t.trace_id_low, t.sid, t.span_id, t.parent_span_id FROM t ANTI JOIN (SELECT DISTINCT trace_id_low, sid, span_id AS parent_span_id FROM t) p USING (trace_id_low, sid, parent_span_id)"))
@@ -287,6 +291,14 @@ def recent_metrics(spark, sf_dir):
     return rows.groupBy("service").agg(F.sum("count").alias("count"))
 
 
+@query(o.select(o.REPORT, "SELECT service, metric, submetric, CAST(sum(n) AS BIGINT) AS count, description, type FROM typed WHERE bucket_ms >= 1704153600000 - 24 * 3600000 AND service = 'svc-5' GROUP BY service, metric, submetric, description, type"))
+def report_job(spark, sf_dir):
+    """The report on a service's last 24 hours before 2024-01-02, from a written table."""
+    path = _shared(spark, "quality_metrics")
+    tables.write_quality(jobs.quality_job(flat_spans(spark, sf_dir)), path)
+    return jobs.report_job(spark, path, "2024-01-02 00:00:00", 24, "svc-5").drop("trace_ids")
+
+
 @query(o.select(o.REPORT, """SELECT service, round(c * 1e6) AS completeness_ppm, round(u * 1e6) AS quality_ppm FROM (SELECT service,
  CAST(sum(n) FILTER (WHERE type = 'Completeness' AND submetric = 'PASS') AS DOUBLE) / sum(n) FILTER (WHERE type = 'Completeness' AND submetric IN ('PASS', 'FAIL')) AS c,
  CAST(sum(n) FILTER (WHERE type = 'Quality' AND submetric = 'PASS') AS DOUBLE) / sum(n) FILTER (WHERE type = 'Quality' AND submetric IN ('PASS', 'FAIL')) AS u
@@ -302,13 +314,13 @@ def _path_text(path="path"):
 
 @query(o.select(o.PATHS, "SELECT trace_id_low, sid, session_end, path, trace_id FROM pa"))
 def trace_paths(spark, sf_dir):
-    out = pt.trace_paths(pt.collect_traces(jobs.path_sessions(flat_spans(spark, sf_dir))))
+    out = pt.trace_paths(jobs.path_sessions(flat_spans(spark, sf_dir)))
     return out.withColumn("path", _path_text())
 
 
 @query(o.select(o.PATHS, "SELECT trace_id_low, sid, CASE WHEN length(replace(replace(path, '|', ''), '>', '')) > 20 THEN 'Exceeded|Length' ELSE path END AS path FROM pa"))
 def path_length_cap(spark, sf_dir):
-    out = pt.trace_paths(pt.collect_traces(jobs.path_sessions(flat_spans(spark, sf_dir))), limit=20)
+    out = pt.trace_paths(jobs.path_sessions(flat_spans(spark, sf_dir)), limit=20)
     return out.select("trace_id_low", "sid", _path_text().alias("path"))
 
 
@@ -333,7 +345,15 @@ def focal_node_index(spark, sf_dir):
 def write_paths(spark, sf_dir):
     path = _shared(spark, "path_based_dependencies")
     tables.write_paths(jobs.paths_job(flat_spans(spark, sf_dir)), path)
-    return _index_rows(spark.read.parquet(path))
+    return _index_rows(tables.read_paths(spark, path))
+
+
+@query(o.select(o.INDEX, "SELECT bucket_ms, service, operation, trace_id, path FROM idx WHERE service = 'svc-3' AND operation = '' AND bucket_ms >= 1704412800000"))
+def read_paths(spark, sf_dir):
+    """The paths through a service since 2024-01-05, from the written table."""
+    path = _shared(spark, "path_based_dependencies")
+    tables.write_paths(jobs.paths_job(flat_spans(spark, sf_dir)), path)
+    return _index_rows(tables.read_paths(spark, path, "svc-3", since="2024-01-05 00:00:00"))
 
 
 def _streamed(spark: SparkSession, sf_dir: str, job, write) -> None:
@@ -345,22 +365,22 @@ def _streamed(spark: SparkSession, sf_dir: str, job, write) -> None:
         *[(F.col("start_time_us") if c == "start_time_us" else fs.event_time("start_time_us") if c == "ts" else F.lit(True) if c == "is_server" else F.lit(-1).cast("long") if k == "bigint" else F.lit(None).cast(k)).alias(c) for c, k in spans.dtypes]
     )
     spans.unionByName(last).write.parquet(path)
-    stream = stream_span_files(spark, path, spark.read.parquet(path).schema)
+    stream = sp.stream_span_files(spark, path, spark.read.parquet(path).schema)
     st.run_available(job(stream), write, _shared(spark, "checkpoint"))
 
 
 @query(_ROLLUP_SQL)
 def stream_dependencies(spark, sf_dir):
     out = _shared(spark, "out")
-    _streamed(spark, sf_dir, st.dependencies_stream, lambda rows, n: tables.write_dependencies(rows, out))
-    return _rollup_rows(spark.read.parquet(out))
+    _streamed(spark, sf_dir, st.dependencies_stream, lambda rows, n: tables.write_dependencies(rows, out, n))
+    return _rollup_rows(tables.read_dependencies(spark, out))
 
 
 @query(_INDEX_SQL)
 def stream_paths(spark, sf_dir):
     out = _shared(spark, "out")
-    _streamed(spark, sf_dir, st.paths_stream, lambda rows, n: tables.write_paths(rows, out))
-    return _index_rows(spark.read.parquet(out))
+    _streamed(spark, sf_dir, st.paths_stream, lambda rows, n: tables.write_paths(rows, out, n))
+    return _index_rows(tables.read_paths(spark, out))
 
 
 @query(_QUALITY_SQL)

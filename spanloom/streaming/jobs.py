@@ -7,7 +7,7 @@ its spans in order and the trace steps are helpers that run in time linear to th
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -99,42 +99,82 @@ def _new_enough(version: str | None) -> bool:
     return True
 
 
-def scores_of(spans) -> list[tuple[str, str, str]]:
-    """(service, metric, submetric) of every score of one trace by the four rules."""
-    by_id, out = defaultdict(list), []
+Score = tuple[str, str, str]
+#: (service, metric, submetric) of the scores that a rule gives one trace, whose spans come in order as dicts.
+Rule = Callable[[Sequence[dict]], Iterable[Score]]
+
+
+def score_client_version(spans) -> Iterator[Score]:
+    for s in spans:
+        yield s["service"], CLIENT_VERSION, s["client_version"]
+
+
+def score_minimum_client_version(spans) -> Iterator[Score]:
     for s in spans:
-        by_id[s["span_id"]].append(s)
+        yield s["service"], MINIMUM_VERSION, PASS if _new_enough(s["client_version"]) else FAIL
+
+
+def score_unique_span_id(spans) -> Iterator[Score]:
+    count: dict[int, int] = defaultdict(int)
+    for s in spans:
+        count[s["span_id"]] += 1
+    for s in spans:
+        yield s["service"], UNIQUE_IDS, PASS if count[s["span_id"]] == 1 else FAIL
+
+
+def score_has_client_server(spans) -> Iterator[Score]:
+    first: dict[int, dict] = {}
     for s in spans:
-        out.append((s["service"], CLIENT_VERSION, s["client_version"]))
-        out.append((s["service"], MINIMUM_VERSION, PASS if _new_enough(s["client_version"]) else FAIL))
-        out.append((s["service"], UNIQUE_IDS, PASS if len(by_id[s["span_id"]]) == 1 else FAIL))
-        child, parents = by_id[s["span_id"]][0], by_id.get(s["parent_span_id"])
+        first.setdefault(s["span_id"], s)
+    for s in spans:
+        child, parent = first[s["span_id"]], first.get(s["parent_span_id"])
         own, peer = child["service"], child["peer_service"]
-        if parents is None:
+        if parent is None:
             if child["is_client"]:
-                out += [(peer, HAS_SERVER, FAIL), (own, HAS_CLIENT, PASS)]
+                yield peer, HAS_SERVER, FAIL
+                yield own, HAS_CLIENT, PASS
             elif child["is_server"]:
-                out += [(peer, HAS_CLIENT, FAIL), (own, HAS_SERVER, PASS)]
-        elif parents[0]["is_client"]:
-            out += [(own, HAS_SERVER, PASS)] * child["is_server"] + [(own, HAS_SERVER, FAIL)] * child["is_client"]
-        elif parents[0]["is_server"]:
-            out += [(own, HAS_CLIENT, PASS)] * child["is_client"] + [(own if peer is None else peer, HAS_CLIENT, FAIL)] * child["is_server"]
-    return [x for x in out if all(x)]
+                yield peer, HAS_CLIENT, FAIL
+                yield own, HAS_SERVER, PASS
+        elif parent["is_client"]:
+            if child["is_server"]:
+                yield own, HAS_SERVER, PASS
+            if child["is_client"]:
+                yield own, HAS_SERVER, FAIL
+        elif parent["is_server"]:
+            if child["is_client"]:
+                yield own, HAS_CLIENT, PASS
+            if child["is_server"]:
+                yield own if peer is None else peer, HAS_CLIENT, FAIL
 
 
-def _scores(groups: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for traces in groups:
-        yield pd.Series([[{"service": a, "metric": b, "submetric": c} for a, b, c in scores_of(t)] for t in traces])
+RULES: tuple[Rule, ...] = (score_client_version, score_minimum_client_version, score_unique_span_id, score_has_client_server)
+
+
+def scores_of(spans, rules: Sequence[Rule] = RULES) -> list[Score]:
+    """Every score of one trace by some rules; those with a null or empty part are left out."""
+    return [x for rule in rules for x in rule(spans) if all(x)]
+
+
+def _scores(rules: Sequence[Rule]):
+    def run(groups: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for traces in groups:
+            yield pd.Series([[{"service": a, "metric": b, "submetric": c} for a, b, c in scores_of(t, rules)] for t in traces])
+
+    return run
 
 
 _SCORES = "array<struct<service: string, metric: string, submetric: string>>"
 
 
-def quality_stream(spans: DataFrame, gap: str = "3 minutes", window: str = "1 hour", watermark: str = WATERMARK) -> DataFrame:
-    """Partial quality_metrics rows: a bucket may come from two windows, so the sink has to add them."""
+def quality_stream(spans: DataFrame, gap: str = "3 minutes", window: str = "1 hour", watermark: str = WATERMARK, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """Partial quality_metrics rows: a bucket may come from two windows, so the sink has to add them.
+
+    ``rules`` are functions of one trace; a job takes more than the four, or others.
+    """
     kept = spans.where("is_client or is_server")
     traces = sessions(kept, ("trace_id_low",), gap, ("peer_service", "is_server", "is_client", "client_version"), watermark)
-    scores = traces.select("session_window", F.date_trunc("HOUR", "session_window.start").alias("time_bucket"), F.lower(F.hex("trace_id_low")).alias("trace_id"), F.explode(F.pandas_udf(_scores, _SCORES)("spans")).alias("s"))
+    scores = traces.select("session_window", F.date_trunc("HOUR", "session_window.start").alias("time_bucket"), F.lower(F.hex("trace_id_low")).alias("trace_id"), F.explode(F.pandas_udf(_scores(tuple(rules)), _SCORES)("spans")).alias("s"))
     rows = scores.groupBy(F.window(F.window_time("session_window"), window).alias("w"), "s.service", "time_bucket", "s.metric", "s.submetric")
     return rows.agg(F.count("*").alias("count"), F.min("trace_id").alias("trace_id")).drop("w")
 

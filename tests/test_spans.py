@@ -1,5 +1,9 @@
 """Single operators on hand-written spans."""
 
+import random
+from collections import Counter
+from unittest import mock
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,8 +16,10 @@ from spanloom.operators import report as rp
 from spanloom.operators.dedupe import dedupe_span_ids
 from spanloom.operators.sessions import annotate_sessions, large_traces
 from spanloom.plans import jobs
-from spanloom.schema import SPAN, avro_schema
+from spanloom.schema import ENVELOPE, SPAN, avro_schema
+from spanloom.sources import spans as sp
 from spanloom.sources import tables
+from spanloom.sources.shared import shared_dir
 from spanloom.sources.spans import decode_json_envelope
 from spanloom.streaming import jobs as st
 
@@ -29,7 +35,6 @@ def flat(spark, rows, t0=1_000_000_000_000_000):
 
 def test_dedupe_renames_shared_servers(spark):
     rows = [(1, 100, 0, "a", "client"), (1, 100, 0, "a", "server"), (1, 11, 100, "a", "client"), (1, 201, 11, "a", "client"), (1, 201, 11, "a", "server")]
-    rows[0], rows[1] = (1, 100, 0, "a", "client"), (1, 100, 0, "a", "server")
     out = dedupe_span_ids(annotate_sessions(flat(spark, rows), HL, 3), HL)
     assert sorted((r.span_id, r.parent_span_id) for r in out.collect()) == sorted([(100, 0), (1, 100), (11, 1), (201, 11), (2, 201)])
     assert [(s["span_id"], s["parent_span_id"]) for s in st.adjusted([r.asDict() for r in flat(spark, rows).orderBy("start_time_us").collect()])] == [(100, 0), (1, 100), (11, 1), (201, 11), (2, 201)]
@@ -95,9 +100,8 @@ def test_path_index(spark):
 
 
 def counters(spark, rows):
-    out = ql.score_has_client_server(annotate_sessions(flat(spark, rows), ("trace_id_low",), 3), ("trace_id_low",))
     traces = {}
-    for r in ql.score_guard(out).collect():
+    for r in ql.score_all(jobs.quality_sessions(flat(spark, rows)), jobs.LOW, (), (ql.score_has_client_server,)).collect():
         k = (r.service, "".join(c for c in r.metric if c.isupper())[:2], r.submetric)
         traces[k] = traces.get(k, 0) + 1
     return traces
@@ -174,6 +178,119 @@ def test_envelopes_that_do_not_decode_are_skipped(spark):
     assert '"traceIdHigh"' in avro_schema()
 
 
+def odd_traces(n):
+    """Random traces with shared and repeated ids, missing parents, cycles, spans of both kinds, odd versions and names."""
+    rng = random.Random(n)
+    for t in range(n):
+        for k in range(rng.randint(1, 7)):
+            ids = rng.choice([(1, 2, 3), (1, 2, -4, 9), (5,)])
+            yield (t, rng.choice(ids), rng.choice([0, *ids, 77]), rng.choice(["a", "b", "", None]), rng.choice(["server", "client", "both", None]), rng.choice(["p", "", None]), rng.choice(["go-2.6.0", "java-", "node-3.x", "Python-4", "5", "", None]), k)
+
+
+def odd_spans(spark, n):
+    rows = [(t, t, i, p, s, k in ("server", "both"), k in ("client", "both"), peer, version, 1_000_000_000_000_000 + 1000 * nth) for t, i, p, s, k, peer, version, nth in odd_traces(n)]
+    names = "trace_id_high long, trace_id_low long, span_id long, parent_span_id long, service string, is_server boolean, is_client boolean, peer_service string, client_version string, start_time_us long"
+    return spark.createDataFrame(rows, names)
+
+
+def traces_of(rows, kept=lambda r: r["is_client"] or r["is_server"]):
+    out = {}
+    for r in rows:
+        if kept(r):
+            out.setdefault(r["trace_id_low"], []).append(r)
+    return out
+
+
+def test_rules_of_streams_equal_those_of_batches(spark):
+    spans = odd_spans(spark, 150).cache()
+    got = Counter((r.service, r.metric, r.submetric) for r in ql.score_all(jobs.quality_sessions(spans)).collect())
+    rows = [r.asDict() for r in spans.orderBy("start_time_us", "span_id").collect()]
+    assert got == Counter(x for t in traces_of(rows).values() for x in st.scores_of(t)) and len(got) > 20
+
+
+def test_dedupe_equals_the_walk_over_a_trace(spark):
+    spans = odd_spans(spark, 200).cache()
+    out = dedupe_span_ids(jobs.dependency_sessions(spans), HL).collect()
+    got = Counter((r.trace_id_low, r.start_time_us, r.span_id, r.parent_span_id) for r in out)
+    rows = [r.asDict() for r in spans.orderBy("start_time_us", "span_id").collect()]
+    want = Counter((s["trace_id_low"], s["start_time_us"], s["span_id"], s["parent_span_id"]) for t in traces_of(rows).values() for s in st.adjusted(t))
+    assert got == want and sum(r.renamed for r in out) > 30
+
+
+def test_rules_of_a_users_own(spark, tmp_path):
+    def long_names(spans):
+        for s in spans:
+            yield s["service"], "LongName", "PASS" if len(s["service"]) > 1 else "FAIL"
+
+    spans = flat(spark, [(1, 1, 0, "a", "server"), (1, 2, 1, "bb", "client"), (1, 3, 1, "bb", "client")])
+    spans.union(flat(spark, [(2, 1, 0, "z", "server")], 1_000_000_000_000_000 + 10 * 3_600_000_000)).write.parquet(str(tmp_path / "in"))
+    out = []
+    stream = st.quality_stream(spark.readStream.schema(spans.schema).parquet(str(tmp_path / "in")), rules=(long_names,))
+    st.run_available(stream, lambda rows, n: out.extend(rows.collect()), str(tmp_path / "check"))
+    assert {(r.service, r.metric, r.submetric, r["count"]) for r in out} == {("a", "LongName", "FAIL", 1), ("bb", "LongName", "PASS", 2)}
+    # and in a batch
+    name = lambda keys: F.array(ql.score("service", "LongName", F.when(F.length("service") > 1, "PASS").otherwise("FAIL")))
+    found = {(r.service, r.submetric, r["count"]) for r in jobs.quality_job(spans, span_rules=(name,), trace_rules=()).collect()}
+    assert found == {("a", "FAIL", 1), ("bb", "PASS", 2)}
+
+
+def test_a_trace_of_many_spans(spark):
+    n = 100_000
+    wide = spark.range(1, n + 1).select(
+        F.lit(7).cast("long").alias("trace_id_low"), F.col("id").alias("span_id"), F.expr("CASE WHEN id = 1 THEN 0 WHEN id % 1000 = 0 THEN 1 WHEN id % 1000 < 20 THEN id - 1 ELSE 1 END").alias("parent_span_id"),
+        F.concat(F.lit("s"), F.col("id") % 5).alias("service"), F.lit("op").alias("operation"), F.lit("SERVER").alias("span_kind"), (F.col("id") * 1000).alias("start_time_us"),
+    )
+    paths = pt.trace_paths(jobs.path_sessions(wide))
+    parents = {r.parent_span_id for r in wide.select("parent_span_id").distinct().collect()}
+    assert paths.count() == sum(i not in parents for i in range(1, n + 1))
+    assert paths.agg(F.max(F.size("path"))).first()[0] == 21
+
+
+def test_retried_batches_count_once(spark, tmp_path):
+    rows = flat(spark, [(100, 1, 0, "a", "server"), (100, 2, 1, "b", "server")], 1_196_677_812_000_000)
+    for batch in (0, 1, 1):  # the second batch is retried
+        tables.write_dependencies(jobs.dependencies_job(rows), str(tmp_path / "d"), batch)
+        tables.write_paths(jobs.paths_job(rows), str(tmp_path / "p"), batch)
+    one = jobs.paths_job(rows).count()
+    assert tables.read_dependencies(spark, str(tmp_path / "d")).count() == 2 and tables.read_paths(spark, str(tmp_path / "p")).count() == 2 * one
+    assert tables.read_paths(spark, str(tmp_path / "p"), "b", since="2007-12-03 10:00:00").count() == 2
+    assert tables.read_paths(spark, str(tmp_path / "p"), "b", "B").count() == 2 and tables.read_dependencies(spark, str(tmp_path / "d"), "2030-01-01").count() == 0
+
+
+def test_options_of_the_topic_reader():
+    reader = mock.MagicMock()
+    for call in ("format", "options", "option"):
+        getattr(reader.readStream, call).return_value = reader.readStream
+    with mock.patch.object(sp, "decode_span_envelope", lambda messages: messages):
+        sp.read_spans_stream(reader, "spans", {"kafka.bootstrap.servers": "b:9092"})
+    reader.readStream.format.assert_called_once_with("kafka")
+    reader.readStream.options.assert_called_once_with(**{"kafka.bootstrap.servers": "b:9092"})
+    assert [c.args for c in reader.readStream.option.call_args_list] == [("subscribe", "spans"), ("startingOffsets", "latest")]
+
+
+def test_avro_messages(spark):
+    from pyspark.errors import AnalysisException
+    from pyspark.sql.avro.functions import to_avro
+
+    try:
+        rows = spark.createDataFrame([{"schema_id": 1, "msg": {"traceIdLow": 1, "spanId": 5, "operationName": "o", "flags": 0, "startTime": 0, "duration": 0, "process": {"serviceName": "a"}}}], ENVELOPE)
+        messages = rows.select(to_avro(F.struct("schema_id", "msg"), avro_schema()).alias("value"))
+        assert [r.spanId for r in sp.decode_span_envelope(messages).collect()] == [5]
+    except (AnalysisException, TypeError) as e:
+        pytest.skip(f"Spark's Avro package is not here: {str(e)[:80]}")
+
+
+def test_shared_folder_is_asked_for_on_a_cluster():
+    session = mock.MagicMock()
+    session.conf.get.return_value = session.sparkContext.getConf().get.return_value = None
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]", "k8s://h"):
+        session.sparkContext.master = master
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(session)
+    session.conf.get.return_value = "/shared/"
+    assert shared_dir(session) == "/shared"
+
+
 def test_late_spans_are_dropped(spark, tmp_path):
     first = flat(spark, [(1, 1, 0, "a", "server"), (1, 2, 1, "b", "server")])
     later = flat(spark, [(9, 1, 0, "z", "server")], 1_000_000_000_000_000 + 10 * 3_600_000_000)
