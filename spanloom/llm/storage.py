@@ -2,25 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-_DIR_KEY = "spark.checkpoint.dir"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Where that is unset a local master gets a new
-    temporary folder; on a cluster this is an error, since executors wouldn't see each other's files."""
-    found = spark.conf.get(_DIR_KEY, None) or spark.sparkContext.getConf().get(_DIR_KEY)
-    if not found:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError(f"set {_DIR_KEY} to a folder that the driver and all executors share")
-        found = tempfile.mkdtemp(prefix="spanloom-")
-        spark.conf.set(_DIR_KEY, found)
-    return found.rstrip("/")
+from ..sources.shared import shared_dir
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
