@@ -38,6 +38,9 @@ from pyspark.sql import functions as F
 from .storage import materialize
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)(?=[\s/>])")
+# a tag without < or > in its attributes, which is seen at once; it reads up to the next < at most
+_PLAIN = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[\s/](?:[^\"'<>]|\"[^\"<>]*\"|'[^'<>]*')*)?)>")
+_JUNK = re.compile(r"<[!?/a-zA-Z][^<>]*>")
 _MARK = re.compile(r"[\"'>]")
 _ATTR = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 # HTML element names.
@@ -95,33 +98,28 @@ class _Node:
 def _tokens(html: str):
     """(start, end, end tag or not, tag, attributes) of everything between < and >; tag is None for comments,
     declarations, what no element can be, and elements whose content isn't text (they end where they are closed)."""
-    # from the k-th quote or > on, outside of quotes: where the tag at hand ends
-    marks = [(m.start(), m[0]) for m in _MARK.finditer(html)]
-    places, ends = [p for p, _ in marks], [-1] * (len(marks) + 1)
-    later = {'"': -1, "'": -1}
-    for k in range(len(marks) - 1, -1, -1):
-        p, c = marks[k]
-        ends[k] = p if c == ">" else ends[later[c] + 1] if later[c] >= 0 else -1
-        if c != ">":
-            later[c] = k
-    greater = [p for p, c in marks if c == ">"]
+    tag_ends = _TagEnds(html)
     at = html.find("<")
     while at >= 0:
         end = at + 1
-        if html.startswith("<!--", at):
-            stop = html.find("-->", at + 4)
-            end = stop + 3 if stop >= 0 else len(html)
-            yield at, end, False, None, ""
-        elif (m := _TAG.match(html, at)) and (stop := ends[bisect_left(places, m.end())]) >= 0:
-            end, tag = stop + 1, m[2].lower()
+        m = _PLAIN.match(html, at)
+        if m or ((m := _TAG.match(html, at)) and tag_ends.after(m.end()) >= 0):
+            end, tag = m.end() if m.re is _PLAIN else tag_ends.after(m.end()) + 1, m[2].lower()
+            attrs = m[3] if m.re is _PLAIN else html[m.end() : end - 1]
             if tag in _RAW and not m[1]:
                 closed = _RAW[tag].search(html, end)
                 end, tag = closed.end() if closed else len(html), None
-            yield at, end, bool(m[1]), tag, html[m.end() : stop]
+            yield at, end, bool(m[1]), tag, attrs
+        elif html.startswith("<!--", at):
+            stop = html.find("-->", at + 4)
+            end = stop + 3 if stop >= 0 else len(html)
+            yield at, end, False, None, ""
+        elif m := _JUNK.match(html, at):
+            end = m.end()
+            yield at, end, False, None, ""
         elif html[at + 1 : at + 2] in tuple("!?/") or html[at + 1 : at + 2].isalpha():
             # a declaration or a broken tag: up to the next > if no other < comes before
-            i, other = bisect_left(greater, at), html.find("<", at + 1)
-            stop = greater[i] if i < len(greater) else -1
+            stop, other = tag_ends.greater_after(at), html.find("<", at + 1)
             if stop < 0 and other < 0:
                 end = len(html)
             elif stop >= 0 and (other < 0 or stop < other or html[at + 1] in "!?/"):
@@ -131,6 +129,36 @@ def _tokens(html: str):
         at = html.find("<", end)
 
 
+class _TagEnds:
+    """Where tags end in a page, quotes heeded; found for all places at once when first asked."""
+
+    def __init__(self, html: str):
+        self.html, self.places = html, None
+
+    def _scan(self) -> None:
+        marks = [(m.start(), m[0]) for m in _MARK.finditer(self.html)]
+        self.places, self.ends = [p for p, _ in marks], [-1] * (len(marks) + 1)
+        self.greater = [p for p, c in marks if c == ">"]
+        later = {'"': -1, "'": -1}
+        for k in range(len(marks) - 1, -1, -1):  # from the k-th mark on, outside of quotes
+            p, c = marks[k]
+            self.ends[k] = p if c == ">" else self.ends[later[c] + 1] if later[c] >= 0 else -1
+            if c != ">":
+                later[c] = k
+
+    def after(self, at: int) -> int:
+        """The > that ends a tag whose attributes start at ``at``, or -1."""
+        if self.places is None:
+            self._scan()
+        return self.ends[bisect_left(self.places, at)]
+
+    def greater_after(self, at: int) -> int:
+        if self.places is None:
+            self._scan()
+        i = bisect_left(self.greater, at)
+        return self.greater[i] if i < len(self.greater) else -1
+
+
 def _attrs(s: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(s)} if s else {}
 
@@ -228,7 +256,10 @@ def parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
         linked[0] = 0
 
     def close(names, barrier=frozenset()):
-        if not any(opened[n] for n in names):
+        for n in names:
+            if opened[n]:
+                break
+        else:
             return
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in names:
@@ -240,14 +271,14 @@ def parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
                 return
 
     def say(piece):
-        if piece:
-            buf.append(piece)
-            if linked[1]:
-                linked[0] += len(piece)
+        buf.append(piece)
+        if linked[1]:
+            linked[0] += len(piece)
 
     at = 0
     for start, end, closing, tag, attrs in _tokens(html):
-        say(html[at:start])
+        if start > at:
+            say(html[at:start])
         at = end
         if tag is None:
             continue
@@ -279,7 +310,8 @@ def parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
         if not attrs.endswith("/"):
             stack.append(node)
             opened[tag] += 1
-    say(html[at:])
+    if at < len(html):
+        say(html[at:])
     flush()
     _heed_names(nodes, worths)
     for node, worth, chars in worths:
