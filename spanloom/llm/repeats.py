@@ -250,6 +250,7 @@ def _candidates(ranges: int, length: int):
                 at += k
                 open_ = open_windows(int(n), cuts, repeated, length) if n >= length else ()
                 shared = longest_shared(cuts, repeated) if k else 0
+                shared = shared if 2 * shared >= length else 0
                 runs, digests = covers(int(n), cuts, pieces, open_, length) if len(open_) else (np.zeros(0), b"")
                 if len(runs) or shared:
                     rows.append((key, shared, runs.tobytes(), digests))
@@ -372,8 +373,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Removed is each byte covered by a string of ``length`` bytes that also starts anywhere else in
     the texts, the same one included; ``spans`` lists the start and end of each removed run in turn.
-    ``longest_shared`` tells of shorter repeats, which stay: bytes of the longest run of whole phrases
-    that each occur elsewhere too (of a text with copies: all its bytes).
+    ``longest_shared`` tells of shorter repeats as well, which stay: bytes of the longest run of whole
+    phrases that each occur elsewhere too (of a text with copies: all its bytes), 0 below half of
+    ``length``.
     ``length`` must be at least TRIGGER. Null texts are empty; shorter texts lose nothing; rows that
     repeat (ids too) each count as a text of their own; an empty table gives an empty result; other
     columns are not read.
@@ -436,6 +438,6 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", zero)).alias("n_removed"),
         F.when(gone, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", zero)).alias("n_spans"),
         F.when(gone, F.lit(_EMPTY_SHA)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
-        F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("shared", zero)).alias("longest_shared"),
+        F.when(copied, F.when(2 * F.col("n_bytes") >= length, F.col("n_bytes")).otherwise(zero)).otherwise(F.coalesce("shared", zero)).alias("longest_shared"),
         F.when(gone, F.array(zero, F.col("n_bytes"))).otherwise(F.coalesce("spans", F.array().cast("array<long>"))).alias("spans"),
     )

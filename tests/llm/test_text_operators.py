@@ -183,12 +183,12 @@ def test_equal_rolling_hashes_are_not_equal_strings(spark):
 
 def test_longest_shared_run(spark):
     rng = random.Random(14)
-    passage = words(rng, 60, 5000)  # below 400 bytes: it stays, but is told of
-    rows = [(i, words(rng, 100, 5000) + " " + (passage if i < 3 else "") + " " + words(rng, 100, 5000)) for i in range(9)] + [(20, "short copy of some words"), (21, "short copy of some words")]
+    passage = words(rng, 65, 5000)  # below 400 bytes: it stays, but is told of
+    rows = [(i, words(rng, 100, 5000) + " " + (passage if i < 3 else "") + " " + words(rng, 100, 5000)) for i in range(9)] + [(20, "short copy of some words"), (21, "short copy of some words"), (22, "longer" * 50), (23, "longer" * 50)]
     got = {r.doc_id: (r.n_removed, r.longest_shared) for r in repeats.repeated_spans(docs(spark, rows)).collect()}
     assert all(got[i][0] == 0 for i in got)
-    assert all(0 < got[i][1] <= len(passage) + 2 for i in range(3)) and all(got[i][1] == 0 for i in range(3, 9))
-    assert got[20][1] == got[21][1] == 24
+    assert all(200 <= got[i][1] <= len(passage) + 2 for i in range(3)) and all(got[i][1] == 0 for i in range(3, 9))
+    assert (got[20][1], got[22][1], got[23][1]) == (0, 300, 300)
 
 
 # media
