@@ -439,7 +439,8 @@ def _texts(batches):
 def host_paths(pages: DataFrame) -> DataFrame:
     """(host, path, votes, beside) of each host of pages(url, html): the winning container path, and
     the paths of boxes kept beside it on a tenth of the pages that vote for it (so their number is
-    bounded by ten times that on a page)."""
+    bounded by ten times that on a page). Paths are digests; ties go to the larger one. Null or empty
+    html casts no vote; pages without a host vote as one host named ""; an empty table gives none."""
     hosted = pages.select(_host().alias("host"), F.col("html").cast("string").alias("html"))
     counted = hosted.mapInArrow(_votes, "host string, path binary, near binary, votes long").groupBy("host", "path", "near").agg(F.sum("votes").alias("votes"))
     votes = materialize(counted, "host_votes")

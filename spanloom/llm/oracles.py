@@ -1,5 +1,9 @@
 """DuckDB SQL for operators that plain SQL can express over whole (small) tables."""
 
+from __future__ import annotations
+
+from .repeats import MODULUS, TRIGGER
+
 #: Two-word shingles, exact similarities, reachability.
 NEAR_DUPLICATES = r"""WITH RECURSIVE parts AS (
   SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i
@@ -15,8 +19,11 @@ root AS (SELECT x AS doc_id, min(m) AS m FROM reach GROUP BY x)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(m, d.doc_id) AS component_id, coalesce(m, d.doc_id) = d.doc_id AS kept
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN root USING (doc_id)"""
 
-#: Every window of 400 bytes by position, in hex so that substr counts bytes.
-REPEATS = r"""WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+_PLACES = ", ".join(str(1.0 * pow(256, TRIGGER - 1 - i, MODULUS)) for i in range(TRIGGER))
+
+#: Every window of 400 bytes by position, in hex so that substr counts bytes; then the phrases of the
+#: distinct texts, and the longest run of those that occur twice.
+REPEATS = rf"""WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 seg AS (SELECT doc_id, k, substr(h, 800 * k + 1, 1600) AS piece FROM (SELECT doc_id, h, unnest(range(0, len(h) // 800 + 1)) AS k FROM d WHERE len(h) >= 800)),
 win AS (SELECT doc_id, 400 * k + j AS i, md5(substr(piece, 2 * j + 1, 800)) AS v
   FROM (SELECT doc_id, k, piece, unnest(range(0, least(400, len(piece) // 2 - 399))) AS j FROM seg WHERE len(piece) >= 800)),
@@ -27,7 +34,19 @@ span AS (SELECT doc_id, min(i) AS a, max(i) + 400 AS b FROM isle GROUP BY doc_id
 gap AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM span),
 cut AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans, max(b) AS last,
     string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
-  FROM gap JOIN d USING (doc_id) GROUP BY doc_id)
-SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-  sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
-FROM d LEFT JOIN cut USING (doc_id)"""
+  FROM gap JOIN d USING (doc_id) GROUP BY doc_id),
+u AS (SELECT row_number() OVER () AS t, h, count(*) AS copies FROM d WHERE len(h) > {2 * TRIGGER} GROUP BY h),
+part AS (SELECT t, k, substr(h, 800 * k + 1, 800 + {2 * TRIGGER - 2}) AS piece FROM (SELECT t, h, unnest(range(0, len(h) // 800 + 1)) AS k FROM u)),
+bytes AS (SELECT t, k, list_transform(range(0, len(piece) // 2), lambda x: CAST(CAST('0x' || substr(piece, 2 * x + 1, 2) AS BIGINT) AS DOUBLE)) AS b FROM part WHERE len(piece) >= {2 * TRIGGER}),
+ends AS (SELECT t, 400 * k + j + {TRIGGER} AS i FROM (SELECT t, k, b, unnest(range(0, least(400, len(b) - {TRIGGER - 1}))) AS j FROM bytes)
+  WHERE CAST(list_inner_product(b[j + 1 : j + {TRIGGER}], [{_PLACES}]) AS BIGINT) % {MODULUS} = 0),
+phrase AS (SELECT t, i, a, substr(h, 2 * (a - {TRIGGER}) + 1, 2 * (i - a + {TRIGGER})) AS v
+  FROM (SELECT t, i, lag(i) OVER (PARTITION BY t ORDER BY i) AS a FROM ends) JOIN u USING (t) WHERE a IS NOT NULL),
+known AS (SELECT t, i, a, count(*) OVER (PARTITION BY v) > 1 AS twice FROM phrase),
+shared AS (SELECT t, max(i) - min(a) + {TRIGGER} AS n
+  FROM (SELECT *, sum(CASE WHEN twice THEN 0 ELSE 1 END) OVER (PARTITION BY t ORDER BY i ROWS UNBOUNDED PRECEDING) AS g FROM known) WHERE twice GROUP BY t, g),
+longest AS (SELECT h, copies, max(n) AS n FROM u LEFT JOIN shared USING (t) GROUP BY h, copies)
+SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(CASE WHEN n_spans IS NULL THEN d.h ELSE kept || substr(d.h, 2 * last + 1) END)) AS kept_sha256,
+  CAST(CASE WHEN copies > 1 THEN CASE WHEN len(d.h) >= 400 THEN len(d.h) // 2 ELSE 0 END WHEN n >= 200 THEN n ELSE 0 END AS BIGINT) AS longest_shared
+FROM d LEFT JOIN cut USING (doc_id) LEFT JOIN longest ON d.h = longest.h"""

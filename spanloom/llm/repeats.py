@@ -1,6 +1,6 @@
 """Removal of long repeated byte strings by prefix-free parsing.
 
-Parsing. Wherever a rolling hash of the last TRIGGER bytes hits, a phrase ends; the next one starts
+Parsing. Wherever the Karp-Rabin hash of the last TRIGGER bytes is 0, a phrase ends; the next one starts
 with those same TRIGGER bytes, so no phrase of the dictionary is a prefix of another and equal
 strings are cut alike wherever they stand. A phrase goes by the 128-bit digest of its bytes.
 
@@ -39,7 +39,10 @@ from pyspark.sql import functions as F
 from .storage import materialize, release
 from .text import SpanHasher, encode, mix64
 
-LENGTH, TRIGGER, MEAN_PHRASE = 400, 16, 64
+#: The hash of TRIGGER bytes is the number that they are to base 256, modulo a prime; a phrase is about as
+#: many bytes long.
+LENGTH, TRIGGER, MODULUS = 400, 16, 61
+_PLACES = [pow(256, TRIGGER - 1 - i, MODULUS) for i in range(TRIGGER)]
 DIGEST = 16
 UNIT_BYTES, LEAST_RANGES = 4 << 20, 32
 _HASHER = SpanHasher(seed=23)
@@ -53,12 +56,13 @@ def _digests(strings) -> bytes:
 def parse(raw: bytes) -> tuple[np.ndarray, bytes]:
     """Cuts of a text (where triggers end), and digests of its pieces: what stands before the first cut,
     the phrases between each two cuts, and what stands after the last."""
-    data = np.frombuffer(raw, np.uint8)
-    sums = _HASHER.prefix(data)
     cuts = np.zeros(0, np.int64)
-    if len(data) >= TRIGGER:
-        roll = mix64((sums[TRIGGER:] - sums[:-TRIGGER]) * _HASHER.up[: len(data) - TRIGGER + 1])
-        cuts = np.flatnonzero(roll >> np.uint64(32) < np.uint64(2**32 // MEAN_PHRASE)) + TRIGGER
+    if len(raw) >= TRIGGER:
+        data, n = np.frombuffer(raw, np.uint8).astype(np.int32), len(raw) - TRIGGER + 1
+        rolled = np.zeros(n, np.int32)
+        for i, place in enumerate(_PLACES):
+            rolled += place * data[i : i + n]
+        cuts = np.flatnonzero(rolled % MODULUS == 0) + TRIGGER
     starts = np.concatenate(([0], cuts - TRIGGER))
     if len(cuts):
         starts[-1] += TRIGGER
