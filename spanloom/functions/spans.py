@@ -55,6 +55,23 @@ def trace_id_hex(low: Column | str) -> Column:
     return F.lower(F.hex(low))
 
 
+def least_trace_id_hex(low: Column | str) -> Column:
+    """Aggregate: the least trace_id_hex of a group, as text.
+
+    Numbers are compared instead of texts, so that groups can be hashed: an id of up to 15 hex digits
+    is moved to the left and its number of digits put behind, which sorts as its text does; ids of 16
+    digits sort as unsigned numbers.
+    """
+    low = F.col(low) if isinstance(low, str) else low
+    shift = lambda name, value, by: F.call_function(name, value, by.cast("int"))
+    flip = F.lit(-(2**63)).cast("long")  # signed order of what is unsigned
+    digits = F.length(F.hex(low))
+    moved = F.shiftleft(shift("shiftleft", low, 4 * (15 - digits)), 4).bitwiseOR(digits.cast("long"))
+    short, long = F.min(F.when(digits <= 15, moved.bitwiseXOR(flip))).bitwiseXOR(flip), F.min(F.when(digits > 15, low.bitwiseXOR(flip))).bitwiseXOR(flip)
+    back = shift("shiftrightunsigned", F.shiftrightunsigned(short, 4), 4 * (15 - short.bitwiseAND(F.lit(15).cast("long"))))
+    return F.least(trace_id_hex(back), trace_id_hex(long))
+
+
 def _common(any_case: bool) -> list[Column]:
     return [
         F.coalesce("traceIdHigh", F.lit(0).cast("long")).alias("trace_id_high"),

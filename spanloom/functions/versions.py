@@ -10,10 +10,7 @@ MINIMUM = {"go": "2.6.0", "python": "3.8.0", "node": "3.0.0", "java": "0.0.17"}
 _FORM = r"^([^-]*)-([0-9]+([.][0-9]+)*)-*$"
 
 
-def version_at_least(version: Column, minimum: str) -> Column:
-    """Whether a dotted version is at least ``minimum``: part by part up to the shorter length, equal
-    so far is true; a part that is reached but is no int makes it false."""
-    parts = F.split(version, r"\.")
+def _at_least(parts: Column, minimum: str) -> Column:
     answer: Column = F.lit(True)
     for i, least in reversed(list(enumerate(int(p) for p in minimum.split(".")))):
         part = F.get(parts, F.lit(i)).try_cast("int")
@@ -21,11 +18,22 @@ def version_at_least(version: Column, minimum: str) -> Column:
     return answer
 
 
+def version_at_least(version: Column, minimum: str) -> Column:
+    """Whether a dotted version is at least ``minimum``: part by part up to the shorter length, equal
+    so far is true; a part that is reached but is no int makes it false."""
+    return _at_least(F.split(version, r"\."), minimum)
+
+
 def meets_minimum(client_version: Column) -> Column:
     """Whether a client version has a known language and at least its minimum; null is false."""
     low = F.lower(client_version)
-    language, version = F.regexp_extract(low, _FORM, 1), F.regexp_extract(low, _FORM, 2)
-    answer: Column = F.lit(False)
-    for name, least in MINIMUM.items():
-        answer = F.when(language == name, version_at_least(version, least)).otherwise(answer)
-    return F.coalesce(F.when(version != "", answer).otherwise(F.lit(False)), F.lit(False))
+    read = F.struct(F.regexp_extract(low, _FORM, 1).alias("language"), F.split(F.regexp_extract(low, _FORM, 2), r"\.").alias("parts"))
+
+    def answer(v: Column) -> Column:
+        out: Column = F.lit(False)
+        for name, least in MINIMUM.items():
+            out = F.when(v["language"] == name, _at_least(v["parts"], least)).otherwise(out)
+        return F.coalesce(F.when(F.get(v["parts"], F.lit(0)) != "", out), F.lit(False))
+
+    # the lambda's variable holds what was read, so that each version is read once
+    return F.get(F.transform(F.array(read), answer), F.lit(0))

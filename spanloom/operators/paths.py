@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.spans import least_trace_id_hex, trace_id_hex
 from .sessions import tumble
 
 MAX_LENGTH = 64_000
@@ -117,13 +118,13 @@ def trace_paths(spans: DataFrame, keys: tuple[str, ...] = ("trace_id_low",), lim
     dealt = spans.repartition(*keys).sortWithinPartitions(*keys, "sid", "start_time_us", *_SPAN)
     heads = ", ".join(f"{k} long" for k in (*keys, "sid", "session_end"))
     walked = dealt.select(*[F.col(k).cast("long").alias(k) for k in (*keys, "sid", "session_end")], *_SPAN).mapInArrow(_walked(keys), f"{heads}, path array<{NODE}>")
-    return walked.select(*keys, "sid", "session_end", path_length_cap(F.col("path"), limit).alias("path"), F.lower(F.hex(keys[-1])).alias("trace_id"))
+    return walked.select(*keys, "sid", "session_end", path_length_cap(F.col("path"), limit).alias("path"), trace_id_hex(keys[-1]).alias("trace_id"))
 
 
-def dedupe_paths(paths: DataFrame, window_minutes: int = 10) -> DataFrame:
+def dedupe_paths(paths: DataFrame, window_minutes: int = 10, low: str = "trace_id_low") -> DataFrame:
     """(window_start, window_end, path, trace_id): each path once per window, with the least trace id."""
     start, end = tumble("session_end", window_minutes)
-    return paths.groupBy(start.alias("window_start"), end.alias("window_end"), "path").agg(F.min("trace_id").alias("trace_id"))
+    return paths.groupBy(start.alias("window_start"), end.alias("window_end"), "path").agg(least_trace_id_hex(low).alias("trace_id"))
 
 
 def focal_nodes(path):

@@ -14,6 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.spans import least_trace_id_hex, trace_id_hex
 from ..functions.versions import meets_minimum
 from .sessions import ORDER, ask_by_id, told
 
@@ -100,7 +101,7 @@ def score_guard(scores: DataFrame) -> DataFrame:
 
 
 def score_all(spans: DataFrame, keys: tuple[str, ...] = ("trace_id_low",), span_rules: Sequence[SpanRule] = SPAN_RULES, trace_rules: Sequence[TraceRule] = TRACE_RULES) -> DataFrame:
-    """(time_bucket, service, metric, submetric, trace_id, session_end): every score of every rule."""
+    """(time_bucket, service, metric, submetric, trace_id, trace_id_low, session_end): every score of every rule."""
     columns = [r(keys) for r in span_rules]
     # what span rules count over a span's id is sorted like what a trace rule asks of it
     rows = spans.withColumns({f"__s{n}": c for n, c in enumerate(columns)})
@@ -109,9 +110,9 @@ def score_all(spans: DataFrame, keys: tuple[str, ...] = ("trace_id_low",), span_
     scores = F.concat(*[F.col(f"__s{n}") for n in range(len(columns))], *[rule.scores(keys) for rule in trace_rules])
     every = rows.select(*keys, "sid", "session_end", F.explode(scores).alias("s")).select(*keys, "sid", "session_end", "s.*")
     bucket = F.date_trunc("HOUR", F.timestamp_millis("sid"))
-    return score_guard(every).select(bucket.alias("time_bucket"), "service", "metric", "submetric", F.lower(F.hex(keys[-1])).alias("trace_id"), "session_end")
+    return score_guard(every).select(bucket.alias("time_bucket"), "service", "metric", "submetric", trace_id_hex(keys[-1]).alias("trace_id"), F.col(keys[-1]).alias("trace_id_low"), "session_end")
 
 
 def quality_counts(scores: DataFrame) -> DataFrame:
     """(service, time_bucket, metric, submetric, count, trace_id): summed by bucket, least trace id."""
-    return scores.groupBy("service", "time_bucket", "metric", "submetric").agg(F.count("*").alias("count"), F.min("trace_id").alias("trace_id"))
+    return scores.groupBy("service", "time_bucket", "metric", "submetric").agg(F.count("*").alias("count"), least_trace_id_hex("trace_id_low").alias("trace_id"))

@@ -38,9 +38,10 @@ def service_metrics_report(metrics: DataFrame) -> DataFrame:
     """
     place = F.struct("time_bucket", "metric", "submetric", "trace_id")
     rows = metrics.groupBy("service", F.lower("metric").alias("lm"), F.lower("submetric").alias("ls")).agg(
-        F.min(place).alias("first"), F.sum("count").alias("count"), F.transform(F.sort_array(F.collect_list(place)), lambda p: p["trace_id"]).alias("trace_ids")
+        F.sum("count").alias("count"), F.sort_array(F.collect_list(place)).alias("places")
     )
-    return metric_catalog_lookup(rows.select("service", F.col("first.metric").alias("metric"), F.col("first.submetric").alias("submetric"), "count", "trace_ids"))
+    first, ids = F.get("places", F.lit(0)), F.transform("places", lambda p: p["trace_id"])
+    return metric_catalog_lookup(rows.select("service", first["metric"].alias("metric"), first["submetric"].alias("submetric"), "count", ids.alias("trace_ids")))
 
 
 def sorted_metrics(report: DataFrame) -> DataFrame:

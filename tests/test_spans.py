@@ -172,6 +172,18 @@ def test_nested_reading(spark):
     assert fs.flatten_spans_dependencies(df).first().ts.microsecond == 1000
 
 
+def test_least_trace_id_is_that_of_texts(spark):
+    rng = random.Random(3)
+    ids = [rng.choice([rng.getrandbits(rng.randint(1, 63)), -rng.getrandbits(60) - 1, 16 ** rng.randrange(15), 0]) for _ in range(3000)]
+    groups = [(n % 700, i) for n, i in enumerate(ids)]
+    got = {r.g: r.t for r in spark.createDataFrame(groups, "g int, i long").groupBy("g").agg(fs.least_trace_id_hex("i").alias("t")).collect()}
+    want = {}
+    for g, i in groups:
+        want[g] = min(want.get(g, "g"), f"{i % 2**64:x}")
+    assert got == want
+    assert spark.createDataFrame([], "i long").agg(fs.least_trace_id_hex("i")).first()[0] is None
+
+
 def test_envelopes_that_do_not_decode_are_skipped(spark):
     df = spark.createDataFrame([('{"schema_id": 1, "msg": {"spanId": 5}}',), ("no json",), ('{"schema_id": 1}',), (None,)], "value string")
     assert [r.spanId for r in decode_json_envelope(df).collect()] == [5]
