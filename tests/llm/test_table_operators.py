@@ -253,6 +253,22 @@ def test_pipeline_stages_equal_brute_force(spark):
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def test_pipeline_stages_take_odd_tables(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, size long, __k long, shard_id string, key string"
+    odd = [(None, None, None, None, None, 1, 2, "own", "k"), (None, "two words", None, None, 9, 1, 2, "own", None), (5, "", "en", "s", 0, 1, 2, None, "k")]
+    odd += [(6, "some five words stand here", "en", None, 26, 3, 4, "own", "k")] * 3 + [(7, "word " * 30_000, "en", "s", None, None, None, None, None)]
+    table = spark.createDataFrame(odd, schema)
+    for docs in (table, table.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SMALL)
+            rows = sorted(map(repr, (tuple(r)[:7] for r in out.select(*docs.columns).collect())))
+            want = sorted(map(repr, (tuple(r)[:7] for r in docs.collect())))
+            if name == "mixing":  # texts without words go; the others stay as often as the mix takes them
+                assert set(rows) <= set(want) and out.columns == docs.columns and not any("''" in r for r in rows)
+            else:
+                assert rows == want and (name == "sharding" or out.columns == docs.columns)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
