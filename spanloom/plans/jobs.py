@@ -17,6 +17,12 @@ def filter_local_spans(spans: DataFrame) -> DataFrame:
     return spans.where("is_client or is_server")
 
 
+def drop_untraced(spans: DataFrame) -> DataFrame:
+    """Spans of a trace: those without an id, which the wire format shows as 0, would all be one trace
+    in one task. The jobs keep them, as a trace may have the id 0; call this first where none has."""
+    return spans.where("trace_id_low <> 0 or trace_id_high <> 0")
+
+
 def dependency_sessions(spans: DataFrame, gap: int = 3) -> DataFrame:
     """Client and server spans of the dependency job in their sessions."""
     kept = filter_local_spans(spans).select(*HIGH_LOW, "span_id", "parent_span_id", "service", "is_server", "is_client", "start_time_us")

@@ -246,6 +246,37 @@ def test_rules_of_a_users_own(spark, tmp_path):
     assert found == {("a", "FAIL", 1), ("bb", "PASS", 2)}
 
 
+def test_paths_with_shared_ids_told_apart(spark):
+    rng = random.Random(21)
+    rows = [(t, rng.choice((1, 2, 3, 4)), rng.choice((0, 1, 2, 3)), rng.choice("abc"), rng.choice(("server", "client", None))) for t in range(60) for _ in range(6)]
+    spans = flat(spark, rows).cache()
+    got = Counter(tuple((n.service, n.operation) for n in r.path) for r in pt.trace_paths(_adjusted(spans)).collect())
+    by_trace = traces_of([r.asDict() for r in spans.orderBy("start_time_us").collect()], lambda r: True)
+    assert got == Counter(tuple(p) for t in by_trace.values() for p in pt.walk(st.adjusted(t)))
+    unique = {tuple((n.service, n.operation) for n in r.path) for r in jobs.unique_paths(spans, dedupe=True).collect()}
+    assert unique == set(got)
+
+
+def _adjusted(spans):
+    return dedupe_span_ids(annotate_sessions(spans, jobs.LOW, 5), jobs.LOW)
+
+
+def test_long_paths_and_run_times(spark):
+    name = "x" * 31_999
+    rows = [(1, 1, 0, name, "server"), (1, 2, 1, "y", "server"), (1, 3, 2, "zz", "server")]
+    paths = lambda n: [[(p.service, p.operation) for p in r.path] for r in pt.trace_paths(jobs.path_sessions(flat(spark, rows[:n]))).collect()]
+    assert paths(2) == [[(name, name.upper()), ("y", "Y")]]  # 64,000 characters
+    assert paths(3) == [[("Exceeded", "Length")]]
+    counts = jobs.dependency_counts(flat(spark, rows))
+    row = dep.dependencies_rollup(counts, "2024-05-06 07:08:09").first()
+    assert (str(row.ts), str(row.ts_bucket)) == ("2024-05-06 07:08:09", "2024-05-06 00:00:00")
+
+
+def test_spans_without_a_trace(spark):
+    rows = [(0, 1, 0, "a", "server"), (5, 1, 0, "a", "server")]
+    assert [r.trace_id_low for r in jobs.drop_untraced(flat(spark, rows)).collect()] == [5]
+
+
 def test_a_trace_of_many_spans(spark):
     n = 100_000
     wide = spark.range(1, n + 1).select(
