@@ -30,31 +30,39 @@ SALT = 64
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
+def _before(rows: DataFrame, order: list, sums: tuple[str, ...], name: str) -> DataFrame:
+    """rows with ``before`` (how many come before each in an order) and, for each column of ``sums``, its
+    sum over those as {column}_before. Ranges of the order are numbered on their own; one row per range
+    gives them their offsets, so no task sees all rows."""
+    placed = materialize(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), name)
+    above = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    count = {"before": F.count(F.lit(1)), **{f"{c}_before": F.sum(c) for c in sums}}
+    inside = placed.withColumns({c: F.coalesce(agg.over(above), F.lit(0)) for c, agg in count.items()})
+    ranges = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    totals = placed.groupBy("range").agg(*[agg.alias(f"{c}_in") for c, agg in count.items()])
+    offsets = totals.select("range", *[F.coalesce(F.sum(f"{c}_in").over(ranges), F.lit(0)).alias(f"{c}_off") for c in count])
+    return inside.join(F.broadcast(offsets), "range").select(*rows.columns, *[(F.col(c) + F.col(f"{c}_off")).alias(c) for c in count])
+
+
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = MAX_COPIES) -> DataFrame:
     """(source, source_size, n, target) from (source, size): one row per source, null included.
 
     Sources are ranked by code point, null last, and take the weights in turn. A source is full when
     its cap per weight is at most the level at which the words run out; the level follows from the
-    running sums in that order, so no loop is needed. The windows run over one row per source.
+    running sums in that order, so no loop is needed. An empty table gives an empty result.
     """
     per = sizes.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"), F.count("*").alias("n"))
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    w = F.array(*[F.lit(float(x)) for x in weights])
-    ranked = per.withColumn("w", F.element_at(w, ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int")))
-    ranked = ranked.withColumn("full_at", cap * F.col("source_size") / F.col("w"))
-    order = Window.orderBy("full_at", F.col("source").asc_nulls_last())
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    total = share * F.sum("source_size").over(everything)
-    filled = cap * F.coalesce(F.sum("source_size").over(before), F.lit(0))
-    open_weight = F.sum("w").over(everything) - F.coalesce(F.sum("w").over(before), F.lit(0.0))
-    level = ranked.withColumn("level", (total - filled) / open_weight)
+    named = _before(per, [F.col("source").asc_nulls_last()], (), "sources")
+    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("before") % len(weights) + 1).cast("int"))
+    ranked = named.withColumn("w", w).drop("before").withColumn("full_at", cap * F.col("source_size") / F.col("w"))
+    filled = _before(ranked, [F.col("full_at").asc(), F.col("source").asc_nulls_last()], ("source_size", "w"), "levels")
+    total = ranked.agg(F.sum("source_size").alias("size"), F.sum("w").alias("w")).first()
+    level = (share * (total["size"] or 0) - cap * F.col("source_size_before")) / ((total["w"] or 0) - F.col("w_before"))
     # the first source that its share doesn't fill sets the level of all that follow
-    first = F.min(F.when(F.col("full_at") > F.col("level"), F.struct("full_at", "level"))).over(everything)
-    return level.withColumn("at", first["level"]).select(
-        "source", "source_size", "n",
-        F.when(F.col("at").isNull(), cap * F.col("source_size")).otherwise(F.least(cap * F.col("source_size"), F.col("w") * F.col("at"))).cast("double").alias("target"),
-    )
+    first = filled.withColumn("level", level).where("full_at > level").agg(F.min(F.struct("full_at", "level")).alias("first")).first()["first"]
+    full = cap * F.col("source_size")
+    target = F.least(full, F.col("w") * F.lit(first["level"])) if first else full
+    return ranked.select("source", "source_size", "n", target.cast("double").alias("target"))
 
 
 def _draw(*parts) -> float:
