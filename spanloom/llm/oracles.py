@@ -50,3 +50,21 @@ SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0
   sha256(unhex(CASE WHEN n_spans IS NULL THEN d.h ELSE kept || substr(d.h, 2 * last + 1) END)) AS kept_sha256,
   CAST(CASE WHEN copies > 1 THEN CASE WHEN len(d.h) >= 400 THEN len(d.h) // 2 ELSE 0 END WHEN n >= 200 THEN n ELSE 0 END AS BIGINT) AS longest_shared
 FROM d LEFT JOIN cut USING (doc_id) LEFT JOIN longest ON d.h = longest.h"""
+
+#: Every alignment of a document and a benchmark item (a diagonal of equal tokens), every window on it.
+#: The best window starts at a match, or as far to the right as both texts allow.
+LEAKS = r"""WITH t AS (SELECT doc_id, ws, len(ws) AS n FROM (SELECT doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\x{80}-\x{10FFFF}]+') AS ws FROM documents)),
+b AS (SELECT item_id, ws, len(ws) AS n, least(20, len(ws)) AS w FROM (SELECT item_id,
+  regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9\x{80}-\x{10FFFF}]+') AS ws FROM benchmark WHERE item_id IS NOT NULL)),
+dt AS (SELECT doc_id, n, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS p FROM t),
+bt AS (SELECT item_id, n, w, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS q FROM b),
+m AS (SELECT doc_id, item_id, q - p AS d, q, w, greatest(0, q - p) AS low, least(bt.n, dt.n + q - p) - w AS high FROM dt JOIN bt USING (word)),
+long AS (SELECT doc_id, item_id, d FROM m GROUP BY ALL HAVING count(*) >= ceil(0.8 * min(w) - 1e-9) AND min(high) >= min(low)),
+c AS (SELECT m.*, count(*) OVER (PARTITION BY doc_id, item_id, d ORDER BY q RANGE BETWEEN CURRENT ROW AND w - 1 FOLLOWING) AS from_here,
+    count(*) FILTER (WHERE q >= high) OVER (PARTITION BY doc_id, item_id, d) AS at_end FROM m JOIN long USING (doc_id, item_id, d)),
+best AS (SELECT doc_id, item_id, max(CASE WHEN q <= high THEN greatest(from_here, at_end) ELSE at_end END) AS best, min(w) AS w FROM c GROUP BY ALL),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items, max(best) AS best
+  FROM best WHERE best >= ceil(0.8 * w - 1e-9) GROUP BY doc_id)
+SELECT doc_id, n_items IS NOT NULL AS leaked, coalesce(n_items, 0) AS n_items, coalesce(items, '') AS items, CAST(coalesce(best, 0) AS BIGINT) AS best
+FROM documents LEFT JOIN found USING (doc_id)"""

@@ -99,4 +99,5 @@ ORACLES: dict[str, str] = {
     "op2_minhash_near_dedup": oracles.NEAR_DUPLICATES,
     "op3_prefix_free_parsing": oracles.REPEATS,
     "op4_extendible_sharding": sharding.shard_sizes_sql(),
+    "op10_spaced_seeds": oracles.LEAKS,
 }

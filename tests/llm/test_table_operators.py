@@ -272,7 +272,8 @@ def test_pipeline_stages_take_odd_tables(spark):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    for t in ("documents", "benchmark"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     got, want = QUERIES[name](spark, SMALL).toPandas(), con.sql(ORACLES[name]).df()
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)
