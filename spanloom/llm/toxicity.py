@@ -224,7 +224,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityMod
     low = min((x for x in scores.values() if x > 0), default=1.0)
     clean = segments.where("y = 0").agg(F.sum("n").alias("n"), F.sum(F.size(F.filter("s", lambda x: x >= low))).alias("hits")).first()
     m.k = min(1.0, ((clean.hits or 0) + 1) * math.exp(lam * low) / max(1, clean.n or 0))
-    rows = segments.mapInArrow(_evidence_of(m), "y int, best double, total double").orderBy("y", "best", "total").collect()  # at most 2 * sample
+    rows = segments.mapInArrow(_evidence_of(m), "y int, best double, total double").collect()  # at most 2 * sample
+    rows.sort(key=lambda r: (r.y, r.best, r.total))
     x = np.array([(1.0, r.best, r.total) for r in rows])
     y = np.array([float(r.y) for r in rows])
     share = {c: max(1, int((y == c).sum())) for c in (0, 1)}
