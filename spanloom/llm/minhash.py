@@ -126,8 +126,9 @@ def _left_over(star: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     # per hub, the least f of any component and of any other one: what a partner has at least
     placed = materialize(placed, "placed")
     per = placed.groupBy("a", "comp").agg(F.min("f").alias("f"))
-    first = per.groupBy("a").agg(F.min(F.struct("f", "comp")).alias("lo"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1")
-    second = per.join(first, "a").where("comp <> lo.comp").groupBy("a").agg(F.min("f").alias("f2"))
+    first = materialize(per.groupBy("a").agg(F.min(F.struct("f", "comp")).alias("lo"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1"), "first")
+    others = materialize(per.join(first, "a").where("comp <> lo.comp").select("a", "f"), "others")
+    second = others.groupBy("a").agg(F.min("f").alias("f2"))
     bound = materialize(first.select("a", F.col("lo.f").alias("f1"), F.col("lo.comp").alias("comp1")).join(second, "a"), "bounds")
     least = F.when(F.col("comp") == F.col("comp1"), F.col("f2")).otherwise(F.col("f1"))
     overlap = F.greatest(F.lit(1), F.ceil((F.col("f") + least) / 2 - 1e-6))
