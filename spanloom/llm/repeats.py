@@ -44,7 +44,7 @@ from .text import SpanHasher, encode, mix64
 LENGTH, TRIGGER, MODULUS = 400, 16, 61
 _PLACES = [pow(256, TRIGGER - 1 - i, MODULUS) for i in range(TRIGGER)]
 DIGEST = 16
-UNIT_BYTES, LEAST_RANGES = 4 << 20, 32
+UNIT_BYTES, LEAST_RANGES = 3 << 20, 32
 _HASHER = SpanHasher(seed=23)
 _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
