@@ -42,7 +42,8 @@ SHORTEST = max(map(len, MASKS))
 _HASHER = SpanHasher(seed=31)
 #: Tokens kept with a hit: WINDOW - 1 before the seed's start, and as many after the longest seed.
 _BEFORE, _AROUND = WINDOW - 1, 2 * (WINDOW - 1) + SHORTEST
-_BLOCKS, _CHUNK = 4096, 1 << 19
+#: Blocks of the filter, bytes of text looked at together, hits sent together.
+_BLOCKS, _CHUNK, _SENT = 4096, 1 << 19, 1 << 14
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,20 +159,25 @@ def _hits(maybe, tags):
         for batch in batches:
             for first, data, offsets in chunks(batch.column(1), _CHUNK):
                 values, text = tokens(data, offsets)
-                rows, hashes, near = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+                new = np.full(len(offsets) - 1, -1, np.int8)  # of each text: not met yet, sent before, or to be sent
                 for tag in tags:
                     at, h = seeds_of(values, text, tag, maybe.value)
                     if tag in _WHOLE:  # one hit a text and seed tells as much as all
                         once = np.unique(np.stack([text[at].astype(np.uint64), h]), axis=1, return_index=True)[1]
                         at, h = at[once], h[once]
-                    rows.append(text[at])
-                    hashes.append(h.view(np.int64))
-                    near += [r.tobytes() for r in around(values, text, at)]
-                keys = batch.column(0).take(pa.array(first + np.concatenate(rows)))
-                new = {k: k not in seen for k in set(keys.to_pylist())}
-                seen.update(new)
-                out = pa.RecordBatch.from_arrays([keys, pa.array(np.concatenate(hashes)), pa.array(near, pa.binary())], ["text_key", "h", "tokens"])
-                yield out.filter(pa.array([new[k] for k in keys.to_pylist()], pa.bool_()))
+                    for i in np.unique(text[at]).tolist():
+                        if new[i] < 0:
+                            key = batch.column(0)[first + i].as_py()
+                            new[i] = key not in seen
+                            seen.add(key)
+                    sent = new[text[at]] == 1
+                    at, h = at[sent], h[sent]
+                    for i in range(0, len(at), _SENT):
+                        part = at[i : i + _SENT]
+                        yield pa.RecordBatch.from_arrays(
+                            [batch.column(0).take(pa.array(first + text[part])), pa.array(h[i : i + _SENT].view(np.int64)), pa.array([r.tobytes() for r in around(values, text, part)], pa.binary())],
+                            ["text_key", "h", "tokens"],
+                        )
 
     return run
 

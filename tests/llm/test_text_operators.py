@@ -357,7 +357,8 @@ def leaks_without_spark(items, texts):
     seeds = pa.Table.from_batches(decontam._item_seeds([pa.record_batch([pa.array([i for i, _ in items]), pa.array([t for _, t in items])], ["item_id", "text"])])).to_pandas()
     every = types.SimpleNamespace(value=lambda h: np.arange(len(h)))
     keys = pa.array([b"%d" % i for i in range(len(texts))], pa.binary())
-    hits = pa.Table.from_batches(decontam._hits(every, sorted(set(seeds.tag)))([pa.record_batch([keys, pa.array(texts)], ["text_key", "text"])])).to_pandas()
+    found = decontam._hits(every, sorted(set(seeds.tag)))([pa.record_batch([keys, pa.array(texts)], ["text_key", "text"])])
+    hits = pa.Table.from_batches(found, pa.schema([("text_key", pa.binary()), ("h", pa.int64()), ("tokens", pa.binary())])).to_pandas()
     pairs = pa.RecordBatch.from_pandas(hits.merge(seeds, on="h"))
     out = [{} for _ in texts]
     for r in pa.Table.from_batches(decontam._verified([pairs])).to_pylist():
@@ -401,6 +402,17 @@ def test_odd_rows_leak_one_by_one(spark):
     assert got == sorted([("None", [0], 20), ("None", [1, 2], 20), ("None", [], 0), ("3", [3], 20), ("3", [4], 20), ("3", [3], 20), ("3", [], 0), ("4", [5, 19], 20)])
 
 
+def test_hits_of_a_long_text_go_out_in_parts(monkeypatch):
+    item = words(random.Random(13), 30, 900)
+    text = pa.array([f"{item} " * 400, "few", f"{item} " * 400])
+    keys = pa.array([b"a", b"b", b"a"], pa.binary())
+    monkeypatch.setattr(decontam, "_SENT", 100)
+    every = types.SimpleNamespace(value=lambda h: np.arange(len(h)))
+    parts = list(decontam._hits(every, range(5))([pa.record_batch([keys, text], ["text_key", "text"])]))
+    assert max(p.num_rows for p in parts) == 100 and len(parts) > 400  # and the copy's hits stand for its own
+    assert sum(p.num_rows for p in parts) == sum(400 * 30 - len(m) + 1 for m in decontam.MASKS)
+
+
 def test_words_of_many_texts_at_once():
     texts = ["", "Ab c", None, "c", "ä-ö x1", "", "ab", " ", "Ab\nC"]
     column = pa.array(["skipped", *texts])[1:]
