@@ -68,3 +68,56 @@ found AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY i
   FROM best WHERE best >= ceil(0.8 * w - 1e-9) GROUP BY doc_id)
 SELECT doc_id, n_items IS NOT NULL AS leaked, coalesce(n_items, 0) AS n_items, coalesce(items, '') AS items, CAST(coalesce(best, 0) AS BIGINT) AS best
 FROM documents LEFT JOIN found USING (doc_id)"""
+
+#: Keys of lines, the documents that hold each, the lines that stay.
+LINES = r"""WITH l AS (SELECT doc_id, line, i, translate(trim(line, E' \t\n\x0B\x0C\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), E'\n') AS ls FROM documents))),
+k AS (SELECT key, max(doc_id) AS keeper FROM l WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+j AS (SELECT l.*, keeper IS NOT NULL AND keeper <> doc_id AS gone FROM l LEFT JOIN k USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped, sha256(coalesce(string_agg(line, E'\n' ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id"""
+
+#: Every pair of sources and every kept term of their language.
+DIVERGENCE = r"""WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(doc_id, -1) AS doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+w AS (SELECT lang, source, doc_id, unnest(ws) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT doc_id) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+z AS (SELECT g.lang, g.source, coalesce(sum(n), 0) + coalesce(max(v), 0) AS size FROM g LEFT JOIN c USING (lang, source) LEFT JOIN v ON g.lang = v.lang GROUP BY ALL),
+p AS (SELECT z.lang, z.source, term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // size AS p,
+    1 + (1000000000::HUGEINT * (kept.n + 1)) // (v + total) AS q FROM z JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)),
+f AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+  UNION ALL SELECT a.lang, a.source, 'pair', b.source, 0 FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source WHERE a.lang NOT IN (SELECT lang FROM v)
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM f)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r WHERE part = 'pair' OR rank <= 200"""
+
+#: Turn by turn, the cheapest and then least edits that lead to each state.
+TURNS = r"""WITH RECURSIVE bit(n, k, v) AS (SELECT range, 0, range FROM range(256) UNION ALL SELECT n, k + 1, xor(v >> 1, (v & 1) * 3988292384) FROM bit WHERE k < 8),
+crc AS (SELECT list(v ORDER BY n) AS t FROM bit WHERE k = 8),
+src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT)) AS b FROM conversations),
+drawn AS (SELECT *, xor(list_reduce(list_concat([4294967295], b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 20 AS draw FROM src, crc),
+dam AS (SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role, CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM drawn, range(CASE draw WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)),
+pos AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || ':' || text)) AS i FROM dam),
+fault AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault, lead(role) OVER (PARTITION BY conv_id ORDER BY i) AS next FROM pos),
+stats AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE next IS NOT NULL AND left(role, 1) || left(next, 1) NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM fault GROUP BY conv_id),
+ins(st, sto, ia, ib) AS (VALUES (0, 0, '', []), (0, 2, 'I', ['user:']), (0, 3, 'II', ['user:', 'assistant:']), (1, 1, '', []), (1, 2, 'I', ['user:']), (1, 3, 'II', ['user:', 'assistant:']),
+  (2, 2, '', []), (2, 3, 'I', ['assistant:']), (3, 3, '', []), (3, 2, 'I', ['user:'])),
+ways(sto, op, was, nst, role_to) AS (VALUES (0, 'K', 's', 1, ''), (0, 'K', 'u', 2, ''), (1, 'K', 'u', 2, ''), (2, 'K', 'a', 3, ''), (3, 'K', 'u', 2, ''),
+  (0, 'R', '', 2, 'user'), (1, 'R', '', 2, 'user'), (2, 'R', '', 3, 'assistant'), (3, 'R', '', 2, 'user'), (0, 'D', '', 0, ''), (1, 'D', '', 1, ''), (2, 'D', '', 2, ''), (3, 'D', '', 3, '')),
+dp(conv_id, i, st, best) AS (SELECT DISTINCT conv_id, CAST(0 AS BIGINT), 0, {'c': CAST(0 AS BIGINT), 'a': '', 'b': CAST([] AS VARCHAR[])} FROM stats
+  UNION ALL SELECT w.conv_id, w.i + 1, nst, min({'c': best.c + 5 * length(ia) + CASE op WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + CASE WHEN op <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END, 'a': best.a || ia || op,
+      'b': list_concat(best.b, CAST(ib AS VARCHAR[]), CASE op WHEN 'D' THEN [] WHEN 'K' THEN [role || ':' || text] ELSE [role_to || ':' || text] END)})
+    FROM dp w JOIN ins USING (st) JOIN fault f ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = w.i + 1 JOIN ways USING (sto)
+    WHERE (op = 'D' OR fault NOT IN ('blank', 'duplicate')) AND (op <> 'K' OR left(role, 1) = was) GROUP BY w.conv_id, w.i, nst),
+done AS (SELECT dp.conv_id, min({'c': best.c + 5 * length(ia), 'a': best.a || ia, 'b': list_concat(best.b, CAST(ib AS VARCHAR[]))}) AS best
+  FROM dp JOIN stats ON dp.conv_id IS NOT DISTINCT FROM stats.conv_id AND i = n JOIN ins USING (st) WHERE sto IN (0, 3) GROUP BY dp.conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(array_to_string(best.b, E'\n'), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN stats ON o.conv_id IS NOT DISTINCT FROM stats.conv_id LEFT JOIN done ON o.conv_id IS NOT DISTINCT FROM done.conv_id"""

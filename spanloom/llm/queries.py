@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, gif, html, langid, mixing, oracles, pii, repeats, sharding, toxicity
+from . import decontam, divergence, gif, html, langid, lines, mixing, oracles, pii, repeats, sharding, toxicity, turns
 from .minhash import near_duplicates
 from .storage import materialize
 
@@ -83,6 +83,22 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_twice_seen_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that stay when lines of many documents are kept in one of them."""
+    out = lines.drop_repeated_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How every source's words differ from those of its language and of the other sources there."""
+    return divergence.divergence(_table(spark, sf_dir, "documents"))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every damaged conversation."""
+    return turns.repair(turns.damage(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -94,10 +110,16 @@ QUERIES = {
     "op8_chain_field_pii": op8_chain_field_pii,
     "op9_pivotal_mixing": op9_pivotal_mixing,
     "op10_spaced_seeds": op10_spaced_seeds,
+    "op11_twice_seen_lines": op11_twice_seen_lines,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_turn_repair": op13_turn_repair,
 }
 ORACLES: dict[str, str] = {
     "op2_minhash_near_dedup": oracles.NEAR_DUPLICATES,
     "op3_prefix_free_parsing": oracles.REPEATS,
     "op4_extendible_sharding": sharding.shard_sizes_sql(),
     "op10_spaced_seeds": oracles.LEAKS,
+    "op11_twice_seen_lines": oracles.LINES,
+    "op12_source_divergence": oracles.DIVERGENCE,
+    "op13_turn_repair": oracles.TURNS,
 }
