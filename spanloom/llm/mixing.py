@@ -25,8 +25,8 @@ from .storage import materialize
 WEIGHTS = (3, 1, 2)
 SHARE, MAX_COPIES = 1.5, 2.0
 GROUP_ROWS, FAN = 500, 256
-#: Rows that repeat are numbered in so many parts each.
-SALT = 64
+#: Rows that repeat are numbered in so many parts each, and stand for themselves in steps of so many.
+SALT, STEP = 64, 4096
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -127,16 +127,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = MAX
     own = "__mix"  # starts no column of docs
     while any(c.startswith(own) for c in docs.columns):
         own += "_"
-    docs = docs.withColumn(f"{own}_size", words).drop("size", "source_size", "target", "copies", "taken")
-    plain = docs.columns[:-1]
+    plain = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies", "taken")]
     source, kind = F.col("source").cast("string"), F.col("source").isNull()
-    parts = (F.col("doc_id").cast("string"), F.col("doc_id").isNull(), source, kind, *([F.col(f"{own}_size")] if size else [F.col("text").cast("string")]))
-    # 128 bits name a row; the position in the input deals rows that repeat into parts
-    docs = docs.withColumns(
-        {f"{own}_k": F.xxhash64(*parts), f"{own}_k2": F.xxhash64(F.lit("second"), *parts), f"{own}_salt": F.pmod(F.monotonically_increasing_id(), F.lit(SALT)), f"{own}_src": F.xxhash64(source, kind)}
-    )
-    k, k2 = F.col(f"{own}_k"), F.col(f"{own}_k2")
-    sized = materialize(docs.select(k.alias("k"), k2.alias("k2"), source.alias("source"), F.col(f"{own}_size").alias("size"), F.col(f"{own}_src").alias("src")), "sized")
+    parts = (F.col("doc_id").cast("string"), F.col("doc_id").isNull(), source, kind, *([words] if size else [F.col("text").cast("string")]))
+    # 128 bits name a row; the position in the input deals rows that repeat into parts. All that follows
+    # reads the written table, so that every step sees the same positions
+    added = {"k": F.xxhash64(*parts), "k2": F.xxhash64(F.lit("second"), *parts), "salt": F.pmod(F.monotonically_increasing_id(), F.lit(SALT)), "src": F.xxhash64(source, kind), "size": words}
+    docs = materialize(docs.withColumns({f"{own}_{name}": c for name, c in added.items()}).select(*plain, *[f"{own}_{name}" for name in added]), "keyed")
+    sized = docs.select(*[F.col(f"{own}_{name}").alias(name) for name in added], source.alias("source"))
     targets = materialize(source_targets(sized, weights, share, cap), "targets")
 
     # rows alike in every part are counted; one row per distinct key stands for all of them
@@ -146,7 +144,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = MAX
     rows = (
         ready.withColumn("base", F.floor("rate"))
         .withColumn("p", F.col("rate") - F.col("base"))
-        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+        .withColumn("from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"), F.lit(STEP).cast("long"))))
+        .withColumn("copy", F.explode(F.sequence(F.col("from"), F.least("times", F.col("from") + (STEP - 1)))))
         .select("k", "k2", "copy", "times", "size", "base", "p", "src", F.pmod(F.xxhash64("k2", "copy", F.lit(1)), F.greatest(F.lit(1).cast("long"), F.ceil(F.col("n") / GROUP_ROWS))).alias("bucket"))
     )
     rows = materialize(rows, "rows")
@@ -165,25 +164,19 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = MAX
     extra = decided[0]
     for d in decided[1:]:
         extra = extra.union(d)
-    # of the rows that share a key, which differ in nothing, so many take one copy more than the others
+    # of the rows that share a key, which differ in nothing, so many take one copy more than the others:
+    # the first ones of the parts in which they stand
     more = extra.groupBy("k", "k2").agg(F.sum("extra").alias("extra"))
-    by_key = rows.select("k", "k2", "base", "times").distinct().join(more, ["k", "k2"], "left").select(
-        F.col("k").alias(f"{own}_k"), F.col("k2").alias(f"{own}_k2"), F.col("base").alias(f"{own}_base"), F.col("times").alias(f"{own}_times"), F.coalesce("extra", F.lit(0)).alias(f"{own}_extra")
+    by_key = rows.select("k", "k2", "base").distinct().join(more, ["k", "k2"], "left")
+    in_part = sized.where("size > 0").groupBy("k", "k2", "salt").agg(F.count("*").alias("here"))
+    before = F.sum("here").over(Window.partitionBy("k", "k2").orderBy("salt")) - F.col("here")
+    lucky = in_part.withColumn("before", before).join(by_key, ["k", "k2"]).select(
+        *[F.col(c).alias(f"{own}_{c}") for c in ("k", "k2", "salt", "base")], (F.coalesce("extra", F.lit(0)) - F.col("before")).alias(f"{own}_lucky")
     )
-    by_key = materialize(by_key, "copies")
-    base, times, extra = F.col(f"{own}_base"), F.col(f"{own}_times"), F.col(f"{own}_extra")
-    out = docs.join(by_key, [f"{own}_k", f"{own}_k2"], "left")
-    single = out.where(times.isNull() | (times == 1)).withColumn("copies", F.coalesce(base + extra, F.lit(0)).cast("long"))
-    # repeats are numbered within their parts, and the parts' sizes give the numbers an offset
-    key, salt = [f"{own}_k", f"{own}_k2"], f"{own}_salt"
-    many = out.where(times > 1).withColumn(f"{own}_i", F.row_number().over(Window.partitionBy(*key, salt).orderBy(F.lit(1))))
-    sums = docs.join(by_key.where(times > 1).select(*key), key, "left_semi").groupBy(*key, salt).agg(F.count("*").alias(f"{own}_in"))
-    start = F.sum(f"{own}_in").over(Window.partitionBy(*key).orderBy(salt)) - F.col(f"{own}_in")
-    starts = materialize(sums.withColumn(f"{own}_start", start).drop(f"{own}_in"), "starts")
-    number = F.col(f"{own}_start") + F.col(f"{own}_i")
-    many = many.join(starts, [*key, salt]).withColumn("copies", (base + (number <= extra).cast("int")).cast("long"))
-    both = single.select(*plain, f"{own}_size", "copies")
-    both = both.unionByName(many.select(*both.columns))
+    key = [f"{own}_k", f"{own}_k2", f"{own}_salt"]
+    number = F.row_number().over(Window.partitionBy(*key).orderBy(key[-1]))
+    copies = F.coalesce(F.col(f"{own}_base") + (number <= F.col(f"{own}_lucky")).cast("int"), F.lit(0)).cast("long")
+    both = docs.join(materialize(lucky, "copies"), key, "left").withColumn("copies", copies)
     t = targets.select(F.col("source").alias(f"{own}_s"), "source_size", "target")
     return both.join(F.broadcast(t) if targets.count() < 10_000 else t, F.col("source").cast("string").eqNullSafe(F.col(f"{own}_s")), "left").select(
         *plain, F.col(f"{own}_size").alias("size"), "source_size", "target", "copies", (F.col("copies") * F.col(f"{own}_size")).alias("taken")

@@ -91,6 +91,28 @@ def test_mix_by_a_size_column_with_many_repeats(spark):
     assert sorted(collections.Counter((r.doc_id, r.source, r.words) for r in out).values())[-1] == 700
 
 
+def test_mix_of_a_lazy_input_with_repeats_loses_no_row(spark):
+    """Steps that see the input in other partitions, as AQE coalesces shuffles by the widths they carry."""
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "400k", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.shuffle.partitions": "40"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(4000).selectExpr("id % 500 AS doc_id", "concat('word ', id % 500) AS text", "'one' AS source", "repeat(cast(id AS string), 200) AS wide", "id % 97 AS kk")
+        lazy = rows.repartition("kk")
+        out = mixing.mix(lazy).groupBy("doc_id").agg(F.count("*").alias("n"), F.sum("copies").alias("c"), F.count_distinct("wide").alias("w")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(out) == 500 and {r.n for r in out} == {8} == {r.w for r in out} and sum(r.c for r in out) == 6000
+
+
+def test_many_repeats_of_one_row(spark):
+    rows = spark.range(20_000).selectExpr("7L AS doc_id", "'one' AS source", "3L AS size").unionByName(spark.range(900).selectExpr("id AS doc_id", "'two' AS source", "1L AS size"))
+    out = mixing.mix(rows, size="size").groupBy("source").agg(F.count("*").alias("n"), F.sum("taken").alias("t"), F.first("target").alias("target"), F.max("copies").alias("most")).collect()
+    assert {r.source: r.n for r in out} == {"one": 20_000, "two": 900} and all(abs(r.t - r.target) <= 3 and r.most <= 2 for r in out)
+
+
 def test_pivot_keeps_words_and_odds():
     hits = collections.Counter()
     for trial in range(3000):
