@@ -25,41 +25,36 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import materialize, release
+from .storage import materialize
 
 SCALE, MIN_DOCS, TOP = 1_000_000_000, 3, 200
 BUCKET, TILE = 1 << 16, 8
-#: Terms that a task counts before it sends them on.
-_HELD = 200_000
+#: Terms that a task counts before it sends them on; bits of a count that are its documents.
+_HELD, _DOCS = 400_000, 30
 #: ASCII letters in lower case, bytes of other characters as they are, all else a space.
 _TERMS = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, source, text) as rows (lang, source, term, n, docs), and one (lang, source, null, 0, 0)
-    for each group."""
-    held: dict[tuple[str, str], dict[bytes, list[int]]] = {}
+    """Rows (lang, source, text) as rows (lang, source, term, n, docs)."""
+    held: dict[tuple[str, str], dict[bytes, int]] = {}
     size = 0
 
     def flush():
         for (lang, source), terms in held.items():
-            names = [None, *terms]
-            n, docs = [0, *(v[0] for v in terms.values())], [0, *(v[1] for v in terms.values())]
-            same = lambda x: pa.array([x] * len(names), pa.string())
-            yield pa.RecordBatch.from_arrays([same(lang), same(source), pa.array(names, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(docs, pa.int64())], ["lang", "source", "term", "n", "docs"])
+            same = lambda x: pa.array([x] * len(terms), pa.string())  # noqa: B023, E731
+            n, docs = [v >> _DOCS for v in terms.values()], [v & (1 << _DOCS) - 1 for v in terms.values()]
+            yield pa.RecordBatch.from_arrays([same(lang), same(source), pa.array(list(terms), pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(docs, pa.int64())], ["lang", "source", "term", "n", "docs"])
 
     for batch in batches:
         for lang, source, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
             terms = held.setdefault((lang, source), {})
             before = len(terms)
-            for term, n in Counter(text.encode("utf-8", "surrogatepass").translate(_TERMS).split(b" ")).items():
-                if term:
-                    if (at := terms.get(term)) is None:
-                        terms[term] = [n, 1]
-                    else:
-                        at[0] += n
-                        at[1] += 1
-            size += len(terms) - before + 1
+            found = Counter(text.encode("utf-8", "surrogatepass").translate(_TERMS).split(b" "))
+            del found[b""]
+            for term, n in found.items():
+                terms[term] = terms.get(term, 0) + (n << _DOCS) + 1
+            size += len(terms) - before
             if size >= _HELD:
                 yield from flush()
                 held, size = {}, 0
@@ -68,24 +63,25 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFrame]:
     """Two written tables: the groups (lang, source) of docs(lang, source, text), and (lang, source, term,
-    n, lang_n, id) of the terms that at least ``min_docs`` rows of their language have; id is the term's
-    number there."""
+    n, lang_n, id, first) of the terms that at least ``min_docs`` rows of their language have; id is the
+    term's number there, and one of its rows is the first."""
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+    groups = materialize(docs.select(text("lang"), text("source")).distinct(), "groups")
     counted = docs.select(text("lang"), text("source"), text("text")).mapInArrow(_counted, "lang string, source string, term string, n long, docs long")
-    counts = materialize(counted.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "counts")
-    groups = materialize(counts.where("term is null").select("lang", "source"), "groups")
+    # (tasks send sums, so a common term is a few rows for each task and source)
+    counts = counted.repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     of_term = Window.partitionBy("lang", "term")  # a row for each source
-    rows = counts.where("term is not null").withColumns({"lang_n": F.sum("n").over(of_term), "in_docs": F.sum("docs").over(of_term)})
+    rows = counts.withColumns({"lang_n": F.sum("n").over(of_term), "in_docs": F.sum("docs").over(of_term)})
     rows = rows.where(F.col("in_docs") >= min_docs).withColumn("row", F.monotonically_increasing_id())
-    terms = materialize(rows.withColumn("id", F.min("row").over(of_term)).select("lang", "source", "term", "n", "lang_n", "id"), "terms")
-    release(counts)
-    return groups, terms
+    numbered = rows.withColumn("id", F.min("row").over(of_term)).withColumn("first", F.col("row") == F.col("id"))
+    return groups, materialize(numbered.select("lang", "source", "term", "n", "lang_n", "id", "first"), "terms")
 
 
 def share(count: str, size: str) -> Column:
-    """p for a count among ``size`` (= N + V), exact for all sizes."""
+    """p for a count among ``size`` (= N + V), exact for all sizes: by decimals where longs end."""
     scaled = F.lit(SCALE).cast("decimal(10, 0)") * (F.col(count) + 1).cast("decimal(19, 0)")
-    return F.call_function("div", scaled, F.col(size).cast("decimal(19, 0)")) + 1
+    large = F.call_function("div", scaled, F.col(size).cast("decimal(19, 0)"))
+    return F.when(F.col(count) < (1 << 63) // SCALE - 1, F.call_function("div", (F.col(count) + 1) * SCALE, F.col(size))).otherwise(large) + 1
 
 
 def cost(p, q) -> Column:
@@ -158,8 +154,7 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, bucket
     in value go by the item's bytes; an empty table gives an empty table; other columns are not read.
     """
     groups, terms = kept_terms(docs, min_docs)
-    per_term = terms.groupBy("lang", "id").agg(F.max("lang_n").alias("n"))
-    langs = per_term.groupBy("lang").agg(F.count("*").alias("v"), F.sum("n").alias("lang_total"))
+    langs = materialize(terms.where("first").groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total")), "langs")
     totals = terms.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     sized = groups.join(totals, ["lang", "source"], "left").join(langs, "lang", "left").na.fill(0, ["total", "v", "lang_total"])
     # (no bytes of a source stand for another order: a tile is any TILE sources of the language)
@@ -171,7 +166,7 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, bucket
     place = F.pmod(F.xxhash64("id"), F.col("buckets"))
     parts = langs.select("lang", buckets.alias("buckets"))
     mine = terms.join(parts, "lang").groupBy("lang", "source", place.alias("bucket")).agg(F.sort_array(F.collect_list(F.struct("id", "n"))).alias("have"))
-    sizes = per_term.join(parts, "lang").groupBy("lang", place.alias("bucket")).agg(F.count("*").alias("in_bucket"))
+    sizes = terms.where("first").join(parts, "lang").groupBy("lang", place.alias("bucket")).agg(F.count("*").alias("in_bucket"))
     every = sized.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), buckets - 1)))
     rows = every.join(mine, ["lang", "source", "bucket"], "left").join(sizes, ["lang", "bucket"], "left")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("last_tile")))
