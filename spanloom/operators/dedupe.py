@@ -5,15 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sessions import ORDER, ask_by_id, told
+from .sessions import ORDER, ROW, ask_by_id, over_id, told
 
 
-def mark_shared(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+def mark_shared(spans: DataFrame, keys: tuple[str, ...], spread: bool = False) -> DataFrame:
     """spans with ``renamed`` (a server whose id a client of its trace session has as well) and ``nth``, the
-    number of a renamed span among those of its session, in order."""
+    number of a renamed span among those of its session, in order; with ``spread`` any number of its own."""
     trace = [*keys, "sid"]
-    shared = F.max(F.col("is_client").cast("int")).over(Window.partitionBy(*trace, "span_id")) == 1
-    marked = spans.withColumn("renamed", F.coalesce(shared & F.col("is_server"), F.lit(False)))
+    marked = over_id(spans, keys, {"__shared": F.max(F.col("is_client").cast("int"))}, spread)
+    marked = marked.withColumn("renamed", F.coalesce((F.col("__shared") == 1) & F.col("is_server"), F.lit(False))).drop("__shared")
+    if spread:
+        return marked.withColumn("nth", F.when(F.col("renamed"), F.col(ROW)))
     so_far = Window.partitionBy(*trace).orderBy(*ORDER, "parent_span_id", "service").rowsBetween(Window.unboundedPreceding, 0)
     return marked.withColumn("nth", F.when(F.col("renamed"), F.sum(F.col("renamed").cast("int")).over(so_far).cast("int")))
 

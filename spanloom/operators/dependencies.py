@@ -12,28 +12,32 @@ from .sessions import ORDER, ask_by_id, told, tumble
 SOURCE = "jaeger"
 
 
-def trace_edges(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+def trace_edges(spans: DataFrame, keys: tuple[str, ...], spread: bool = False) -> DataFrame:
     """(keys, sid, session_end, parent, child): one row for each span whose parent is in the session.
 
     The last span of an id names its service; spans without a known parent, or whose parent has no
     service, give no edge; self-calls stay.
     """
     last = F.max(told(F.struct(*ORDER, "service")))
-    linked = ask_by_id(spans, keys, [F.col("span_id")], [F.col("parent_span_id")], {"last": last})
+    linked = ask_by_id(spans, keys, [F.col("span_id")], [F.col("parent_span_id")], {"last": last}, spread)
     return _edges(linked, keys)
 
 
-def deduped_edges(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+def deduped_edges(spans: DataFrame, keys: tuple[str, ...], spread: bool = False) -> DataFrame:
     """trace_edges of dedupe_span_ids, without making up fresh ids: a renamed span is known by the pair
     (true, its number), any other by (false, its id), so all look-ups stay on the trace key's
-    partitioning."""
-    m = mark_shared(spans, keys).withColumn("p", F.when(F.col("renamed"), F.col("span_id")).otherwise(F.col("parent_span_id")))
-    m = ask_by_id(m, keys, [F.col("span_id")], [F.col("p")], {"heir": F.max(told(F.col("nth")))})
+    partitioning, or with ``spread`` (for spans with ROW) on sessions and ids."""
+    m = mark_shared(spans, keys, spread).withColumn("p", F.when(F.col("renamed"), F.col("span_id")).otherwise(F.col("parent_span_id")))
+    if spread:  # numbers have no order
+        last = F.max(told(F.when(F.col("renamed"), F.struct(*ORDER, "parent_span_id", "service", "nth"))))["nth"]
+    else:
+        last = F.max(told(F.col("nth")))
+    m = ask_by_id(m, keys, [F.col("span_id")], [F.col("p")], {"heir": last}, spread)
     led = F.col("heir").isNotNull() & ~F.coalesce(F.col("nth") == F.col("heir"), F.lit(False))
     own = [F.col("renamed"), F.coalesce(F.col("nth").cast("long"), F.col("span_id"))]
     asked = [led, F.when(led, F.col("heir").cast("long")).otherwise(F.col("p"))]
     # the order of spans by their new ids equals dedupe_span_ids' order where times differ
-    return _edges(ask_by_id(m, keys, own, asked, {"last": F.max(told(F.struct(*ORDER, "service")))}), keys)
+    return _edges(ask_by_id(m, keys, own, asked, {"last": F.max(told(F.struct(*ORDER, "service")))}, spread), keys)
 
 
 def _edges(linked: DataFrame, keys: tuple[str, ...]) -> DataFrame:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.spans import least_trace_id_hex, trace_id_hex
+from ..sources.shared import forget, written
 from .sessions import tumble
 
 MAX_LENGTH = 64_000
@@ -52,20 +52,14 @@ def walk(spans) -> list[list[tuple[str, str]]]:
     return out
 
 
-def _paths(groups: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for traces in groups:
-        yield pd.Series([[[{"service": a, "operation": b} for a, b in p] for p in walk(t)] for t in traces])
-
-
-def paths_of(spans):
-    """All paths of an array of spans, as a Column; for streams, where a session is one row."""
-    return F.pandas_udf(_paths, f"array<array<{NODE}>>")(spans)
+def _exceeded():
+    return F.array(F.struct(F.lit("Exceeded").alias("service"), F.lit("Length").alias("operation")))
 
 
 def path_length_cap(path, limit: int = MAX_LENGTH):
     """The path, or one node Exceeded/Length where its names sum to more than ``limit`` characters."""
     size = F.aggregate(path, F.lit(0), lambda n, x: n + F.length(F.coalesce(x["service"], F.lit(""))) + F.length(F.coalesce(x["operation"], F.lit(""))))
-    return F.when(size > limit, F.array(F.struct(F.lit("Exceeded").alias("service"), F.lit("Length").alias("operation")))).otherwise(path)
+    return F.when(size > limit, _exceeded()).otherwise(path)
 
 
 #: Rows of paths that are sent on together.
@@ -109,18 +103,90 @@ def _walked(names_of: tuple[str, ...]):
     return run
 
 
-def trace_paths(spans: DataFrame, keys: tuple[str, ...] = ("trace_id_low",), limit: int = MAX_LENGTH) -> DataFrame:
+def trace_paths(spans: DataFrame, keys: tuple[str, ...] = ("trace_id_low",), limit: int = MAX_LENGTH, spread: bool = False) -> DataFrame:
     """(keys, sid, session_end, path, trace_id): every path of every trace session.
 
     Spans go through an Arrow helper in the order of their traces, row by row: a trace is never one
-    value, and the helper holds one trace at a time. Spans dealt by other columns are dealt by keys.
+    value, and the helper holds one trace at a time. Spans dealt by other columns are dealt by keys. With
+    ``spread`` a trace whose ids have one parent each is never in one task (see tree_paths); for others
+    the order of the walk decides by which way an id is reached, which only one walk can tell.
     """
+    if spread:
+        nodes, odd = tree_nodes(spans, keys)
+        trace = [*keys, "sid"]
+        return tree_paths(nodes, keys, limit).unionByName(trace_paths(spans.join(odd, trace, "left_semi"), keys, limit))
     dealt = spans.repartition(*keys).sortWithinPartitions(*keys, "sid", "start_time_us", *_SPAN)
     heads = ", ".join(f"{k} long" for k in (*keys, "sid", "session_end"))
     walked = dealt.select(*[F.col(k).cast("long").alias(k) for k in (*keys, "sid", "session_end")], *_SPAN).mapInArrow(_walked(keys), f"{heads}, path array<{NODE}>")
     return walked.select(*keys, "sid", "session_end", path_length_cap(F.col("path"), limit).alias("path"), trace_id_hex(keys[-1]).alias("trace_id"))
 
 
+def tree_nodes(spans: DataFrame, keys: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """Two written tables: the ids (keys, sid, session_end, id, up, root, leaf, size, name) of trace sessions
+    in which every id but the root has at most one parent other than itself, and the sessions (keys, sid)
+    where one has more.
+
+    up is the parent (null at the root), leaf tells that no span names the id as its parent, name holds
+    the id's service and operation if it shows in paths, and size is the number of the session's ids.
+    """
+    trace = [*keys, "sid"]
+    parent, own = F.col("parent_span_id"), F.col("span_id")
+    above = F.when((parent != 0) & (parent != own), parent)
+    last = F.max(F.struct("start_time_us", "span_id", "parent_span_id", "service", "operation", "span_kind"))  # nulls are least, as in the walk's order
+    ids = spans.groupBy(*trace, "session_end", "span_id").agg(last.alias("last"), F.min(above).alias("up"), F.max(above).alias("up2"))
+    roots = spans.where(parent == 0).groupBy(*trace).agg(last["span_id"].alias("root_id"))
+    sizes = ids.groupBy(*trace).agg(F.count("*").alias("size"))
+    named = spans.where(parent != 0).select(*trace, parent.alias("span_id")).distinct().withColumn("named", F.lit(True))
+    found = ids.join(roots, trace).join(sizes, trace).join(named, [*trace, "span_id"], "left")
+    root = own == F.col("root_id")
+    name = F.when(F.col("last.span_kind") == "SERVER", F.struct(F.col("last.service").alias("service"), F.col("last.operation").alias("operation")))
+    nodes = written(
+        found.select(*trace, "session_end", own.alias("id"), F.when(~root, F.col("up")).alias("up"), root.alias("root"), F.col("named").isNull().alias("leaf"), "size", name.alias("name"), (~root & (F.col("up") != F.col("up2"))).alias("odd")), "nodes"
+    )
+    odd = written(nodes.where("odd").select(*trace).distinct(), "odd_traces")
+    return nodes.join(odd, trace, "left_anti").drop("odd"), odd
+
+
+def tree_paths(nodes: DataFrame, keys: tuple[str, ...] = ("trace_id_low",), limit: int = MAX_LENGTH) -> DataFrame:
+    """trace_paths from the first table of tree_nodes, by pointer doubling.
+
+    In round k each id knows its ancestor 2**k steps up and how long the names up to there are, so after
+    as many rounds as the depth has bits all ids know whether and at what length they hang on the root:
+    ids under a missing parent find no ancestor, those on or under a cycle go further than the session
+    has ids. Then the leaves alone, but for those over ``limit``, gather (leaf, steps, ancestor) rows: in
+    round k each row gives the one 2**k steps further up. What is moved is the ids in each round, and
+    the paths themselves.
+    """
+    trace = [*keys, "sid"]
+    length = F.length(F.coalesce("name.service", F.lit(""))) + F.length(F.coalesce("name.operation", F.lit("")))
+    start = nodes.where("root or up is not null").select(*trace, "id", "up", "size", F.when(F.col("name").isNull(), 0).otherwise(length).cast("long").alias("length"), F.lit(1).cast("long").alias("steps"))
+    rounds = [written(start, "ways0")]
+    while not rounds[-1].where("up is not null").isEmpty():
+        table = rounds[-1]
+        top = table.select(*trace, F.col("id").alias("up"), F.col("up").alias("__up"), F.col("length").alias("__length"), F.col("steps").alias("__steps"))
+        further = table.where("up is not null").join(top, [*trace, "up"]).select(
+            *trace, "id", F.col("__up").alias("up"), "size", (F.col("__length") + F.col("length")).alias("length"), (F.col("__steps") + F.col("steps")).alias("steps")
+        )
+        rounds.append(written(table.where("up is null").unionByName(further.where("steps <= size")), f"ways{len(rounds)}"))
+    leaves = rounds[-1].join(nodes.where("leaf").select(*trace, "id", "session_end"), [*trace, "id"])
+    leaves = written(leaves.select(*trace, F.col("id").alias("leaf"), "session_end", "length"), "leaves")
+
+    gathered = leaves.where(F.col("length") <= limit).select(*trace, "leaf", F.col("leaf").alias("id"), F.lit(0).cast("long").alias("steps"))
+    for k, table in enumerate(rounds[:-1]):
+        ups = table.where("up is not null").select(*trace, "id", "up")
+        more = gathered.join(ups, [*trace, "id"]).select(*trace, "leaf", F.col("up").alias("id"), (F.col("steps") + (1 << k)).alias("steps"))
+        before, gathered = gathered, written(gathered.unionByName(more), f"gathered{k}")
+        if k:
+            forget(before)
+    shown = gathered.join(nodes.where("name is not null").select(*trace, "id", "name"), [*trace, "id"])
+    paths = shown.groupBy(*trace, "leaf").agg(F.sort_array(F.collect_list(F.struct((-F.col("steps")).alias("at"), "name"))).alias("on"))
+    out = leaves.join(paths, [*trace, "leaf"], "left")
+    path = F.when(F.col("length") > limit, _exceeded()).otherwise(F.coalesce(F.col("on.name"), F.array().cast(f"array<{NODE}>")))
+    result = written(out.select(*trace, "session_end", path.alias("path"), trace_id_hex(keys[-1]).alias("trace_id")), "paths")
+    forget(*rounds, leaves, *([gathered] if len(rounds) > 1 else []))
+    return result
+
+
 def dedupe_paths(paths: DataFrame, window_minutes: int = 10, low: str = "trace_id_low") -> DataFrame:
     """(window_start, window_end, path, trace_id): each path once per window, with the least trace id."""
     start, end = tumble("session_end", window_minutes)

@@ -9,6 +9,7 @@ columns are evaluated on the same rows and exploded once.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.spans import least_trace_id_hex, trace_id_hex
 from ..functions.versions import meets_minimum
-from .sessions import ORDER, ask_by_id, told
+from .sessions import ORDER, ask_by_id, over_id, told
 
 PASS, FAIL = "PASS", "FAIL"
 HAS_CLIENT, HAS_SERVER = "HasClientSpans", "HasServerSpans"
@@ -26,10 +27,12 @@ SpanRule = Callable[[tuple[str, ...]], Column]
 
 
 class TraceRule(NamedTuple):
-    """``prepare`` keeps one row per span and its columns; ``scores`` may use those that it adds."""
+    """``prepare`` keeps one row per span and its columns; ``scores`` may use those that it adds.
+    ``spread`` does the same for spans of hot traces, which aren't dealt by trace key."""
 
     prepare: Callable[[DataFrame, tuple[str, ...]], DataFrame]
     scores: SpanRule
+    spread: Callable[[DataFrame, tuple[str, ...]], DataFrame] | None = None
 
 
 def score(service, metric: str, submetric) -> Column:
@@ -53,13 +56,21 @@ def score_unique_span_id(keys) -> Column:
     return F.array(score("service", UNIQUE_IDS, F.when(n == 1, PASS).otherwise(FAIL)))
 
 
-def with_relatives(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+def _unique_among(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    return over_id(spans, keys, {"__same_id": F.count("*")}, spread=True)
+
+
+#: score_unique_span_id for hot traces.
+_SPREAD_UNIQUE = TraceRule(_unique_among, lambda keys: F.array(score("service", UNIQUE_IDS, F.when(F.col("__same_id") == 1, PASS).otherwise(FAIL))), _unique_among)
+
+
+def with_relatives(spans: DataFrame, keys: tuple[str, ...], spread: bool = False) -> DataFrame:
     """spans with child (the first span of its own id) and parent (the first one of its parent's id, or
     null for orphans and roots), as structs of service, peer_service, is_client, is_server."""
     fields = F.struct("service", "peer_service", "is_client", "is_server")
     ranked = F.struct(*ORDER, "parent_span_id", "service", fields.alias("s"))
-    first = spans.withColumn("__own", F.min(ranked).over(Window.partitionBy(*keys, "sid", "span_id")))
-    linked = ask_by_id(first, keys, [F.col("span_id")], [F.col("parent_span_id")], {"__above": F.min(told(ranked))})
+    first = over_id(spans, keys, {"__own": F.min(ranked)}, spread)
+    linked = ask_by_id(first, keys, [F.col("span_id")], [F.col("parent_span_id")], {"__above": F.min(told(ranked))}, spread)
     return linked.withColumns({"child": F.col("__own.s"), "parent": F.col("__above.s")}).drop("__own", "__above")
 
 
@@ -68,9 +79,9 @@ def parent_child_pairs(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return with_relatives(spans, keys).select(*keys, "sid", "session_end", "child", "parent")
 
 
-def orphan_spans(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+def orphan_spans(spans: DataFrame, keys: tuple[str, ...], spread: bool = False) -> DataFrame:
     """Spans whose parent id no span of their trace session has."""
-    linked = ask_by_id(spans, keys, [F.col("span_id")], [F.col("parent_span_id")], {"known": F.max(told(F.lit(True)))})
+    linked = ask_by_id(spans, keys, [F.col("span_id")], [F.col("parent_span_id")], {"known": F.max(told(F.lit(True)))}, spread)
     return linked.where("known is null").drop("known")
 
 
@@ -88,7 +99,7 @@ def client_server_scores(keys=()) -> Column:
     return F.when(p.isNull(), root).when(p["is_client"], below_client).when(p["is_server"], below_server).otherwise(none)
 
 
-score_has_client_server = TraceRule(with_relatives, client_server_scores)
+score_has_client_server = TraceRule(with_relatives, client_server_scores, partial(with_relatives, spread=True))
 
 
 SPAN_RULES: tuple[SpanRule, ...] = (score_client_version, score_minimum_client_version, score_unique_span_id)
@@ -100,13 +111,17 @@ def score_guard(scores: DataFrame) -> DataFrame:
     return scores.where("service <> '' and metric <> '' and submetric <> ''")
 
 
-def score_all(spans: DataFrame, keys: tuple[str, ...] = ("trace_id_low",), span_rules: Sequence[SpanRule] = SPAN_RULES, trace_rules: Sequence[TraceRule] = TRACE_RULES) -> DataFrame:
-    """(time_bucket, service, metric, submetric, trace_id, trace_id_low, session_end): every score of every rule."""
+def score_all(spans: DataFrame, keys: tuple[str, ...] = ("trace_id_low",), span_rules: Sequence[SpanRule] = SPAN_RULES, trace_rules: Sequence[TraceRule] = TRACE_RULES, spread: bool = False) -> DataFrame:
+    """(time_bucket, service, metric, submetric, trace_id, trace_id_low, session_end): every score of every
+    rule. With ``spread`` the built-in rules are evaluated without dealing the spans by trace key."""
+    if spread and score_unique_span_id in span_rules:
+        span_rules = [r for r in span_rules if r is not score_unique_span_id]
+        trace_rules = [*trace_rules, _SPREAD_UNIQUE]
     columns = [r(keys) for r in span_rules]
     # what span rules count over a span's id is sorted like what a trace rule asks of it
     rows = spans.withColumns({f"__s{n}": c for n, c in enumerate(columns)})
     for rule in trace_rules:
-        rows = rule.prepare(rows, keys)
+        rows = (rule.spread if spread and rule.spread else rule.prepare)(rows, keys)
     scores = F.concat(*[F.col(f"__s{n}") for n in range(len(columns))], *[rule.scores(keys) for rule in trace_rules])
     every = rows.select(*keys, "sid", "session_end", F.explode(scores).alias("s")).select(*keys, "sid", "session_end", "s.*")
     bucket = F.date_trunc("HOUR", F.timestamp_millis("sid"))

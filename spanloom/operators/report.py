@@ -24,10 +24,15 @@ def metric_catalog_lookup(rows: DataFrame) -> DataFrame:
     return out.withColumns({"description": F.coalesce("d", F.lit(UNKNOWN[0])), "type": F.coalesce("t", F.lit(UNKNOWN[1]))}).drop("m", "d", "t")
 
 
-def recent(metrics: DataFrame, now, hours: int) -> DataFrame:
-    """Rows of the last hours: time_bucket >= now - hours. ``now`` is a timestamp Column or text."""
+def hours_before(now, hours: int):
+    """Some hours before ``now``, a timestamp Column or text."""
     at = F.lit(now).cast("timestamp") if isinstance(now, str) else now
-    return metrics.where(F.col("time_bucket") >= at - F.make_interval(hours=F.lit(hours)))
+    return at - F.make_interval(hours=F.lit(hours))
+
+
+def recent(metrics: DataFrame, now, hours: int) -> DataFrame:
+    """Rows of the last hours: time_bucket >= now - hours."""
+    return metrics.where(F.col("time_bucket") >= hours_before(now, hours))
 
 
 def service_metrics_report(metrics: DataFrame) -> DataFrame:

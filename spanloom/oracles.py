@@ -29,9 +29,9 @@ b AS (SELECT *, max(fst) OVER (PARTITION BY {keys} ORDER BY ms ROWS UNBOUNDED PR
 t AS (SELECT *, max(ms) OVER (PARTITION BY {keys}, sid) + {gap} AS session_end FROM b)"""
 
 
-def deduped(keys: str = HL, minutes: int = 3) -> str:
+def deduped(keys: str = HL, minutes: int = 3, where: str = "is_client OR is_server") -> str:
     """CTEs up to e: spans with their new ids."""
-    return f"""{sessions(keys, minutes)},
+    return f"""{sessions(keys, minutes, where)},
 d1 AS (SELECT *, bool_or(is_client) OVER (PARTITION BY {keys}, sid, span_id) AND is_server AS renamed FROM t),
 d2 AS (SELECT *, CASE WHEN renamed THEN sum(CASE WHEN renamed THEN 1 ELSE 0 END) OVER (PARTITION BY {keys}, sid
   ORDER BY start_time_us, span_id, parent_span_id, service ROWS UNBOUNDED PRECEDING) END AS k FROM d1),
@@ -110,11 +110,13 @@ typed AS (SELECT q.*, coalesce(d, 'This metric isn''t used for computing trace q
 REPORT = f"{COUNTS}, {_CATALOG}"
 
 # paths: a node is visited from the first parent that reaches it; ids form trees here but for repeats
-PATHS = f"""{sessions(L, 5, 'true')},
-node AS (SELECT {L}, sid, span_id, service, operation, span_kind FROM t
+def paths(spans: str, t: str = "t") -> str:
+    """CTEs of spans up to ``t``, then up to up: the unique paths of each window."""
+    return f"""{spans},
+node AS (SELECT {L}, sid, span_id, service, operation, span_kind FROM {t}
   QUALIFY row_number() OVER (PARTITION BY {L}, sid, span_id ORDER BY start_time_us DESC, span_id DESC) = 1),
-kid AS (SELECT DISTINCT {L}, sid, parent_span_id, span_id FROM t WHERE parent_span_id <> 0),
-root AS (SELECT {L}, sid, session_end, span_id FROM t WHERE parent_span_id = 0
+kid AS (SELECT DISTINCT {L}, sid, parent_span_id, span_id FROM {t} WHERE parent_span_id <> 0),
+root AS (SELECT {L}, sid, session_end, span_id FROM {t} WHERE parent_span_id = 0
   QUALIFY row_number() OVER (PARTITION BY {L}, sid ORDER BY start_time_us DESC, span_id DESC) = 1),
 ways AS (WITH RECURSIVE w AS (
     SELECT {L}, sid, session_end, span_id, [span_id] AS ids FROM root
@@ -127,6 +129,14 @@ pa AS (SELECT {L}, sid, session_end, leaf, coalesce(string_agg(service || '|' ||
     lower(to_hex({L})) AS trace_id
   FROM steps JOIN node USING ({L}, sid, span_id) GROUP BY {L}, sid, session_end, leaf),
 up AS (SELECT {window_start(10)} AS window_ms, path, min(trace_id) AS trace_id FROM pa GROUP BY ALL)"""
+
+
+PATHS = paths(sessions(L, 5, "true"))
+#: The same after shared ids were told apart.
+DEDUPED_PATHS = paths(
+    f"""{deduped(L, 5, "true")},
+own AS (SELECT {L}, sid, session_end, start_time_us, service, operation, span_kind, new_id AS span_id, new_parent AS parent_span_id FROM e)""", "own"
+)
 INDEX = f"""{PATHS},
 nodes AS (SELECT window_ms, path, trace_id, unnest(string_split(path, '>')) AS node FROM up WHERE path <> ''),
 idx AS (SELECT DISTINCT (window_ms + 600000) // 3600000 * 3600000 AS bucket_ms, window_ms, split_part(node, '|', 1) AS service, x.o AS operation, trace_id, path

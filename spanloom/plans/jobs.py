@@ -1,15 +1,23 @@
-"""The batch jobs: flat spans in, result tables out."""
+"""The batch jobs: flat spans in, result tables out.
+
+Each job takes ``hot_spans``: trace keys with more spans than that are worked on without dealing their
+spans by key (see operators.sessions); None leaves that out.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import dependencies, paths, quality, report
 from ..operators.dedupe import dedupe_span_ids
-from ..operators.sessions import annotate_sessions
+from ..operators.sessions import HOT_SPANS, ROW, annotate_sessions, hot_sessions, split_hot
 from ..sources.tables import read_quality
 
 HIGH_LOW, LOW = ("trace_id_high", "trace_id_low"), ("trace_id_low",)
+#: Spans of a trace key from which the path job doesn't hold its traces in one task.
+LARGE_TRACE = 80_000
 
 
 def filter_local_spans(spans: DataFrame) -> DataFrame:
@@ -18,22 +26,36 @@ def filter_local_spans(spans: DataFrame) -> DataFrame:
 
 
 def drop_untraced(spans: DataFrame) -> DataFrame:
-    """Spans of a trace: those without an id, which the wire format shows as 0, would all be one trace
-    in one task. The jobs keep them, as a trace may have the id 0; call this first where none has."""
+    """Spans of a trace: those without an id, which the wire format shows as 0, would all be one trace.
+    The jobs keep them, as a trace may have the id 0; call this first where none has."""
     return spans.where("trace_id_low <> 0 or trace_id_high <> 0")
 
 
-def dependency_sessions(spans: DataFrame, gap: int = 3) -> DataFrame:
+def _in_sessions(spans: DataFrame, keys: tuple[str, ...], gap: int, hot_spans: int | None, step: Callable[[DataFrame, bool], DataFrame]) -> DataFrame:
+    """What step(spans in their sessions, whether they are those of hot traces) gives for all spans."""
+    cold, hot = split_hot(spans, keys, hot_spans)
+    rows = step(annotate_sessions(cold, keys, gap), False)
+    return rows if hot is None else rows.unionByName(step(hot_sessions(hot, keys, gap), True))
+
+
+def _plain(traces: DataFrame, hot: bool) -> DataFrame:
+    return traces.drop(ROW)
+
+
+def _dependency_spans(spans: DataFrame) -> DataFrame:
+    return filter_local_spans(spans).select(*HIGH_LOW, "span_id", "parent_span_id", "service", "is_server", "is_client", "start_time_us")
+
+
+def dependency_sessions(spans: DataFrame, gap: int = 3, hot_spans: int | None = HOT_SPANS) -> DataFrame:
     """Client and server spans of the dependency job in their sessions."""
-    kept = filter_local_spans(spans).select(*HIGH_LOW, "span_id", "parent_span_id", "service", "is_server", "is_client", "start_time_us")
-    return annotate_sessions(kept, HIGH_LOW, gap)
+    return _in_sessions(_dependency_spans(spans), HIGH_LOW, gap, hot_spans, _plain)
 
 
-def dependency_counts(spans: DataFrame, dedupe: bool = True, gap: int = 3, window: int = 30) -> DataFrame:
+def dependency_counts(spans: DataFrame, dedupe: bool = True, gap: int = 3, window: int = 30, hot_spans: int | None = HOT_SPANS) -> DataFrame:
     """(window_start, window_end, parent, child, call_count)."""
-    traces = dependency_sessions(spans, gap)
-    edges = dependencies.deduped_edges if dedupe else dependencies.trace_edges
-    return dependencies.call_counts(edges(traces, HIGH_LOW), window)
+    find = dependencies.deduped_edges if dedupe else dependencies.trace_edges
+    edges = _in_sessions(_dependency_spans(spans), HIGH_LOW, gap, hot_spans, lambda traces, hot: find(traces, HIGH_LOW, hot))
+    return dependencies.call_counts(edges, window)
 
 
 def dependencies_job(spans: DataFrame, run_ts: str | None = None) -> DataFrame:
@@ -41,18 +63,26 @@ def dependencies_job(spans: DataFrame, run_ts: str | None = None) -> DataFrame:
     return dependencies.dependencies_rollup(dependency_counts(spans), run_ts)
 
 
-def path_sessions(spans: DataFrame, gap: int = 5) -> DataFrame:
+def _path_spans(spans: DataFrame) -> DataFrame:
+    return spans.select(*LOW, "span_id", "parent_span_id", "service", "operation", "span_kind", "start_time_us")
+
+
+def path_sessions(spans: DataFrame, gap: int = 5, hot_spans: int | None = HOT_SPANS) -> DataFrame:
     """All spans of the path job in their sessions."""
-    return annotate_sessions(spans.select(*LOW, "span_id", "parent_span_id", "service", "operation", "span_kind", "start_time_us"), LOW, gap)
+    return _in_sessions(_path_spans(spans), LOW, gap, hot_spans, _plain)
+
 
+def unique_paths(spans: DataFrame, dedupe: bool = False, gap: int = 5, window: int = 10, hot_spans: int | None = LARGE_TRACE) -> DataFrame:
+    """(window_start, window_end, path, trace_id). ``dedupe`` first tells shared span ids apart (in one task
+    for each trace session)."""
 
-def unique_paths(spans: DataFrame, dedupe: bool = False, gap: int = 5, window: int = 10) -> DataFrame:
-    """(window_start, window_end, path, trace_id). ``dedupe`` first tells shared span ids apart."""
-    traces = path_sessions(spans, gap)
-    if dedupe:
-        flags = traces.selectExpr("*", "coalesce(span_kind = 'CLIENT', false) is_client", "coalesce(span_kind = 'SERVER', false) is_server")
-        traces = dedupe_span_ids(flags, LOW).drop("renamed", "is_client", "is_server")
-    return paths.dedupe_paths(paths.trace_paths(traces, LOW), window)
+    def found(traces: DataFrame, hot: bool) -> DataFrame:
+        if dedupe:
+            flags = traces.selectExpr("*", "coalesce(span_kind = 'CLIENT', false) is_client", "coalesce(span_kind = 'SERVER', false) is_server")
+            traces = dedupe_span_ids(flags, LOW).drop("renamed", "is_client", "is_server")
+        return paths.trace_paths(traces, LOW, spread=hot)
+
+    return paths.dedupe_paths(_in_sessions(_path_spans(spans), LOW, gap, hot_spans, found), window)
 
 
 def paths_job(spans: DataFrame, dedupe: bool = False) -> DataFrame:
@@ -60,19 +90,23 @@ def paths_job(spans: DataFrame, dedupe: bool = False) -> DataFrame:
     return paths.focal_node_index(unique_paths(spans, dedupe))
 
 
-def quality_sessions(spans: DataFrame, gap: int = 3) -> DataFrame:
+def _quality_spans(spans: DataFrame) -> DataFrame:
+    return filter_local_spans(spans).select(*LOW, "span_id", "parent_span_id", "service", "peer_service", "is_server", "is_client", "client_version", "start_time_us")
+
+
+def quality_sessions(spans: DataFrame, gap: int = 3, hot_spans: int | None = HOT_SPANS) -> DataFrame:
     """Client and server spans of the quality job in their sessions."""
-    kept = filter_local_spans(spans).select(*LOW, "span_id", "parent_span_id", "service", "peer_service", "is_server", "is_client", "client_version", "start_time_us")
-    return annotate_sessions(kept, LOW, gap)
+    return _in_sessions(_quality_spans(spans), LOW, gap, hot_spans, _plain)
 
 
-def quality_job(spans: DataFrame, **rules) -> DataFrame:
+def quality_job(spans: DataFrame, hot_spans: int | None = HOT_SPANS, gap: int = 3, **rules) -> DataFrame:
     """quality_metrics rows: counters by hour, service, metric and submetric."""
-    return quality.quality_counts(quality.score_all(quality_sessions(spans), LOW, **rules))
+    scores = _in_sessions(_quality_spans(spans), LOW, gap, hot_spans, lambda traces, hot: quality.score_all(traces, LOW, spread=hot, **rules))
+    return quality.quality_counts(scores)
 
 
 def report_job(spark: SparkSession, path: str, now, hours: int, service: str | None = None) -> DataFrame:
     """The report on the last hours before ``now`` of a written quality_metrics table, for one service
-    or all, in its order."""
-    rows = report.recent(read_quality(spark, path, service), now, hours)
+    or all, in its order; only the days of these hours are read."""
+    rows = report.recent(read_quality(spark, path, service, report.hours_before(now, hours)), now, hours)
     return report.sorted_metrics(report.service_metrics_report(rows))

@@ -5,6 +5,7 @@ Times are shown as whole milliseconds and arrays as text, so that both engines'
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 
@@ -20,9 +21,11 @@ from .operators import paths as pt
 from .operators import quality as ql
 from .operators import report as rp
 from .operators import sessions as ss
+from .operators import sizes as sz
 from .operators.dedupe import dedupe_span_ids
 from .plans import jobs
 from .sources import tables
+from .sources.commits import Commits
 from .sources.shared import shared_dir
 from .sources import spans as sp
 from .streaming import jobs as st
@@ -151,6 +154,14 @@ def session_quality(spark, sf_dir):
     return _sessions(jobs.quality_sessions(flat_spans(spark, sf_dir)), jobs.LOW, 60)
 
 
+@query(_session_sql(o.HL, 3, "is_client OR is_server", 30))
+def session_slices(spark, sf_dir):
+    """Sessions in two levels, as those of hot trace keys are formed: in slices of two minutes, then across
+    their borders."""
+    kept = jobs.filter_local_spans(flat_spans(spark, sf_dir))
+    return _sessions(ss.stitch_sessions(kept, jobs.HIGH_LOW, 3, slice_minutes=2), jobs.HIGH_LOW, 30)
+
+
 @query(o.select(o.sessions(o.HL, 3), f"SELECT lower(to_hex(trace_id_high)) AS trace_id_high, lower(to_hex(trace_id_low)) AS trace_id_low, sid, count(*) AS n FROM t GROUP BY {o.HL}, sid HAVING count(*) > 8"))
 def large_traces(spark, sf_dir):
     return ss.large_traces(jobs.dependency_sessions(flat_spans(spark, sf_dir)), threshold=8)
@@ -161,6 +172,33 @@ def trace_size_histogram(spark, sf_dir):
     return ss.trace_size_histogram(jobs.dependency_sessions(flat_spans(spark, sf_dir)))
 
 
+_SIZES = o.select(o.sessions(o.HL, 3), f"SELECT {o.window_start(30)} AS window_ms, n AS size, count(*) AS traces FROM (SELECT session_end, count(*) AS n FROM t GROUP BY {o.HL}, sid, session_end) GROUP BY ALL")
+_BUCKET = f"CAST(ceil(ln(size) / {math.log(sz.gamma(sz.ACCURACY))!r}) AS INTEGER)"
+
+
+def _trace_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sz.sizes_by_window(jobs.dependency_sessions(flat_spans(spark, sf_dir)), jobs.HIGH_LOW)
+
+
+@query(_SIZES)
+def trace_sizes_by_window(spark, sf_dir):
+    """How many traces of each size end in each half hour."""
+    return _trace_sizes(spark, sf_dir).select(_ms("window_start").alias("window_ms"), "size", "traces")
+
+
+@query(f"""WITH h AS ({_SIZES}), u AS (SELECT *, sum(traces) OVER (PARTITION BY window_ms) AS total, sum(traces) OVER (PARTITION BY window_ms ORDER BY size) AS upto FROM h),
+x AS (SELECT window_ms, pct, min(size) AS size FROM u, (SELECT unnest([50, 90, 99]) AS pct) WHERE upto >= greatest(1, ceil(pct / 100.0 * total)) GROUP BY ALL)
+SELECT window_ms, pct, size AS exact, {_BUCKET} AS bucket, true AS within FROM x""")
+def trace_size_quantiles(spark, sf_dir):
+    """Quantiles of each window's sizes, exact and from sketches of even and odd traces merged."""
+    spans = jobs.dependency_sessions(flat_spans(spark, sf_dir))
+    parts = [sz.sketch(sz.sizes_by_window(spans.where(F.col("trace_id_low") % 2 == n), jobs.HIGH_LOW)) for n in (0, 1)]
+    exact = sz.exact_quantiles(sz.sizes_by_window(spans, jobs.HIGH_LOW)).withColumnRenamed("size", "exact")
+    both = exact.join(sz.quantiles(sz.merge(parts[0].unionByName(parts[1]))), ["window_start", "window_end", "rank"])
+    within = F.abs(F.col("size") - F.col("exact")) <= F.col("exact") * (sz.ACCURACY + 1e-9)
+    return both.select(_ms("window_start").alias("window_ms"), F.round(F.col("rank") * 100).cast("int").alias("pct"), "exact", "bucket", within.alias("within"))
+
+
 @query(o.select(o.deduped(), f"SELECT {o.HL}, sid, start_time_us, service, new_id AS span_id, new_parent AS parent_span_id, renamed FROM e"))
 def dedupe_spans(spark, sf_dir):
     out = dedupe_span_ids(jobs.dependency_sessions(flat_spans(spark, sf_dir)), jobs.HIGH_LOW)
@@ -181,6 +219,12 @@ def call_counts(spark, sf_dir):
     return jobs.dependency_counts(flat_spans(spark, sf_dir)).select(_ms("window_start").alias("window_ms"), "parent", "child", "call_count")
 
 
+@query(_COUNTS_SQL)
+def call_counts_spread(spark, sf_dir):
+    """The same with every trace of over four spans taken as hot: dealt by session and id."""
+    return jobs.dependency_counts(flat_spans(spark, sf_dir), hot_spans=4).select(_ms("window_start").alias("window_ms"), "parent", "child", "call_count")
+
+
 _ROLLUP_SQL = o.select(
     o.edges(),
     f"""SELECT window_ms + 1800000 AS ts_ms, (window_ms + 1800000) // 86400000 * 86400000 AS ts_bucket_ms,
@@ -269,21 +313,44 @@ def quality_counts(spark, sf_dir):
     return _quality_rows(jobs.quality_job(flat_spans(spark, sf_dir)))
 
 
+@query(_QUALITY_SQL)
+def quality_counts_spread(spark, sf_dir):
+    """The same with every trace of over four spans taken as hot."""
+    return _quality_rows(jobs.quality_job(flat_spans(spark, sf_dir), hot_spans=4))
+
+
 @query(_QUALITY_SQL)
 def write_quality(spark, sf_dir):
-    """Counters of even and odd traces written as two batches; the reader adds them."""
+    """Counters of thirds of the traces, written by two runs, one batch twice; three folders are merged
+    into a snapshot, a later retry of a merged batch is known; the reader adds what is left."""
     path = _shared(spark, "quality_metrics")
-    for part in (0, 1):
-        tables.write_quality(jobs.quality_job(flat_spans(spark, sf_dir).where(F.col("trace_id_low") % 2 == part)), path, part)
+    spans = flat_spans(spark, sf_dir)
+    third = [jobs.quality_job(spans.where(F.col("trace_id_low") % 3 == part)) for part in (0, 1, 2)]
+    for part, batch, run in ((0, 0, "stream"), (1, 1, "stream"), (1, 1, "stream"), (2, 0, None), (1, 1, "stream")):
+        tables.write_quality(third[part], path, batch, run, merge_from=3)
     return _quality_rows(tables.read_quality(spark, path))
 
 
+@query(o.select(o.FLAT, "SELECT service, 'HasOperation' AS metric, CASE WHEN is_server THEN 'SERVER' ELSE 'CLIENT' END AS submetric, count(*) AS n FROM f WHERE (is_server OR is_client) AND service <> '' GROUP BY ALL"))
+def custom_rules(spark, sf_dir):
+    """A rule of a user's own in place of the built-in ones."""
+    rule = lambda keys: F.array(ql.score("service", "HasOperation", F.when(F.col("is_server"), "SERVER").otherwise("CLIENT")))
+    return _scores(spark, sf_dir, (rule,))
+
+
 @query(o.select(o.REPORT, "SELECT service, metric, submetric, CAST(sum(n) AS BIGINT) AS count, string_agg(trace_id, ',' ORDER BY bucket_ms, metric, submetric, trace_id) AS trace_ids, description, type FROM typed GROUP BY service, metric, submetric, description, type"))
 def service_metrics_report(spark, sf_dir):
     report = rp.sorted_metrics(rp.service_metrics_report(jobs.quality_job(flat_spans(spark, sf_dir))))
     return report.withColumn("trace_ids", F.array_join("trace_ids", ","))
 
 
+@query(o.select(o.REPORT, """SELECT service, CAST(json_object('Metric', metric, 'Submetric', submetric, 'Count', CAST(sum(n) AS BIGINT), 'TraceIDs', list(trace_id ORDER BY bucket_ms, metric, submetric, trace_id), 'Description', description, 'Type', type) AS VARCHAR) AS json
+ FROM typed GROUP BY service, metric, submetric, description, type"""))
+def report_json(spark, sf_dir):
+    """The rows of the web interface."""
+    return rp.report_json(rp.service_metrics_report(jobs.quality_job(flat_spans(spark, sf_dir))))
+
+
 @query(o.select(o.REPORT, "SELECT service, CAST(sum(n) AS BIGINT) AS count FROM typed WHERE bucket_ms >= 1704153600000 - 6 * 3600000 GROUP BY service"))
 def recent_metrics(spark, sf_dir):
     """Counts of the last six hours before 2024-01-02."""
@@ -324,6 +391,18 @@ def path_length_cap(spark, sf_dir):
     return out.select("trace_id_low", "sid", _path_text().alias("path"))
 
 
+@query(o.select(o.PATHS, "SELECT trace_id_low, sid, session_end, path, trace_id FROM pa"))
+def tree_paths(spark, sf_dir):
+    """The same by pointer doubling, as large traces' paths are found."""
+    return pt.trace_paths(jobs.path_sessions(flat_spans(spark, sf_dir)), spread=True).withColumn("path", _path_text())
+
+
+@query(o.select(o.DEDUPED_PATHS, "SELECT window_ms, path, trace_id FROM up"))
+def adjusted_paths(spark, sf_dir):
+    """Unique paths after shared span ids were told apart."""
+    return jobs.unique_paths(flat_spans(spark, sf_dir), dedupe=True).select(_ms("window_start").alias("window_ms"), _path_text().alias("path"), "trace_id")
+
+
 @query(o.select(o.PATHS, "SELECT window_ms, path, trace_id FROM up"))
 def dedupe_paths(spark, sf_dir):
     return jobs.unique_paths(flat_spans(spark, sf_dir)).select(_ms("window_start").alias("window_ms"), _path_text().alias("path"), "trace_id")
@@ -372,19 +451,27 @@ def _streamed(spark: SparkSession, sf_dir: str, job, write) -> None:
 @query(_ROLLUP_SQL)
 def stream_dependencies(spark, sf_dir):
     out = _shared(spark, "out")
-    _streamed(spark, sf_dir, st.dependencies_stream, lambda rows, n: tables.write_dependencies(rows, out, n))
+    _streamed(spark, sf_dir, st.dependencies_stream, lambda rows, n: tables.write_dependencies(rows, out, n, "stream"))
     return _rollup_rows(tables.read_dependencies(spark, out))
 
 
 @query(_INDEX_SQL)
 def stream_paths(spark, sf_dir):
     out = _shared(spark, "out")
-    _streamed(spark, sf_dir, st.paths_stream, lambda rows, n: tables.write_paths(rows, out, n))
+    _streamed(spark, sf_dir, st.paths_stream, lambda rows, n: tables.write_paths(rows, out, n, "stream"))
     return _index_rows(tables.read_paths(spark, out))
 
 
 @query(_QUALITY_SQL)
 def stream_quality(spark, sf_dir):
     out = _shared(spark, "out")
-    _streamed(spark, sf_dir, st.quality_stream, lambda rows, n: tables.write_quality(rows, out, n))
+    _streamed(spark, sf_dir, st.quality_stream, lambda rows, n: tables.write_quality(rows, out, n, "stream"))
     return _quality_rows(tables.read_quality(spark, out))
+
+
+@query(f"WITH h AS ({_SIZES}) SELECT window_ms, {_BUCKET} AS bucket, CAST(sum(traces) AS BIGINT) AS traces FROM h GROUP BY ALL")
+def stream_trace_sizes(spark, sf_dir):
+    """The sketch of each window's trace sizes, from a stream."""
+    out = _shared(spark, "out")
+    _streamed(spark, sf_dir, st.trace_sizes, lambda rows, n: Commits(spark, out).add(rows, "stream", n))
+    return sz.merge(Commits(spark, out).rows()).select(_ms("window_start").alias("window_ms"), "bucket", "traces")

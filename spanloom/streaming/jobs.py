@@ -1,31 +1,26 @@
-"""The jobs as streams: sessions as arrays, one Arrow helper per trace step, append output.
+"""The jobs as streams: sessions in keyed state, one trace step when a session closes, append output.
 
-Streams allow neither row_number nor self-joins inside a session, so here a session is one row with
-its spans in order and the trace steps are helpers that run in time linear to the trace.
+Streams allow neither row_number nor self-joins inside a session, so here the trace steps are functions
+of a session's spans in order, that run in time linear to the trace.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import partial
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.versions import MINIMUM
-from ..operators import paths
+from ..operators import paths, sizes
 from ..operators.dependencies import SOURCE
 from ..operators.quality import CLIENT_VERSION, FAIL, HAS_CLIENT, HAS_SERVER, MINIMUM_VERSION, PASS, UNIQUE_IDS
+from .sessions import trace_sessions
 
-WATERMARK = "10 minutes"
-
-
-def sessions(spans: DataFrame, keys: tuple[str, ...], gap: str, fields: tuple[str, ...], watermark: str = WATERMARK) -> DataFrame:
-    """(keys, session_window, spans): the spans of a session ordered by time and id."""
-    kept = spans.select(*keys, "ts", F.struct("start_time_us", "span_id", "parent_span_id", "service", *fields).alias("span"))
-    late = kept.withWatermark("ts", watermark)
-    return late.groupBy(*keys, F.session_window("ts", gap)).agg(F.sort_array(F.collect_list("span")).alias("spans"))
+#: Minutes that a span may be late.
+WATERMARK = 10
 
 
 def adjusted(spans) -> list[dict]:
@@ -54,20 +49,15 @@ def edges_of(spans) -> list[tuple[str, str]]:
     return [(p, s["service"]) for s in spans if (p := service.get(s["parent_span_id"])) is not None]
 
 
-def _edges(groups: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for traces in groups:
-        yield pd.Series([[{"parent": a, "child": b} for a, b in edges_of(adjusted(t))] for t in traces])
-
-
-_EDGES = "array<struct<parent: string, child: string>>"
+def _calls(spans) -> Iterable[tuple[str, str]]:
+    return edges_of(adjusted(spans))
 
 
-def dependency_counts(spans: DataFrame, gap: str = "3 minutes", window: str = "30 minutes", watermark: str = WATERMARK) -> DataFrame:
-    """(w, parent, child, call_count) from flat dependency spans."""
+def dependency_counts(spans: DataFrame, gap: int = 3, window: str = "30 minutes", watermark: float = WATERMARK) -> DataFrame:
+    """(window, parent, child, call_count) from flat dependency spans."""
     kept = spans.where("is_client or is_server")
-    traces = sessions(kept, ("trace_id_high", "trace_id_low"), gap, ("is_server", "is_client"), watermark)
-    edges = traces.select("session_window", F.explode(F.pandas_udf(_edges, _EDGES)("spans")).alias("e"))
-    return edges.groupBy(F.window(F.window_time("session_window"), window).alias("window"), "e.parent", "e.child").agg(F.count("*").alias("call_count"))
+    edges = trace_sessions(kept, ("trace_id_high", "trace_id_low"), gap, ("is_server", "is_client"), _calls, "parent string, child string", watermark)
+    return edges.groupBy(F.window("at", window).alias("window"), "parent", "child").agg(F.count("*").alias("call_count"))
 
 
 def dependencies_stream(spans: DataFrame, window: str = "30 minutes", **options) -> DataFrame:
@@ -78,12 +68,15 @@ def dependencies_stream(spans: DataFrame, window: str = "30 minutes", **options)
     return rows.select("dependencies", F.col("w.end").alias("ts"), F.date_trunc("DAY", "w.end").alias("ts_bucket"))
 
 
-def paths_stream(spans: DataFrame, gap: str = "5 minutes", window: str = "10 minutes", watermark: str = WATERMARK) -> DataFrame:
+def _walked(spans) -> Iterator[tuple]:
+    return (([{"service": a, "operation": b} for a, b in p],) for p in paths.walk(spans))
+
+
+def paths_stream(spans: DataFrame, gap: int = 5, window: str = "10 minutes", watermark: float = WATERMARK) -> DataFrame:
     """Index rows of flat path spans."""
-    traces = sessions(spans, ("trace_id_low",), gap, ("operation", "span_kind"), watermark)
-    found = traces.select("session_window", F.lower(F.hex("trace_id_low")).alias("trace_id"), F.explode(paths.paths_of("spans")).alias("p"))
-    capped = found.withColumn("path", paths.path_length_cap(F.col("p")))
-    unique = capped.groupBy(F.window(F.window_time("session_window"), window).alias("w"), "path").agg(F.min("trace_id").alias("trace_id"))
+    found = trace_sessions(spans, ("trace_id_low",), gap, ("operation", "span_kind"), _walked, f"p array<{paths.NODE}>", watermark)
+    capped = found.withColumns({"path": paths.path_length_cap(F.col("p")), "trace_id": F.lower(F.hex("trace_id_low"))})
+    unique = capped.groupBy(F.window("at", window).alias("w"), "path").agg(F.min("trace_id").alias("trace_id"))
     return paths.focal_node_index(unique.withColumn("window_end", F.col("w.end")))
 
 
@@ -156,27 +149,29 @@ def scores_of(spans, rules: Sequence[Rule] = RULES) -> list[Score]:
     return [x for rule in rules for x in rule(spans) if all(x)]
 
 
-def _scores(rules: Sequence[Rule]):
-    def run(groups: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for traces in groups:
-            yield pd.Series([[{"service": a, "metric": b, "submetric": c} for a, b, c in scores_of(t, rules)] for t in traces])
-
-    return run
+def quality_stream(spans: DataFrame, gap: int = 3, window: str = "1 hour", watermark: float = WATERMARK, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """Partial quality_metrics rows: a bucket may come from two windows, so the sink has to add them.
 
+    ``rules`` are functions of one trace; a job takes more than the four, or others.
+    """
+    kept, fields = spans.where("is_client or is_server"), ("peer_service", "is_server", "is_client", "client_version")
+    scores = trace_sessions(kept, ("trace_id_low",), gap, fields, partial(scores_of, rules=tuple(rules)), "service string, metric string, submetric string", watermark)
+    named = scores.withColumns({"time_bucket": F.date_trunc("HOUR", F.timestamp_millis("sid")), "trace_id": F.lower(F.hex("trace_id_low"))})
+    rows = named.groupBy(F.window("at", window).alias("w"), "service", "time_bucket", "metric", "submetric")
+    return rows.agg(F.count("*").alias("count"), F.min("trace_id").alias("trace_id")).drop("w")
 
-_SCORES = "array<struct<service: string, metric: string, submetric: string>>"
 
+def _size(spans) -> list[tuple[int]]:
+    return [(len(spans),)]
 
-def quality_stream(spans: DataFrame, gap: str = "3 minutes", window: str = "1 hour", watermark: str = WATERMARK, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """Partial quality_metrics rows: a bucket may come from two windows, so the sink has to add them.
 
-    ``rules`` are functions of one trace; a job takes more than the four, or others.
-    """
+def trace_sizes(spans: DataFrame, gap: int = 3, window: str = "30 minutes", watermark: float = WATERMARK, accuracy: float = sizes.ACCURACY) -> DataFrame:
+    """(window_start, window_end, bucket, traces): the sketch of the sizes of traces that end in each
+    window, from flat dependency spans."""
     kept = spans.where("is_client or is_server")
-    traces = sessions(kept, ("trace_id_low",), gap, ("peer_service", "is_server", "is_client", "client_version"), watermark)
-    scores = traces.select("session_window", F.date_trunc("HOUR", "session_window.start").alias("time_bucket"), F.lower(F.hex("trace_id_low")).alias("trace_id"), F.explode(F.pandas_udf(_scores(tuple(rules)), _SCORES)("spans")).alias("s"))
-    rows = scores.groupBy(F.window(F.window_time("session_window"), window).alias("w"), "s.service", "time_bucket", "s.metric", "s.submetric")
-    return rows.agg(F.count("*").alias("count"), F.min("trace_id").alias("trace_id")).drop("w")
+    each = trace_sessions(kept, ("trace_id_high", "trace_id_low"), gap, (), _size, "size long", watermark)
+    rows = each.groupBy(F.window("at", window).alias("w"), sizes.bucket("size", accuracy).alias("bucket")).agg(F.count("*").alias("traces"))
+    return rows.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "bucket", "traces")
 
 
 def run_available(stream: DataFrame, write, checkpoint: str):

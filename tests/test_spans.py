@@ -150,7 +150,7 @@ def test_reports(spark):
 def test_quality_table_adds_batches(spark, tmp_path):
     row = lambda n: spark.createDataFrame([("a", "M", "PASS", n, f"{n}")], "service string, metric string, submetric string, count long, trace_id string").withColumn("time_bucket", F.timestamp_seconds(F.lit(7200)))
     for batch, n in ((0, 3), (1, 4), (1, 4)):  # the second batch is retried
-        tables.write_quality(row(n), str(tmp_path / "q"), batch)
+        tables.write_quality(row(n), str(tmp_path / "q"), batch, "run")
     assert tables.read_quality(spark, str(tmp_path / "q"), "a", "1970-01-01 02:00:00").first()["count"] == 7
     assert tables.read_quality(spark, str(tmp_path / "q"), "b").count() == 0
 
@@ -292,8 +292,8 @@ def test_a_trace_of_many_spans(spark):
 def test_retried_batches_count_once(spark, tmp_path):
     rows = flat(spark, [(100, 1, 0, "a", "server"), (100, 2, 1, "b", "server")], 1_196_677_812_000_000)
     for batch in (0, 1, 1):  # the second batch is retried
-        tables.write_dependencies(jobs.dependencies_job(rows), str(tmp_path / "d"), batch)
-        tables.write_paths(jobs.paths_job(rows), str(tmp_path / "p"), batch)
+        tables.write_dependencies(jobs.dependencies_job(rows), str(tmp_path / "d"), batch, "run")
+        tables.write_paths(jobs.paths_job(rows), str(tmp_path / "p"), batch, "run")
     one = jobs.paths_job(rows).count()
     assert tables.read_dependencies(spark, str(tmp_path / "d")).count() == 2 and tables.read_paths(spark, str(tmp_path / "p")).count() == 2 * one
     assert tables.read_paths(spark, str(tmp_path / "p"), "b", since="2007-12-03 10:00:00").count() == 2
