@@ -11,6 +11,7 @@ import hashlib
 import struct
 import zlib
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -127,8 +128,9 @@ def _codes(stream: bytes, min_size: int):
         pos += 12 * (end + 1)
 
 
-def _expand(codes: np.ndarray, clear: int) -> tuple[np.ndarray, bool]:
-    """The indices that one table's codes stand for, and whether all codes were valid.
+def _expand(codes: np.ndarray, clear: int, limit: int) -> tuple[np.ndarray, bool]:
+    """The indices that one table's codes stand for, and whether all codes were valid. Codes behind the
+    first ``limit`` indices, known from the codes' lengths, are not expanded.
 
     The n-th entry of a table is what the n-th code wrote and the byte after it, so a code above the
     clear code repeats an earlier stretch of the output. Lengths, then the output itself, follow by
@@ -143,9 +145,11 @@ def _expand(codes: np.ndarray, clear: int) -> tuple[np.ndarray, bool]:
     jump, steps = np.where(literal, i, back), (~literal).astype(np.int64)
     while not literal[jump].all():
         jump, steps = jump[jump], steps + steps[jump]
-    start = np.cumsum(steps + 1) - steps - 1
-    owner = np.repeat(i, steps + 1)
-    source = np.arange(len(owner))
+    n = int(np.searchsorted(np.cumsum(steps + 1), limit)) + 1
+    codes, back, literal, i, steps = (x[:n] for x in (codes, back, literal, i, steps))
+    start = (np.cumsum(steps + 1) - steps - 1).astype(np.int32)
+    owner = np.repeat(i.astype(np.int32), steps + 1)
+    source = np.arange(len(owner), dtype=np.int32)
     far = ~literal[owner]
     source[far] += (start[np.where(literal, i, back)] - start)[owner[far]]
     while True:
@@ -159,14 +163,17 @@ def lzw_decode(stream: bytes, min_size: int, limit: int) -> bytes:
     """Palette indices of a code stream, at most ``limit`` of them; a code that has no entry yet ends it."""
     out: list[np.ndarray] = []
     table: list[np.ndarray] = []
-    ok = True
-    for codes, goes_on in [*_codes(stream, min_size), (None, False)]:
+    ok, left = True, limit
+    for codes, goes_on in chain(_codes(stream, min_size), [(None, False)]):
         if not goes_on and table and ok:
-            indices, ok = _expand(np.concatenate(table), 1 << min_size)
-            out.append(indices)
+            indices, ok = _expand(np.concatenate(table), 1 << min_size, left)
+            out.append(indices[:left])
+            left -= len(out[-1])
+            if not left:
+                break
         if codes is not None:
             table = [*table, codes] if goes_on else [codes]
-    return b"".join(x.tobytes() for x in out)[:limit]
+    return b"".join(x.tobytes() for x in out)
 
 
 def _blocks(data: bytes) -> bytes:
@@ -381,33 +388,34 @@ def decode_frames(media: DataFrame) -> DataFrame:
     return media.mapInArrow(_decode, f"{schema}, frames {FRAMES}")
 
 
+_DIGESTS = {"payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string(), "n_frames": pa.int64()}
+
+
+def _digest_of(media: bytes | None) -> tuple:
+    if media is None:
+        return (None,) * len(_DIGESTS)
+    frames = read_gif(media)
+    payload, total = b"".join(f.indices for f in frames), np.zeros(64, np.int64)
+    for f in frames:
+        total[list(f.histogram)] += list(f.histogram.values())
+    feature = ",".join(f"{i}:{total[i]}" for i in np.flatnonzero(total))
+    return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature, len(frames)
+
+
 def _digest(batches):
     for batch in batches:
-        cols = {n: batch.column(batch.schema.get_field_index(n)) for n in ("doc_id", "n_bytes", "media")}
-        size, sha, crc, msize, msha, feature, count = [], [], [], [], [], [], []
-        for m in cols["media"]:
-            media = m.as_py()
-            frames = read_gif(media)
-            payload = b"".join(f.indices for f in frames)
-            total = np.zeros(64, np.int64)
-            for f in frames:
-                total[list(f.histogram)] += list(f.histogram.values())
-            size.append(len(payload))
-            sha.append(hashlib.sha256(payload).hexdigest())
-            crc.append(zlib.crc32(payload[-16:]))
-            msize.append(len(media))
-            msha.append(hashlib.sha256(media).hexdigest())
-            feature.append(",".join(f"{i}:{total[i]}" for i in np.flatnonzero(total)))
-            count.append(len(frames))
-        yield pa.RecordBatch.from_arrays(
-            [cols["doc_id"], cols["n_bytes"], *(pa.array(v, pa.int64()) if isinstance(v[0], int) else pa.array(v, pa.string()) for v in (size, sha, crc, msize, msha, feature, count))]
-            if size else [cols["doc_id"], cols["n_bytes"], *(pa.array([], t) for t in (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()))],
-            ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_frames"],
-        )
+        doc_id, n_bytes, media = (batch.column(batch.schema.get_field_index(n)) for n in ("doc_id", "n_bytes", "media"))
+        rows = [_digest_of(m.as_py()) for m in media]
+        found = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(_DIGESTS.values())]
+        yield pa.RecordBatch.from_arrays([doc_id, n_bytes, *found], ["doc_id", "n_bytes", *_DIGESTS])
 
 
 def digests(media: DataFrame) -> DataFrame:
-    """Digests and the colour-histogram feature of text_media rows, from the decoded media."""
+    """Digests and the colour-histogram feature of text_media rows, from the decoded media.
+
+    Null media have null digests, and what is no GIF those of no frames; ids and sizes may be null or
+    repeat; an empty table gives an empty table; other columns are not read.
+    """
     return media.select("doc_id", "n_bytes", "media").mapInArrow(
         _digest,
         "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames long",

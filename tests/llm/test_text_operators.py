@@ -5,6 +5,8 @@ import hashlib
 import itertools
 import random
 import re
+import struct
+import tracemalloc
 import types
 import zlib
 
@@ -245,6 +247,30 @@ def test_gif_of_another_encoder():
     assert frame.histogram == {63: 16, 48: 42, 3: 42}
 
 
+def test_gif_bombs_and_null_media(spark):
+    """A full table whose longest entry is asked for again and again, behind a frame of one pixel."""
+    codes = [4, *[1, 6, *range(7, 4096)], *[4095] * 700_000]
+    bits, n, out, width = 0, 0, bytearray(), 3
+    for k, c in enumerate(codes):
+        width = 3 if k < 4 else min(12, max(3, (k + 5 - 1).bit_length()))
+        bits |= c << n
+        n += width
+        while n >= 8:
+            out.append(bits & 255)
+            bits, n = bits >> 8, n - 8
+    head = b"GIF89a" + struct.pack("<HHBBB", 1, 1, 0x80, 0, 0) + bytes(6) + struct.pack("<BHHHHB", 0x2C, 0, 0, 1, 1, 0) + b"\x02"
+    bomb = head + gif._blocks(bytes(out)) + b";"
+    assert len(bomb) > 1_000_000
+    tracemalloc.start()
+    frames = gif.read_gif(bomb)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(frames) <= 1 and peak < 200e6
+    rows = spark.createDataFrame([(1, 5, None), (None, None, b"no gif"), (2, 1, gif.write_gif(b"x" * 192))], "doc_id long, n_bytes long, media binary")
+    got = {r.doc_id: r for r in gif.digests(rows).collect()}
+    assert got[1].payload_sha256 is None and got[1].n_frames is None and got[None].n_frames == 0 and got[2].payload_bytes == 192
+
+
 def test_broken_gifs_yield_whole_frames():
     for n in range(len(SAMPLE_GIF)):
         assert len(gif.read_gif(SAMPLE_GIF[:n])) == (n >= len(SAMPLE_GIF) - 1)  # cut anywhere
