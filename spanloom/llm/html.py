@@ -14,9 +14,11 @@ element it is all that is wanted in the page, but for boxes of links beside the
 
 Menus, adverts, forms, scripts, comments of readers and the like are left out by tag, role and the
 words of class and id. A word says nothing with has, with, no, without, enabled, disabled, open or
-closed at it, nor at a heading, nor in an id that goes on with a word of its own (related-work), nor at
-an element around a main element or the page's least enclosed article or around most of the page's
-unlinked text; words for comments of readers give way to a main element only. Inside an article or main
+closed at it, nor at a heading, nor in a name that goes on with a word of its own (related-work,
+share-price), nor at an element around a main element or the page's least enclosed article or around
+most of the page's unlinked text; words for comments of readers give way to a main element only. Words
+for boxes of links must be borne out by links: where such a box holds a text that mostly isn't linked,
+it stays. Forms and page headers (outside articles) count as so named. Inside an article or main
 element, words that name sections of articles as well say nothing in ids and at text blocks.
 Where words would leave nothing of a page, they aren't heeded.
 
@@ -48,7 +50,7 @@ _RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in "script style noscript templ
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
-_SKIP_TAGS = frozenset("nav aside footer form button head title menu dialog audio video canvas map datalist".split())
+_SKIP_TAGS = frozenset("nav aside footer button head title menu dialog audio video canvas map datalist".split())
 _SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre td".split())
@@ -62,15 +64,20 @@ _SKIP_WORDS = frozenset(
     "recommendations related replies reply respond responses search share sharing sidebar signup skip social sponsor sponsored subscribe "
     "subscription tagcloud teaser toolbar tooltip topbar widget complementary contentinfo alert".split()
 )
-# Those for comments of readers, those that name sections of articles as well, words that may follow in
+# Those for boxes of links and the least text that speaks against one; for comments of readers, those that name sections of articles as well, words that may follow in
 # an id without another meaning, and words that tell of a part instead of naming it.
+_LINKS = frozenset("bookmark breadcrumb breadcrumbs menu nav navbar navigation navigationbar pager pagination recommend recommended recommendations related share sharing skip social tagcloud teaser".split())
+_LINKS_AT_MOST = 200
 _READERS = frozenset("comment comments commentlist disqus discussion feedback replies reply respond responses".split())
 _SECTIONS = frozenset("alert discussion feedback navigation notification overlay promotion recommendations responses search social subscription teaser".split())
 _PLACES = frozenset(
     "area article articles bar block body bottom box button buttons card col column container content feed footer form frame grid group header heading icon icons info inner "
     "item items js left link links list main media message module more news outer page panel policy post posts region results right root row section side site slot stories "
-    "text this title top topics unit view wrap wrapper".split()
+    "text this title top topics unit view wrap wrapper default desktop fixed inline large leaderboard list listing mobile native primary reading secondary "
+    "slot small sticky stories thread threaded unit videos".split()
 )
+#: What a header may be of, if not of the page.
+_OF_ARTICLE = frozenset("article card chapter content entry page post section story table".split())
 _BEFORE, _AFTER = frozenset("has with no without".split()), frozenset("enabled disabled open closed".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _DIGITS = re.compile(r"\d+")
@@ -174,17 +181,18 @@ def _named(tag: str, a: dict[str, str], within: bool) -> frozenset[str]:
     """The words of class, id and role that mark what isn't the article; ``within`` an article or main element or not."""
     if tag in _HEADINGS:
         return frozenset()
-    out = set()
+    out = {"form"} if tag == "form" else {"header"} if tag == "header" and not within else set()
     for key in ("class", "id", "role"):
         for name in a.get(key, "").split():
             w = [x.lower() for x in _WORDS.findall(name)]
+            if not within and w and w[-1] == "header" and _OF_ARTICLE.isdisjoint(w):
+                out.add("header")
             if _SKIP_WORDS.isdisjoint(w):
                 continue
             found = {x for i, x in enumerate(w) if x in _SKIP_WORDS and not (i and w[i - 1] in _BEFORE) and not (i + 1 < len(w) and w[i + 1] in _AFTER)}
-            if key == "id":
-                last = max(i for i, x in enumerate(w) if x in _SKIP_WORDS)
-                if not _PLACES.issuperset(w[last + 1 :]):
-                    continue
+            last = max(i for i, x in enumerate(w) if x in _SKIP_WORDS)
+            if not all(x in _PLACES or len(x) < 3 for x in w[last + 1 :]):
+                continue
             out |= found - _SECTIONS if within and (key == "id" or tag in _BLOCKS) else found
     return frozenset(out)
 
@@ -195,12 +203,16 @@ def _heed_names(nodes: list[_Node], worths: list[tuple[_Node, int, int]]) -> Non
     if not suspects:
         return
     held: dict[_Node, int] = defaultdict(int)
-    for holder, worth, _ in worths:
+    chars: dict[_Node, int] = defaultdict(int)
+    for holder, worth, n in worths:
         held[holder] += worth
+        chars[holder] += n
     for n in reversed(nodes):  # parents come before what they hold
         held[n.parent] += held[n]
+        chars[n.parent] += chars[n]
     total = sum(worth for _, worth, _ in worths)
     spared = {n for n in suspects if 2 * held[n] > total and not n.named <= _READERS}
+    spared |= {n for n in suspects if n.named <= _LINKS and held[n] > _LINKS_AT_MOST and 4 * held[n] > 3 * chars[n]}
 
     def spare(n, seen):
         """Spares the suspects around n, up to where that was done before."""
@@ -303,7 +315,7 @@ def parse(html: str) -> tuple[list[_Node], list[tuple[_Node, str]]]:
         parent = stack[-1]
         label = ".".join([tag, *sorted(_DIGITS.sub("", a.get("class", "")).split())])
         node = _Node(tag, parent, label, parent.skip or _unwanted(tag, a))
-        node.named = _named(tag, a, node.within) if a else frozenset()
+        node.named = _named(tag, a, node.within) if a or tag in ("form", "header") else frozenset()
         node.main = tag == "main" or a.get("role") == "main" or a.get("itemprop") == "articleBody"
         node.role = node.main or tag == "article" or a.get("role") == "article"
         nodes.append(node)

@@ -300,3 +300,29 @@ def test_query_equals_sql(spark, name):
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)
     assert sorted(map(repr, got[columns].itertuples(index=False, name=None))) == sorted(map(repr, want[columns].itertuples(index=False, name=None)))
+
+
+_LONG = "<p>A long paragraph of an article that goes on for a while and says a lot of things, indeed.</p>" * 3
+
+
+def main_text(body):
+    return html.extract(f"<html><body>{body}</body></html>")[0]
+
+
+def test_forms_and_headers_of_pages():
+    """A form around the page is no form of it; headers of the page go, those of the article stay."""
+    assert main_text(f"<form action='/'>{_LONG}</form>").count("A long paragraph") == 3
+    assert "Sign up" not in main_text(f"<form><article>{_LONG}<form><p>Sign up</p></form></article></form>")
+    for header in ("<header>Site</header>", "<div id='header'>Site</div>", "<div class='site-header'>Site</div>"):
+        assert "Site" not in main_text(f"{header}<div>{_LONG}</div>")
+    assert main_text(f"<article><header><h1>Title</h1></header>{_LONG}</article>").startswith("Title\n")
+    assert main_text(f"<div><div class='post-header'><p>By me</p></div>{_LONG}</div>").startswith("By me\n")
+
+
+def test_words_of_classes():
+    """A word that goes on with another, or a box of links that holds none, is the article's own."""
+    box = lambda c: main_text(f"<article>{_LONG}<div class='{c}'><p>Text of its own.</p></div></article>")
+    assert all("Text of" in box(c) for c in ("share-price", "social-history", "ad-hoc", "comments-on-law", "sponsor-countries"))
+    assert not any("Text of" in box(c) for c in ("ad", "ad-slot", "ad-300x250", "sidebar-primary", "share-buttons", "related-posts", "comments-list", "ad__wrapper", "newsletter", "cookie-notice"))
+    assert "kept" in main_text(f"<div>{_LONG}<section class='related'>{_LONG.replace('A long', 'kept')}</section></div>")
+    assert "away" not in main_text(f"<div>{_LONG}<section class='related'><p><a href='/x'>away to other places and so on</a></p></section></div>")
