@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .repeats import MODULUS, TRIGGER
+from .repeats import MODULUS, SPREAD, TRIGGER
 
 #: Two-word shingles, exact similarities, reachability.
 NEAR_DUPLICATES = r"""WITH RECURSIVE parts AS (
@@ -37,7 +37,7 @@ cut AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_sp
   FROM gap JOIN d USING (doc_id) GROUP BY doc_id),
 u AS (SELECT row_number() OVER () AS t, h, count(*) AS copies FROM d WHERE len(h) > {2 * TRIGGER} GROUP BY h),
 part AS (SELECT t, k, substr(h, 800 * k + 1, 800 + {2 * TRIGGER - 2}) AS piece FROM (SELECT t, h, unnest(range(0, len(h) // 800 + 1)) AS k FROM u)),
-bytes AS (SELECT t, k, list_transform(range(0, len(piece) // 2), lambda x: CAST(CAST('0x' || substr(piece, 2 * x + 1, 2) AS BIGINT) AS DOUBLE)) AS b FROM part WHERE len(piece) >= {2 * TRIGGER}),
+bytes AS (SELECT t, k, list_transform(range(0, len(piece) // 2), lambda x: CAST(1 + CAST('0x' || substr(piece, 2 * x + 1, 2) AS BIGINT) * {SPREAD} % {MODULUS - 1} AS DOUBLE)) AS b FROM part WHERE len(piece) >= {2 * TRIGGER}),
 ends AS (SELECT t, 400 * k + j + {TRIGGER} AS i FROM (SELECT t, k, b, unnest(range(0, least(400, len(b) - {TRIGGER - 1}))) AS j FROM bytes)
   WHERE CAST(list_inner_product(b[j + 1 : j + {TRIGGER}], [{_PLACES}]) AS BIGINT) % {MODULUS} = 0),
 phrase AS (SELECT t, i, a, substr(h, 2 * (a - {TRIGGER}) + 1, 2 * (i - a + {TRIGGER})) AS v

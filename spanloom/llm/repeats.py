@@ -20,7 +20,8 @@ of equal size whatever the text, while a range of a suffix array is as large as
 All orders are made alike. Distinct texts are packed into units of about UNIT_BYTES, which are
 written. A unit sends each of its distinct values once, cut by value range; a range sees at most one
 copy per unit and answers with one bit per value. So a phrase or passage that a third of all texts
-share costs one value per unit, and no task holds more than a unit or a range.
+share costs one value per unit, and no task holds more than a unit or a range. (A unit is counted in
+bytes of text; text that repeats a few bytes at which a trigger falls has a phrase for each repeat.)
 """
 
 from __future__ import annotations
@@ -39,9 +40,11 @@ from pyspark.sql import functions as F
 from .storage import materialize, release
 from .text import SpanHasher, encode, mix64
 
-#: The hash of TRIGGER bytes is the number that they are to base 256, modulo a prime; a phrase is about as
-#: many bytes long.
-LENGTH, TRIGGER, MODULUS = 400, 16, 61
+#: The hash of TRIGGER bytes is the number that their values are to base 256, modulo a prime; a phrase is
+#: about as many bytes long. A byte's value is 1 + byte * SPREAD % (MODULUS - 1), never 0, so a run of one
+#: byte, whichever it is, triggers nowhere.
+LENGTH, TRIGGER, MODULUS, SPREAD = 400, 16, 61, 37
+_VALUES = (1 + np.arange(256) * SPREAD % (MODULUS - 1)).astype(np.int32)
 _PLACES = [pow(256, TRIGGER - 1 - i, MODULUS) for i in range(TRIGGER)]
 DIGEST = 16
 UNIT_BYTES, LEAST_RANGES = 3 << 20, 32
@@ -58,7 +61,7 @@ def parse(raw: bytes) -> tuple[np.ndarray, bytes]:
     the phrases between each two cuts, and what stands after the last."""
     cuts = np.zeros(0, np.int64)
     if len(raw) >= TRIGGER:
-        data, n = np.frombuffer(raw, np.uint8).astype(np.int32), len(raw) - TRIGGER + 1
+        data, n = _VALUES[np.frombuffer(raw, np.uint8)], len(raw) - TRIGGER + 1
         rolled = np.zeros(n, np.int32)
         for i, place in enumerate(_PLACES):
             rolled += place * data[i : i + n]

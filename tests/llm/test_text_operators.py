@@ -183,6 +183,16 @@ def test_equal_rolling_hashes_are_not_equal_strings(spark):
     assert sorted((r.doc_id, r.n_removed) for r in got) == [(1, 1024), (2, 0), (3, 1024)]
 
 
+def test_runs_of_one_byte_trigger_nowhere(spark):
+    """No byte's run is cut at every place; a megabyte of = is no more work than prose."""
+    assert all(len(repeats.parse(bytes([b]) * 2000)[0]) == 0 for b in range(256))
+    prose = words(random.Random(1), 150_000).encode()[:1_000_000]
+    assert 8_000 < len(repeats.parse(prose)[0]) < 30_000
+    rows = [(1, "=" * 1_000_000), (2, "some text " + "=" * 399), (3, "z" * 400), (4, "y" + "z" * 400)]
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in repeats.repeated_spans(docs(spark, rows)).collect()}
+    assert got == {1: (1_000_000, 1), 2: (0, 0), 3: (400, 1), 4: (400, 1)}
+
+
 def test_longest_shared_run(spark):
     rng = random.Random(14)
     passage = words(rng, 65, 5000)  # below 400 bytes: it stays, but is told of
