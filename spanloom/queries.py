@@ -435,6 +435,22 @@ def read_paths(spark, sf_dir):
     return _index_rows(tables.read_paths(spark, path, "svc-3", since="2024-01-05 00:00:00"))
 
 
+@query(_INDEX_SQL)
+def write_path_postings(spark, sf_dir):
+    """The index rows from paths that are stored once, and postings."""
+    path = _shared(spark, "path_postings")
+    tables.write_path_postings(jobs.unique_paths(flat_spans(spark, sf_dir)), path)
+    return _index_rows(tables.read_path_postings(spark, path))
+
+
+@query(o.select(o.REPORT, "SELECT service, metric, submetric, CAST(sum(n) AS BIGINT) AS count, min(trace_id) AS trace_id FROM q WHERE bucket_ms >= 1704078000000 AND bucket_ms < 1706875200000 GROUP BY service, metric, submetric"))
+def quality_range(spark, sf_dir):
+    """Counters from 2024-01-01 03:00 to 2024-02-02 12:00, from hours, days and months."""
+    path = _shared(spark, "quality_levels")
+    tables.write_quality_levels(jobs.quality_job(flat_spans(spark, sf_dir)), path)
+    return tables.read_quality_range(spark, path, "2024-01-01 03:00:00", "2024-02-02 12:00:00")
+
+
 def _streamed(spark: SparkSession, sf_dir: str, job, write) -> None:
     """Run a streaming job over the spans as files, then over one late span that closes all windows."""
     path = _shared(spark, "in")
@@ -475,3 +491,44 @@ def stream_trace_sizes(spark, sf_dir):
     out = _shared(spark, "out")
     _streamed(spark, sf_dir, st.trace_sizes, lambda rows, n: Commits(spark, out).add(rows, "stream", n))
     return sz.merge(Commits(spark, out).rows()).select(_ms("window_start").alias("window_ms"), "bucket", "traces")
+
+
+def _streamed_rows(spark: SparkSession, sf_dir: str, job) -> DataFrame:
+    out = _shared(spark, "out")
+    _streamed(spark, sf_dir, job, lambda rows, n: Commits(spark, out).add(rows, "stream", n))
+    return Commits(spark, out).rows()
+
+
+@query(o.select(o.PAIRS, "SELECT t.trace_id_low, t.sid, t.span_id, t.parent_span_id FROM t ANTI JOIN (SELECT DISTINCT trace_id_low, sid, span_id AS parent_span_id FROM t) p USING (trace_id_low, sid, parent_span_id)"))
+def stream_orphan_spans(spark, sf_dir):
+    return _streamed_rows(spark, sf_dir, st.orphan_spans).where("trace_id_low >= 0").select("trace_id_low", "sid", "span_id", "parent_span_id")
+
+
+@query(o.select(o.sessions(o.HL, 3), f"SELECT trace_id_high, trace_id_low, count(*) AS sessions FROM (SELECT {o.HL}, sid FROM t GROUP BY {o.HL}, sid HAVING count(*) > 5) GROUP BY {o.HL}"))
+def stream_large_traces(spark, sf_dir):
+    """Sessions of over five spans, told of while they are open."""
+    found = _streamed_rows(spark, sf_dir, lambda stream: st.large_traces(stream, threshold=5))
+    return found.where("n > 5").groupBy("trace_id_high", "trace_id_low").agg(F.count("*").alias("sessions"))
+
+
+_LATE = "trace_id_low % 20 = 7"
+
+
+@query(f"""WITH kept AS ({o.select(o.edges(), f"SELECT {o.window_start(30)} AS window_ms, parent, child, count(*) AS n FROM ed WHERE NOT {_LATE} GROUP BY ALL")}),
+late AS ({o.select(o.FLAT, f"SELECT lower(to_hex(trace_id_high)) || ':' || lower(to_hex(trace_id_low)) AS late_trace, count(*) AS n FROM f WHERE (is_client OR is_server) AND {_LATE} GROUP BY ALL")})
+SELECT window_ms, parent, child, n, '' AS late_trace FROM kept UNION ALL SELECT -1, '', '', n, late_trace FROM late""")
+def late_data(spark, sf_dir):
+    """Calls of a stream in which a twentieth of the traces comes after the windows have closed, and the late
+    spans of each such trace."""
+    path, out, spans = _shared(spark, "in"), _shared(spark, "out"), flat_spans(spark, sf_dir)
+    last = spans.agg(F.max("start_time_us")).first()[0]
+    close = lambda n: spans.limit(1).withColumns({"trace_id_low": F.lit(-1).cast("long"), "trace_id_high": F.lit(0).cast("long"), "parent_span_id": F.lit(0).cast("long"), "is_server": F.lit(True), "is_client": F.lit(False), "start_time_us": F.lit(last + n * 10**12)}).withColumn("ts", fs.event_time("start_time_us"))
+    names = spans.columns
+    for part in (spans.where(f"not {_LATE}").unionByName(close(1).select(names)), close(2).select(names), spans.where(_LATE), close(3).select(names), close(4).select(names)):
+        part.coalesce(1).write.mode("append").parquet(path)
+    stream = sp.stream_span_files(spark, path, spark.read.parquet(path).schema, files_per_trigger=1)
+    st.run_available(st.dependency_counts_and_late(stream), lambda rows, n: Commits(spark, out).add(rows, "stream", n), _shared(spark, "checkpoint"))
+    rows = Commits(spark, out).rows()
+    calls = rows.where("late = 0").select(_ms("window.start").alias("window_ms"), "parent", "child", F.col("call_count").alias("n"), F.lit("").alias("late_trace"))
+    late = rows.where("late > 0").groupBy("late_trace").agg(F.sum("late").alias("n"))
+    return calls.unionByName(late.select(F.lit(-1).cast("long").alias("window_ms"), F.lit("").alias("parent"), F.lit("").alias("child"), "n", "late_trace"))

@@ -17,6 +17,7 @@ from ..functions.versions import MINIMUM
 from ..operators import paths, sizes
 from ..operators.dependencies import SOURCE
 from ..operators.quality import CLIENT_VERSION, FAIL, HAS_CLIENT, HAS_SERVER, MINIMUM_VERSION, PASS, UNIQUE_IDS
+from .sessions import large_traces as open_large_traces
 from .sessions import trace_sessions
 
 #: Minutes that a span may be late.
@@ -60,6 +61,34 @@ def dependency_counts(spans: DataFrame, gap: int = 3, window: str = "30 minutes"
     return edges.groupBy(F.window("at", window).alias("window"), "parent", "child").agg(F.count("*").alias("call_count"))
 
 
+def dependency_counts_and_late(spans: DataFrame, gap: int = 3, window: str = "30 minutes", watermark: float = WATERMARK) -> DataFrame:
+    """(window, parent, child, call_count, late_trace, late): dependency_counts, with late_trace null and late
+    0; and for each trace with spans that came too late for its sessions their number by the window of
+    the watermark at which they came, under the trace's ids in hex. A sink tells the two by late."""
+    kept = spans.where("is_client or is_server")
+    rows = trace_sessions(kept, ("trace_id_high", "trace_id_low"), gap, ("is_server", "is_client"), _calls, "parent string, child string", watermark, tell_late=True)
+    trace = F.when(F.col("late") > 0, F.concat_ws(":", F.lower(F.hex("trace_id_high")), F.lower(F.hex("trace_id_low"))))
+    counted = rows.groupBy(F.window("at", window).alias("window"), "parent", "child", trace.alias("late_trace"))
+    return counted.agg(F.sum((F.col("late") == 0).cast("long")).alias("call_count"), F.sum("late").alias("late"))
+
+
+def _orphans(spans) -> Iterator[tuple[int, int, int]]:
+    known = {s["span_id"] for s in spans}
+    return ((s["span_id"], s["parent_span_id"], s["start_time_us"]) for s in spans if s["parent_span_id"] not in known)
+
+
+def orphan_spans(spans: DataFrame, gap: int = 3, watermark: float = WATERMARK) -> DataFrame:
+    """(trace_id_low, sid, span_id, parent_span_id, start_time_us) of the quality job's spans whose parent is
+    not in their trace session, once that has closed."""
+    kept = spans.where("is_client or is_server")
+    return trace_sessions(kept, ("trace_id_low",), gap, (), _orphans, "span_id long, parent_span_id long, start_time_us long", watermark).drop("at")
+
+
+def large_traces(spans: DataFrame, gap: int = 3, threshold: int = 80_000, watermark: float = WATERMARK) -> DataFrame:
+    """(trace_id_high, trace_id_low, sid, n) of the dependency job's traces as soon as they are large."""
+    return open_large_traces(spans.where("is_client or is_server"), ("trace_id_high", "trace_id_low"), gap, threshold, watermark)
+
+
 def dependencies_stream(spans: DataFrame, window: str = "30 minutes", **options) -> DataFrame:
     """(dependencies, ts, ts_bucket): one row per window, once it has closed."""
     counts = dependency_counts(spans, window=window, **options)

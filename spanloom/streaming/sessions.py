@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,8 +41,9 @@ def merged(intervals: list[tuple[int, int]], times: Iterable[int], gap: int) ->
 class _Sessions(StatefulProcessor):
     """Rows (keys, until, span fields) to rows (keys, sid, at, result fields) of closed sessions."""
 
-    def __init__(self, keys: tuple[str, ...], fields: T.StructType, gap: int, step: Step, result: list[str]):
-        self.keys, self.fields, self.gap, self.step, self.result = keys, fields, gap, step, result
+    def __init__(self, keys: tuple[str, ...], fields: T.StructType, gap: int, step: Step, result: list[str], tell_late: bool = False):
+        self.keys, self.fields, self.gap, self.step, self.result, self.tell_late = keys, fields, gap, step, result, tell_late
+        self.columns = [*keys, "sid", "at", *result, *(["late"] if tell_late else [])]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -50,15 +52,20 @@ class _Sessions(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         before = [(int(a), int(b)) for a, b in self.open.get()]
-        times: set[int] = set()
+        times, late, now = set(), 0, timerValues.getCurrentWatermarkInMs() if self.tell_late else None
         for df in rows:
             spans = df[self.fields.names].astype(object).where(df[self.fields.names].notna(), None)
             new = [tuple(_plain(x) for x in row) for row in spans.itertuples(index=False, name=None)]
+            if self.tell_late:
+                kept = [row for row in new if row[0] // 1000 + self.gap > now]
+                new, late = kept, late + len(new) - len(kept)
             times.update(row[0] // 1000 for row in new)
             if new:
                 self.spans.appendList(new)
-        self._set(before, merged(before, times, self.gap))
-        return iter(())
+        if times:
+            self._set(before, merged(before, times, self.gap))
+        if late:
+            yield pd.DataFrame([(*key, None, pd.Timestamp(now * 1_000_000), *[None] * len(self.result), late)], columns=self.columns)
 
     def _set(self, before: list[tuple[int, int]], after: list[tuple[int, int]]) -> None:
         self.open.put(after) if after else self.open.clear()
@@ -85,12 +92,12 @@ class _Sessions(StatefulProcessor):
             head = (*key, first, pd.Timestamp((last + self.gap - 1) * 1_000_000))
             out = []
             for row in self.step([dict(zip(names, s, strict=True)) for s in spans]):
-                out.append((*head, *row))
+                out.append((*head, *row, *([0] if self.tell_late else [])))
                 if len(out) == _ROWS:
-                    yield pd.DataFrame(out, columns=[*self.keys, "sid", "at", *self.result])
+                    yield pd.DataFrame(out, columns=self.columns)
                     out = []
             if out:
-                yield pd.DataFrame(out, columns=[*self.keys, "sid", "at", *self.result])
+                yield pd.DataFrame(out, columns=self.columns)
 
 
 def _plain(x):
@@ -98,22 +105,87 @@ def _plain(x):
     return x.item() if hasattr(x, "item") else x
 
 
-def trace_sessions(spans: DataFrame, keys: tuple[str, ...], gap_minutes: int, fields: tuple[str, ...], step: Step, result: str, watermark_minutes: float) -> DataFrame:
+def _store(spans: DataFrame) -> None:
+    conf = spans.sparkSession.conf
+    if "RocksDB" not in conf.get(STORE_KEY, ""):
+        conf.set(STORE_KEY, ROCKS_DB)  # the only store with timers and lists
+
+
+def _kept(spans: DataFrame, keys: tuple[str, ...], gap: int, names: list[str], watermark_minutes: float, reach: int = 0) -> DataFrame:
+    """Spans whose watermark is that of their times, set on when their own sessions would end; Spark drops
+    those that are later than that by ``reach``."""
+    until = F.timestamp_millis(F.expr("start_time_us div 1000") + gap + reach).alias("until")
+    return spans.select(*keys, until, *names).withWatermark("until", f"{int(watermark_minutes * 60_000) + gap + reach} milliseconds")
+
+
+def trace_sessions(spans: DataFrame, keys: tuple[str, ...], gap_minutes: int, fields: tuple[str, ...], step: Step, result: str, watermark_minutes: float, tell_late: bool = False) -> DataFrame:
     """(keys, sid, at, and the columns of ``result``, DDL): what ``step`` makes of each closed session of a
     stream of spans(keys, start_time_us, span_id, parent_span_id, service, ``fields``).
 
     sid is the session's first span (ms); at is the event time of what it gives, its end less 1 ms.
-    A span is late when the session that it would be alone has ended; late spans are dropped.
+    A span is late when the session that it would be alone has ended; late spans are dropped. With
+    ``tell_late`` there is a column late, 0 for what sessions give; and for each trace and batch with
+    spans that come after the watermark has passed the end of their own sessions a row with their number
+    and nulls. They aren't in any session.
     """
-    spark = spans.sparkSession
-    if "RocksDB" not in spark.conf.get(STORE_KEY, ""):
-        spark.conf.set(STORE_KEY, ROCKS_DB)  # the only store with timers and lists
-    names = ["start_time_us", "span_id", "parent_span_id", "service", *fields]
-    gap = gap_minutes * 60_000
-    # the watermark is that of the spans' times, set on when their own sessions would end
-    until = F.timestamp_millis(F.expr("start_time_us div 1000") + gap).alias("until")
-    kept = spans.select(*keys, until, *names).withWatermark("until", f"{int((watermark_minutes + gap_minutes) * 60_000)} milliseconds")
+    _store(spans)
+    names, gap = ["start_time_us", "span_id", "parent_span_id", "service", *fields], gap_minutes * 60_000
+    kept = _kept(spans, keys, gap, names, watermark_minutes, _REACH if tell_late else 0)
     shape = T.StructType([kept.schema[n] for n in names])
-    out = T.StructType([*(kept.schema[k] for k in keys), T.StructField("sid", T.LongType()), T.StructField("at", T.TimestampType()), *T.StructType.fromDDL(result)])
-    wanted = T.StructType.fromDDL(result).names
-    return kept.groupBy(*keys).transformWithStateInPandas(_Sessions(keys, shape, gap, step, wanted), out, "Append", "EventTime", eventTimeColumnName="at")
+    wanted = T.StructType.fromDDL(result)
+    last = [T.StructField("late", T.LongType())] if tell_late else []
+    out = T.StructType([*(kept.schema[k] for k in keys), T.StructField("sid", T.LongType()), T.StructField("at", T.TimestampType()), *wanted, *last])
+    return kept.groupBy(*keys).transformWithStateInPandas(_Sessions(keys, shape, gap, step, wanted.names, tell_late), out, "Append", "EventTime", eventTimeColumnName="at")
+
+
+#: How late spans may be (ms) that are told of: ten years.
+_REACH = 3650 * 86_400_000
+
+
+class _Large(StatefulProcessor):
+    """Tells of a session (keys, sid, n) in the batch in which it gets more than ``threshold`` spans."""
+
+    def __init__(self, keys: tuple[str, ...], gap: int, threshold: int):
+        self.keys, self.gap, self.threshold = keys, gap, threshold
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getListState("open", "first long, last long, n long, told boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        parts = [(int(a), int(b), int(n), bool(told)) for a, b, n, told in self.open.get()]
+        for df in rows:
+            times, n = np.unique(df["start_time_us"].to_numpy() // 1000, return_counts=True)
+            parts += [(int(t), int(t), int(k), False) for t, k in zip(times, n, strict=True)]
+        out: list[list] = []
+        for first, last, n, told in sorted(parts):
+            if out and first - out[-1][1] <= self.gap:
+                out[-1] = [out[-1][0], max(out[-1][1], last), out[-1][2] + n, out[-1][3] or told]
+            else:
+                out.append([first, last, n, told])
+        new = [s for s in out if s[2] > self.threshold and not s[3]]
+        for s in new:
+            s[3] = True
+        self.open.put([tuple(s) for s in out])
+        for end in {s[1] + self.gap for s in out}:
+            self.handle.registerTimer(end)
+        if new:
+            yield pd.DataFrame([(*key, s[0], s[2]) for s in new], columns=[*self.keys, "sid", "n"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        sessions = [tuple(s) for s in self.open.get()]
+        left = [s for s in sessions if int(s[1]) + self.gap > now]
+        if len(left) < len(sessions):
+            self.open.put(left) if left else self.open.clear()
+        return iter(())
+
+
+def large_traces(spans: DataFrame, keys: tuple[str, ...], gap_minutes: int, threshold: int, watermark_minutes: float) -> DataFrame:
+    """(keys, sid, n) of each trace session of a stream as soon as it has more than ``threshold`` spans,
+    while it is still open: sid and n are as of then. State holds counts, no spans."""
+    _store(spans)
+    gap = gap_minutes * 60_000
+    kept = _kept(spans, keys, gap, ["start_time_us"], watermark_minutes)
+    out = T.StructType([*(kept.schema[k] for k in keys), T.StructField("sid", T.LongType()), T.StructField("n", T.LongType())])
+    return kept.groupBy(*keys).transformWithStateInPandas(_Large(keys, gap, threshold), out, "Append", "EventTime")
