@@ -63,45 +63,46 @@ def dependencies_job(spans: DataFrame, run_ts: str | None = None) -> DataFrame:
     return dependencies.dependencies_rollup(dependency_counts(spans), run_ts)
 
 
-def _path_spans(spans: DataFrame) -> DataFrame:
-    return spans.select(*LOW, "span_id", "parent_span_id", "service", "operation", "span_kind", "start_time_us")
+def _path_spans(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    return spans.select(*keys, "span_id", "parent_span_id", "service", "operation", "span_kind", "start_time_us")
 
 
-def path_sessions(spans: DataFrame, gap: int = 5, hot_spans: int | None = HOT_SPANS) -> DataFrame:
+def path_sessions(spans: DataFrame, gap: int = 5, hot_spans: int | None = HOT_SPANS, keys: tuple[str, ...] = LOW) -> DataFrame:
     """All spans of the path job in their sessions."""
-    return _in_sessions(_path_spans(spans), LOW, gap, hot_spans, _plain)
+    return _in_sessions(_path_spans(spans, keys), keys, gap, hot_spans, _plain)
 
 
-def unique_paths(spans: DataFrame, dedupe: bool = False, gap: int = 5, window: int = 10, hot_spans: int | None = LARGE_TRACE) -> DataFrame:
+def unique_paths(spans: DataFrame, dedupe: bool = False, gap: int = 5, window: int = 10, hot_spans: int | None = LARGE_TRACE, keys: tuple[str, ...] = LOW) -> DataFrame:
     """(window_start, window_end, path, trace_id). ``dedupe`` first tells shared span ids apart (in one task
-    for each trace session)."""
+    for each trace session). Traces go by the low half of their id, or with HIGH_LOW as keys by both."""
 
     def found(traces: DataFrame, hot: bool) -> DataFrame:
         if dedupe:
             flags = traces.selectExpr("*", "coalesce(span_kind = 'CLIENT', false) is_client", "coalesce(span_kind = 'SERVER', false) is_server")
-            traces = dedupe_span_ids(flags, LOW).drop("renamed", "is_client", "is_server")
-        return paths.trace_paths(traces, LOW, spread=hot)
+            traces = dedupe_span_ids(flags, keys).drop("renamed", "is_client", "is_server")
+        return paths.trace_paths(traces, keys, spread=hot)
 
-    return paths.dedupe_paths(_in_sessions(_path_spans(spans), LOW, gap, hot_spans, found), window)
+    return paths.dedupe_paths(_in_sessions(_path_spans(spans, keys), keys, gap, hot_spans, found), window, keys[-1])
 
 
-def paths_job(spans: DataFrame, dedupe: bool = False) -> DataFrame:
-    """Index rows of every path for every service and operation on it."""
-    return paths.focal_node_index(unique_paths(spans, dedupe))
+def paths_job(spans: DataFrame, dedupe: bool = False, **options) -> DataFrame:
+    """Index rows of every path for every service and operation on it; ``options`` are unique_paths'."""
+    return paths.focal_node_index(unique_paths(spans, dedupe, **options))
 
 
-def _quality_spans(spans: DataFrame) -> DataFrame:
-    return filter_local_spans(spans).select(*LOW, "span_id", "parent_span_id", "service", "peer_service", "is_server", "is_client", "client_version", "start_time_us")
+def _quality_spans(spans: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    return filter_local_spans(spans).select(*keys, "span_id", "parent_span_id", "service", "peer_service", "is_server", "is_client", "client_version", "start_time_us")
 
 
-def quality_sessions(spans: DataFrame, gap: int = 3, hot_spans: int | None = HOT_SPANS) -> DataFrame:
+def quality_sessions(spans: DataFrame, gap: int = 3, hot_spans: int | None = HOT_SPANS, keys: tuple[str, ...] = LOW) -> DataFrame:
     """Client and server spans of the quality job in their sessions."""
-    return _in_sessions(_quality_spans(spans), LOW, gap, hot_spans, _plain)
+    return _in_sessions(_quality_spans(spans, keys), keys, gap, hot_spans, _plain)
 
 
-def quality_job(spans: DataFrame, hot_spans: int | None = HOT_SPANS, gap: int = 3, **rules) -> DataFrame:
-    """quality_metrics rows: counters by hour, service, metric and submetric."""
-    scores = _in_sessions(_quality_spans(spans), LOW, gap, hot_spans, lambda traces, hot: quality.score_all(traces, LOW, spread=hot, **rules))
+def quality_job(spans: DataFrame, hot_spans: int | None = HOT_SPANS, gap: int = 3, keys: tuple[str, ...] = LOW, **rules) -> DataFrame:
+    """quality_metrics rows: counters by hour, service, metric and submetric. Traces go by the low half of
+    their id, or with HIGH_LOW as keys by both."""
+    scores = _in_sessions(_quality_spans(spans, keys), keys, gap, hot_spans, lambda traces, hot: quality.score_all(traces, keys, spread=hot, **rules))
     return quality.quality_counts(scores)
 
 
