@@ -91,6 +91,18 @@ def test_toxicity_scores(spark):
     assert {r.score for r in toxicity.score(table, nothing).select("score").collect()} and nothing.scores == {}
 
 
+def test_toxicity_of_rows_held_out(spark):
+    """Fitted without the labelled rows whose crc32 is 0 modulo 5, scored on them."""
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    held = toxicity.held_out(F.col("doc_id"))
+    model = toxicity.fit(table.where(~held), labels)
+    rows = toxicity.score(table.where(held), model).join(labels.where("toxic is not null"), "doc_id").select("score", "toxic").collect()
+    hit = [r.score >= 0.5 for r in rows if r.toxic]
+    false = [r.score >= 0.5 for r in rows if not r.toxic]
+    assert len(hit) > 30 and sum(hit) / len(hit) > 0.85 and sum(false) <= 0.05 * sum(hit)
+
+
 # near duplicates
 def variants(seed=3):
     """Groups of variants that differ more and more from a common text, with links near the limit."""
