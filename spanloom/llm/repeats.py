@@ -72,8 +72,12 @@ def parse(raw: bytes) -> tuple[np.ndarray, bytes]:
     return cuts, _digests(map(raw.__getitem__, map(slice, starts.tolist(), [*cuts.tolist(), len(raw)])))
 
 
+#: Texts whose digests are sent on together.
+_TEXTS = 500
+
+
 def _parsed(batches):
-    for batch in batches:
+    for batch in (b.slice(i, _TEXTS) for b in batches for i in range(0, b.num_rows, _TEXTS)):
         n, sha, cuts, pieces = [], [], [], []
         for text in batch.column(2):
             raw = encode(text.as_py())
