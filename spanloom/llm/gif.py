@@ -145,11 +145,14 @@ def _expand(codes: np.ndarray, clear: int, limit: int) -> tuple[np.ndarray, bool
     jump, steps = np.where(literal, i, back), (~literal).astype(np.int64)
     while not literal[jump].all():
         jump, steps = jump[jump], steps + steps[jump]
-    n = int(np.searchsorted(np.cumsum(steps + 1), limit)) + 1
-    codes, back, literal, i, steps = (x[:n] for x in (codes, back, literal, i, steps))
-    start = (np.cumsum(steps + 1) - steps - 1).astype(np.int32)
-    owner = np.repeat(i.astype(np.int32), steps + 1)
-    source = np.arange(len(owner), dtype=np.int32)
+    ends = np.cumsum(steps + 1)
+    if len(ends) and ends[-1] > limit:
+        n = int(np.searchsorted(ends, limit)) + 1
+        codes, back, literal, i, steps, ends = (x[:n] for x in (codes, back, literal, i, steps, ends))
+    kind = np.int64 if limit <= 1 << 22 else np.int32  # half the memory, but slower
+    start = (ends - steps - 1).astype(kind, copy=False)
+    owner = np.repeat(i.astype(kind, copy=False), steps + 1)
+    source = np.arange(len(owner), dtype=kind)
     far = ~literal[owner]
     source[far] += (start[np.where(literal, i, back)] - start)[owner[far]]
     while True:
