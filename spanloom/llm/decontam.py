@@ -12,6 +12,14 @@ The documents are read in one pass whatever the benchmark's size. A Bloom filter
 of at most 2**FILTER_BITS bits, keeps windows from the join that meet no seed; where a benchmark is so
 large that the filter fills, more windows reach the join, which settles them. Leaks depend on the text
 alone, so they are found per distinct text and copies of a text share them.
+
+Hot passages. Items that agree in a seed and its surroundings are one class, which stands for the set of
+its items. A seed at over HOT places of the benchmark doesn't meet them one by one: of the windows of
+WINDOW tokens over it the one is taken in which the fewest differ, places with the same window are one
+class, and a text with just that window leaks all its items, as no agreement is higher. So a passage
+that n items and n texts have makes n hits of a class, not n * n. Only texts that have the seed but
+not the window are held against the places of the class one by one, unless another seed has
+settled the same set (or, where texts are dropped, the text). Sets become lists of items at the very end.
 """
 
 from __future__ import annotations
@@ -20,6 +28,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +41,8 @@ SHORT = {
 }
 WINDOW, AGREE = 20, 0.8
 LEAST_BITS, FILTER_BITS = 24, 29
+#: Places of the benchmark above which a seed's places are met by classes.
+HOT = 32
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 # All masks; the place in this list tells their hashes apart.
 _SEEDS = [*MASKS, *sorted({m for ms in SHORT.values() for m in ms})]
@@ -182,38 +193,119 @@ def _hits(maybe, tags):
     return run
 
 
+def _table(batch, name: str) -> np.ndarray:
+    """A column of token bytes as rows of numbers."""
+    parts = batch.column(batch.schema.get_field_index(name)).to_pylist()
+    return np.frombuffer(b"".join(parts), np.uint64).reshape(len(parts), -1 if parts else _AROUND)
+
+
 def _verified(batches):
     for batch in batches:
         get = lambda n: batch.column(batch.schema.get_field_index(n))
-        table = lambda n: np.frombuffer(b"".join(get(n).to_pylist()), np.uint64).reshape(-1, _AROUND)
-        best = agreement(table("tokens"), table("item_tokens"), get("size").to_numpy())
+        best = agreement(_table(batch, "tokens"), _table(batch, "item_tokens"), get("size").to_numpy())
         good = pa.array(best > 0)
         yield pa.RecordBatch.from_arrays([get("text_key").filter(good), get("item_id").filter(good), pa.array(best[best > 0])], ["text_key", "item_id", "best"])
 
 
+def _judged(batches):
+    """Hits against classes: best is the agreement, or -1 where a hot class has another window than the text."""
+    for batch in batches:
+        get = lambda n: batch.column(batch.schema.get_field_index(n))
+        start, size = get("start").to_numpy(), get("size").to_numpy()
+        best = np.zeros(len(start), np.int64)
+        for at in np.unique(start).tolist():
+            on = np.flatnonzero(start == at)
+            part = batch.take(pa.array(on))
+            doc, item = _table(part, "tokens"), _table(part, "part")
+            if at < 0:
+                best[on] = agreement(doc, item, size[on])
+            else:
+                best[on] = np.where((doc[:, at : at + WINDOW] == item).all(axis=1), WINDOW, -1)
+        good, closed = pa.array(best != 0), pa.array(best[best != 0] > 0)
+        tokens_ = pc.if_else(closed, pa.scalar(None, pa.binary()), get("tokens").filter(good))
+        yield pa.RecordBatch.from_arrays(
+            [get("text_key").filter(good), get("set_id").filter(good), pa.array(best[best != 0]), get("h").filter(good), tokens_], ["text_key", "set_id", "best", "h", "tokens"]
+        )
+
+
 def _text_key():
     return F.unhex(F.substring(F.sha2(F.col("text").cast("string"), 256), 1, 32))
 
 
+def _places(seeds: DataFrame) -> DataFrame:
+    """seeds with (start, part) of the class of each: part is the window of WINDOW tokens from start on for
+    places of a hot seed, and all surroundings (start -1) for the others."""
+    window = "substring(item_tokens, 8 * start + 1, 8 * {})".format(WINDOW)
+    token = lambda at: f"substring(item_tokens, 8 * ({at}) + 1, 8) <> X'{'00' * 8}'"
+    inside = F.expr(f"size >= {WINDOW} and {token('start')} and {token(f'start + {WINDOW - 1}')}")
+    spans = F.array(*[F.lit(len(m)) for m in _SEEDS])
+    hot = seeds.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("h")
+    over = seeds.join(hot, "h").withColumn("start", F.explode(F.sequence(F.element_at(spans, F.col("tag") + 1) - 1, F.lit(_BEFORE))))
+    windows = over.where(inside).groupBy("h", "start", F.expr(window).alias("part")).agg(F.count("*").alias("n"))
+    saved = windows.groupBy("h", "start").agg((F.sum("n") - F.count("*")).alias("saved"))
+    picks = saved.groupBy("h").agg(F.max_by("start", F.struct("saved", "start")).alias("start"))
+    held = seeds.join(picks, "h", "left").withColumn("start", F.when(F.coalesce(inside, F.lit(False)), F.col("start")).otherwise(-1))
+    return held.withColumn("part", F.when(F.col("start") >= 0, F.expr(window)).otherwise(F.col("item_tokens")))
+
+
+class _Found:
+    """What texts leak: written rows of (text, set of items), those left to be held against places one by
+    one, and the tables of sets and places."""
+
+    def __init__(self, docs: DataFrame, benchmark: DataFrame):
+        spark = docs.sparkSession
+        items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+        seeds = materialize(items.mapInArrow(_item_seeds, "h long, tag int, size long, item_id long, item_tokens binary").distinct(), "seeds")
+        n = seeds.count()
+        bits = min(FILTER_BITS, max(LEAST_BITS, math.ceil(math.log2(64 * n + 1))))
+        named = seeds.select("h", F.shiftrightunsigned("h", 52).alias("b")).distinct()
+        blocks = named.groupBy("b").applyInPandas(_bits_of((1 << bits) // _BLOCKS), "b long, bits binary").collect()  # at most 2**FILTER_BITS bits
+        maybe = spark.sparkContext.broadcast(SeedFilter({r.b: bytes(r.bits) for r in blocks}, bits))
+        tags = sorted(r.tag for r in seeds.select("tag").distinct().collect())
+        # classes, and the set of items of each: two sums of hashes and their number name it
+        key = ["h", "size", "start", "part"]
+        places = materialize(_places(seeds).withColumn("size", F.least("size", F.lit(WINDOW))), "places")
+        digest = F.concat_ws(":", F.count("*"), *[F.bit_xor(F.xxhash64(F.lit(i), "item_id")) for i in (1, 2)])
+        heads = places.select(*key, "item_id").distinct().groupBy(*key).agg(F.unhex(F.substring(F.sha2(digest, 256), 1, 32)).alias("set_id"))
+        heads = materialize(heads, "classes")
+        self.places = places.join(heads, key).select("h", "set_id", "size", "start", "item_id", "item_tokens")
+        texts = docs.where("text is not null").select(_text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
+        hits = texts.mapInArrow(_hits(maybe, tags), "text_key binary, h long, tokens binary")
+        # (both sides grow with their tables, so Spark picks the join by their sizes)
+        judged = hits.join(heads, "h").mapInArrow(_judged, "text_key binary, set_id binary, best long, h long, tokens binary")
+        self.judged = materialize(judged, "judged")
+        self.by_set = self.judged.where("best > 0").groupBy("text_key", "set_id").agg(F.max("best").alias("best"))
+        self.written = [seeds, places, heads, self.judged]
+
+    def one_by_one(self, settled: DataFrame) -> DataFrame:
+        """(text_key, item_id, best) of the hits that are open, but for those whose columns settled has."""
+        left = self.judged.where("best < 0").select("text_key", "set_id", "h", "tokens").join(settled, settled.columns, "left_anti")
+        pairs = left.join(self.places.where("start >= 0"), ["h", "set_id"])
+        return pairs.mapInArrow(_verified, "text_key binary, item_id long, best long")
+
+    def release(self) -> None:
+        release(*self.written)
+
+
 def leaking_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(text_key, items, best) of the distinct texts of docs that leak an item; text_key is the first
     half of the text's SHA-256. The table is written."""
-    spark = docs.sparkSession
-    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    seeds = materialize(items.mapInArrow(_item_seeds, "h long, tag int, size long, item_id long, item_tokens binary").distinct(), "seeds")
-    n = seeds.count()
-    bits = min(FILTER_BITS, max(LEAST_BITS, math.ceil(math.log2(64 * n + 1))))
-    named = seeds.select("h", F.shiftrightunsigned("h", 52).alias("b")).distinct()
-    blocks = named.groupBy("b").applyInPandas(_bits_of((1 << bits) // _BLOCKS), "b long, bits binary").collect()  # at most 2**FILTER_BITS bits
-    maybe = spark.sparkContext.broadcast(SeedFilter({r.b: bytes(r.bits) for r in blocks}, bits))
-    tags = sorted(r.tag for r in seeds.select("tag").distinct().collect())
-    texts = docs.where("text is not null").select(_text_key().alias("text_key"), F.col("text").cast("string").alias("text"))
-    hits = texts.mapInArrow(_hits(maybe, tags), "text_key binary, h long, tokens binary")
-    # (both sides grow with their tables, so Spark picks the join by their sizes)
-    pairs = hits.join(seeds, "h").mapInArrow(_verified, "text_key binary, item_id long, best long")
-    found = pairs.groupBy("text_key", "item_id").agg(F.max("best").alias("best"))
-    leaks = materialize(found.groupBy("text_key").agg(F.sort_array(F.collect_list("item_id")).alias("items"), F.max("best").alias("best")), "leaks")
-    release(seeds)
+    found = _Found(docs, benchmark)
+    settled = found.by_set.where(F.col("best") == WINDOW).select("text_key", "set_id")
+    sets = found.places.select("set_id", "item_id").distinct()
+    pairs = found.by_set.join(sets, "set_id").select("text_key", "item_id", "best").union(found.one_by_one(settled))
+    pairs = pairs.groupBy("text_key", "item_id").agg(F.max("best").alias("best"))
+    leaks = materialize(pairs.groupBy("text_key").agg(F.sort_array(F.collect_list("item_id")).alias("items"), F.max("best").alias("best")), "leaks")
+    found.release()
+    return leaks
+
+
+def leaking_text_keys(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(text_key) of the texts that leaking_texts tells of, without their items. The table is written."""
+    found = _Found(docs, benchmark)
+    settled = found.by_set.select("text_key").distinct()
+    leaks = materialize(settled.union(found.one_by_one(settled).select("text_key")).distinct(), "leaks")
+    found.release()
     return leaks
 
 
@@ -236,5 +328,5 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Rows with null or empty text stay; null ids and repeated rows make no difference; columns of any
     name are kept; an empty table or an empty benchmark drops nothing.
     """
-    leaks = leaking_texts(docs, benchmark).select("text_key")
+    leaks = leaking_text_keys(docs, benchmark)
     return docs.join(leaks, _text_key() == leaks.text_key, "left_anti")

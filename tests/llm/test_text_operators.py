@@ -441,6 +441,38 @@ def test_full_filter_changes_nothing(spark, monkeypatch):
     assert sorted((r.doc_id, list(r["items"])) for r in decontam.find_leaks(table, bench).collect()) == [(i, [i]) for i in range(20)]
 
 
+def test_hot_passages_leak_as_without_classes(spark, monkeypatch):
+    rng = random.Random(15)
+    common, short = words(rng, 25, 900), words(rng, 12, 900)
+    put = lambda text, n, part: " ".join([*text.split()[:n], part, *text.split()[n:]])
+    changed = lambda text, *at: " ".join("zz" if i in at else w for i, w in enumerate(text.split()))
+    items = [(i, put(words(rng, 24, 900), (0, 24, i % 24)[i % 3], common)) for i in range(40)]
+    items += [(100 + i, put(words(rng, 30, 900), i, short)) for i in range(20)] + [(200 + i, f"{common} {common}") for i in range(5)] + [(300 + i, common[: common.index(" ", 60)]) for i in range(5)]
+    parts = [common, changed(common, 12), changed(common, 4, 9, 20), changed(common, 2, 8, 14, 20), " ".join(common.split()[:17]), " ".join(common.split()[5:]), short, changed(short, 5), items[7][1], changed(items[45][1], 3, 15), f"{common} {short} {common}", "none"]
+    rows = [(i, put(words(rng, 60, 900), (0, 60, i)[i % 3], parts[i % len(parts)])) for i in range(48)]
+    table, bench = docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+    results = []
+    for hot in (1, 10**9):
+        monkeypatch.setattr(decontam, "HOT", hot)
+        results.append({r.doc_id: (list(r["items"]), r.best) for r in decontam.find_leaks(table, bench).collect()})
+        if hot == 1:
+            dropped = set(results[-1]) - {r.doc_id for r in decontam.drop_leaks(table, bench).collect()}
+            assert dropped == {i for i, (found, _) in results[-1].items() if found}
+    assert results[0] == results[1]
+    assert {i: found for i, (found, _) in results[0].items()} == {i: leaked_by_brute_force(t, items) for i, t in rows}
+
+
+def test_hot_passage_makes_no_pairs_of_places(spark):
+    rng = random.Random(16)
+    common, n = words(rng, 25, 900), 200
+    around = lambda: f"{words(rng, 20, 9000)} {common} {words(rng, 20, 9000)}"
+    table, bench = docs(spark, [(i, around()) for i in range(n)]), spark.createDataFrame([(i, around()) for i in range(n)], "item_id long, text string")
+    found = decontam._Found(table, bench)
+    assert found.judged.where("best > 0").count() < 100 * n  # a hit for each seed of the passage, whatever the number of items
+    assert found.by_set.count() < 2 * n and found.one_by_one(found.by_set.select("text_key", "set_id")).count() == 0
+    assert decontam.find_leaks(table, bench).where(f"size(items) = {n} and best = 20").count() == n
+
+
 def test_odd_rows_leak_one_by_one(spark):
     rng = random.Random(12)
     items = [(i, words(rng, 30, 900)) for i in range(20)]
