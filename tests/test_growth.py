@@ -1,6 +1,9 @@
 """Tasks, files and SQL on tables that grow."""
 
+import random
+
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +12,8 @@ from spanloom.operators import sessions as ss
 from spanloom.operators import sizes as sz
 from spanloom.plans import jobs
 from spanloom.sources import tables
+from spanloom.streaming import jobs as st
+from spanloom.streaming.sessions import joined, merged
 
 from test_scale import T0, counters, random_spans, same
 
@@ -59,3 +64,23 @@ def test_sessions_that_start_with_equal_times_are_whole_in_sql(spark):
     found = sz.sizes_by_window(ss.annotate_sessions(spans, jobs.HIGH_LOW, 3), jobs.HIGH_LOW)
     assert {(r["size"], r.traces) for r in found.collect()} == {(2, 500), (3, 500)}
     same(ss.annotate_sessions(spans, jobs.HIGH_LOW, 3), ss.stitch_sessions(spans, jobs.HIGH_LOW, 3))
+
+
+def test_streams_call_python_for_many_traces_at_once(spark, tmp_path):
+    """Sessions are Spark's own windows; keyed state is held by buckets of traces, not by trace."""
+    random_spans(spark, 1, 50).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(spark.read.parquet(str(tmp_path / "in")).schema).parquet(str(tmp_path / "in"))
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    for job in (st.dependencies_stream, st.paths_stream, st.quality_stream, st.orphan_spans, st.trace_sizes):
+        assert "TransformWithState" not in plan(job(stream)) and "session_window" in plan(job(stream))
+    for job in (st.large_traces, st.dependency_counts_and_late):
+        assert "bucket" in plan(job(stream)).split("TransformWithState")[1]
+
+
+def test_tables_of_open_sessions_are_joined_as_merged(spark):
+    rng = random.Random(2)
+    times = [(rng.randrange(6), rng.randrange(3), rng.randrange(400)) for _ in range(300)]
+    first = joined(np.array([(a, b, t, t, 1, 0) for a, b, t in times[:150]], np.int64), 2, 5)
+    both = joined(np.concatenate([first, np.array([(a, b, t, t, 1, 0) for a, b, t in times[150:]], np.int64)]), 2, 5)
+    want = [(a, b, *s) for a in range(6) for b in range(3) for s in merged([], [t for x, y, t in times if (x, y) == (a, b)], 5)]
+    assert [tuple(map(int, r[:4])) for r in both] == want and both[:, 4].sum() == 300
