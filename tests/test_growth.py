@@ -84,3 +84,18 @@ def test_tables_of_open_sessions_are_joined_as_merged(spark):
     both = joined(np.concatenate([first, np.array([(a, b, t, t, 1, 0) for a, b, t in times[150:]], np.int64)]), 2, 5)
     want = [(a, b, *s) for a in range(6) for b in range(3) for s in merged([], [t for x, y, t in times if (x, y) == (a, b)], 5)]
     assert [tuple(map(int, r[:4])) for r in both] == want and both[:, 4].sum() == 300
+
+
+def test_streams_have_as_many_stores_as_tasks(spark, tmp_path):
+    """Each store is opened and committed in each micro-batch, so they don't follow spark.sql.shuffle.partitions."""
+    name, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    random_spans(spark, 1, 50).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(spark.read.parquet(str(tmp_path / "in")).schema).parquet(str(tmp_path / "in"))
+    spark.conf.set(name, "50")
+    try:
+        for n, given in enumerate((None, 7)):
+            run = st.run_available(st.trace_sizes(stream), lambda rows, n: rows.collect(), str(tmp_path / f"checkpoint{n}"), given)
+            assert {s["numShufflePartitions"] for s in run.lastProgress["stateOperators"]} == {given or spark.sparkContext.defaultParallelism}
+        assert spark.conf.get(name) == "50"
+    finally:
+        spark.conf.set(name, before)
