@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanloom import oracles as o
+from spanloom.operators import quality as ql
 from spanloom.operators import sessions as ss
 from spanloom.operators import sizes as sz
 from spanloom.plans import jobs
@@ -99,3 +100,11 @@ def test_streams_have_as_many_stores_as_tasks(spark, tmp_path):
         assert spark.conf.get(name) == "50"
     finally:
         spark.conf.set(name, before)
+
+
+def test_hot_traces_are_scored_without_looking_up_looked_up_rows(spark):
+    """All built-in rules together read a hot trace's spans three times: themselves, by id, by parent's id."""
+    hot = ss.hot_sessions(random_spans(spark, 4, 40), jobs.LOW, 3)
+    scores = ql.score_all(hot, jobs.LOW, spread=True)
+    assert scores._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 3
+    same(scores.drop("session_end"), ql.score_all(hot, jobs.LOW).drop("session_end"))
