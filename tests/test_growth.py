@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spanloom import oracles as o
 from spanloom.operators import quality as ql
+from spanloom.operators import report as rp
 from spanloom.operators import sessions as ss
 from spanloom.operators import sizes as sz
 from spanloom.plans import jobs
@@ -108,3 +109,19 @@ def test_hot_traces_are_scored_without_looking_up_looked_up_rows(spark):
     scores = ql.score_all(hot, jobs.LOW, spread=True)
     assert scores._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 3
     same(scores.drop("session_end"), ql.score_all(hot, jobs.LOW).drop("session_end"))
+
+
+def test_a_report_sorts_months_not_ids(spark):
+    """Three years of hours of one metric, in two spellings: the ids are in order, and put in order by month."""
+    rng = random.Random(5)
+    hours = rng.sample(range(26_000), 3000)
+    rows = [("s", h * 3600, rng.choice(("Has", "has")), "PASS", 1, f"{h:x}") for h in hours] + [("s", None, "HAS", "pass", 2, "none")]
+    metrics = spark.createDataFrame(rows, "service string, at long, metric string, submetric string, count long, trace_id string").withColumn("time_bucket", F.timestamp_seconds("at"))
+    report = rp.service_metrics_report(metrics)
+    assert "date_trunc(MONTH" in report._jdf.queryExecution().sparkPlan().toString()
+    (got,) = report.collect()
+    assert (got.metric, got.submetric, got["count"]) == ("HAS", "pass", 3002)
+    assert got.trace_ids == ["none", *[f"{h:x}" for h in sorted(hours)]]
+    (same_hour,) = rp.service_metrics_report(metrics.where("at is not null").withColumn("time_bucket", F.timestamp_seconds(F.lit(0)))).collect()
+    want = sorted((m, i) for _, h, m, _, _, i in rows if h is not None)
+    assert same_hour.trace_ids == [i for _, i in want] and same_hour.metric == "Has"
