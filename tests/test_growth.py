@@ -14,6 +14,7 @@ from spanloom.operators import sessions as ss
 from spanloom.operators import sizes as sz
 from spanloom.plans import jobs
 from spanloom.sources import tables
+from spanloom.sources.shared import written
 from spanloom.streaming import jobs as st
 from spanloom.streaming.sessions import joined, merged
 
@@ -125,3 +126,15 @@ def test_a_report_sorts_months_not_ids(spark):
     (same_hour,) = rp.service_metrics_report(metrics.where("at is not null").withColumn("time_bucket", F.timestamp_seconds(F.lit(0)))).collect()
     want = sorted((m, i) for _, h, m, _, _, i in rows if h is not None)
     assert same_hour.trace_ids == [i for _, i in want] and same_hour.metric == "Has"
+
+
+def test_joins_of_hot_traces_are_dealt_by_their_size(spark, monkeypatch):
+    """Counts of hot traces come from tasks of bounded size, whatever shuffle partitions and the size that
+    Spark likes best are; both are as before afterwards."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before, spans, seen = [spark.conf.get(n) for n in names], random_spans(spark, 6, 400, 40).cache(), []
+    want = jobs.dependency_counts(spans)
+    monkeypatch.setattr(ss, "TASK_SPANS", 50)
+    monkeypatch.setattr(jobs, "written", lambda df, name: seen.append([spark.conf.get(n) for n in names]) or written(df, name))
+    same(jobs.dependency_counts(spans, hot_spans=2), want)
+    assert [size for _, size in seen] == [ss.TASK_BYTES] and int(seen[0][0]) > int(before[0]) and [spark.conf.get(n) for n in names] == before
