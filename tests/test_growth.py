@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanloom import oracles as o
+from spanloom.operators import paths as pt
 from spanloom.operators import quality as ql
 from spanloom.operators import report as rp
 from spanloom.operators import sessions as ss
@@ -138,3 +139,15 @@ def test_joins_of_hot_traces_are_dealt_by_their_size(spark, monkeypatch):
     monkeypatch.setattr(jobs, "written", lambda df, name: seen.append([spark.conf.get(n) for n in names]) or written(df, name))
     same(jobs.dependency_counts(spans, hot_spans=2), want)
     assert [size for _, size in seen] == [ss.TASK_BYTES] and int(seen[0][0]) > int(before[0]) and [spark.conf.get(n) for n in names] == before
+
+
+def test_tables_of_large_traces_are_dealt_by_their_size(spark, monkeypatch):
+    """Pointer doubling's tables too; traces that need the walk are only looked for where there are some."""
+    name, seen = "spark.sql.adaptive.advisoryPartitionSizeInBytes", []
+    tree = spark.range(400).selectExpr("id div 20 AS trace_id_low", "id % 20 + 1 AS span_id", "(id % 20 + 1) div 2 AS parent_span_id", "'s' AS service", "concat('o', id % 3) AS operation", "'SERVER' AS span_kind", f"{T0} + id AS start_time_us")
+    traces = ss.annotate_sessions(tree, jobs.LOW, 5).cache()
+    monkeypatch.setattr(pt, "written", lambda df, table: seen.append(spark.conf.get(name)) or written(df, table))
+    found = pt.trace_paths(traces, spread=True)
+    assert set(seen) == {ss.TASK_BYTES} and spark.conf.get(name) != ss.TASK_BYTES
+    assert found._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 1
+    same(found, pt.trace_paths(traces))
