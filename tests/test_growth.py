@@ -151,3 +151,18 @@ def test_tables_of_large_traces_are_dealt_by_their_size(spark, monkeypatch):
     assert set(seen) == {ss.TASK_BYTES} and spark.conf.get(name) != ss.TASK_BYTES
     assert found._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 1
     same(found, pt.trace_paths(traces))
+
+
+def test_keys_are_counted_only_where_many_spans_meet(spark, monkeypatch):
+    """Spans are counted by a few buckets first; keys are counted in buckets that can hold a hot one."""
+    seen, plans = [], []
+    monkeypatch.setattr(ss, "written", lambda df, name: seen.append(name) or plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or written(df, name))
+    spans = spark.range(4000).selectExpr("id div 4 AS trace_id_low", "id AS span_id")
+    assert ss.split_hot(spans, jobs.LOW, 400)[1] is None and seen == ["full_buckets"]
+    assert "Aggregate [trace_id_low" not in plans[0] and "Aggregate [(id" not in plans[0] and "__bucket" in plans[0]
+    more = spans.unionByName(spark.range(900).selectExpr("if(id < 500, 7L, 3000L + id % 3) AS trace_id_low", "id AS span_id"))
+    cold, hot = ss.split_hot(more, jobs.LOW, 400)
+    assert seen[1:] == ["full_buckets", "hot"] and {r[0] for r in hot.select("trace_id_low").distinct().collect()} == {7}
+    assert hot.count() == 504 and cold.count() == 4396
+    # a full bucket of keys that aren't hot
+    assert ss.split_hot(more, jobs.LOW, 504)[1] is None and ss.split_hot(more, jobs.LOW, 503)[1].count() == 504
