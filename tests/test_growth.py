@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanloom import oracles as o
+from spanloom.operators import dependencies as dp
 from spanloom.operators import paths as pt
 from spanloom.operators import quality as ql
 from spanloom.operators import report as rp
@@ -166,3 +167,13 @@ def test_keys_are_counted_only_where_many_spans_meet(spark, monkeypatch):
     assert hot.count() == 504 and cold.count() == 4396
     # a full bucket of keys that aren't hot
     assert ss.split_hot(more, jobs.LOW, 504)[1] is None and ss.split_hot(more, jobs.LOW, 503)[1].count() == 504
+
+
+def test_a_window_s_row_counts_its_pairs_once(spark):
+    """The dependency job's rows come from edges: pairs are dealt once, and the rows are those of partial counts."""
+    spans = random_spans(spark, 7, 300, 40).cache()
+    out = jobs.dependencies_job(spans)
+    assert out._jdf.queryExecution().sparkPlan().toString().count("Aggregate(keys=[window_") == 4  # by pair and by window, each partial and whole
+    counts = jobs.dependency_counts(spans)
+    for other in (dp.dependencies_rollup(counts), jobs.dependencies_job(spans, hot_spans=2)):
+        same(out.withColumn("dependencies", F.to_json("dependencies")), other.withColumn("dependencies", F.to_json("dependencies")))
