@@ -4,8 +4,10 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spanloom import oracles as o
 from spanloom.operators import dependencies as dp
@@ -18,6 +20,7 @@ from spanloom.plans import jobs
 from spanloom.sources import tables
 from spanloom.sources.shared import written
 from spanloom.streaming import jobs as st
+from spanloom.streaming import sessions as streams
 from spanloom.streaming.sessions import joined, merged
 
 from test_scale import T0, counters, random_spans, same
@@ -177,3 +180,21 @@ def test_a_window_s_row_counts_its_pairs_once(spark):
     counts = jobs.dependency_counts(spans)
     for other in (dp.dependencies_rollup(counts), jobs.dependencies_job(spans, hot_spans=2)):
         same(out.withColumn("dependencies", F.to_json("dependencies")), other.withColumn("dependencies", F.to_json("dependencies")))
+
+
+def test_spans_of_streams_come_in_order_and_as_columns():
+    """A step sees each session's spans with their names; sessions without spans give no rows."""
+    kind = T.StructType.fromDDL("n long, p array<struct<service: string, operation: string>>")
+    made = streams._made(lambda spans: [(s["a"], [(s["b"], None)] * k) for k, s in enumerate(spans)], ["a", "b"], kind).func
+    given = pa.array([[{"a": 1, "b": "x"}, {"a": None, "b": "y"}], [], None, [{"a": 3, "b": None}]], pa.list_(pa.struct([("a", pa.int64()), ("b", pa.string())])))
+    p = lambda *services: [{"service": s, "operation": None} for s in services]
+    want = [[{"n": 1, "p": []}, {"n": None, "p": p("y")}], [], [], [{"n": 3, "p": []}]]
+    assert made(given).to_pylist() == want and made(given.slice(1)).to_pylist() == want[1:] and made(given[1:2]).to_pylist() == [[]]
+
+
+def test_paths_of_streams_are_hashed(spark, tmp_path):
+    """The exemplar of a path is found on numbers: a text as the least would have all paths sorted."""
+    random_spans(spark, 1, 50).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(spark.read.parquet(str(tmp_path / "in")).schema).parquet(str(tmp_path / "in"))
+    plan = st.paths_stream(stream)._jdf.queryExecution().analyzed().toString()
+    assert "min(trace_id" not in plan and "sort_array(collect_list" in plan
