@@ -23,7 +23,7 @@ from spanloom.streaming import jobs as st
 from spanloom.streaming import sessions as streams
 from spanloom.streaming.sessions import joined, merged
 
-from test_scale import T0, counters, random_spans, same
+from test_scale import T0, closing, counters, random_spans, same, stream_of
 
 
 @pytest.mark.parametrize("job", [jobs.dependency_sessions, jobs.path_sessions, jobs.quality_sessions, jobs.quality_job, jobs.dependency_counts, jobs.unique_paths])
@@ -198,3 +198,16 @@ def test_paths_of_streams_are_hashed(spark, tmp_path):
     stream = spark.readStream.schema(spark.read.parquet(str(tmp_path / "in")).schema).parquet(str(tmp_path / "in"))
     plan = st.paths_stream(stream)._jdf.queryExecution().analyzed().toString()
     assert "min(trace_id" not in plan and "sort_array(collect_list" in plan
+
+
+@pytest.mark.parametrize("years", [1, 30, 2000])
+def test_late_spans_are_told_of_however_late_they_are(spark, tmp_path, years):
+    """A table of decades has spans that come decades after the watermark has passed them."""
+    spans, after = random_spans(spark, 7, 300, 12).where("is_client or is_server").cache(), years * 366 * 86_400
+    late = spans.where("trace_id_low = 3")
+    parts = [spans.where("trace_id_low <> 3"), closing(spark, spans, after), closing(spark, spans, after + 4000), late, closing(spark, spans, after + 90_000)]
+    out = []
+    stream = st.dependency_counts_and_late(stream_of(spark, str(tmp_path / "in"), parts))
+    st.run_available(stream, lambda rows, n: out.extend(rows.collect()), str(tmp_path / "check"))
+    assert {r.late_trace for r in out if r.late} == {"0:3"} and sum(r.late for r in out) == late.count() > 5
+    assert sum(r.call_count for r in out) == jobs.dependency_counts(parts[0]).agg(F.sum("call_count")).first()[0]
