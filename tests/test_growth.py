@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanloom import oracles as o
+from spanloom import queries as q
 from spanloom.operators import dependencies as dp
 from spanloom.operators import paths as pt
 from spanloom.operators import quality as ql
@@ -211,3 +212,20 @@ def test_late_spans_are_told_of_however_late_they_are(spark, tmp_path, years):
     st.run_available(stream, lambda rows, n: out.extend(rows.collect()), str(tmp_path / "check"))
     assert {r.late_trace for r in out if r.late} == {"0:3"} and sum(r.late for r in out) == late.count() > 5
     assert sum(r.call_count for r in out) == jobs.dependency_counts(parts[0]).agg(F.sum("call_count")).first()[0]
+
+
+@pytest.mark.parametrize("name", ["stream_quality", "stream_dependencies", "stream_paths", "stream_trace_sizes", "stream_orphan_spans", "stream_large_traces"])
+def test_streams_take_many_spans_in_slices_of_time(spark, monkeypatch, name):
+    """State, shuffles and input are those of a slice; results are those of the whole."""
+    small, runs, run = "/root/testdata/sf0.001", [], st.run_available
+    monkeypatch.setattr(q, "_SLICE_SPANS", 2500)
+    monkeypatch.setattr(st, "run_available", lambda *args: runs.append(run(*args)))
+    got = q.QUERIES[name](spark, small).toPandas()
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW lineitem AS SELECT * FROM '{small}/lineitem.parquet'")
+    want = con.sql(q.ORACLES[name]).df()
+    columns = sorted(want.columns)
+    assert sorted(got.columns) == columns
+    assert sorted(map(repr, got[columns].itertuples(index=False, name=None))) == sorted(map(repr, want[columns].itertuples(index=False, name=None)))
+    taken = [sum(p["numInputRows"] for p in r.recentProgress) for r in runs]
+    assert len(taken) == 3 and sum(taken) == 6001 and max(taken) < 3000
